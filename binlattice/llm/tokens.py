@@ -78,15 +78,18 @@ class Counter:
         if not self.cuttable:
             return len(self.processor.encode(text))
         words = pre_tokens(text)
-        try:
-            return sum(map(self.known.__getitem__, words))
-        except KeyError:
-            fresh = self._encoded(list(set(words) - self.known.keys()))
-            total = sum(fresh[w] if w in fresh else self.known[w] for w in words)
-            if len(self.known) + len(fresh) > self.memory:
-                self.known = dict.fromkeys(self.whole, 1) | {"": 1}
-            self.known.update((w, n) for w, n in fresh.items() if len(w) <= 64)
-            return total
+        known = self.known
+        missing = [w for w in set(words) if w not in known]
+        if missing:
+            if len(known) + len(missing) > self.memory:
+                known = self.known = dict.fromkeys(self.whole, 1) | {"": 1}
+                missing = [w for w in set(words) if w not in known]
+            known.update(self._encoded(missing))
+        total = sum(map(known.__getitem__, words))
+        for w in missing:
+            if len(w) > 64:
+                del known[w]
+        return total
 
 
 def count_tokens(docs: DataFrame, model: str, limit: int = 4096, text: str = "text") -> DataFrame:
