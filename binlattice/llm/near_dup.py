@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -16,9 +14,13 @@ from .text_arrays import chunks, mix, shingle_sets
 #: Coordinates of a sketch; the first BANDS * ROWS of them are banded. At similarity 0.8 a pair shares no band with
 #: probability (1 - 0.8**4)**24 = 3e-6.
 SIZE, BANDS, ROWS = 128, 24, 4
-#: Least number of equal 4-bit coordinates, of SIZE, for a candidate. At similarity 0.8 their mean is 104 and 78 is six
-#: standard deviations below it.
-LIKELY = 78
+#: Least number of equal 4-bit coordinates, of SIZE, for a candidate. At similarity 0.8 their mean is 104; 84 is four and
+#: a half standard deviations below it, which a pair misses as rarely as all bands.
+LIKELY = 84
+#: Rounds in which each open bucket's most connected class meets the others, before what is left is compared in blocks.
+HUB_ROUNDS = 2
+#: Classes of a bucket that are compared at once with as many others.
+BLOCK = 512
 SIGNATURE = [f"s{i}" for i in range(8)]
 
 
@@ -142,13 +144,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80, id_col
     Documents are linked if 100 * |intersection| >= ``percent`` * |union|.
 
     Documents with equal sets become one class, named by a 64-bit hash of the
-    set. Classes are sketched and banded. First each class of a bucket meets the bucket's
-    least and greatest class; pairs that size and sketch allow are
-    verified on full sets, and components are formed. Then, in buckets that
-    hold classes of several components, each class outside the bucket's largest
-    component meets all classes of other components there. So every pair that
-    shares a band is verified or already connected, while a bucket of m
-    copies costs about 2 * m comparisons rather than m * m.
+    set. Classes are sketched and banded. In each bucket with several classes the most
+    connected one, usually the text the others were copied from, meets the
+    others: pairs that sizes and sketches allow are verified on full sets, and
+    components are formed. Buckets that still hold several components do so
+    again, with the most connected class outside their largest component. What is then
+    open is compared in blocks of at most 2 * BLOCK classes, by counting common
+    shingles of all of a block at once; only links between components
+    come out. So every pair that shares a band is verified or already
+    connected, without a row for each pair. Most groups of copies are connected after
+    the first round; the blocks meet texts that share much but less than ``percent``.
 
     Defined cases: null text counts as empty; a null id is reported as null and
     only counts as its component's id if the component has no other; rows
@@ -170,27 +175,34 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80, id_col
         "classes",
     )
     banded = classes.select("name", F.explode("bands").alias("bucket"))
-    ends = banded.groupBy("bucket").agg(F.min("name").alias("low"), F.max("name").alias("high")).where("low < high")
-    shared = cut(banded.join(ends, "bucket"), "buckets")  # classes that share a bucket
+    sizes = banded.groupBy("bucket").agg(F.count("*").alias("held")).where("held > 1")
+    shared = cut(banded.join(sizes, "bucket"), "buckets")  # classes that share a bucket
+    # the text that others were copied from shares the most buckets with the most classes
+    weight = shared.groupBy("name").agg(F.sum("held").alias("weight"))
+    open_rows = cut(shared.select("bucket", "name").join(weight, "name").withColumn("root", F.col("name")), "open-buckets")
     facts = classes.select("name", "n", *SIGNATURE)
+    texts = _texts(rows, classes, weight)
+
+    edges = None
+    for turn in range(HUB_ROUNDS):
+        hub = F.max_by(F.struct("name", "root"), F.struct("weight", "name"))
+        if turn:
+            main = F.max_by("root", F.struct("here", "root")).alias("main")
+            main = open_rows.groupBy("bucket", "root").agg(F.count("*").alias("here")).groupBy("bucket").agg(main)
+            hubs = open_rows.join(main, "bucket").where("root <> main").groupBy("bucket").agg(hub.alias("hub"))
+        else:
+            hubs = open_rows.groupBy("bucket").agg(hub.alias("hub"))
+        met = open_rows.join(hubs, "bucket").where(F.col("root") != F.col("hub.root"))
+        pairs = met.select(F.least("name", "hub.name").alias("a"), F.greatest("name", "hub.name").alias("b")).distinct()
+        linked = cut(_links(_likely(pairs, facts, percent), texts, shingle, percent), "links")
+        edges = linked if edges is None else edges.unionAll(linked)
+        roots = components(edges)
+        edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
+        open_rows = _still_open(open_rows, roots)
 
-    texts = _texts(rows, classes, shared.select("name").distinct())
-    hub_pairs = shared.select("name", F.explode(F.array("low", "high")).alias("other")).where("name <> other").select(F.least("name", "other").alias("a"), F.greatest("name", "other").alias("b")).distinct()
-    linked = cut(_links(hub_pairs, facts, texts, shingle, percent), "links")
-    roots = components(linked)
-
-    labelled = shared.select("bucket", "name").join(roots.withColumnRenamed("node", "name"), "name", "left").select("bucket", "name", F.coalesce("root", "name").alias("root"))
-    labelled = cut(labelled, "labelled")
-    counted = labelled.groupBy("bucket", "root").count()
-    mixed = counted.groupBy("bucket").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count("*").alias("roots")).where("roots > 1").select("bucket", "main")
-    open_rows = cut(labelled.join(mixed, "bucket").join(facts, "name"), "open-buckets")
-    left, right = open_rows.where("root <> main").alias("l"), open_rows.alias("r")
-    apart = (F.col("l.bucket") == F.col("r.bucket")) & (F.col("l.root") != F.col("r.root")) & ((F.col("r.root") == F.col("r.main")) | (F.col("l.name") < F.col("r.name")))
-    more = left.join(right, apart & _alike(percent)).select(F.least("l.name", "r.name").alias("a"), F.greatest("l.name", "r.name").alias("b")).distinct()
-    tested = hub_pairs.select("a", "b")
-    further = cut(_links(more.join(tested, ["a", "b"], "left_anti"), None, texts, shingle, percent), "more-links")
+    further = cut(_links_within(open_rows, texts, shingle, percent), "more-links")
     if not further.isEmpty():
-        roots = components(reduce(DataFrame.unionAll, [roots.select(F.col("node").alias("a"), F.col("root").alias("b")), further]))
+        roots = components(edges.unionAll(further))
 
     of_class = classes.select("name", "at").join(roots.withColumnRenamed("node", "name"), "name", "left").select("name", "at", F.coalesce("root", "name").alias("root"))
     of_class = cut(of_class, "class-roots")
@@ -209,16 +221,83 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80, id_col
 
 def _texts(rows: DataFrame, classes: DataFrame, names: DataFrame) -> DataFrame:
     """(name, text) of the named classes: the text of one document each, written once."""
-    wanted = classes.select("name", F.coalesce("at.doc", F.lit(LONG_MIN)).alias("doc"), F.col("at.mark").alias("wanted")).join(names, "name", "left_semi")
+    wanted = classes.join(names, "name", "left_semi").select("name", F.coalesce("at.doc", F.lit(LONG_MIN)).alias("doc"), F.col("at.mark").alias("wanted"))
     texts = rows.select(F.coalesce("doc", F.lit(LONG_MIN)).alias("doc"), "mark", "text")
     return cut(texts.join(wanted, (texts["doc"] == wanted["doc"]) & texts["mark"].eqNullSafe(F.col("wanted"))).select("name", "text").dropDuplicates(["name"]), "texts")
 
 
-def _links(pairs: DataFrame, facts: DataFrame | None, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _still_open(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows (bucket, name, weight, root) with new roots, of the buckets that hold more than one component."""
+    renewed = rows.drop("root").join(roots.withColumnRenamed("node", "name"), "name", "left")
+    renewed = cut(renewed.withColumn("root", F.coalesce("root", "name")), "labelled")
+    mixed = renewed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    return cut(renewed.join(mixed, "bucket", "left_semi"), "open-buckets")
+
+
+def _links_within(rows: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links (a, b) between different roots of the same bucket, at most one for each two roots of a block."""
+    held = rows.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    part = F.pmod(F.xxhash64("name"), F.col("parts").cast("bigint")).cast("int")
+    dealt = rows.join(held, "bucket").withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.select("bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "name", "root")
+    blocks = dealt.join(texts, "name").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    return blocks.select("bucket", "i", "j", "part", "name", "root", "text").mapInArrow(lambda it: _block_links(it, shingle, percent), "a bigint, b bigint").distinct()
+
+
+def _block_links(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
+    key, rows = None, []
+    for batch in batches:
+        at = 0
+        columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "i", "j", "part", "name", "root")]
+        # sets are kept, not texts: of one block and of one slice of the batch at a time
+        for small in (batch.slice(i, 256) for i in range(0, len(batch), 256)):
+            sets = [s for _, _, data, offsets in chunks(small.column("text").fill_null("")) for s in shingle_sets(data, offsets, k)]
+            for s in sets:
+                here = tuple(c[at] for c in columns[:3])
+                if here != key:
+                    yield from _linked(rows, percent)
+                    key, rows = here, []
+                rows.append((*(c[at] for c in columns[3:]), s))
+                at += 1
+    yield from _linked(rows, percent)
+
+
+def _linked(rows: list[tuple], percent: int) -> Iterator[pa.RecordBatch]:
+    """Links of one block of (part, name, root, set)."""
+    if len(rows) < 2:
+        return
+    part, name, root = (np.array([r[c] for r in rows], np.int64) for c in range(3))
+    sets = [r[3] for r in rows]
+    sizes = np.array([len(s) for s in sets], np.int64)
+    found, code, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(rows)), sizes)
+    shared = often[code] > 1
+    code, owner = (np.cumsum(often > 1) - 1)[code[shared]], owner[shared]
+    common = np.zeros((len(rows), len(rows)), np.float32)
+    order = np.argsort(code, kind="stable")
+    code, owner = code[order], owner[order]
+    for first in range(0, int(code[-1]) + 1 if len(code) else 0, 4096):
+        a, b = np.searchsorted(code, (first, first + 4096))
+        table = np.zeros((len(rows), 4096), np.float32)
+        table[owner[a:b], code[a:b] - first] = 1
+        common += table @ table.T
+    apart = (root[:, None] != root[None, :]) & ((part[:, None] != part[None, :]) | (part.min() == part.max()))
+    common = common.astype(np.int64)
+    x, y = np.nonzero(np.triu(apart & (100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)), 1))
+    if len(x):
+        ends = np.sort(np.stack([root[x], root[y]], 1), axis=1)
+        _, one = np.unique(ends, axis=0, return_index=True)
+        yield pa.RecordBatch.from_pydict({"a": name[x[one]], "b": name[y[one]]})
+
+
+def _likely(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) that sizes and sketches allow."""
+    left = pairs.alias("p").join(facts.alias("l"), F.col("p.a") == F.col("l.name"))
+    return left.join(facts.alias("r"), (F.col("p.b") == F.col("r.name")) & _alike(percent)).select("a", "b")
+
+
+def _links(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Those of the pairs (a, b) whose full sets are similar enough."""
-    if facts is not None:
-        left = pairs.alias("p").join(facts.alias("l"), F.col("p.a") == F.col("l.name"))
-        pairs = left.join(facts.alias("r"), (F.col("p.b") == F.col("r.name")) & _alike(percent)).select("a", "b")
     one = texts.select(F.col("name").alias("a"), F.col("text").alias("text_a"))
     two = texts.select(F.col("name").alias("b"), F.col("text").alias("text_b"))
     return pairs.join(one, "a").join(two, "b").select("a", "b", "text_a", "text_b").mapInArrow(lambda it: _verified(it, shingle, percent), "a bigint, b bigint")
