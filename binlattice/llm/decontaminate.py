@@ -69,9 +69,13 @@ def simhash(hashes: Column) -> Column:
 
 def similarity(a: Column, b: Column) -> Column:
     """Weighted Jaccard similarity of two shingle arrays, weights being multiplicities."""
-    count = lambda arr, s: F.size(F.filter(arr, lambda x: x == s))
-    common = F.aggregate(F.array_intersect(a, b), F.lit(0), lambda n, s: n + F.least(count(a, s), count(b, s)))
-    return let(common, lambda c: c / (F.size(a) + F.size(b) - c))
+
+    def of(a: Column, b: Column) -> Column:
+        count = lambda arr, s: F.size(F.filter(arr, lambda x: x == s))
+        common = F.aggregate(F.array_intersect(a, b), F.lit(0), lambda n, s: n + F.least(count(a, s), count(b, s)))
+        return let(common, lambda c: c / (F.size(a) + F.size(b) - c))
+
+    return let(a, lambda x: let(b, lambda y: of(x, y)))
 
 
 def _anchors(sh: Column, threshold: float) -> Column:
@@ -125,7 +129,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, ba
         .where(F.size("item_words") > 0)
         .withColumn("n", F.size("item_words"))
         .withColumn("sh", _shingles(F.col("item_words")))
-        .select("item_id", "item_words", "n", simhash(F.col("sh")).alias("item_fp"), _anchors(F.col("sh"), threshold).alias("anchors"))
+        .select("item_id", "item_words", "n", F.col("sh").alias("item_sh"), simhash(F.col("sh")).alias("item_fp"), _anchors(F.col("sh"), threshold).alias("anchors"))
         .withColumn("item_no", F.xxhash64("item_id", "item_words")),
         "items",
     )
@@ -138,15 +142,19 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, ba
 
     prints = windows.select("n", "fp").distinct().select("n", "fp", F.posexplode(_blocks(F.col("fp"))).alias("block", "value"))
     near = [m for m in range(256) if m.bit_count() <= NEAR]
-    index = items.select("item_id", "item_words", "n", "item_fp", F.posexplode(_blocks(F.col("item_fp"))).alias("block", "own")).select(
+    index = items.select("item_id", "item_words", "item_sh", "n", "item_fp", F.posexplode(_blocks(F.col("item_fp"))).alias("block", "own")).select(
         "*", F.explode(F.transform(F.array(*[F.lit(m).cast("bigint") for m in near]), lambda m: m.bitwiseXOR(F.col("own")))).alias("value")
     )
     candidates = (
         prints.join(index, ["n", "block", "value"])
         .where((F.bit_count(F.col("fp").bitwiseXOR(F.col("item_fp"))) <= RADIUS) & (F.col("block") == _first_near_block(F.col("fp"), F.col("item_fp"))))
-        .select("n", "fp", "item_id", "item_words")
+        .select("n", "fp", "item_id", "item_words", "item_sh")
     )
-    scored = windows.join(candidates, ["n", "fp"]).withColumn("similarity", similarity(_texts(F.col("w")), _texts(F.col("item_words"))))
+    # no more shingles are common than the window has hashes among the item's: this spares most pairs the exact sum
+    enough = lambda c: c >= threshold * (2 * F.size("item_sh") - c) - 1e-9
+    hopeful = let(_shingles(F.col("w")), lambda sh: let(F.size(F.filter(sh, lambda h: F.array_contains("item_sh", h))), enough))
+    near = cut(windows.join(candidates, ["n", "fp"]).where(hopeful), "near-windows")
+    scored = near.withColumn("similarity", similarity(_texts(F.col("w")), _texts(F.col("item_words"))))
     best = F.max(F.struct("similarity", (-F.col("start")).alias("rank")))
     return (
         scored.where(F.col("similarity") >= threshold - 1e-9)
