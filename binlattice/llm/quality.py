@@ -106,12 +106,13 @@ class Estimate:
         return self.rejected / self.seconds
 
 
-def estimate(docs: DataFrame, rules: list[Rule], sample_rows: int = 2000) -> list[Estimate]:
+def estimate(docs: DataFrame, rules: list[Rule], sample_rows: int = 500) -> list[Estimate]:
     """Share rejected and seconds of each rule on at most ``sample_rows`` rows, in falling order of rejection per second.
 
     Only the order of evaluation rests on this sample, never a verdict.
     """
-    sample = cut(docs.limit(sample_rows), "rule-sample")
+    # collecting a limit reads partitions until it has enough; as part of a plan it would take that many rows of each
+    sample = cut(docs.sparkSession.createDataFrame(docs.limit(sample_rows).collect(), docs.schema), "rule-sample")
     n = max(1, sample.count())
 
     def timed(column: Column) -> tuple[float, int]:
@@ -128,7 +129,7 @@ def estimate(docs: DataFrame, rules: list[Rule], sample_rows: int = 2000) -> lis
     return sorted(found, key=lambda e: (-e.gain, e.name))
 
 
-def cascade(docs: DataFrame, rules: list[Rule], sample_rows: int = 2000) -> DataFrame:
+def cascade(docs: DataFrame, rules: list[Rule], sample_rows: int = 500) -> DataFrame:
     """``docs`` plus ``failed_rule``: the first rule, in the estimated order, that rejects the row, else null.
 
     The rules stand in one CASE, which Spark evaluates branch by branch: a row
