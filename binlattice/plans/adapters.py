@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import tempfile
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from binlattice.functions.stats import normalize_log1p_cpm, robust_z
-from binlattice.operators import evaluate, grid, qc
+from binlattice.functions.stats import normalize_log1p_cpm, robust_z, two_sided_p
+from binlattice.operators import artifact, calibrate, calling, evaluate, grid, qc
 
 BIN, N_BINS, MAPQ = 90_000, 28, 10
 CLASSES = ["segmental_duplication", "low_mappability", "repeat_rich", "gap_centromere_telomere", "blacklist"]
+OVERLAPS = [f"{c}_overlap_fraction" for c in CLASSES]
 
 _CHROM = "concat('chr', CASE {0} WHEN 22 THEN 'X' WHEN 23 THEN 'Y' ELSE CAST({0} + 1 AS STRING) END)"
 
@@ -101,3 +105,62 @@ def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def leave_one_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qc.leave_one_out(normalized(spark, sf_dir), "normalized_signal")
+
+
+def masked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Annotated bins with the cohort's dynamic metrics and the combined mask."""
+    z = ((F.col("v") - F.col("ref_median")) / F.col("ref_sigma")).alias("z")
+    metrics = qc.dynamic_bin_metrics(leave_one_out(spark, sf_dir).select("chrom", "bin_index", z))
+    return qc.combined_mask(annotated(spark, sf_dir).join(metrics, ["chrom", "bin_index"], "left"))
+
+
+def risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Masked bins with risk; overlap classes without intervals are 0."""
+    absent = {f"{c}_overlap_fraction": F.lit(0.0) for c in ("par", "xtr", "sex_homology", "ambiguous_alignment")}
+    return qc.annotate_region_risk(masked(spark, sf_dir).withColumns(absent))
+
+
+def calling_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All samples' bins with signal, risk and calling weight."""
+    fixed = risk(spark, sf_dir).drop("start_pos", "end_pos")
+    joined = normalized(spark, sf_dir).join(fixed, ["chrom", "bin_index"])
+    return calling.calling_weight(joined.withColumn("is_autosome", F.col("chrom").rlike(qc.AUTOSOME).cast("int")))
+
+
+def called(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored bins with a state by a cut of z."""
+    z = F.col("robust_z")
+    return calling.score_bins(calling_bins(spark, sf_dir)).withColumn("hmm_state", F.when(z >= 0.6, "gain").when(z <= -0.6, "loss").otherwise("neutral"))
+
+
+def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return calling.run_calls(called(spark, sf_dir), 0.6, 2)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """The rows written to the cluster's checkpoint folder, for tables that several steps read; a temporary folder where none is set."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+    return df.checkpoint()
+
+
+def rational_p(z: Column) -> Column:
+    """A p that SQL can express, for queries with SQL."""
+    return 1 / (1 + z * z)
+
+
+def significant(spark: SparkSession, sf_dir: str, p: Callable[[Column], Column] = two_sided_p) -> DataFrame:
+    """Candidate events with support, p, q and the decision to keep them."""
+    bins_ = stored(called(spark, sf_dir))
+    null, found = calibrate.empirical_null(bins_), calling.run_calls(bins_, 0.6, 2)
+    support = calibrate.event_support(found, calibrate.calibrate_bins(bins_, null), calibrate.null_autocorrelation(bins_), OVERLAPS)
+    return calibrate.event_significance(found, support, null, p=p)
+
+
+def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Significant events after the artifact rules; sexes by sample number, the first 300 kb of X and Y as PAR."""
+    sex = F.when(F.substring("sample_id", 2, 1).cast("int") % 2 == 0, "XX").otherwise("XY")
+    par = spark.createDataFrame([("chrX", 0, 300_000), ("chrY", 0, 300_000)], "chrom string, start_pos bigint, end_pos bigint")
+    events_ = artifact.par_overlap(significant(spark, sf_dir, rational_p).withColumn("sex_call", sex).withColumn("chrom_bins", F.lit(N_BINS)), par)
+    return artifact.classify_events(artifact.priority_score(artifact.artifact_flags(events_)))

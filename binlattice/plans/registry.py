@@ -297,12 +297,6 @@ _M1 = f"{_LOO}, m1 AS (SELECT chrom, bin_index, avg(CAST(abs((v - ref_median) /
 _MASK = f"""{_M1}, {ANN[len(GRID) + 2:]}, mask AS (SELECT ann.*, CASE WHEN n_fraction >= 0.003 * 0 + 0.2 THEN 'hard' WHEN coalesce(gc_fraction, 0.5) < 0.2 OR coalesce(gc_fraction, 0.5) > 0.8 THEN 'soft' WHEN zf >= 0.05 OR mz >= 1.5 THEN 'dynamic' ELSE 'pass' END AS mask_label, zf, mz FROM ann LEFT JOIN m1 USING (chrom, bin_index))""".replace("0.003 * 0 + ", "")
 
 
-def _masked(spark, sf):
-    z = ((F.col("v") - F.col("ref_median")) / F.col("ref_sigma")).alias("z")
-    metrics = qc.dynamic_bin_metrics(a.leave_one_out(spark, sf).select("chrom", "bin_index", z))
-    return qc.combined_mask(a.annotated(spark, sf).join(metrics, ["chrom", "bin_index"], "left"))
-
-
 @query(f"WITH {_M1} SELECT chrom, bin_index, round(zf, 6) AS z_frac_over_3, round(mz, 6) AS median_abs_z, n_samples FROM m1")
 def m1_dynamic_bin_metrics(spark, sf):
     z = ((F.col("v") - F.col("ref_median")) / F.col("ref_sigma")).alias("z")
@@ -311,12 +305,12 @@ def m1_dynamic_bin_metrics(spark, sf):
 
 @query(f"WITH {_MASK} SELECT chrom, bin_index, mask_label FROM mask")
 def m3_combined_mask(spark, sf):
-    return _masked(spark, sf).select("chrom", "bin_index", "mask_label")
+    return a.masked(spark, sf).select("chrom", "bin_index", "mask_label")
 
 
 @query(f"WITH {_MASK} SELECT mask_label, count(*) AS n_bins FROM mask GROUP BY ALL")
 def m4_mask_summary(spark, sf):
-    return qc.mask_summary(_masked(spark, sf))
+    return qc.mask_summary(a.masked(spark, sf))
 
 
 _C1 = f"""{_MASK}, c0 AS (SELECT *, greatest(low_mappability_overlap_fraction, least(1.0, greatest(0.0, (0.85 - atgc) / 0.5))) AS cm,
@@ -330,8 +324,7 @@ _C1 = f"""{_MASK}, c0 AS (SELECT *, greatest(low_mappability_overlap_fraction, l
   CAST(NOT (blacklist_overlap_fraction > 0 OR gap_centromere_telomere_overlap_fraction > 0 OR cm >= 0.75 OR segmental_duplication_overlap_fraction >= 0.75 OR mask_label IN ('hard', 'dynamic')) AS INT) AS correction_fit_eligible,
   CAST(NOT (hi OR mask_label = 'hard') AS INT) AS calling_seed_eligible, CAST({AUTO} AND NOT hi AND NOT mo AND mask_label NOT IN ('soft', 'dynamic', 'hard') AS INT) AS null_eligible FROM c2""")
 def c1_region_risk(spark, sf):
-    bins = _masked(spark, sf).withColumns({f"{c}_overlap_fraction": F.lit(0.0) for c in ("par", "xtr", "sex_homology", "ambiguous_alignment")})
-    return r6(qc.annotate_region_risk(bins).select("chrom", "bin_index", "risk_score", "region_risk_class", "region_risk_weight", "variance_inflation", "correction_fit_eligible", "calling_seed_eligible", "null_eligible"))
+    return r6(a.risk(spark, sf).select("chrom", "bin_index", "risk_score", "region_risk_class", "region_risk_weight", "variance_inflation", "correction_fit_eligible", "calling_seed_eligible", "null_eligible"))
 
 
 @query(f"WITH {BINS} SELECT sample_id, round(sum(CASE WHEN chrom = 'chrY' THEN raw_count ELSE 0 END) / sum(raw_count), 6) AS y_fraction FROM bins GROUP BY ALL")
@@ -405,3 +398,6 @@ def queries() -> dict[str, Query]:
 
 def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
+
+
+from binlattice.plans import calling_queries  # noqa: E402, F401  registers its queries
