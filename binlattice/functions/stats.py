@@ -77,7 +77,7 @@ def weighted_stats(df: DataFrame, value: str, weight: str, keys: list[str]) -> D
 def autocorrelation(df: DataFrame, value: str, sample: list[str], chrom: str, order: str, max_lag: int = 5) -> DataFrame:
     """(sample.., lag, rho): mean over chromosomes with at least 3 values and some variance, clipped to 0.95 either way.
 
-    Neighbours are neighbours in the list of values that are present, not on the genome.
+    Neighbours are neighbours in the list of values that are present, not on the genome. A variance of 1e-20 or less is what rounding leaves of equal values.
     """
     keys = [*sample, chrom]
     here = df.where(clean(value).isNotNull()).select(*keys, order, clean(value).alias("x"))
@@ -85,7 +85,7 @@ def autocorrelation(df: DataFrame, value: str, sample: list[str], chrom: str, or
     w = Window.partitionBy(*keys).orderBy(order)
     lags = F.array(*[F.struct(F.lit(k).alias("lag"), (F.col("x") * F.lag("x", k).over(w)).alias("xx")) for k in range(1, max_lag + 1)])
     rows = here.withColumn("lags", lags).select(*keys, "n", "x", F.inline("lags"))
-    per = rows.groupBy(*keys, "lag", "n").agg(F.sum("xx").alias("xx"), F.avg(F.col("x") * F.col("x")).alias("var")).where((F.col("n") >= 3) & (F.col("var") > 0) & (F.col("n") > F.col("lag")))
+    per = rows.groupBy(*keys, "lag", "n").agg(F.sum("xx").alias("xx"), F.avg(F.col("x") * F.col("x")).alias("var")).where((F.col("n") >= 3) & (F.col("var") > 1e-20) & (F.col("n") > F.col("lag")))
     return per.groupBy(*sample, "lag").agg(F.greatest(F.lit(-0.95), F.least(F.lit(0.95), F.avg(F.col("xx") / ((F.col("n") - F.col("lag")) * F.col("var"))))).alias("rho"))
 
 

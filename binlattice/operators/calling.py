@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from binlattice.functions.stats import clean, over, robust_z
+from binlattice.functions.stats import clean, robust_z
 from binlattice.operators.grid import runs, seed_blocks
 
 CHROM = ["sample_id", "chrom"]

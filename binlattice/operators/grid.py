@@ -153,3 +153,33 @@ def seed_blocks(bins: DataFrame, keep: Column, min_len: int) -> DataFrame:
     """(sample_id, chrom, block_index, left, right): runs of at least ``min_len`` bins, numbered among those kept."""
     kept = runs(bins, keep).groupBy("sample_id", "chrom", "run").agg(F.min("bin_index").alias("left_bin"), (F.max("bin_index") + 1).alias("right_bin"), F.count("*").alias("n_bins")).where(F.col("n_bins") >= min_len)
     return kept.withColumn("block_index", F.row_number().over(Window.partitionBy("sample_id", "chrom").orderBy("left_bin")) - 1).drop("run")
+
+
+def project_mask(bins: DataFrame, mask: DataFrame, bucket: int) -> DataFrame:
+    """The mask of each bin by the shares of mask labels in it, with the reason that covers most (ties: the longer, then the later text)."""
+    right = mask.select("chrom", F.col("start_pos").alias("r_start"), F.col("end_pos").alias("r_end"), F.coalesce("mask_label", F.lit("pass")).alias("label"), F.coalesce("mask_reason", F.lit("")).alias("reason"))
+    target = bins.select("chrom", "start_pos", "end_pos").distinct()
+    place = ["chrom", "start_pos", "end_pos"]
+    per = overlap_join(target, right, bucket).groupBy(*place, "label", "reason").agg(F.sum(overlap_bp()).alias("bp"))
+    reasons = per.groupBy(*place, "reason").agg(F.sum("bp").alias("bp"), *[F.sum(F.when(F.col("label") == k, F.col("bp")).otherwise(0)).alias(k) for k in ("hard", "dynamic", "soft")])
+    top = F.max_by("reason", F.when(F.col("reason") != "", F.struct("bp", F.length("reason"), "reason")))
+    done = reasons.groupBy(*place).agg(top.alias("mask_reason"), *[F.sum(k).alias(k) for k in ("hard", "dynamic", "soft")])
+    span = F.greatest(F.col("end_pos") - F.col("start_pos"), F.lit(1))
+    part = lambda k: F.coalesce(F.col(k), F.lit(0)) / span
+    label = F.when(part("hard") >= 0.5, "hard").when(part("dynamic") >= 0.3, "dynamic").when(part("soft") >= 0.3, "soft").when((part("hard") > 0) | (part("dynamic") > 0), "dynamic").when(part("soft") > 0, "soft").otherwise("pass")
+    return target.join(done, place, "left").select(*place, label.alias("mask_label"), F.coalesce("mask_reason", F.lit("")).alias("mask_reason"))
+
+
+def escalate_hotspots(bins: DataFrame) -> DataFrame:
+    """Raises masks at acrocentric gaps, X/Y homology and duplication-rich chromosomes; never lowers one. Classes without a column count as 0."""
+    f = lambda c: F.coalesce(F.col(f"{c}_overlap_fraction"), F.lit(0.0)) if f"{c}_overlap_fraction" in bins.columns else F.lit(0.0)
+    # Chromosomes and the names of reasons.
+    gap = F.col("chrom").isin("chr13", "chr14", "chr15", "chr21", "chr22") & (f("gap_centromere_telomere") >= 0.5)
+    repeat = F.col("chrom").isin("chr9", "chr16") & (f("segmental_duplication") >= 0.35)
+    alike = F.when(F.col("chrom").isin("chrX", "chrY"), F.greatest(f("par"), f("xtr"), f("sex_homology"), f("ambiguous_alignment"))).otherwise(0.0)
+    want = F.when(gap | (alike >= 0.5), "hard").when(repeat | (alike >= 0.1), "dynamic")
+    why = F.when(gap, "branch_b_hotspot:acrocentric_gap").when(alike >= 0.1, "branch_b_hotspot:xy_homology").otherwise("branch_b_hotspot:repeat_hotspot")
+    rank = lambda x: F.when(x == "hard", 3).when(x == "dynamic", 2).when(x == "soft", 1).otherwise(0)
+    df = bins.withColumn("__up", F.coalesce(rank(want) > rank(F.col("mask_label")), F.lit(False)))
+    df = df.withColumn("mask_reason", F.when(F.col("__up"), F.concat_ws(";", F.nullif(F.coalesce("mask_reason", F.lit("")), F.lit("")), why)).otherwise(F.col("mask_reason")))
+    return df.withColumn("mask_label", F.when(F.col("__up"), want).otherwise(F.coalesce("mask_label", F.lit("pass")))).drop("__up")

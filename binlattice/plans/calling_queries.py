@@ -118,7 +118,7 @@ def k2_calibrate_bins(spark, sf):
 
 SU = f"""{NU}, ac AS (SELECT *, z - avg(z) OVER (PARTITION BY sample_id, chrom) AS d, count(*) OVER (PARTITION BY sample_id, chrom) AS nn FROM k4),
   al2 AS (SELECT *, d * lag(d, CAST(k AS INT)) OVER (PARTITION BY sample_id, chrom, k ORDER BY bin_index) AS dd FROM ac, range(1, 6) t(k)), ap AS (SELECT sample_id, chrom, k, nn, sum(dd) AS dd, avg(d * d) AS v FROM al2 GROUP BY ALL),
-  rho AS (SELECT sample_id, k, greatest(-0.95, least(0.95, avg(dd / ((nn - k) * v)))) AS rho FROM ap WHERE nn >= 3 AND v > 0 AND nn > k GROUP BY sample_id, k),
+  rho AS (SELECT sample_id, k, greatest(-0.95, least(0.95, avg(dd / ((nn - k) * v)))) AS rho FROM ap WHERE nn >= 3 AND v > 1e-20 AND nn > k GROUP BY sample_id, k),
   eb AS (SELECT e.event_id, b.*, (z - null_median) / null_scale AS cz FROM ev e JOIN sc b ON b.sample_id = e.sample_id AND b.chrom = e.chrom AND b.bin_index BETWEEN start_bin AND end_bin JOIN nu ON nu.sample_id = b.sample_id),
   s1 AS (SELECT event_id, sample_id, count(*) AS n, sum(greatest(cw, 0.1) * cz) / sqrt(sum(greatest(cw, 0.1) ** 2)) AS ewz, sum(greatest(cw, 0.1)) ** 2 / sum(greatest(cw, 0.1) ** 2) AS ess, {', '.join(f"sum(CASE WHEN cls = '{k}' THEN greatest(cw, 0.1) ELSE 0 END) / sum(greatest(cw, 0.1)) AS f_{k}" for k in ('clean', 'moderate', 'high'))},
     sum(risk * greatest(cw, 0.1)) / sum(greatest(cw, 0.1)) AS rmean, max(risk) AS rmax, CAST(arg_min(cls, bin_index) <> arg_max(cls, bin_index) AND bool_or(cls = 'clean') AND bool_or(cls = 'high') AS INT) AS crossing, {', '.join(f'avg({c}) AS {c}' for c in a.OVERLAPS)} FROM eb GROUP BY ALL),

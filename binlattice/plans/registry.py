@@ -111,7 +111,7 @@ def n6_weighted_stats(spark, sf):
 _RHO = f"""{NORM}, cen AS (SELECT *, x - avg(x) OVER (PARTITION BY sample_id, chrom) AS d, count(*) OVER (PARTITION BY sample_id, chrom) AS n FROM norm),
   lags AS (SELECT *, k AS lag_no, d * lag(d, CAST(k AS INT)) OVER (PARTITION BY sample_id, chrom, k ORDER BY bin_index) AS dd FROM cen, range(1, 6) t(k)),
   per AS (SELECT sample_id, chrom, lag_no, n, sum(dd) AS dd, avg(d * d) AS v FROM lags GROUP BY ALL),
-  rho AS (SELECT sample_id, CAST(lag_no AS INT) AS lag, greatest(-0.95, least(0.95, avg(dd / ((n - lag_no) * v)))) AS rho FROM per WHERE n >= 3 AND v > 0 AND n > lag_no GROUP BY sample_id, lag_no)"""
+  rho AS (SELECT sample_id, CAST(lag_no AS INT) AS lag, greatest(-0.95, least(0.95, avg(dd / ((n - lag_no) * v)))) AS rho FROM per WHERE n >= 3 AND v > 1e-20 AND n > lag_no GROUP BY sample_id, lag_no)"""
 
 
 @query(f"WITH {_RHO} SELECT sample_id, lag, round(rho, 6) AS rho FROM rho")
@@ -163,7 +163,7 @@ def n15_two_sided_p(spark, sf):
     return r6(a.scored(spark, sf).select("sample_id", "chrom", "bin_index", stats.two_sided_p("robust_z").alias("p_value")))
 
 
-@query(f"""WITH {NORM}, {COMP.split(', ', 1)[1] if False else COMP[len(GRID) + 2:]}, j AS (SELECT n.sample_id, n.x AS y, (n_g + n_c) / nullif(n_a + n_c + n_g + n_t, 0) AS g FROM norm n JOIN comp c USING (chrom, bin_index)),
+@query(f"""WITH {NORM}, {COMP[len(GRID) + 2:]}, j AS (SELECT n.sample_id, n.x AS y, (n_g + n_c) / nullif(n_a + n_c + n_g + n_t, 0) AS g FROM norm n JOIN comp c USING (chrom, bin_index)),
   k AS (SELECT *, rank() OVER (PARTITION BY sample_id ORDER BY g) + (count(*) OVER (PARTITION BY sample_id, g) - 1) / 2 AS rg, rank() OVER (PARTITION BY sample_id ORDER BY y) + (count(*) OVER (PARTITION BY sample_id, y) - 1) / 2 AS ry FROM j WHERE g IS NOT NULL)
   SELECT sample_id, round(avg(g), 6) AS mean_x, round(corr(g, y), 6) AS pearson, round(corr(rg, ry), 6) AS spearman, round(regr_slope(y, g), 6) AS slope FROM k GROUP BY ALL HAVING count(*) >= 3""")
 def g4_gc_bias(spark, sf):
@@ -294,7 +294,7 @@ def q22_input_qc(spark, sf):
 
 
 _M1 = f"{_LOO}, m1 AS (SELECT chrom, bin_index, avg(CAST(abs((v - ref_median) / ref_sigma) > 3 AS INT)) AS zf, median(abs((v - ref_median) / ref_sigma)) AS mz, count(*) AS n_samples FROM loo GROUP BY ALL)"
-_MASK = f"""{_M1}, {ANN[len(GRID) + 2:]}, mask AS (SELECT ann.*, CASE WHEN n_fraction >= 0.003 * 0 + 0.2 THEN 'hard' WHEN coalesce(gc_fraction, 0.5) < 0.2 OR coalesce(gc_fraction, 0.5) > 0.8 THEN 'soft' WHEN zf >= 0.05 OR mz >= 1.5 THEN 'dynamic' ELSE 'pass' END AS mask_label, zf, mz FROM ann LEFT JOIN m1 USING (chrom, bin_index))""".replace("0.003 * 0 + ", "")
+_MASK = f"""{_M1}, {ANN[len(GRID) + 2:]}, mask AS (SELECT ann.*, CASE WHEN n_fraction >= 0.2 THEN 'hard' WHEN coalesce(gc_fraction, 0.5) < 0.2 OR coalesce(gc_fraction, 0.5) > 0.8 THEN 'soft' WHEN zf >= 0.05 OR mz >= 1.5 THEN 'dynamic' ELSE 'pass' END AS mask_label, zf, mz FROM ann LEFT JOIN m1 USING (chrom, bin_index))"""
 
 
 @query(f"WITH {_M1} SELECT chrom, bin_index, round(zf, 6) AS z_frac_over_3, round(mz, 6) AS median_abs_z, n_samples FROM m1")
@@ -401,3 +401,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 from binlattice.plans import calling_queries  # noqa: E402, F401  registers its queries
+from binlattice.plans import table_queries  # noqa: E402, F401  registers its queries
