@@ -400,5 +400,5 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
-from binlattice.plans import calling_queries, cohort_queries  # noqa: E402, F401  register their queries
+from binlattice.plans import calling_queries, cohort_queries, report_queries  # noqa: E402, F401  register their queries
 from binlattice.plans import table_queries  # noqa: E402, F401  registers its queries
