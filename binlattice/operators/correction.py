@@ -18,12 +18,18 @@ from pyspark.sql import functions as F
 from binlattice.functions.stats import clean, over
 from binlattice.operators.qc import AUTOSOME
 
-BLOCK = 256
+CELLS = 1 << 20  # numbers of a block's rows by neighbours
 FLAT = 1e-14  # weighted spread of x below which a local line has no slope
 
 
-def _blocks(n: int) -> Iterator[slice]:
-    return (slice(i, min(i + BLOCK, n)) for i in range(0, n, BLOCK))
+def _blocks(n: int, width: int) -> Iterator[slice]:
+    step = max(1, CELLS // max(width, 1))
+    return (slice(i, min(i + step, n)) for i in range(0, n, step))
+
+
+def _tricube(u: np.ndarray) -> np.ndarray:
+    v = 1 - u * u * u
+    return v * v * v
 
 
 def _line_at_zero(dx: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -52,11 +58,11 @@ def smooth_positions(x: np.ndarray, y: np.ndarray, frac: float, robust_iters: in
     start = np.maximum(0, right - full)
     robust, fit = np.ones(n), np.empty(n)
     for turn in range(robust_iters + 1):
-        for rows in _blocks(n):
+        for rows in _blocks(n, size):
             at = start[rows, None] + np.arange(size)
             dx = x[at] - x[rows, None]
             reach = np.abs(dx).max(1, keepdims=True)
-            w = (1 - (np.abs(dx) / np.where(reach > 0, reach, 1)) ** 3) ** 3 * robust[at]
+            w = _tricube(np.abs(dx) / np.where(reach > 0, reach, 1)) * robust[at]
             fit[rows] = np.where(reach[:, 0] > 0, _line_at_zero(dx, y[at], w), y[at].mean(1))
         if turn < robust_iters:
             residual = y - fit
@@ -123,23 +129,28 @@ def apply_gc_correction(bins: DataFrame, value: str, gc: str, method: str, order
 
 
 def _planes(train: np.ndarray, y: np.ndarray, w: np.ndarray, query: np.ndarray, frac: float) -> np.ndarray:
-    """Height at each query of the weighted plane through its nearest training points."""
+    """Height at each query of the weighted plane through its nearest training points, from weighted sums of products."""
     n = len(train)
     k = min(n, max(25, min(n, math.ceil(max(frac, 0.01) * n))))
     out = np.empty(len(query))
     fallback = np.average(y, weights=np.maximum(w, 1e-6))
-    for rows in _blocks(len(query)):
-        d = train[None] - query[rows, None]
-        far = np.sqrt((d * d).sum(2))
+    a, b = train.T
+    terms = np.column_stack([np.ones(n), a, b, a * a, a * b, b * b, y, a * y, b * y])
+    for rows in _blocks(len(query), n):
+        p, q = query[rows].T
+        far = np.hypot(a - p[:, None], b - q[:, None])
         radius = np.partition(far, k - 1, axis=1)[:, k - 1 : k]
-        nearest = np.where(far > 0, far, np.inf).min(1, keepdims=True)
-        radius = np.where(radius > 0, radius, np.where(np.isfinite(nearest), nearest, 1.0))
-        kernel = np.where(far < radius, (1 - np.minimum(far / radius, 1) ** 3) ** 3, 0.0) * w
-        design = np.concatenate([np.ones((*far.shape, 1)), d], axis=2)
-        left = np.einsum("qni,qn,qnj->qij", design, kernel, design, optimize=True)
-        right = np.einsum("qni,qn,n->qi", design, kernel, y, optimize=True)
-        heights = np.einsum("qij,qj->qi", np.linalg.pinv(left, rcond=1e-13, hermitian=True), right)[:, 0]
-        out[rows] = np.where(kernel.any(1), heights, fallback)
+        for i in np.flatnonzero(radius[:, 0] <= 0):
+            radius[i] = far[i][far[i] > 0].min() if (far[i] > 0).any() else 1.0
+        kernel = _tricube(np.minimum(far / radius, 1)) * w
+        s, sa, sb, saa, sab, sbb, sy, say, sby = (kernel @ terms).T
+        # Sums around the query instead of the origin.
+        da, db = sa - p * s, sb - q * s
+        daa, dab, dbb = saa - 2 * p * sa + p * p * s, sab - p * sb - q * sa + p * q * s, sbb - 2 * q * sb + q * q * s
+        left = np.stack([s, da, db, da, daa, dab, db, dab, dbb], axis=1).reshape(-1, 3, 3)
+        right = np.stack([sy, say - p * sy, sby - q * sy], axis=1)
+        heights = np.einsum("qj,qj->q", np.linalg.pinv(left, rcond=1e-12, hermitian=True)[:, 0], right)
+        out[rows] = np.where(s > 0, heights, fallback)
     return out
 
 

@@ -55,7 +55,9 @@ def g3_apply_gc_correction(spark, sf):
 
 
 def _corrected(spark, sf):
-    return correction.correct_signal_2d(a.calling_bins(spark, sf), min_valid=20)
+    """Corrected bins; all but hard ones may be fitted, since in these tables composition leaves hardly a bin fit by risk."""
+    open_ = a.calling_bins(spark, sf).withColumn("correction_fit_eligible", (F.col("mask_label") != "hard").cast("int"))
+    return correction.correct_signal_2d(open_, min_valid=100, labels=("pass", "soft", "dynamic"))
 
 
 @query(None)

@@ -92,6 +92,29 @@ def test_loess_2d():
     assert np.allclose(correction.loess_2d(train, y, base, query), plain_surface(train, y, base, query, 0.2, 2), atol=1e-6)
 
 
+def test_correct_signal_2d(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for s, n in (("big", 240), ("small", 30)):
+        for i in range(n):
+            chrom = "chrX" if i % 12 == 0 else f"chr{i % 3 + 1}"
+            gc = None if i == 7 else float(rng.random())
+            rows.append((s, chrom, i, float(3 + (gc or 0) ** 2 + rng.normal(0, 0.05)), gc, float(rng.random()), float(1 + rng.random()), 0.1 if i % 5 else 1.0, "dynamic" if i % 17 == 0 else "pass", int(i % 13 > 0)))
+    names = "sample_id string, chrom string, bin_index int, normalized_signal double, gc_fraction double, mappability_score double, bin_weight double, region_risk_weight double, mask_label string, correction_fit_eligible int"
+    got = {(r["sample_id"], r["bin_index"]): r for r in correction.correct_signal_2d(spark.createDataFrame(rows, names), min_valid=100).collect()}
+    assert len(got) == 270
+    small = [r for (s, _), r in got.items() if s == "small"]
+    assert all(r["correction_applied"] == 0 and r["signal_for_calling"] == r["normalized_signal"] and r["correction_residual"] == 0 for r in small)
+    big = sorted((r for r in rows if r[0] == "big"), key=lambda r: (r[1], r[2]))
+    fit = np.array([r[1] != "chrX" and r[4] is not None and r[8] == "pass" and r[9] == 1 for r in big])
+    raw = np.array([[np.nan if r[4] is None else r[4], r[5]] for r in big])
+    z = np.nan_to_num((raw - np.median(raw[fit], axis=0)) / raw[fit].std(axis=0))
+    y, w = np.array([r[3] for r in big]), np.maximum(np.array([r[6] * r[7] for r in big]), 0.25)
+    want = plain_surface(z[fit], y[fit], w[fit], z, 0.2, 2)
+    assert np.allclose([got[r[0], r[2]]["correction_expected_signal"] for r in big], want, atol=1e-6)
+    assert np.allclose([got[r[0], r[2]]["signal_for_calling"] for r in big], y - want + np.median(y[fit]), atol=1e-6)
+
+
 def matrix(n, bins, seed=0, odd=()):
     rng = np.random.default_rng(seed)
     shape, load = rng.gamma(4, 20, bins), rng.normal(size=(2, bins))
