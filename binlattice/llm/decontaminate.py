@@ -78,13 +78,14 @@ def similarity(a: Column, b: Column) -> Column:
     return let(a, lambda x: let(b, lambda y: of(x, y)))
 
 
-def _anchors(sh: Column, threshold: float) -> Column:
-    """So many distinct shingles of an item that a window as similar as ``threshold`` has at least one of them.
+def _anchors(sh: Column, missing: float) -> Column:
+    """So many distinct shingles of an item that a window missing at most the share ``missing`` of them has at least one.
 
-    Window and item have the same number m of shingles. With e of the item's missing, similarity is (m - e) / (m + e)
-    at most, so a similar window misses at most m * (1 - threshold) / (1 + threshold).
+    A window of the item's length has the same number m of shingles. With e of the item's missing, similarity is
+    (m - e) / (m + e) at most, so a similar window misses at most m * (1 - threshold) / (1 + threshold). A shorter one
+    may have no others, which gives (m - e) / m, so it misses at most m * (1 - threshold).
     """
-    most = F.floor(F.size(sh) * (1 - threshold) / (1 + threshold) + 1e-9) + 1
+    most = F.floor(F.size(sh) * missing + 1e-9) + 1
     return let(
         F.array_distinct(sh),
         lambda d: let(F.least(F.size(d), most), lambda m: F.transform(F.sequence(F.lit(0).cast("bigint"), m - 1), lambda j: F.get(d, F.floor(j * F.size(d) / m).cast("int")))),
@@ -104,7 +105,8 @@ def _blocks(fp: Column) -> Column:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, batch_anchors: int = 100_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, mark, item_id, similarity, start_word, n_words): documents holding a window like a benchmark item.
 
-    A window is as long, in words, as the item. Its SimHash is compared with
+    A window is as long, in words, as the item; a document shorter than the item
+    is one window for it. Its SimHash is compared with
     those of the items of that length: 8 blocks of 8 bits, in one of which two
     fingerprints within RADIUS = 23 bits differ by at most 2, so an equi-join on
     (length, block, value) finds all of them. Weighted Jaccard similarity of the
@@ -120,24 +122,27 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, ba
     window. ``mark`` is the hash of the text, which tells documents with the same id apart.
 
     Defined cases: null and empty texts hold nothing; items without words match
-    nothing; items under 5 words are one shingle, matched as a whole; equal items
+    nothing; items under 5 words are one shingle, matched as a whole; a document
+    shorter than an item is compared as a whole, n_words being its own words; equal items
     are each reported; a null id is reported as null; rows equal in id and text
     are reported once; other columns aren't used.
     """
+    # for documents shorter than the item; where not a shingle may be missing, none of them is similar
+    few = F.when(F.size("sh") * (1 - threshold) >= 1 - 1e-9, _anchors(F.col("sh"), 1 - threshold)).otherwise(F.array().cast("array<bigint>"))
     items = cut(
         benchmark.select("item_id", words(F.col("text")).alias("item_words"))
         .where(F.size("item_words") > 0)
         .withColumn("n", F.size("item_words"))
         .withColumn("sh", _shingles(F.col("item_words")))
-        .select("item_id", "item_words", "n", F.col("sh").alias("item_sh"), simhash(F.col("sh")).alias("item_fp"), _anchors(F.col("sh"), threshold).alias("anchors"))
+        .select("item_id", "item_words", "n", F.col("sh").alias("item_sh"), simhash(F.col("sh")).alias("item_fp"), _anchors(F.col("sh"), (1 - threshold) / (1 + threshold)).alias("anchors"), few.alias("few_anchors"))
         .withColumn("item_no", F.xxhash64("item_id", "item_words")),
         "items",
     )
-    held = items.agg(F.sum(F.size("anchors")).alias("anchors"), F.max("n").alias("longest")).first()
+    held = items.agg(F.sum(F.size("anchors") + F.size("few_anchors")).alias("anchors"), F.max("n").alias("longest")).first()
     doc, mark = row_key(docs, id_col, text_col)
     base = docs.select(doc.alias("doc"), mark.alias("mark"), words(F.col(text_col)).alias("w"))
     batches = max(1, -(-(held.anchors or 0) // batch_anchors))
-    found = [_windows(base, items.where(F.pmod("item_no", F.lit(batches)) == b), held.longest or 1) for b in range(batches)]
+    found = [_windows(base, items.where(F.pmod("item_no", F.lit(batches)) == b), held.longest or 1, threshold) for b in range(batches)]
     windows = cut(reduce(DataFrame.unionAll, found), "windows")
 
     prints = windows.select("n", "fp").distinct().select("n", "fp", F.posexplode(_blocks(F.col("fp"))).alias("block", "value"))
@@ -151,11 +156,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, ba
         .select("n", "fp", "item_id", "item_words", "item_sh")
     )
     # no more shingles are common than the window has hashes among the item's: this spares most pairs the exact sum
-    enough = lambda c: c >= threshold * (2 * F.size("item_sh") - c) - 1e-9
-    hopeful = let(_shingles(F.col("w")), lambda sh: let(F.size(F.filter(sh, lambda h: F.array_contains("item_sh", h))), enough))
+    enough = lambda c, n: c >= threshold * (n + F.size("item_sh") - c) - 1e-9
+    hopeful = let(_shingles(F.col("w")), lambda sh: let(F.size(F.filter(sh, lambda h: F.array_contains("item_sh", h))), lambda c: enough(c, F.size(sh))))
     near = cut(windows.join(candidates, ["n", "fp"]).where(hopeful), "near-windows")
     scored = near.withColumn("similarity", similarity(_texts(F.col("w")), _texts(F.col("item_words"))))
-    best = F.max(F.struct("similarity", (-F.col("start")).alias("rank")))
+    best = F.max(F.struct("similarity", (-F.col("start")).alias("rank"), F.size("w").alias("n_words")))
     return (
         scored.where(F.col("similarity") >= threshold - 1e-9)
         .groupBy("doc", "mark", "item_id", "n")
@@ -166,29 +171,41 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, ba
             "item_id",
             F.col("best.similarity").alias("similarity"),
             (-F.col("best.rank")).cast("bigint").alias("start_word"),
-            F.col("n").cast("bigint").alias("n_words"),
+            F.col("best.n_words").cast("bigint").alias("n_words"),
         )
     )
 
 
-def _windows(base: DataFrame, items: DataFrame, longest: int) -> DataFrame:
-    """(doc, mark, start, n, w, fp): all windows of items' lengths around the anchors of these items."""
-    anchors = items.select(F.explode("anchors").alias("h"), "n").distinct()
-    known = [(r.h, min(r.n, SHINGLE)) for r in anchors.select("h", "n").collect()]  # at most a batch
-    sets = {k: sorted({h for h, size in known if size == k}) for k in range(1, SHINGLE + 1)}
+def _windows(base: DataFrame, items: DataFrame, longest: int, threshold: float) -> DataFrame:
+    """(doc, mark, start, n, w, fp): all windows of items' lengths around the anchors of these items.
+
+    ``n`` is the item's length; a document of fewer words is one window, if it has shingles enough to be similar.
+    """
+    anchors = items.select(F.explode("anchors").alias("h"), "n", F.lit(False).alias("few")).union(items.select(F.explode("few_anchors"), "n", F.lit(True))).distinct()
+    known = [(r.h, min(r.n, SHINGLE), r.few) for r in anchors.collect()]  # at most a batch
+    sets = {k: sorted({h for h, size, few in known if size == k and not few}) for k in range(1, SHINGLE + 1)}
     # the lowest long has no literal of its own
-    arrays = [(k, ",".join(f"{h}L" if h > LONG_MIN else f"({h + 1}L - 1L)" for h in own)) for k, own in sets.items() if own] or [(SHINGLE, "null")]
+    listed = lambda own: ",".join(f"{h}L" if h > LONG_MIN else f"({h + 1}L - 1L)" for h in own) or "null"
+    arrays = [(k, f"h IN ({listed(own)})") for k, own in sets.items() if own] or [(SHINGLE, "false")]
+    # only items of more than SHINGLE words have these, and only documents shorter than the longest item are asked for them
+    more = sorted({h for h, _, few in known if few} - set(sets[SHINGLE]))
+    if more:
+        arrays = [(k, f"{test} OR (size(w) < {longest} AND h IN ({listed(more)}))" if k == SHINGLE else test) for k, test in arrays]
     hashes = let(F.transform(F.col("w"), lambda w: F.xxhash64(w)), lambda wh: F.struct(*[windows_hash(wh, k).alias(f"hs{k}") for k, _ in arrays]))
     with_hits = base.withColumn("hs", hashes).select("doc", "mark", "w", "hs.*")
-    found = F.concat(*[F.expr(f"array_compact(transform(hs{k}, (h, i) -> if(h IN ({literal}), named_struct('p', i, 'h', h, 'k', {k}), null)))") for k, literal in arrays])
+    found = F.concat(*[F.expr(f"array_compact(transform(hs{k}, (h, i) -> if({test}, named_struct('p', i, 'h', h, 'k', {k}), null)))") for k, test in arrays])
     first = lambda x: F.greatest(F.lit(0), x["p"] - longest)
     around = with_hits.select(
         "doc",
         "mark",
+        F.size("w").alias("words"),
         F.inline(F.transform(found, lambda x: F.struct(x["p"].alias("p"), x["h"].alias("h"), x["k"].alias("k"), first(x).alias("from"), F.slice("w", first(x) + 1, x["p"] - first(x) + longest).alias("near")))),
     )
-    starts = F.sequence(F.greatest(F.lit(0), F.col("p") - (F.col("n") - F.col("k"))), F.least(F.col("p"), F.col("from") + F.size("near") - F.col("n")))
-    fits = (F.col("from") + F.size("near") - F.col("n") >= F.greatest(F.lit(0), F.col("p") - (F.col("n") - F.col("k")))) & (F.least("n", F.lit(SHINGLE)) == F.col("k"))
+    short = F.col("words") < F.col("n")
+    starts = F.when(short, F.array(F.lit(0))).otherwise(F.sequence(F.greatest(F.lit(0), F.col("p") - (F.col("n") - F.col("k"))), F.least(F.col("p"), F.col("from") + F.size("near") - F.col("n"))))
+    inside = F.col("from") + F.size("near") - F.col("n") >= F.greatest(F.lit(0), F.col("p") - (F.col("n") - F.col("k")))
+    alike = F.col("words") - (SHINGLE - 1) >= threshold * (F.col("n") - (SHINGLE - 1)) - 1e-9  # ``near`` is then the whole document
+    fits = (F.col("few") == short) & F.when(short, alike).otherwise(inside) & (F.least("n", F.lit(SHINGLE)) == F.col("k"))
     return (
         around.join(anchors, "h")
         .where(fits)

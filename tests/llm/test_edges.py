@@ -110,6 +110,35 @@ def test_decontamination(spark, docs, nothing, rows):
     assert decontaminate.find_leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_of_documents_shorter_than_the_item(spark):
+    rng = random.Random(8)
+    new = lambda n: ["".join(rng.choices("abcdefghij", k=8)) for _ in range(n)]
+    items = {i: new(n) for i, n in enumerate((57, 15, 29, 9, 8, 5, 300))}
+    docs = {}
+    for i, ws in items.items():
+        for lost in range(1, len(ws) // 4 + 2):
+            docs[(i, lost, "end")] = ws[:-lost]
+            docs[(i, lost, "start")] = ws[lost:]
+            docs[(i, lost, "swap")] = [*ws[: len(ws) // 2], "other", *ws[len(ws) // 2 + 1 : -lost]]
+    want = set()
+    for n, ws in enumerate(docs.values()):
+        for i, item in items.items():
+            grams = lambda w: Counter(tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4)))
+            windows = [ws[j : j + len(item)] for j in range(len(ws) - len(item) + 1)] or [ws]
+            best = max((grams(w) & grams(item)).total() / (grams(w) | grams(item)).total() for w in windows)
+            if best >= 0.8 - 1e-9:
+                want.add((n, i, min(len(ws), len(item)), round(best, 9)))
+    table = spark.createDataFrame([(n, " ".join(ws)) for n, ws in enumerate(docs.values())], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(i, " ".join(ws)) for i, ws in items.items()], "item_id bigint, text string")
+    found = decontaminate.find_leaks(table, bench).collect()
+    assert {(r.doc_id, r.item_id, r.n_words, round(r.similarity, 9)) for r in found} == want
+    numbers = {key: n for n, key in enumerate(docs)}
+    assert {(numbers[(0, 5, "end")], 0), (numbers[(1, 2, "end")], 1)} <= {w[:2] for w in want}
+    gone = {w[0] for w in want}
+    assert {r.doc_id for r in decontaminate.remove_leaks(table, bench).collect()} == set(range(len(docs))) - gone
+    assert len({(r.doc_id, r.item_id) for r in decontaminate.find_leaks(table, bench, batch_anchors=100).collect()}) == len(want)
+
+
 def test_simhash_lanes(spark):
     rng = random.Random(1)
     values = [[rng.getrandbits(64) - 2**63 for _ in range(n)] for n in (1, 2, 3, 50)]
