@@ -6,6 +6,7 @@ from pyspark.errors import PySparkException
 
 from binlattice.operators import classifier
 from binlattice.operators import sample_report as sr
+from binlattice.plans import table_queries
 
 
 def test_rank_refuses_repeated_samples(spark):
@@ -47,6 +48,14 @@ def test_diagnoses(spark):
     assert got == {"dna": sr.DIAGNOSES["dna"], "dup": sr.DIAGNOSES["library"], "noise": sr.DIAGNOSES["noise"], "gone": sr.DIAGNOSES["library"]}
 
 
+def test_natural_places_number_all_rows_by_ranges(spark):
+    names = [f"{'ab'[i % 2]}-{i * 7919 % 3001}" for i in range(3000)] + [None, ""]
+    out = table_queries.natural_places(spark.createDataFrame([(i, n) for i, n in enumerate(names)], "id int, name string").repartition(5)).collect()
+    want = sorted((n for n in names if n), key=lambda n: (n[0], int(n[2:])))
+    assert [r["name"] for r in sorted(out, key=lambda r: r["place"])] == [None, "", *want]
+    assert sorted(r["place"] for r in out) == list(range(1, len(names) + 1))
+
+
 def test_top_external_event(spark):
     events = spark.createDataFrame([("a", "1", 10, 20, "gain", 3.0), ("a", "2", 10, 30, "loss", -3.0)], "sample_id string, chrom string, start_pos bigint, end_pos bigint, kind string, zscore double")
     samples = spark.createDataFrame([("a",), ("b",)], "sample_id string")
