@@ -76,12 +76,14 @@ def diagnose_failed_samples(metrics: DataFrame) -> DataFrame:
     PASS where there is none. A missing value is never high; a missing rate is never good.
     """
     stable = F.coalesce(F.col("stable_retained").cast("int"), F.lit(0)) == 1
-    any_stable = F.max(stable.cast("int")).over(over(["__all"])) == 1  # one row a sample
-    marked = metrics.withColumn("__all", F.lit(0)).withColumn("__in", F.when(any_stable, stable).otherwise(F.col("worst_decision") == "PASS"))
-    for c in ("insert_peak", "duplication_rate"):
-        own = F.when(F.col("__in"), F.col(c))
-        marked = marked.withColumn(f"__m_{c}", F.median(own).over(over(["__all"])))
-        marked = marked.withColumn(f"__d_{c}", F.median(F.abs(own - F.col(f"__m_{c}"))).over(over(["__all"])))
+    passed = F.col("worst_decision") == "PASS"
+    held = ("insert_peak", "duplication_rate")
+    # one row each for the cohort
+    middles = metrics.agg((F.max(stable.cast("int")) == 1).alias("__any"), *[F.median(F.when(group, F.col(c))).alias(f"__{k}_{c}") for c in held for k, group in (("s", stable), ("p", passed))])
+    middles = middles.select("__any", *[F.when(F.col("__any"), F.col(f"__s_{c}")).otherwise(F.col(f"__p_{c}")).alias(f"__m_{c}") for c in held])
+    marked = metrics.crossJoin(F.broadcast(middles)).withColumn("__in", F.when(F.col("__any"), stable).otherwise(passed))
+    spreads = marked.agg(*[F.median(F.when(F.col("__in"), F.abs(F.col(c) - F.col(f"__m_{c}")))).alias(f"__d_{c}") for c in held])
+    marked = marked.crossJoin(F.broadcast(spreads))
     yes = lambda c: F.coalesce(c, F.lit(False))
     dup = yes(F.col("duplication_rate") - F.col("__m_duplication_rate") > F.greatest(F.lit(0.01), 3 * F.col("__d_duplication_rate")))
     insert = yes(F.abs(F.col("insert_peak") - F.col("__m_insert_peak")) > F.greatest(F.lit(25.0), 3 * F.col("__d_insert_peak")))

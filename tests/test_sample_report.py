@@ -48,6 +48,15 @@ def test_diagnoses(spark):
     assert got == {"dna": sr.DIAGNOSES["dna"], "dup": sr.DIAGNOSES["library"], "noise": sr.DIAGNOSES["noise"], "gone": sr.DIAGNOSES["library"]}
 
 
+def test_diagnoses_take_no_window_over_all_samples(spark):
+    columns = "sample_id string, worst_decision string, stable_retained int, insert_peak double, duplication_rate double, max_chr_fraction_dev_z double, max_chrom_abs_median_z double, mapping_rate double, proper_pair_rate double, broad_noise_fraction double"
+    good = [(f"p{i}", "PASS", None, 170.0 + i, 0.1, 1.0, 0.5, 0.99, 0.97, 0.1) for i in range(5)]
+    table = spark.createDataFrame([*good, ("dup", "FAIL", None, 172.0, 0.2, 1.0, 0.5, 0.99, 0.97, 0.1), ("far", "WARN", 0, 210.0, 0.1, 1.0, 0.5, 0.99, 0.97, 0.1)], columns)
+    out = sr.diagnose_failed_samples(table)
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["sample_id"]: r["diagnosis"] for r in out.collect()} == {"dup": sr.DIAGNOSES["library"], "far": sr.DIAGNOSES["library"]}
+
+
 def test_natural_places_number_all_rows_by_ranges(spark):
     names = [f"{'ab'[i % 2]}-{i * 7919 % 3001}" for i in range(3000)] + [None, ""]
     out = table_queries.natural_places(spark.createDataFrame([(i, n) for i, n in enumerate(names)], "id int, name string").repartition(5)).collect()
