@@ -7,8 +7,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-_BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15 | 1, -1, 1 << 64))
+_FACTOR = 0x9E3779B97F4A7C15 | 1
+_BASE = np.uint64(_FACTOR)
+_BASE_INVERSE = np.uint64(pow(_FACTOR, -1, 1 << 64))
 _powers = np.ones(1, np.uint64)
 _inverses = np.ones(1, np.uint64)
 
@@ -58,24 +59,55 @@ def chunks(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, n
         at = end
 
 
-def run_hashes(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each run of bytes of one class other than 0, index of the first run of each row and the end)."""
-    n = len(data)
-    if not n:
+#: Bytes that are hashed at a time.
+PIECE = 1 << 20
+
+
+def run_hashes(data: np.ndarray, offsets: np.ndarray, classes: np.ndarray, piece: int = PIECE) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each run of bytes of one class other than 0, index of the first run of each row and the end).
+
+    Works on ``piece`` bytes at a time, and a run that goes on in the next piece is carried over, so that a
+    very long text takes memory for its runs but not many times its bytes.
+    """
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    carried: tuple[int, int, int, int] | None = None  # kind, start, sum, length of the run that is still open
+    for at in range(0, len(data), piece):
+        kind, starts, sums, lengths = _runs(data[at : at + piece], offsets, at, classes)
+        if carried and starts[0] == at and kind[0] == carried[0] and offsets[np.searchsorted(offsets, at)] != at:
+            _, start, before, n = carried
+            starts[0], lengths[0] = start, lengths[0] + n
+            sums[0] = np.uint64((before + int(sums[0]) * pow(_FACTOR, n, 1 << 64)) % (1 << 64))
+        elif carried:
+            starts, kind = np.append(np.int64(carried[1]), starts), np.append(np.uint8(carried[0]), kind)
+            sums, lengths = np.append(np.uint64(carried[2]), sums), np.append(np.int64(carried[3]), lengths)
+        carried = (int(kind[-1]), int(starts[-1]), int(sums[-1]), int(lengths[-1]))
+        starts, kind, sums, lengths = starts[:-1], kind[:-1], sums[:-1], lengths[:-1]
+        if at + piece >= len(data):
+            starts, kind = np.append(starts, np.int64(carried[1])), np.append(kind, np.uint8(carried[0]))
+            sums, lengths = np.append(sums, np.uint64(carried[2])), np.append(lengths, np.int64(carried[3]))
+        inside = kind != 0
+        found.append((starts[inside], mix(sums[inside] + lengths[inside].astype(np.uint64))))
+    if not found:
         return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
+    starts = np.concatenate([s for s, _ in found])
+    return np.concatenate([h for _, h in found]), np.searchsorted(starts, offsets)
+
+
+def _runs(data: np.ndarray, offsets: np.ndarray, at: int, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(class, start, polynomial sum, length) of the runs of a piece that begins at byte ``at``."""
+    n = len(data)
     kind = classes[data]
     edge = np.empty(n, bool)
     edge[0] = True
     np.not_equal(kind[1:], kind[:-1], out=edge[1:])
-    edge[offsets[:-1][offsets[:-1] < n]] = True
+    rows = offsets[np.searchsorted(offsets, at) : np.searchsorted(offsets, at + n)] - at
+    edge[rows] = True
     starts = np.flatnonzero(edge)
     ends = np.append(starts[1:], n)
-    inside = kind[starts] != 0
-    starts, ends = starts[inside], ends[inside]
     _grown(n + 1)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers[:n], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * _inverses[starts] + (ends - starts).astype(np.uint64)), np.searchsorted(starts, offsets)
+    return kind[starts], starts + at, (sums[ends] - sums[starts]) * _inverses[starts], ends - starts
 
 
 def ngrams(words: np.ndarray, k: int) -> np.ndarray:

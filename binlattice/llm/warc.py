@@ -12,10 +12,11 @@ from urllib.parse import quote
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import LONG_MIN, cut
+from .sharding import MAX_BUCKETS, bucket_of, find_splitters
 
 #: Fixed values of the WARC 1.1 and HTTP formats.
 VERSION = b"WARC/1.1\r\n"
@@ -25,7 +26,7 @@ _NAMES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 
 @dataclass(frozen=True)
 class Params:
-    """shard_bytes: payload of a shard, which one task writes. file_bytes: compressed size from which a new file begins.
+    """shard_bytes: payload and headers of a shard, which one task writes as a stream. file_bytes: compressed size from which a new file begins.
     least_revisit: bytes a payload has at least to be stored once. date: of all records, so that archives depend on the rows only."""
 
     shard_bytes: int = 64 << 20
@@ -105,6 +106,8 @@ class _Roller:
             self.done.append({"shard": self.shard, "file": self.name, "temporary": self.temporary, "bytes": self.size, "sha256": self.digest.hexdigest(), "records": self.records})
 
 
+#: About what the headers of a record take.
+RECORD_BYTES = 600
 MANIFEST = "shard int, file string, temporary string, bytes bigint, sha256 string, records bigint"
 
 
@@ -140,30 +143,15 @@ def _commit_batches(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[
         yield batch
 
 
-def _splits(keys: DataFrame, n_shards: int, per_shard: int = 64) -> list[int]:
-    """Bounds of shards from the ids whose hashes fall in a fixed share: the rows alone decide them, not their partitions."""
-    total = keys.count()
-    share = max(1, total // (n_shards * per_shard))
-    some = sorted(r.page_id for r in keys.where(F.pmod(F.xxhash64("page_id"), F.lit(share)) == 0).select("page_id").limit(4 * n_shards * per_shard + 1000).collect()) if n_shards > 1 else []
-    return [some[len(some) * i // n_shards] for i in range(1, n_shards)] if some else []
-
-
-def _rank(bounds: list[int], value: Column) -> Column:
-    """How many of the ordered bounds are at or below the value, by binary search."""
-    if not bounds:
-        return F.lit(0)
-    ordered = F.array(*[F.lit(b).cast("bigint") for b in bounds])
-    steps = [1 << j for j in reversed(range(len(bounds).bit_length()))]
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda at, s: F.when((at + s <= len(bounds)) & (F.get(ordered, at + s - 1) <= value), at + s).otherwise(at))
-
-
 def write_archives(pages: DataFrame, folder: str, params: Params = Params()) -> DataFrame:
     """Write a record for every row of (page_id, url, html) to ``folder`` and return the manifest.
 
-    Rows are range-sorted by page_id into shards of about ``shard_bytes``; a task
+    Rows are range-sorted by page_id and digest into shards of about ``shard_bytes``, whose
+    bounds come from exact counts of bytes below candidate keys; a task
     writes a shard's records in order and begins a new file when the next record would
     take the compressed file over ``file_bytes``. Headers and digests are made
-    anew. The archives' bytes depend on the rows and parameters only.
+    anew. The archives' bytes depend on the rows and parameters only. Beyond
+    MAX_BUCKETS shards (4 TB with the default size) shards grow instead; a task streams them.
 
     Of rows with equal payloads of ``least_revisit`` bytes or more, those with the
     smallest page_id are responses and the others revisit it; which is found on ids and
@@ -177,23 +165,29 @@ def write_archives(pages: DataFrame, folder: str, params: Params = Params()) ->
     removed with the temporary folder.
 
     Defined cases: null html is an empty payload; rows with a null page_id come
-    first and are always responses; rows equal in id and payload are written each;
+    first and are always responses; rows that share an id are told apart, and may be
+    dealt to several shards, by their digests; rows equal in id and payload are written each, in one shard;
+    a task holds a few whole records, so a page may be as long as its memory allows;
     a url is percent-encoded where a header doesn't allow it, null or empty
     gives no target; no rows give an empty manifest; other columns aren't used.
     """
     html = F.coalesce(F.col("html"), F.lit(""))
     digest = F.sha2(html, 256)
-    facts = cut(pages.select(F.col("page_id").cast("bigint").alias("page_id"), digest.alias("digest"), F.octet_length(html).alias("n")), "page-digests")
-    total = facts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
-    n_shards = max(1, -(-total // params.shard_bytes))
-    shard = _rank(_splits(facts.where("page_id IS NOT NULL").select("page_id"), n_shards), F.coalesce("page_id", F.lit(LONG_MIN)))
+    # the place of a record: by id, within an id by a hash of the digest
+    place = [F.coalesce(F.col("page_id").cast("bigint"), F.lit(LONG_MIN)).alias("k0"), F.xxhash64("digest").alias("k1")]
+    facts = pages.select(F.col("page_id").cast("bigint").alias("page_id"), digest.alias("digest"), F.octet_length(html).cast("bigint").alias("n"))
+    facts = cut(facts.select("*", *place, (F.col("n") + RECORD_BYTES).alias("size")), "page-digests")
+    total = facts.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("n")).first().n
+    n_shards = max(1, min(-(-total // params.shard_bytes), MAX_BUCKETS))
+    targets = [i * total / n_shards for i in range(1, n_shards)]
+    bounds = sorted(find_splitters(facts.select("k0", "k1", "size"), targets, 0.1 * total / n_shards).bounds)
 
     large = facts.where((F.col("n") >= params.least_revisit) & F.col("page_id").isNotNull())
     copied = large.groupBy("digest").agg(F.min("page_id").alias("refers_to"), F.max("page_id").alias("last")).where("refers_to < last")
     notes = large.join(copied, "digest").where("page_id <> refers_to").select("page_id", "digest", "refers_to").distinct()
     rows = pages.select(F.col("page_id").cast("bigint").alias("page_id"), digest.alias("digest"), F.lit(True).alias("is_page"), F.lit(None).cast("bigint").alias("refers_to"), "url", "html")
     rows = rows.unionByName(notes.select("*", F.lit(False).alias("is_page"), F.lit(None).cast("string").alias("url"), F.lit(None).cast("string").alias("html")))
-    dealt = rows.withColumn("shard", shard).repartitionById(n_shards, F.col("shard")).sortWithinPartitions("shard", "page_id", "digest", "is_page", "url")
+    dealt = rows.select("*", *place).withColumn("shard", bucket_of(bounds)).repartitionById(n_shards, F.col("shard")).sortWithinPartitions("k0", "k1", "digest", "is_page", "url")
     staged = cut(dealt.select("shard", "page_id", "digest", "is_page", "refers_to", "url", "html").mapInArrow(lambda it: _write_batches(it, folder, params), MANIFEST), "warc-staged")
     committed = staged.mapInArrow(lambda it: _commit_batches(it, folder), MANIFEST).drop("temporary")
     committed.write.parquet(f"{folder}/manifest")
