@@ -55,8 +55,7 @@ def op6_chat_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batches = lines.file_batches(_table(spark, sf_dir, "documents"), 4)
-    return lines.dedup_lines(batches).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+    return lines.dedup_lines(_table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
 def op8_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
