@@ -2,19 +2,20 @@
 
 from __future__ import annotations
 
-import time
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import WHITE, cut, let, windows_hash, without, words_of
+from .common import WHITE, let, seal, windows_hash, words_of
 from .lines import lines_of
 
-#: The characters that count as symbols.
+#: The characters that count as symbols, and what a line of a list begins with.
 SYMBOLS = "#*$%&|<>"
+BULLETS = ["•", "‣", "-", "*", "–"]
 MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+WINDOW = 8
 
 
 def _covered(places: Column, k: int) -> Column:
@@ -37,111 +38,173 @@ def _repeats(hashes: Column, k: int) -> Column:
     return F.when(F.size(F.array_distinct(hashes)) == F.size(hashes), 0).otherwise(let(by_hash, lambda s: let(places(s), lambda p: _covered(p, k))))
 
 
-def measure(docs: DataFrame, text: str = "text", window: int = 8) -> DataFrame:
-    """``docs`` plus MEASURES of the whole text.
+Known = dict[str, Column]
 
-    Words are runs outside [\\x20\\x09-\\x0D]; null text has none. n_repeat_words
-    counts the words in ``window``-word windows that the text holds at least
-    twice. It hashes the windows and only sorts them where some hash occurs again.
+
+@dataclass(frozen=True)
+class Measure:
+    """A value taken of a text, from it and from other measures that it ``needs``.
+
+    ``work`` estimates its cost from the text's length: steps a character, in which only the ratios between measures matter.
     """
-    docs = without(docs, [*MEASURES, "word_counts"])
-    whole = F.coalesce(F.col(text), F.lit(""))
-    counts = let(
-        F.transform(words_of(F.col(text)), lambda w: F.xxhash64(w)),
-        lambda w: F.struct(F.size(w).alias("n"), let(windows_hash(w, window), lambda h: _repeats(h, window)).alias("again")),
-    )
-    filled = F.filter(lines_of(F.col(text)), lambda line: F.btrim(line, F.lit(WHITE)) != "")
-    return docs.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        counts.alias("word_counts"),
-        F.length(F.translate(whole, WHITE, "")).cast("bigint").alias("word_chars"),
-        (F.length(whole) - F.length(F.translate(whole, SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
-        let(filled, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
-    ).select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        F.col("word_counts.n").cast("bigint").alias("n_words"),
-        "word_chars",
-        "n_symbols",
-        "n_dup_lines",
-        F.col("word_counts.again").cast("bigint").alias("n_repeat_words"),
-    )
+
+    needs: tuple[str, ...]
+    of: Callable[[Column, Known], Column]
+    work: float
+
+
+def _bare(line: Column) -> Column:
+    return F.btrim(line, F.lit(WHITE))
+
+
+def _filled_lines(text: Column) -> Column:
+    return F.filter(lines_of(text), lambda line: _bare(line) != "")
+
+
+def _lines_where(test: Callable[[Column], Column]) -> Callable[[Column, Known], Column]:
+    return lambda t, m: F.size(F.filter(lines_of(t), lambda line: test(_bare(line))))
+
+
+#: Steps a character: a pass that drops or counts characters, one by a regular expression, splitting into lines, splitting
+#: into words and hashing them, hashing and looking up windows of words.
+PASS, REGEX, LINES, WORDS, WINDOWS = 1.0, 6.0, 2.0, 12.0, 30.0
+
+#: Texts are not null here. Words are runs outside [\\x20\\x09-\\x0D]; n_repeat_words counts the words in windows of
+#: WINDOW words that the text holds at least twice: windows are hashed, and sorted only where a hash occurs again.
+TAKEN = {
+    "some_words": Measure((), lambda t, m: F.size(F.filter(F.split(t, r"[\x20\x09-\x0D]+", 22), lambda w: w != "")), 0.5),
+    "word_hashes": Measure((), lambda t, m: F.transform(words_of(t), lambda w: F.xxhash64(w)), WORDS),
+    "n_words": Measure(("word_hashes",), lambda t, m: F.size(m["word_hashes"]).cast("bigint"), 0.0),
+    "n_repeat_words": Measure(("word_hashes",), lambda t, m: let(windows_hash(m["word_hashes"], WINDOW), lambda h: _repeats(h, WINDOW)).cast("bigint"), WINDOWS),
+    "word_chars": Measure((), lambda t, m: F.length(F.translate(t, WHITE, "")).cast("bigint"), PASS),
+    "n_symbols": Measure((), lambda t, m: (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("bigint"), PASS),
+    "n_marks": Measure((), lambda t, m: F.length(t) - F.length(F.replace(t, F.lit("!"), F.lit(""))), PASS),
+    "n_lines": Measure((), lambda t, m: F.size(lines_of(t)), LINES),
+    "n_dup_lines": Measure((), lambda t, m: let(_filled_lines(t), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint"), 2 * LINES),
+    "n_bullets": Measure((), _lines_where(lambda line: F.substring(line, 1, 1).isin(*BULLETS)), 2 * LINES),
+    "n_trailing": Measure((), _lines_where(lambda line: F.endswith(line, F.lit("...")) | F.endswith(line, F.lit("…"))), 2 * LINES),
+    "n_letters": Measure((), lambda t, m: F.length(F.regexp_replace(t, r"[^\p{L}]+", "")), REGEX),
+    "n_capitals": Measure((), lambda t, m: F.length(F.regexp_replace(t, r"[^\p{Lu}]+", "")), REGEX),
+}
+
+
+def _with_needs(names: Iterable[str], known: Iterable[str] = ()) -> list[str]:
+    """The measures to take for those named, in an order in which each finds what it needs."""
+    out: list[str] = []
+    for name in names:
+        for x in [*_with_needs(TAKEN[name].needs, [*known, *out]), name]:
+            if x not in known and x not in out:
+                out.append(x)
+    return out
+
+
+def _taking(names: list[str], text: Column, known: Known, body: Callable[[Known], Column]) -> Column:
+    """``body`` with the measures named taken, each once."""
+    if not names:
+        return body(known)
+    return let(TAKEN[names[0]].of(text, known), lambda v: _taking(names[1:], text, known | {names[0]: v}, body))
+
+
+def taken_alone(name: str, text: Column) -> Column:
+    """One measure of a text that is not null."""
+    return _taking(_with_needs([name]), text, {}, lambda m: m[name])
+
+
+def measure(docs: DataFrame, text: str = "text") -> DataFrame:
+    """``docs`` plus MEASURES of the whole text, null text counting as empty; input columns of these names are replaced, all others stay."""
+    table, back = seal(docs, MEASURES, text=F.coalesce(docs[text], F.lit("")))
+    taken = _taking(_with_needs(MEASURES), F.col("text"), {}, lambda m: F.struct(*[m[n].alias(n) for n in MEASURES]))
+    return table.withColumn("taken", taken).select(*back, *[F.col(f"taken.{n}").alias(n) for n in MEASURES])
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A named predicate that is true for texts to reject. Null counts as false."""
+    """A named test that is true for texts to reject, on the measures that it needs."""
 
     name: str
-    rejects: Column
+    needs: tuple[str, ...]
+    rejects: Callable[[Known], Column]
 
 
 def base_rules() -> list[Rule]:
-    n = F.col("n_words")
-    return [Rule("too_few_words", n < 20), Rule("repeated_windows", 100 * F.col("n_repeat_words") > 30 * n)]
+    # of some_words, the first 20 words are counted and no more
+    return [
+        Rule("too_few_words", ("some_words",), lambda m: m["some_words"] < 20),
+        Rule("repeated_windows", ("n_words", "n_repeat_words"), lambda m: 100 * m["n_repeat_words"] > 30 * m["n_words"]),
+    ]
 
 
-def production_rules(text: str = "text") -> list[Rule]:
-    """Rules on MEASURES and on the text itself; each is meant to spare any ordinary prose."""
-    n = F.col("n_words")
-    letters = F.length(F.regexp_replace(F.col(text), r"[^\p{L}]", ""))
-    capitals = F.length(F.regexp_replace(F.col(text), r"[^\p{Lu}]", ""))
-    marks = F.length(text) - F.length(F.replace(F.col(text), F.lit("!"), F.lit("")))
+def production_rules() -> list[Rule]:
+    """Each is meant to spare any ordinary prose. None rejects an empty text."""
     return [
-        Rule("word_length", (F.col("word_chars") < 2 * n) | (F.col("word_chars") > 15 * n)),
-        Rule("symbols", 10 * F.col("n_symbols") > n),
-        Rule("exclamations", 5 * marks > n),
-        Rule("repeated_lines", 10 * F.col("n_dup_lines") > 3 * F.size(lines_of(F.col(text)))),
-        Rule("capitals", 2 * capitals > letters),
+        Rule("word_length", ("n_words", "word_chars"), lambda m: (m["word_chars"] < 2 * m["n_words"]) | (m["word_chars"] > 15 * m["n_words"])),
+        Rule("symbols", ("n_words", "n_symbols"), lambda m: 10 * m["n_symbols"] > m["n_words"]),
+        Rule("exclamations", ("n_words", "n_marks"), lambda m: 5 * m["n_marks"] > m["n_words"]),
+        Rule("repeated_lines", ("n_lines", "n_dup_lines"), lambda m: 10 * m["n_dup_lines"] > 3 * m["n_lines"]),
+        Rule("bullet_lines", ("n_lines", "n_bullets"), lambda m: 10 * m["n_bullets"] > 9 * m["n_lines"]),
+        Rule("unfinished_lines", ("n_lines", "n_trailing"), lambda m: 10 * m["n_trailing"] > 3 * m["n_lines"]),
+        Rule("few_letters", ("n_letters", "word_chars"), lambda m: 2 * m["n_letters"] < m["word_chars"]),
+        Rule("capitals", ("n_letters", "n_capitals"), lambda m: 2 * m["n_capitals"] > m["n_letters"]),
     ]
 
 
 @dataclass(frozen=True)
 class Estimate:
-    name: str
-    rejected: float
-    seconds: float
+    """rejected: share of the sample's rows. work: mean steps for what the rules before have not taken already."""
 
-    @property
-    def gain(self) -> float:
-        return self.rejected / self.seconds
+    rule: Rule
+    rejected: float
+    work: float
 
 
-def estimate(docs: DataFrame, rules: list[Rule], sample_rows: int = 500) -> list[Estimate]:
-    """Share rejected and seconds of each rule on at most ``sample_rows`` rows, in falling order of rejection per second.
+def estimate(docs: DataFrame, rules: list[Rule], text: str = "text", sample_rows: int = 2000) -> list[Estimate]:
+    """The rules in falling order of rejection per cost, with the estimates that decide it.
 
-    Only the order of evaluation rests on this sample, never a verdict.
+    Shares and costs are found on a sample: the rows whose hash of the text falls in a fixed share, about ``sample_rows`` of them
+    (all of a smaller table), measured where they are; one row of sums reaches the driver. Costs are counted from the
+    lengths of the sample's texts, not timed, so the same rows give the same order in every run. A measure
+    that an earlier rule takes costs a later one nothing. Only the order of evaluation rests on the sample, never a verdict.
     """
-    # collecting a limit reads partitions until it has enough; as part of a plan it would take that many rows of each
-    sample = cut(docs.sparkSession.createDataFrame(docs.limit(sample_rows).collect(), docs.schema), "rule-sample")
-    n = max(1, sample.count())
-
-    def timed(column: Column) -> tuple[float, int]:
-        start = time.perf_counter()
-        hits = sample.agg(F.count_if(F.coalesce(column, F.lit(False))).alias("n")).first().n
-        return time.perf_counter() - start, hits
-
-    timed(F.lit(False))
-    idle = timed(F.lit(False))[0]
-    found = []
-    for rule in rules:
-        seconds, hits = timed(rule.rejects)
-        found.append(Estimate(rule.name, hits / n, max(seconds - idle, 1e-4)))
-    return sorted(found, key=lambda e: (-e.gain, e.name))
-
-
-def cascade(docs: DataFrame, rules: list[Rule], sample_rows: int = 500) -> DataFrame:
-    """``docs`` plus ``failed_rule``: the first rule, in the estimated order, that rejects the row, else null.
-
-    The rules stand in one CASE, which Spark evaluates branch by branch: a row
-    that an early rule rejects never meets the later, dearer ones. Which rule is
-    named depends on the order and so on the sample; whether one is named doesn't.
-
-    Defined cases: a rule that yields null, as for null text, doesn't reject;
-    an input column called failed_rule is replaced; an empty table gives an
-    empty result.
+    share = max(1, docs.count() // sample_rows)
+    t = F.coalesce(F.col(text), F.lit(""))
+    sampled = docs.where(F.pmod(F.xxhash64(F.col(text)), F.lit(share)) == 0) if share > 1 else docs
+    hits = _taking(_with_needs(n for r in rules for n in r.needs), t, {}, lambda m: F.array(*[r.rejects(m) for r in rules]))
+    sums = [F.count_if(F.col("hits")[i]).alias(f"hits{i}") for i in range(len(rules))]
+    found = sampled.select(F.length(t).alias("chars"), hits.alias("hits")).agg(F.count("*").alias("n"), F.avg("chars").alias("chars"), *sums).first()
+    rejected = {r.name: found[f"hits{i}"] / max(1, found.n) for i, r in enumerate(rules)}
+    order: list[Estimate] = []
+    left, known = list(rules), []
+    while left:
+        works = {r.name: (found.chars or 0.0) * sum(TAKEN[n].work for n in _with_needs(r.needs, known)) for r in left}
+        best = min(left, key=lambda r: (-rejected[r.name] / (works[r.name] + 1), works[r.name], r.name))
+        order.append(Estimate(best, rejected[best.name], works[best.name]))
+        known += _with_needs(best.needs, known)
+        left.remove(best)
+    return order
+
+
+def cascade(docs: DataFrame, rules: list[Rule], text: str = "text", sample_rows: int = 2000, keep: Iterable[str] = ()) -> DataFrame:
+    """``docs`` plus ``failed_rule``, the first rule, in the estimated order, that rejects the row, else null, and ``taken``.
+
+    A rule's measures are taken when its turn comes, each once for all rules, so of a row that an early rule rejects
+    the dearer ones are never taken. ``taken`` is a struct of the measures in ``keep``: what the cascade has taken of the row,
+    null where it came to a verdict before. Which rule is named depends on the order and so on the
+    sample; whether one is named doesn't.
+
+    Defined cases: null text counts as empty; equal rows get equal verdicts; a text of any length is measured
+    as a whole, in one task; input columns called failed_rule or taken are replaced, others stay; an empty table gives an empty result.
     """
-    docs = without(docs, ["failed_rule"])
-    by_name = {r.name: r.rejects for r in rules}
-    order = [e.name for e in estimate(docs, rules, sample_rows)]
-    named = reduce(lambda c, name: c.when(by_name[name], name), order[1:], F.when(by_name[order[0]], order[0]))
-    return docs.withColumn("failed_rule", named)
+    order = [e.rule for e in estimate(docs, rules, text, sample_rows)]
+    keep = list(keep)
+
+    def outcome(name: Column, known: Known) -> Column:
+        return F.struct(name.alias("failed_rule"), F.struct(*[(known[n] if n in known else F.lit(None).cast("bigint")).alias(n) for n in keep] or [F.lit(None).alias("none")]).alias("taken"))
+
+    def verdict(left: list[Rule], known: Known) -> Column:
+        if not left:
+            return outcome(F.lit(None).cast("string"), known)
+        missing = _with_needs(left[0].needs, known)
+        return _taking(missing, F.col("text"), known, lambda m: F.when(left[0].rejects(m), outcome(F.lit(left[0].name), m)).otherwise(verdict(left[1:], m)))
+
+    table, back = seal(docs, ["failed_rule", "taken"], text=F.coalesce(docs[text], F.lit("")))
+    return table.withColumn("judged", verdict(order, {})).select(*back, F.col("judged.failed_rule").alias("failed_rule"), F.col("judged.taken").alias("taken"))

@@ -59,10 +59,14 @@ def op7_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    measured = quality.measure(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    judged = quality.cascade(measured, [*quality.base_rules(), *quality.production_rules()])
-    base = F.coalesce(quality.base_rules()[0].rejects | quality.base_rules()[1].rejects, F.lit(False))
-    return judged.select("doc_id", *quality.MEASURES, base.alias("base_failed"), F.col("failed_rule").isNull().alias("kept"))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = quality.cascade(docs, [*quality.base_rules(), *quality.production_rules()], keep=quality.MEASURES)
+    # the contract's columns are for every row: what the cascade has not taken before its verdict is taken here
+    text = F.coalesce("text", F.lit(""))
+    alone = {n: quality.taken_alone(n, text) for n in quality.MEASURES}
+    filled = judged.select("doc_id", F.col("failed_rule").isNull().alias("kept"), *[F.coalesce(F.col(f"taken.{n}"), alone[n]).alias(n) for n in quality.MEASURES])
+    base = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
+    return filled.select("doc_id", *quality.MEASURES, base.alias("base_failed"), "kept")
 
 
 def op9_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -129,13 +133,16 @@ m AS (SELECT d.doc_id, text, CAST(len(w) AS BIGINT) AS n_words,
              CAST(list_sum(list_transform(w, lambda x: length(x))) AS BIGINT) AS word_chars,
              CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
              CAST(len(list_filter(ls, lambda x: trim(x, {_WS}) <> '')) - len(list_distinct(list_filter(ls, lambda x: trim(x, {_WS}) <> ''))) AS BIGINT) AS n_dup_lines,
-             CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, len(ls) AS n_lines
+             CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, len(ls) AS n_lines, length(regexp_replace(text, '[^\\p{{L}}]', '', 'g')) AS n_letters,
+             len(list_filter(ls, lambda x: left(trim(x, {_WS}), 1) IN ('•', '‣', '-', '*', '–'))) AS n_bullets,
+             len(list_filter(ls, lambda x: trim(x, {_WS}) LIKE '%...' OR trim(x, {_WS}) LIKE '%…')) AS n_trailing
       FROM d LEFT JOIN r USING (doc_id)),
 b AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, coalesce(word_chars, 0) AS word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT (base_failed OR coalesce(word_chars, 0) < 2 * n_words OR coalesce(word_chars, 0) > 15 * n_words OR 10 * n_symbols > n_words
             OR 5 * (length(text) - length(replace(text, '!', ''))) > n_words OR 10 * n_dup_lines > 3 * n_lines
-            OR 2 * length(regexp_replace(text, '[^\\p{{Lu}}]', '', 'g')) > length(regexp_replace(text, '[^\\p{{L}}]', '', 'g'))) AS kept
+            OR 10 * n_bullets > 9 * n_lines OR 10 * n_trailing > 3 * n_lines OR 2 * n_letters < coalesce(word_chars, 0)
+            OR 2 * length(regexp_replace(text, '[^\\p{{Lu}}]', '', 'g')) > n_letters) AS kept
 FROM b
 """
 
