@@ -11,19 +11,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import LONG_MIN, cut, seal
 from .text_arrays import RUN_CLASS, chunks, mix, run_hashes
 
 
 @dataclass(frozen=True)
 class Params:
-    """buckets: of the hashed features. evidence: features that a text's mean log ratio counts for at most.
+    """buckets: of the hashed features. tempered_at: number of features from which on a text's weight is tempered, see resample().
     max_labelled: labelled rows used, those of the smallest id hashes. held_out: one in so many of them only calibrates.
     spare: how many times worse it is to lose a good share of rows than to keep as large a share of bad ones.
     smoothing: added to each bucket's counts."""
 
     buckets: int = 1 << 16
-    evidence: int = 200
+    tempered_at: int = 200
     max_labelled: int = 50_000
     held_out: int = 5
     spare: float = 5.0
@@ -68,8 +68,10 @@ def _scores(batches: Iterator[pa.RecordBatch], ratio: np.ndarray) -> Iterator[pa
         total, n = np.zeros(len(batch)), np.zeros(len(batch), np.int64)
         for a, b, data, offsets in chunks(batch.column("text")):
             found, first = features(data, offsets, len(ratio))
-            sums = np.append(0.0, np.cumsum(ratio[found]))
-            total[a:b], n[a:b] = sums[first[1:]] - sums[first[:-1]], np.diff(first)
+            n[a:b] = np.diff(first)
+            some = np.flatnonzero(n[a:b])
+            if len(some):  # each row by itself, so that its sum doesn't depend on the rows beside it
+                total[a + some] = np.add.reduceat(ratio[found], first[some])
         yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "mark": batch.column("mark"), "log_ratio": total, "n_features": n, "held": batch.column("held")})
 
 
@@ -121,8 +123,10 @@ def resample(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> D
 
     Two generative models of hashed unigrams and bigrams are counted over all
     documents (raw) and over those labelled quality 1 (target). A document's log
-    importance weight is its mean log ratio of target to raw times at most
-    ``evidence`` features: beyond those, length adds no certainty. Gumbel noise
+    importance weight is the log ratio of its probabilities under target and raw, the sum over all its
+    features, divided by a temperature of 1 for up to ``tempered_at`` features and of n / tempered_at for n of them:
+    long texts weigh as a text of that length with the same mix of features would, as in the published method, which
+    cuts all texts to one length. Gumbel noise
     added to it makes the top k a sample without replacement with probabilities
     in proportion to the weights. k is the number of documents whose weight
     reaches the cut that parts good from bad held-out labelled rows best, so
@@ -131,7 +135,7 @@ def resample(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> D
     Labels are fitted on at most ``max_labelled`` rows, which are broadcast;
     counts and scores cover all documents. ``mark`` is the hash of the text.
 
-    Defined cases: null and empty texts have weight 0; rows equal in id and text
+    Defined cases: null and empty texts have weight 0; a very long text is hashed in pieces, whole; rows equal in id and text
     are treated alike and have the same key; ties at the cut are kept; without
     good or without bad held-out rows, or with no document, everything is kept; labels that
     contradict each other or are null count as not good; other columns aren't used.
@@ -154,8 +158,8 @@ def resample(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> D
         texts.select("doc_id", "text", "mark", "held").mapInArrow(lambda it: _scores(it, ratio), "doc_id bigint, mark bigint, log_ratio double, n_features bigint, held int"),
         "scores",
     )
-    mean = F.when(F.col("n_features") > 0, F.col("log_ratio") / F.col("n_features")).otherwise(0.0)
-    weighed = scored.withColumn("log_weight", mean * F.least("n_features", F.lit(p.evidence)))
+    temperature = F.greatest(F.lit(1.0), F.col("n_features") / p.tempered_at)
+    weighed = scored.withColumn("log_weight", F.col("log_ratio") / temperature)
     rated_rows = weighed.where("held IS NOT NULL").select("log_weight", "held").collect()  # those held out of max_labelled
     floor = best_cut([r.log_weight for r in rated_rows if r.held == 1], [r.log_weight for r in rated_rows if r.held != 1], p.spare)
     keyed = weighed.withColumn("sort_key", F.col("log_weight") + gumbel(F.col("doc_id"), F.col("mark")))
@@ -167,5 +171,7 @@ def resample(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> D
 
 def keep_good(docs: DataFrame, labels: DataFrame, params: Params = Params()) -> DataFrame:
     """The documents that resample() keeps, columns unchanged."""
-    out = resample(docs, labels, params).where("NOT kept").select(F.col("doc_id").alias("bad_doc"), F.col("mark").alias("bad_mark")).distinct()
-    return docs.join(out, docs["doc_id"].eqNullSafe(F.col("bad_doc")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("bad_mark")), "left_anti")
+    some = lambda c: F.coalesce(c, F.lit(LONG_MIN))
+    out = resample(docs, labels, params).where("NOT kept").select(some(F.col("doc_id")).alias("doc"), "mark").distinct()
+    table, back = seal(docs, doc=some(docs["doc_id"].cast("bigint")), mark=F.xxhash64(docs["text"]))
+    return table.join(out, ["doc", "mark"], "left_anti").select(*back)
