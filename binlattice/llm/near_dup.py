@@ -2,26 +2,52 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import LONG_MIN, cut
+from .common import LONG_MIN, cut, seal
 from .text_arrays import chunks, mix, shingle_sets
 
-#: Coordinates of a sketch; the first BANDS * ROWS of them are banded. At similarity 0.8 a pair shares no band with
-#: probability (1 - 0.8**4)**24 = 3e-6.
-SIZE, BANDS, ROWS = 128, 24, 4
-#: Least number of equal 4-bit coordinates, of SIZE, for a candidate. At similarity 0.8 their mean is 104; 84 is four and
-#: a half standard deviations below it, which a pair misses as rarely as all bands.
-LIKELY = 84
+#: Coordinates of a sketch.
+SIZE = 128
 #: Rounds in which each open bucket's most connected class meets the others, before what is left is compared in blocks.
 HUB_ROUNDS = 2
-#: Classes of a bucket that are compared at once with as many others.
+#: Classes of a bucket that are compared at once with as many others; a bucket of more than two blocks is banded again first.
 BLOCK = 512
-SIGNATURE = [f"s{i}" for i in range(8)]
+SIGNATURE = [f"s{i}" for i in range(SIZE // 16)]
+
+
+@dataclass(frozen=True)
+class Banding:
+    """The first bands * rows coordinates are banded; likely: least number of equal 4-bit coordinates, of SIZE, of a candidate."""
+
+    bands: int
+    rows: int
+    likely: int
+
+
+def banding(percent: int, miss: float = 4e-6) -> Banding:
+    """The longest bands with which a pair of similarity ``percent`` shares none with a probability of ``miss`` at most.
+
+    ``likely`` lies four and a half standard deviations below the mean number of equal 4-bit coordinates of such a pair, which it
+    misses about as rarely. At 80 percent: 24 bands of 4 and 84 coordinates; at 50: 44 bands of 2 and 42.
+    """
+    s = percent / 100
+    if s >= 1:
+        return Banding(1, SIZE, SIZE)
+    counts = {r: math.ceil(math.log(miss) / math.log1p(-(s**r))) for r in range(1, SIZE + 1) if s**r > 1e-12}
+    fits = [(r, b) for r, b in counts.items() if r * b <= SIZE]
+    if not fits:
+        raise ValueError(f"sketches of {SIZE} coordinates are too short for {percent} percent")
+    rows, bands = max(fits)
+    equal = s + (1 - s) / 16
+    return Banding(bands, rows, math.floor(SIZE * equal - 4.5 * math.sqrt(SIZE * equal * (1 - equal))))
 
 
 def sketches(sets: list[np.ndarray], size: int = SIZE) -> np.ndarray:
@@ -52,8 +78,16 @@ def sketches(sets: list[np.ndarray], size: int = SIZE) -> np.ndarray:
     return kept.reshape(-1, size)
 
 
-def _sketch_batches(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
-    salt = mix(np.arange(BANDS, dtype=np.uint64) + np.uint64(7))
+def _bands(coords: np.ndarray, plan: Banding) -> np.ndarray:
+    """A hash for each band of each sketch."""
+    salt = mix(np.arange(plan.bands, dtype=np.uint64) + np.uint64(7))
+    band = np.broadcast_to(salt, (len(coords), plan.bands)).copy()
+    for r in range(plan.rows):
+        band = mix(band + coords[:, r : plan.bands * plan.rows : plan.rows])
+    return band.astype(np.int64)
+
+
+def _sketch_batches(batches: Iterator[pa.RecordBatch], k: int, plan: Banding) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b, data, offsets in chunks(batch.column("text").fill_null("")):
             sets = shingle_sets(data, offsets, k)
@@ -62,15 +96,12 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Re
             coords = sketches([sets[i] for i in some])
             names = np.array([mix(sets[i]).sum(dtype=np.uint64) for i in some], np.uint64)
             names = mix(names + sizes[some].astype(np.uint64)).astype(np.int64)
-            band = np.broadcast_to(salt, (len(some), BANDS)).copy()
-            for r in range(ROWS):
-                band = mix(band + coords[:, r : BANDS * ROWS : ROWS])
             nibbles = coords & np.uint64(15)
             packed = [np.zeros(len(some), np.uint64) for _ in SIGNATURE]
             for j in range(SIZE):
                 packed[j // 16] |= nibbles[:, j] << np.uint64(4 * (j % 16))
-            full = np.zeros((b - a, BANDS), np.int64)
-            full[some] = band.astype(np.int64)
+            full = np.zeros((b - a, plan.bands), np.int64)
+            full[some] = _bands(coords, plan)
             name, known = np.zeros(b - a, np.int64), np.zeros(b - a, bool)
             name[some], known[some] = names, True
             columns = {
@@ -78,7 +109,7 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Re
                 "mark": batch.column("mark").slice(a, b - a),
                 "n": pa.array(sizes),
                 "name": pa.array(name, mask=~known),
-                "bands": pa.ListArray.from_arrays(np.arange(0, (b - a + 1) * BANDS, BANDS, dtype=np.int32), pa.array(full.reshape(-1))),
+                "bands": pa.ListArray.from_arrays(np.arange(0, (b - a + 1) * plan.bands, plan.bands, dtype=np.int32), pa.array(full.reshape(-1))),
             }
             for column, values in zip(SIGNATURE, packed, strict=True):
                 whole = np.zeros(b - a, np.int64)
@@ -87,6 +118,16 @@ def _sketch_batches(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.Re
             yield pa.RecordBatch.from_pydict(columns)
 
 
+def _second_bands(batches: Iterator[pa.RecordBatch], k: int, plan: Banding) -> Iterator[pa.RecordBatch]:
+    """(name, bands) by sketches independent of the first ones."""
+    for batch in batches:
+        for a, b, data, offsets in chunks(batch.column("text").fill_null("")):
+            sets = [mix(s ^ np.uint64(0xA0761D6478BD642F)) for s in shingle_sets(data, offsets, k)]
+            band = _bands(sketches(sets), plan).reshape(-1)
+            lists = pa.ListArray.from_arrays(np.arange(0, (b - a + 1) * plan.bands, plan.bands, dtype=np.int32), pa.array(band))
+            yield pa.RecordBatch.from_pydict({"name": batch.column("name").slice(a, b - a), "bands": lists})
+
+
 def _verified(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
     # a few pairs at a time: texts may be long
     for batch in (whole.slice(i, 64) for whole in batches for i in range(0, len(whole), 64)):
@@ -100,7 +141,7 @@ def _verified(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterat
         yield pa.RecordBatch.from_pydict({"a": batch.column("a"), "b": batch.column("b")}).filter(pa.array(linked, pa.bool_()))
 
 
-def _alike(percent: int) -> Column:
+def _alike(percent: int, likely: int) -> Column:
     """Whether two rows l and r can be ``percent`` similar: by set sizes, and by 4-bit coordinates of their sketches."""
     equal = F.lit(0)
     for s in SIGNATURE:
@@ -108,7 +149,7 @@ def _alike(percent: int) -> Column:
         any_bit = x.bitwiseOR(F.shiftrightunsigned(x, 1)).bitwiseOR(F.shiftrightunsigned(x, 2)).bitwiseOR(F.shiftrightunsigned(x, 3))
         equal = equal + 16 - F.bit_count(any_bit.bitwiseAND(F.lit(0x1111111111111111)))
     by_size = (100 * F.col("l.n") >= percent * F.col("r.n")) & (100 * F.col("r.n") >= percent * F.col("l.n"))
-    return by_size & (equal >= LIKELY)
+    return by_size & (equal >= likely)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -144,13 +185,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80, id_col
     Documents are linked if 100 * |intersection| >= ``percent`` * |union|.
 
     Documents with equal sets become one class, named by a 64-bit hash of the
-    set. Classes are sketched and banded. In each bucket with several classes the most
+    set, as its shingles are 64-bit hashes of their words: among n different sets or shingles two are taken for one with a
+    probability of n^2 / 2^65. Classes are sketched and banded as ``percent`` needs, see banding(). In each bucket with several classes the most
     connected one, usually the text the others were copied from, meets the
     others: pairs that sizes and sketches allow are verified on full sets, and
     components are formed. Buckets that still hold several components do so
-    again, with the most connected class outside their largest component. What is then
-    open is compared in blocks of at most 2 * BLOCK classes, by counting common
-    shingles of all of a block at once; only links between components
+    again, with the most connected class outside their largest component. A bucket that is still open with more than
+    2 * BLOCK classes is parted by bands of a second, independent sketch. What is then
+    open is compared in blocks of at most 2 * BLOCK classes: sketches first, then, of the classes with a
+    likely partner in the block, full sets, by counting common shingles of all of them at once; only links between components
     come out. So every pair that shares a band is verified or already
     connected, without a row for each pair. Most groups of copies are connected after
     the first round; the blocks meet texts that share much but less than ``percent``.
@@ -158,14 +201,15 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80, id_col
     Defined cases: null text counts as empty; a null id is reported as null and
     only counts as its component's id if the component has no other; rows
     sharing an id are told apart by ``mark``, the hash of their text; of rows equal in
-    id and text all are reported, alike; an empty table gives an empty result;
+    id and text all are reported, alike; a very long text is hashed in pieces, whole, and its set is held by one task; an empty table gives an empty result;
     other columns aren't used. kept is id = component_id; is_first also
     tells rows apart that share the component's id, by the least mark, and holds for
     every document without words.
     """
+    plan = banding(percent)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.xxhash64(text_col).alias("mark"), F.col(text_col).alias("text"))
     kinds = "doc bigint, mark bigint, n bigint, name bigint, bands array<bigint>, " + ", ".join(f"{s} bigint" for s in SIGNATURE)
-    sketched = cut(rows.mapInArrow(lambda it: _sketch_batches(it, shingle), kinds), "sketches")
+    sketched = cut(rows.mapInArrow(lambda it: _sketch_batches(it, shingle, plan), kinds), "sketches")
     # the least id that is not null, if there is one, and the least mark with it
     place = F.struct(F.col("doc").isNull().alias("none"), "doc", "mark")
     classes = cut(
@@ -194,13 +238,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80, id_col
             hubs = open_rows.groupBy("bucket").agg(hub.alias("hub"))
         met = open_rows.join(hubs, "bucket").where(F.col("root") != F.col("hub.root"))
         pairs = met.select(F.least("name", "hub.name").alias("a"), F.greatest("name", "hub.name").alias("b")).distinct()
-        linked = cut(_links(_likely(pairs, facts, percent), texts, shingle, percent), "links")
+        linked = cut(_links(_likely(pairs, facts, percent, plan.likely), texts, shingle, percent), "links")
         edges = linked if edges is None else edges.unionAll(linked)
         roots = components(edges)
         edges = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
         open_rows = _still_open(open_rows, roots)
 
-    further = cut(_links_within(open_rows, texts, shingle, percent), "more-links")
+    open_rows = _parted(open_rows, texts, shingle, plan)
+    further = cut(_links_within(open_rows, facts, texts, shingle, percent, plan.likely), "more-links")
     if not further.isEmpty():
         roots = components(edges.unionAll(further))
 
@@ -234,16 +279,68 @@ def _still_open(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return cut(renewed.join(mixed, "bucket", "left_semi"), "open-buckets")
 
 
-def _links_within(rows: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _parted(rows: DataFrame, texts: DataFrame, shingle: int, plan: Banding) -> DataFrame:
+    """``rows`` with the buckets of more than 2 * BLOCK classes parted by bands of second sketches."""
+    large = rows.groupBy("bucket").count().where(F.col("count") > 2 * BLOCK).select("bucket")
+    inside = cut(rows.join(large, "bucket", "left_semi"), "large-buckets")
+    if inside.isEmpty():
+        return rows
+    bands = texts.join(inside.select("name").distinct(), "name", "left_semi").mapInArrow(lambda it: _second_bands(it, shingle, plan), "name bigint, bands array<bigint>")
+    finer = inside.join(bands, "name").select("bucket", F.explode("bands").alias("band"), "name", "weight", "root").select(F.xxhash64("bucket", "band").alias("bucket"), "name", "weight", "root")
+    mixed = finer.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    return cut(rows.join(large, "bucket", "left_anti").unionByName(finer.join(mixed, "bucket", "left_semi"), allowMissingColumns=True), "parted-buckets")
+
+
+def _links_within(rows: DataFrame, facts: DataFrame, texts: DataFrame, shingle: int, percent: int, likely: int) -> DataFrame:
     """Links (a, b) between different roots of the same bucket, at most one for each two roots of a block."""
     held = rows.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("name"), F.col("parts").cast("bigint")).cast("int")
     dealt = rows.join(held, "bucket").withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.select("bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "name", "root")
-    blocks = dealt.join(texts, "name").repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    grouped = lambda df: df.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j")
+    sketched = grouped(dealt.join(facts, "name")).select("bucket", "i", "j", "part", "name", "root", "n", *SIGNATURE)
+    kind = "bucket bigint, i int, j int, part int, name bigint, root bigint"
+    hopeful = cut(sketched.mapInArrow(lambda it: _block_likely(it, percent, likely), kind), "likely-in-blocks")
+    blocks = grouped(hopeful.join(texts, "name"))
     return blocks.select("bucket", "i", "j", "part", "name", "root", "text").mapInArrow(lambda it: _block_links(it, shingle, percent), "a bigint, b bigint").distinct()
 
 
+def _block_likely(batches: Iterator[pa.RecordBatch], percent: int, likely: int) -> Iterator[pa.RecordBatch]:
+    """The rows of each block with a partner of another root that sizes and sketches allow."""
+    kinds = pa.schema([("bucket", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("part", pa.int32()), ("name", pa.int64()), ("root", pa.int64())])
+
+    def hopeful(block: pa.Table) -> pa.RecordBatch:
+        part, root, n = (block.column(c).to_numpy() for c in ("part", "root", "n"))
+        sketch = np.stack([block.column(c).to_numpy().view(np.uint64) for c in SIGNATURE], 1)
+        within, found = part.min() == part.max(), np.zeros(len(n), bool)
+        for at in range(0, len(n), 64):
+            some = slice(at, at + 64)
+            pair = (root[some, None] != root[None, :]) & (within | (part[some, None] != part[None, :]))
+            pair &= (100 * n[some, None] >= percent * n[None, :]) & (100 * n[None, :] >= percent * n[some, None])
+            x, y = np.nonzero(pair)
+            differ = sketch[some][x] ^ sketch[y]
+            differ |= differ >> np.uint64(1)
+            differ |= differ >> np.uint64(2)
+            close = SIZE - np.bitwise_count(differ & np.uint64(0x1111111111111111)).sum(1, dtype=np.int64) >= likely
+            found[at + x[close]] = found[y[close]] = True
+        return block.filter(pa.array(found)).select(kinds.names).cast(kinds)
+
+    key, held = None, []
+    for batch in batches:
+        keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("bucket", "i", "j")], 1)
+        turns = np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1
+        for a, b in zip([0, *turns.tolist()], [*turns.tolist(), len(keys)], strict=True):
+            if a == b:
+                continue
+            if held and tuple(keys[a]) != key:
+                yield from hopeful(pa.Table.from_batches(held)).to_batches()
+                held = []
+            key = tuple(keys[a])
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield from hopeful(pa.Table.from_batches(held)).to_batches()
+
+
 def _block_links(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
     key, rows = None, []
     for batch in batches:
@@ -290,10 +387,10 @@ def _linked(rows: list[tuple], percent: int) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pydict({"a": name[x[one]], "b": name[y[one]]})
 
 
-def _likely(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
+def _likely(pairs: DataFrame, facts: DataFrame, percent: int, likely: int) -> DataFrame:
     """Those of the pairs (a, b) that sizes and sketches allow."""
     left = pairs.alias("p").join(facts.alias("l"), F.col("p.a") == F.col("l.name"))
-    return left.join(facts.alias("r"), (F.col("p.b") == F.col("r.name")) & _alike(percent)).select("a", "b")
+    return left.join(facts.alias("r"), (F.col("p.b") == F.col("r.name")) & _alike(percent, likely)).select("a", "b")
 
 
 def _links(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
@@ -306,7 +403,9 @@ def _links(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> Da
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component of near_duplicates(), columns unchanged. Of rows equal in id and text one stays."""
     found = cut(near_duplicates(docs, shingle, percent).select("doc_id", "mark", "is_first"), "near-duplicates")
-    out = found.where("NOT is_first").select(F.col("doc_id").alias("bad_doc"), F.col("mark").alias("bad_mark")).distinct()
-    kept = docs.join(out, docs["doc_id"].eqNullSafe(F.col("bad_doc")) & F.xxhash64(docs["text"]).eqNullSafe(F.col("bad_mark")), "left_anti")
+    some = lambda c: F.coalesce(c.cast("bigint"), F.lit(LONG_MIN))
+    out = found.where("NOT is_first").select(some(F.col("doc_id")).alias("doc"), "mark").distinct()
+    table, back = seal(docs, doc=some(docs["doc_id"]), mark=F.xxhash64(docs["text"]))
+    kept = table.join(out, ["doc", "mark"], "left_anti")
     repeated = not found.where("is_first").groupBy("doc_id", "mark").count().where("count > 1").isEmpty()
-    return kept.dropDuplicates(["doc_id", "text"]) if repeated else kept
+    return (kept.dropDuplicates(["doc", "mark"]) if repeated else kept).select(*back)
