@@ -43,6 +43,11 @@ def named_folders() -> int:
     return len(_named)
 
 
+def last_named() -> list[str]:
+    """The folder that shared_dir() named last, such as that of the last cut()."""
+    return _named[-1:]
+
+
 def release(spark: SparkSession, since: int, keep: Iterable[str] = ()) -> None:
     """Delete the folders named since a mark, but those to keep. Tables in them must not be read any more."""
     kept = set(keep)

@@ -14,17 +14,23 @@ from .common import without
 SPACE = "▁"
 
 
+#: Texts that a normaliser which isn't the identity (up to a first space mark and the marks for spaces) would change.
+PROBES = ["a", " a", "a  b ", "ﬁ", "Ａ", "é", "e\u0301", "①", "a\tb", "a\nb", "\u3000", "\u200b", "ﷺ", "A\r", "\x01", "\ufeff"]
+
+
 def prove_whole(processor) -> tuple[set[str], bool]:
     """(vocabulary strings that encode alone as one token, whether texts may be cut into pre-tokens).
 
     Cutting is exact if no piece joins what a cut parts: no piece has a space
-    mark after another character, or holds a line feed or a tab. Then no merge
+    mark after another character, or holds a line feed or a tab, and the
+    normaliser leaves every character as it is, which PROBES test. Then no merge
     crosses a cut, and a text's tokens are those of its pre-tokens. A vocabulary
-    string counts as proven only if encoding it gives one token.
+    string counts as proven only if encoding it gives one token. This is done once, on the driver.
     """
     plain = (i for i in range(processor.get_piece_size()) if not (processor.is_control(i) or processor.is_unknown(i) or processor.is_byte(i)))
     pieces = [processor.id_to_piece(i) for i in plain]
-    cuttable = not any(SPACE in p.lstrip(SPACE) or "\n" in p or "\t" in p for p in pieces)
+    plain_text = all(processor.normalize(t) == SPACE + t.replace(" ", SPACE) for t in PROBES)
+    cuttable = plain_text and not any(SPACE in p.lstrip(SPACE) or "\n" in p or "\t" in p for p in pieces)
     # a pre-token is kept without its first space mark, which encoding puts back
     words = [p[1:] for p in pieces if len(p) > 1 and p.startswith(SPACE) and SPACE not in p[1:]]
     whole = {w for w, ids in zip(words, processor.encode(words, num_threads=1), strict=True) if len(ids) == 1}
@@ -59,11 +65,11 @@ def pre_tokens(text: str) -> list[str]:
 class Counter:
     """Counts tokens with a SentencePiece model. It remembers at most ``memory`` pre-tokens, none over 64 characters."""
 
-    def __init__(self, model: str, memory: int = 400_000):
+    def __init__(self, model: str, proof: tuple[set[str], bool] | None = None, memory: int = 400_000):
         import sentencepiece
 
         self.processor = sentencepiece.SentencePieceProcessor(model_file=model)
-        self.whole, self.cuttable = prove_whole(self.processor)
+        self.whole, self.cuttable = proof or prove_whole(self.processor)
         self.memory = memory
         self.known = dict.fromkeys(self.whole, 1) | {"": 1}
 
@@ -105,10 +111,12 @@ def count_tokens(docs: DataFrame, model: str, limit: int = 4096, text: str = "te
     names of the results are replaced; an empty table gives an empty result.
     """
     docs = without(docs, ["n_bytes", "n_tokens", "over_limit"])
+    first = Counter(model)
+    proof = (first.whole, first.cuttable)  # at most the vocabulary, which goes to the tasks with the function
 
     @F.pandas_udf("bigint")
     def counted(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        counter = Counter(model)
+        counter = Counter(model, proof)
         for batch in batches:
             yield pd.Series([counter.count(t) for t in batch], dtype="int64")
 
