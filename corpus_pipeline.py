@@ -3,15 +3,21 @@
 Each stage takes (spark, docs, sf_dir), works on all that the stage before it
 kept, and returns a DataFrame that is written as Parquet and read again as the
 next stage's docs. All but the last return the columns of documents.
+
+Every stage takes null, empty and very long texts, repeated rows, empty tables
+and further columns of any name, which it returns as they are; what becomes of each
+case is stated at the operator that the stage calls.
 """
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from binlattice.llm.common import cut
+from binlattice.llm.common import cut, last_named, named_folders, release
 from binlattice.llm.decontaminate import remove_leaks
 from binlattice.llm.mixing import mix_sources
 from binlattice.llm.near_dup import keep_one
@@ -41,11 +47,19 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def _place(docs: DataFrame) -> Column | str:
-    """A row's place in the files of the stage before; the id where docs come from no files."""
-    place = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).try_cast("bigint") * (1 << 40) + F.col("_metadata.row_index")
+    """A row's place in the files of the stage before: number of the file, number of its part, row.
+
+    Files that Spark didn't write come first, in no order among them. Rows that come from no file have no place: they are
+    ordered by id instead, with a warning.
+    """
+    name = F.col("_metadata.file_name")
+    number = lambda pattern: F.coalesce(F.regexp_extract(name, pattern, 1).try_cast("bigint"), F.lit(0))
+    # a file of less than 2**32 rows; less than 2**11 files a task, as with a limit of rows a file
+    place = number(r"part-(\d+)") * (1 << 43) + number(r"-c(\d+)\.") * (1 << 32) + F.col("_metadata.row_index")
     try:
         docs.select(place).schema
     except AnalysisException:
+        warnings.warn("the documents come from no files: shards follow their ids, not the mixture", stacklevel=3)
         return "doc_id"
     return place
 
@@ -68,10 +82,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of sf_dir."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = cut(docs, f"stage-{i}")
-    return docs
+    """All stages over the documents of sf_dir. What a stage read and wrote for itself is deleted once its output is written."""
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), named_folders()
+    for i, (_, stage) in enumerate(STAGES[:-1]):
+        docs = cut(stage(spark, docs, sf_dir), f"stage-{i}")
+        release(spark, before, keep=last_named())
+    return STAGES[-1][1](spark, docs, sf_dir)
