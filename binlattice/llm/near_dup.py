@@ -191,7 +191,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80, id_col
     others: pairs that sizes and sketches allow are verified on full sets, and
     components are formed. Buckets that still hold several components do so
     again, with the most connected class outside their largest component. A bucket that is still open with more than
-    2 * BLOCK classes is parted by bands of a second, independent sketch. What is then
+    2 * BLOCK classes is parted by bands of a second, independent sketch, if that spares most of its pairs. What is then
     open is compared in blocks of at most 2 * BLOCK classes: sketches first, then, of the classes with a
     likely partner in the block, full sets, by counting common shingles of all of them at once; only links between components
     come out. So every pair that shares a band is verified or already
@@ -280,15 +280,22 @@ def _still_open(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _parted(rows: DataFrame, texts: DataFrame, shingle: int, plan: Banding) -> DataFrame:
-    """``rows`` with the buckets of more than 2 * BLOCK classes parted by bands of second sketches."""
-    large = rows.groupBy("bucket").count().where(F.col("count") > 2 * BLOCK).select("bucket")
-    inside = cut(rows.join(large, "bucket", "left_semi"), "large-buckets")
+    """``rows`` with buckets of more than 2 * BLOCK classes parted by bands of second sketches, where that leaves a quarter of the pairs or less.
+
+    Classes that are nearly similar enough, as texts of one template, share most second bands too: their bucket stays as it is.
+    """
+    large = rows.groupBy("bucket").agg(F.count("*").alias("held")).where(F.col("held") > 2 * BLOCK)
+    inside = cut(rows.join(large.select("bucket"), "bucket", "left_semi"), "large-buckets")
     if inside.isEmpty():
         return rows
     bands = texts.join(inside.select("name").distinct(), "name", "left_semi").mapInArrow(lambda it: _second_bands(it, shingle, plan), "name bigint, bands array<bigint>")
-    finer = inside.join(bands, "name").select("bucket", F.explode("bands").alias("band"), "name", "weight", "root").select(F.xxhash64("bucket", "band").alias("bucket"), "name", "weight", "root")
-    mixed = finer.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    return cut(rows.join(large, "bucket", "left_anti").unionByName(finer.join(mixed, "bucket", "left_semi"), allowMissingColumns=True), "parted-buckets")
+    finer = inside.join(bands, "name").select("bucket", F.explode("bands").alias("band"), "name", "weight", "root")
+    finer = cut(finer.select("bucket", F.xxhash64("bucket", "band").alias("finer"), "name", "weight", "root"), "finer-buckets")
+    pairs = finer.groupBy("bucket", "finer").agg(F.count("*").cast("double").alias("n")).groupBy("bucket").agg(F.sum(F.col("n") * F.col("n")).alias("pairs"))
+    apart = pairs.join(large, "bucket").where(4 * F.col("pairs") <= F.col("held").cast("double") * F.col("held")).select("bucket")
+    taken = finer.join(apart, "bucket", "left_semi").select(F.col("finer").alias("bucket"), "name", "weight", "root")
+    mixed = taken.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    return cut(rows.join(apart, "bucket", "left_anti").select("bucket", "name", "weight", "root").unionByName(taken.join(mixed, "bucket", "left_semi").select("bucket", "name", "weight", "root")), "parted-buckets")
 
 
 def _links_within(rows: DataFrame, facts: DataFrame, texts: DataFrame, shingle: int, percent: int, likely: int) -> DataFrame:
