@@ -120,10 +120,19 @@ def mad(df: DataFrame, value: str, keys: list[str]) -> DataFrame:
     return mid.groupBy(*keys).agg(F.median(F.abs(clean(value) - F.col("__m"))).alias("mad"))
 
 
-@F.pandas_udf(DoubleType())
-def two_sided_p(z: pd.Series) -> pd.Series:
-    """erfc(|z| / sqrt 2); a missing z counts as 0, so p is 1."""
-    return z.fillna(0.0).abs().map(lambda x: math.erfc(x / math.sqrt(2)))
+#: Coefficients of the published rational Chebyshev fit of ln(erfc(x) / t) + x^2 in t = 1 / (1 + x / 2), relative error under 1.2e-7 for all x >= 0.
+ERFC = [-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806, 0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277]
+
+
+def two_sided_p(z: Column | str) -> Column:
+    """erfc(|z| / sqrt 2) with a relative error under 1.2e-7; a missing z counts as 0, so p is 1."""
+    z = F.col(z) if isinstance(z, str) else z
+    x = F.abs(F.coalesce(z, F.lit(0.0))) / math.sqrt(2)
+    t = 1 / (1 + x / 2)
+    fit = F.lit(ERFC[-1])
+    for c in reversed(ERFC[:-1]):
+        fit = c + t * fit
+    return F.least(F.lit(1.0), t * F.exp(fit - x * x))
 
 
 def average_rank(value: str, keys: list[str]) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -11,6 +9,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from binlattice.functions.storage import stored
+
 #: The feature columns, in the order of the model.
 FEATURES = [
     "n_bins", "segment_weight", "segment_mean_signal", "segment_median_signal", "segment_mean_robust_z", "segment_median_robust_z", "segment_abs_max_robust_z",
@@ -86,12 +86,9 @@ def fold_metrics(scored: DataFrame) -> DataFrame:
 def train_event_classifier(labelled: DataFrame, cv_folds: int = 5, seed: int = 1, **params: float) -> tuple[PipelineModel, DataFrame] | None:
     """(model of all labelled rows, predictions of each row by a model of the other folds); None with fewer than two labels.
 
-    A row is held against its own label. Rows and predictions are checkpointed, since every fold reads them.
+    A row is held against its own label. Rows and predictions are written once, since every fold reads them.
     """
-    context = labelled.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-    rows = stratified_folds(labelled.where("label IS NOT NULL").withColumn("label", F.col("label").cast("double")), max(2, cv_folds), seed).checkpoint()
+    rows = stored(stratified_folds(labelled.where("label IS NOT NULL").withColumn("label", F.col("label").cast("double")), max(2, cv_folds), seed))
     if rows.select("label").distinct().count() < 2:
         return None
     held = None
@@ -99,7 +96,7 @@ def train_event_classifier(labelled: DataFrame, cv_folds: int = 5, seed: int = 1
         rest = rows.where(F.col("fold") != fold)
         part = predict(_fit(rest, **params), rows.where(F.col("fold") == fold))
         held = part if held is None else held.unionByName(part)
-    return _fit(rows, **params), held.checkpoint()
+    return _fit(rows, **params), stored(held)
 
 
 def reliability_curve(scored: DataFrame, n: int = 10) -> DataFrame:

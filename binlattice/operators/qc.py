@@ -26,29 +26,42 @@ def uniformity_metrics(bins: DataFrame) -> DataFrame:
     return out.join(gini(bins, "raw_count", ["sample_id"]), "sample_id")
 
 
-def _mid(sorted_values: Column, skip: Column, n: Column) -> Column:
-    """Median of a sorted array without the element at position ``skip`` (from 0)."""
-    at = lambda i: F.get(sorted_values, F.when(i >= skip, i + 1).otherwise(i))
+def _mid(at, n: Column, skip: Column) -> Column:
+    """Median of n values in order without the one at position ``skip`` (from 0); at(i) is the value at i."""
     m = n - 1
-    low, high = F.floor((m - 1) / 2).cast("int"), F.floor(m / 2).cast("int")
-    return (at(low) + at(high)) / 2
+    pick = lambda i: at(F.when(i >= skip, i + 1).otherwise(i))
+    return (pick(F.floor((m - 1) / 2).cast("int")) + pick(F.floor(m / 2).cast("int"))) / 2
 
 
 def leave_one_out(signals: DataFrame, value: str) -> DataFrame:
     """For each sample and bin the median and 1.4826 * MAD of all other samples, the latter floored per sample.
 
     The floor is the 5th percentile of the sample's positive sigmas, 1e-3 without any. A bin's values, one a
-    sample, are sorted once; each sample's median skips its own place, so there is no self-join.
+    sample, are sorted once. Leaving one out, their median is one of at most three; for each of these the deviations are
+    sorted once, with the place of the value they belong to, and a sample's MAD skips its own: n log n a bin of n samples.
     """
     place = F.struct(clean(value).alias("v"), "sample_id")
-    per = signals.where(clean(value).isNotNull()).groupBy("chrom", "bin_index").agg(F.sort_array(F.collect_list(place)).alias("all"))
-    rows = per.select("chrom", "bin_index", F.transform("all", lambda x: x["v"]).alias("values"), F.posexplode("all").alias("place", "own"))
-    n = F.size("values")
-    rows = rows.select("chrom", "bin_index", F.col("own.sample_id").alias("sample_id"), F.col("own.v").alias("v"), "values", "place", n.alias("n")).where("n > 1")
-    rows = rows.withColumn("ref_median", _mid(F.col("values"), F.col("place"), F.col("n")))
-    others = F.filter("values", lambda x, i: i != F.col("place"))
-    spread = F.sort_array(F.transform(others, lambda x: F.abs(x - F.col("ref_median"))))
-    rows = rows.withColumn("sigma", 1.4826 * _mid(spread, F.col("n"), F.col("n")))
+    per = signals.where(clean(value).isNotNull()).groupBy("chrom", "bin_index").agg(F.sort_array(F.collect_list(place)).alias("all")).where(F.size("all") > 1)
+    n = F.size("all")
+
+    def median_without(i: Column) -> Column:
+        return _mid(lambda j: F.get(F.col("all"), j)["v"], n, i)
+
+    # the middles without a low, a middle and a high value: all that can occur
+    centers = F.array_distinct(F.transform(F.array(F.lit(0), F.floor((n - 1) / 2).cast("int"), F.floor(n / 2).cast("int"), n - 1), median_without))
+    per = per.withColumn("centers", centers)
+    far = lambda c: F.sort_array(F.transform("all", lambda x, i: F.struct(F.abs(x["v"] - c).alias("d"), i.alias("i"))))
+    per = per.withColumn("spreads", F.transform("centers", lambda c: F.struct(c.alias("c"), far(c).alias("far"))))
+    # the place of each value's deviation among those of a center
+    ranks = lambda s: F.transform(F.sort_array(F.transform(s["far"], lambda x, r: F.struct(x["i"].alias("i"), r.alias("r")))), lambda x: x["r"])
+    per = per.withColumn("spreads", F.transform("spreads", lambda s: F.struct(s["c"].alias("c"), F.transform(s["far"], lambda x: x["d"]).alias("d"), ranks(s).alias("r"))))
+
+    def others(x: Column, i: Column) -> Column:
+        center = median_without(i)
+        own = lambda s: F.struct(x["sample_id"].alias("sample_id"), x["v"].alias("v"), s["c"].alias("ref_median"), (1.4826 * _mid(lambda j: F.get(s["d"], j), n, F.get(s["r"], i))).alias("sigma"))
+        return F.get(F.transform(F.filter("spreads", lambda s: s["c"] == center), own), F.lit(0))
+
+    rows = per.select("chrom", "bin_index", F.inline(F.transform("all", others)))
     floor = F.coalesce(F.percentile(F.when(F.col("sigma") > 0, F.col("sigma")), 0.05).over(over(["sample_id"])), F.lit(1e-3))
     return rows.withColumn("ref_sigma", F.greatest("sigma", floor)).select("sample_id", "chrom", "bin_index", "v", "ref_median", "ref_sigma")
 
@@ -60,17 +73,34 @@ def reference_deviation(loo: DataFrame) -> DataFrame:
     return out.join(correlations(loo, "ref_median", "v", ["sample_id"]).select("sample_id", "pearson", "spearman"), "sample_id")
 
 
-def qc_decision(metrics: DataFrame, checks: list[tuple[str, str, float, float]]) -> DataFrame:
-    """PASS, WARN or FAIL by checks of (column, 'min' or 'max', warn, fail) in order; null fails as ``name=nan``."""
+#: The checks of a sample in order, each with the value from which on it warns and fails.
+DEFAULT_CHECKS = [
+    ("mapped_fragments", "min", 2000000, 1000000),
+    ("zero_bin_fraction", "max", 0.15, 0.3),
+    ("bin_cv", "max", 1.5, 2.5),
+    ("adjacent_diff_mad", "max", 0.35, 0.55),
+    ("gini_coefficient", "max", 0.28, 0.35),
+    ("pearson_r", "min", 0.92, 0.85),
+    ("spearman_r", "min", 0.9, 0.83),
+    ("median_abs_z", "max", 1.0, 1.5),
+    ("outlier_frac_abs_z_gt_3", "max", 0.15, 0.3),
+]
+
+
+def qc_decision(metrics: DataFrame, checks: list[tuple[str, str, float, float]] = DEFAULT_CHECKS) -> DataFrame:
+    """PASS, WARN or FAIL by checks of (column, 'min' or 'max', warn, fail) in order; null fails as ``name=nan``.
+
+    Reasons name the check and the limit, such as ``pearson_r<0.85``: those that fail, else those that warn.
+    """
     fails, warns = [], []
     for name, kind, warn, fail in checks:
-        x = F.col(name)
+        x, sign = F.col(name), "<" if kind == "min" else ">"
         beyond = (lambda x, t: x < t) if kind == "min" else (lambda x, t: x > t)
-        fails.append(F.when(x.isNull(), F.lit(f"{name}=nan")).when(beyond(x, fail), F.lit(f"{name}_fail")))
-        warns.append(F.when(beyond(x, warn), F.lit(f"{name}_warn")))
+        fails.append(F.when(x.isNull(), F.lit(f"{name}=nan")).when(beyond(x, fail), F.lit(f"{name}{sign}{fail}")))
+        warns.append(F.when(beyond(x, warn), F.lit(f"{name}{sign}{warn}")))
     out = metrics.withColumn("__f", F.array_compact(F.array(*fails))).withColumn("__w", F.array_compact(F.array(*warns)))
     decision = F.when(F.size("__f") > 0, "FAIL").when(F.size("__w") > 0, "WARN").otherwise("PASS")
-    reason = F.when(F.size("__f") > 0, F.concat_ws(";", "__f")).when(F.size("__w") > 0, F.concat_ws(";", "__w")).otherwise("all_checks_passed")
+    reason = F.when(F.size("__f") > 0, F.concat_ws(";", "__f")).when(F.size("__w") > 0, F.concat_ws(";", "__w")).otherwise("all_metrics_within_default_heuristic_thresholds")
     return out.withColumn("qc_decision", decision).withColumn("qc_reason", reason).drop("__f", "__w")
 
 
@@ -81,12 +111,19 @@ def autosome_fractions(bins: DataFrame) -> DataFrame:
     return per.select("sample_id", "chrom", F.when(total > 0, F.col("n") / total).otherwise(0.0).alias("fraction"))
 
 
-def chromosome_bias(fractions: DataFrame) -> DataFrame:
-    """Largest deviation of a sample's chromosome shares in robust units of the cohort, and the chromosome."""
-    mid = fractions.withColumn("m", F.median("fraction").over(over(["chrom"])))
-    mid = mid.withColumn("s", 1.4826 * F.median(F.abs(F.col("fraction") - F.col("m"))).over(over(["chrom"])))
+def chromosome_bias(fractions: DataFrame, stable: DataFrame | None = None) -> DataFrame:
+    """Deviation of a sample's chromosome shares in robust units of the cohort: the largest, and the three chromosomes with the largest.
+
+    The cohort is the samples of ``stable``, or all where none of them is there. A spread of 0 counts as 1e-6.
+    """
+    marked = fractions.withColumn("__in", F.lit(False)) if stable is None else fractions.join(stable.select("sample_id").distinct().withColumn("__in", F.lit(True)), "sample_id", "left").withColumn("__in", F.coalesce("__in", F.lit(False)))
+    none = marked.agg((~F.coalesce(F.bool_or("__in"), F.lit(False))).alias("__none"))  # one row
+    cohort = marked.crossJoin(F.broadcast(none)).where(F.col("__in") | F.col("__none"))
+    mid = cohort.withColumn("m", F.median("fraction").over(over(["chrom"]))).groupBy("chrom").agg(F.max("m").alias("m"), (1.4826 * F.median(F.abs(F.col("fraction") - F.col("m")))).alias("s"))
     z = F.abs(F.col("fraction") - F.col("m")) / F.when(F.col("s") > 0, F.col("s")).otherwise(1e-6)
-    return mid.withColumn("z", z).groupBy("sample_id").agg(F.max("z").alias("max_abs_z"), F.max_by("chrom", F.struct("z", "chrom")).alias("top_chrom"))
+    top = F.sort_array(F.collect_list(F.struct((-F.col("z")).alias("z"), "chrom")))  # 22 a sample
+    per = fractions.join(mid, "chrom").withColumn("z", z).groupBy("sample_id").agg(F.max("z").alias("max_abs_z"), top.alias("top"))
+    return per.select("sample_id", "max_abs_z", *[F.coalesce(F.get("top", F.lit(i))["chrom"], F.lit("")).alias(f"top_chrom_{i + 1}") for i in range(3)])
 
 
 def input_qc(bins: DataFrame, least_total: float = 1e6, least_nonzero: float = 0.4, most_mad: float = 1.2) -> DataFrame:
@@ -98,10 +135,16 @@ def input_qc(bins: DataFrame, least_total: float = 1e6, least_nonzero: float = 0
 
 
 def sample_correlations(bins: DataFrame, value: str) -> DataFrame:
-    """Pearson correlation of every two samples' profiles, by a join on the bin."""
-    a = bins.select("chrom", "bin_index", F.col("sample_id").alias("sample_a"), F.col(value).alias("a"))
-    b = bins.select("chrom", "bin_index", F.col("sample_id").alias("sample_b"), F.col(value).alias("b"))
-    return a.join(b, ["chrom", "bin_index"]).groupBy("sample_a", "sample_b").agg(F.corr("a", "b").alias("pearson"))
+    """Pearson correlation of every two samples' profiles.
+
+    The bins of a chromosome are gathered to an array for each bin; each pair of samples is added up once, from sums of products that tasks combine
+    before anything moves, and reported in both orders; with itself a sample correlates to 1 (null without variance).
+    """
+    per = bins.where(clean(value).isNotNull()).groupBy("chrom", "bin_index").agg(F.sort_array(F.collect_list(F.struct("sample_id", clean(value).alias("v")))).alias("all"))
+    pairs = F.flatten(F.transform("all", lambda x, i: F.transform(F.slice("all", i + 1, F.size("all")), lambda y: F.struct(x["sample_id"].alias("sample_a"), y["sample_id"].alias("sample_b"), x["v"].alias("a"), y["v"].alias("b")))))
+    half = per.select(F.inline(pairs)).groupBy("sample_a", "sample_b").agg(F.corr("a", "b").alias("pearson"))
+    ends = F.when(F.col("sample_a") == F.col("sample_b"), F.array(F.struct("sample_a", "sample_b"))).otherwise(F.array(F.struct("sample_a", "sample_b"), F.struct(F.col("sample_b").alias("sample_a"), F.col("sample_a").alias("sample_b"))))
+    return half.select(F.inline(ends), "pearson")
 
 
 def dynamic_bin_metrics(scored: DataFrame) -> DataFrame:

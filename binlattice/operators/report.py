@@ -6,42 +6,57 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from binlattice.functions.stats import clean
-from binlattice.operators.evaluate import fraction_bin
+from binlattice.operators.evaluate import event_support_z, fraction_bin, normalize_chrom, normalize_state  # noqa: F401
 
 SEX = ["chrX", "chrY"]
-FRACTION_ALIASES = ["abnormal_cell_fraction", "truth_fraction", "fraction"]
+#: The names that a truth table's fraction may have, the first one present counting.
+FRACTION_ALIASES = ["abnormal_cell_fraction", "expected_abnormal_cell_fraction", "expected_fraction", "truth_fraction", "mosaic_fraction", "abnormal_fraction"]
 
 
-def event_support_z(*columns: str) -> Column:
-    """Largest |z| of the columns, nulls skipped."""
-    return F.greatest(*[F.abs(clean(c)) for c in columns]) if len(columns) > 1 else F.abs(clean(columns[0]))
-
-
-def sample_metrics(events: DataFrame, samples: DataFrame) -> DataFrame:
-    """Per sample of ``samples`` the counts of its events by status and support; 0 without events."""
-    per = events.groupBy("sample_id").agg(
-        F.count("*").alias("n_events"), F.count_if(F.col("artifact_status") == "pass").alias("n_pass"), F.count_if(F.col("artifact_status") == "review").alias("n_review"), F.max("priority_score").alias("max_priority"),
-        F.max("segment_abs_max_robust_z").alias("max_abs_z"), F.count_if(F.col("high_risk_bin_fraction") >= 0.5).alias("n_high_risk"), F.count_if(F.col("clean_bin_fraction") >= 0.5).alias("n_clean_supported"),
+def sample_metrics(events: DataFrame, sexes: DataFrame | None = None, quality: DataFrame | None = None) -> DataFrame:
+    """Per sample with events their counts by status and support, top priority and largest |calibrated z|, with the sample's sex and quality columns."""
+    n = lambda test, name: F.count_if(F.coalesce(test, F.lit(False))).alias(name)
+    out = events.groupBy("sample_id").agg(
+        F.count("*").alias("total_events"), F.sum("keep_event").alias("kept_events"), n(F.col("artifact_status") == "pass", "pass_events"), n(F.col("artifact_status") == "review", "review_events"), F.max("priority_score").alias("top_priority_score"),
+        F.max(F.abs(clean("calibrated_mean_z"))).alias("max_abs_calibrated_z"), n(F.col("high_risk_bin_fraction") >= 0.5, "high_risk_events"), n(F.col("clean_bin_fraction") >= 0.5, "clean_supported_events"),
     )
-    return samples.join(per, "sample_id", "left").fillna(0, ["n_events", "n_pass", "n_review", "n_high_risk", "n_clean_supported"])
+    for more in (sexes, quality):
+        if more is not None:
+            out = out.join(more, "sample_id", "left")
+    return out
 
 
 def load_truth(truth: DataFrame, aliases: list[str] = FRACTION_ALIASES) -> DataFrame:
-    """The first fraction column that exists, as a double; what is no number is null."""
+    """The first fraction column that exists, as a double, and its name; what is no number is null. Chromosomes and states are read in any spelling."""
     found = next((c for c in aliases if c in truth.columns), None)
-    return truth.withColumn("truth_fraction", clean(F.col(found).cast("string").try_cast("double")) if found else F.lit(None).cast("double"))
+    value = clean(F.col(found).cast("string").try_cast("double")) if found else F.lit(None).cast("double")
+    return truth.withColumns({"truth_fraction": value, "truth_fraction_source": F.lit(found or ""), "chrom": normalize_chrom(F.trim("chrom")), "state": normalize_state(F.col("state"))})
+
 
+def load_external(segments: DataFrame) -> DataFrame:
+    """Segments of another caller (sample_id, chrom, kind, start_pos, end_pos, zscore) with state and |z|."""
+    return segments.select("sample_id", normalize_chrom(F.trim("chrom")).alias("chrom"), normalize_state(F.col("kind")).alias("state"), "start_pos", "end_pos", "zscore", F.abs("zscore").alias("abs_zscore"))
 
-def match_truth(events: DataFrame, truth: DataFrame, support: float = 2.5) -> DataFrame:
-    """Truth rows with number of matches, top support and the top event's fraction and interval (ties: smallest event_id)."""
-    e = events.select("sample_id", "chrom", "state", F.col("start_pos").alias("e_start"), F.col("end_pos").alias("e_end"), "support_z", "event_id", "fraction_point", "fraction_ci_low", "fraction_ci_high", "fraction_status")
+
+def match_truth(events: DataFrame, truth: DataFrame, external: DataFrame, support: float = 2.5, external_support: float = 5.0) -> DataFrame:
+    """Truth rows with both callers' matches: their number, top support and whether that detects; of the own caller the top event's fraction and interval too.
+
+    Matches have the same sample, chromosome and state and, where the truth has both bounds, share a base with it. Ties go to the smallest event_id.
+    """
+    keys = ["sample_id", "chrom", "state"]
     free = F.col("t_start").isNull() | F.col("t_end").isNull()
-    touch = F.least("e_end", "t_end") - F.greatest("e_start", "t_start") + 1 > 0
-    met = truth.join(e, ["sample_id", "chrom", "state"], "left").withColumn("hit", F.col("event_id").isNotNull() & (free | touch))
-    top = F.min_by(F.struct("event_id", "support_z", "fraction_point", "fraction_ci_low", "fraction_ci_high", "fraction_status"), F.when(F.col("hit"), F.struct(-F.col("support_z"), F.col("event_id")))).alias("top")
-    out = met.groupBy("truth_id", "sample_id", "chrom", "state", "truth_fraction").agg(F.count_if("hit").alias("n_matched"), top)
-    return out.select("truth_id", "sample_id", "chrom", "state", "truth_fraction", "n_matched", F.col("top.event_id").alias("top_event_id"), F.col("top.support_z").alias("top_z"), F.col("top.fraction_point").alias("point"), F.col("top.fraction_ci_low").alias("ci_low"), F.col("top.fraction_ci_high").alias("ci_high"),
-        F.coalesce(F.col("top.support_z") >= support, F.lit(False)).cast("int").alias("detected"))
+    touch = F.coalesce(F.least("e_end", "t_end") - F.greatest("e_start", "t_start") + 1 > 0, F.lit(False))
+    e = events.select(*keys, F.col("start_pos").alias("e_start"), F.col("end_pos").alias("e_end"), "support_z", "event_id", "fraction_point", "fraction_ci_low", "fraction_ci_high", "fraction_status")
+    met = truth.join(e, keys, "left").withColumn("hit", F.col("event_id").isNotNull() & (free | touch))
+    best = F.struct("event_id", "support_z", "fraction_point", "fraction_ci_low", "fraction_ci_high", "fraction_status")
+    top = F.min_by(best, F.when(F.col("hit"), F.struct(-F.coalesce("support_z", F.lit(float("-inf"))), F.col("event_id")))).alias("top")
+    own = met.groupBy("truth_id", *keys, "truth_fraction").agg(F.count_if("hit").alias("n_matched"), top)
+    x = external.select(*keys, F.col("start_pos").alias("e_start"), F.col("end_pos").alias("e_end"), "abs_zscore")
+    other = truth.join(x, keys, "left").withColumn("hit", F.col("abs_zscore").isNotNull() & (free | touch))
+    other = other.groupBy("truth_id").agg(F.count_if("hit").alias("external_n_matched"), F.max(F.when(F.col("hit"), F.col("abs_zscore"))).alias("external_top_z"))
+    reaches = lambda z, least: F.coalesce(F.col(z) >= least, F.lit(False)).cast("int")
+    out = own.join(other, "truth_id").withColumns({"top_event_id": F.col("top.event_id"), "top_z": F.col("top.support_z"), "point": F.col("top.fraction_point"), "ci_low": F.col("top.fraction_ci_low"), "ci_high": F.col("top.fraction_ci_high"), "fraction_status": F.col("top.fraction_status")})
+    return out.withColumns({"detected": reaches("top_z", support), "external_detected": reaches("external_top_z", external_support)}).drop("top")
 
 
 def fraction_errors(matched: DataFrame) -> DataFrame:
@@ -55,21 +70,26 @@ def fraction_error_summary(errors: DataFrame) -> DataFrame:
     return errors.agg(F.count("abs_error").alias("n"), F.avg("abs_error").alias("mae"), F.sqrt(F.avg(F.col("abs_error") * F.col("abs_error"))).alias("rmse"), F.median("abs_error").alias("median_abs_error"), F.avg("ci_covers").alias("coverage"))
 
 
-def admixture_grid(matched: DataFrame, levels: list[float], support: float = 2.5) -> DataFrame:
-    """Every truth row at every level: z and fraction scaled by it, detection, target fraction and where that is from."""
+def admixture_grid(matched: DataFrame, levels: list[float], support: float = 2.5, external_support: float = 5.0) -> DataFrame:
+    """Every truth row at every level: both callers' z and the fraction scaled by it, detection, target fraction, where that is from and its bin."""
     rows = matched.select("*", F.explode(F.array(*[F.lit(x) for x in levels])).alias("level"))
-    z, t, p = F.col("top_z") * F.col("level"), F.col("truth_fraction") * F.col("level"), F.col("point") * F.col("level")
+    scaled = lambda c: F.col(c) * F.col("level")
+    z, x, t, p = scaled("top_z"), scaled("external_top_z"), scaled("truth_fraction"), scaled("point")
     target = F.coalesce(t, p)
     source = F.when(t.isNotNull(), "truth_fraction").when(p.isNotNull(), "branch_b_estimate").otherwise("")
-    return rows.select("truth_id", "sample_id", "chrom", "state", "level", z.alias("scaled_z"), F.coalesce(z >= support, F.lit(False)).cast("int").alias("detected"), target.alias("target_fraction"), source.alias("fraction_source"), fraction_bin(target).alias("fraction_bin"))
+    reaches = lambda v, least: F.coalesce(v >= least, F.lit(False)).cast("int")
+    return rows.select(
+        "truth_id", "sample_id", "chrom", "state", "level", z.alias("scaled_z"), reaches(z, support).alias("detected"), x.alias("external_scaled_z"), reaches(x, external_support).alias("external_detected"),
+        t.alias("truth_fraction"), p.alias("fraction_proxy"), target.alias("target_fraction"), source.alias("fraction_source"), fraction_bin(target).alias("fraction_bin"),
+    )
 
 
 def detection_by_level(grid: DataFrame) -> DataFrame:
-    return grid.groupBy("level").agg(F.avg("detected").alias("detection_rate"), F.count("*").alias("n"))
+    return grid.groupBy("level").agg(F.avg("detected").alias("detection_rate"), F.avg("external_detected").alias("external_detection_rate"), F.count("*").alias("truth_event_count"))
 
 
 def risk_bucket_counts(events: DataFrame) -> DataFrame:
-    bucket = F.when(F.coalesce(F.col("high_risk_bin_fraction") >= 0.5, F.lit(False)), "high_risk").otherwise("other")
+    bucket = F.when(F.coalesce(F.col("high_risk_bin_fraction") >= 0.5, F.lit(False)), "high_risk").otherwise("clean_or_mixed")
     return events.where("keep_event = 1").groupBy(bucket.alias("risk_bucket")).agg(F.count("*").alias("n_events"))
 
 
@@ -85,18 +105,35 @@ def sample_event_rollup(events: DataFrame) -> DataFrame:
 
 
 def top_display_event(events: DataFrame) -> DataFrame:
-    """The kept event to show of each sample, by priority, bins and end, as text."""
+    """The kept event to show of each sample, by priority, bins and end, as text, with its fraction in percent where there is one, flags and reasons."""
     w = Window.partitionBy("sample_id").orderBy(F.desc("priority_score"), F.desc("n_bins"), F.desc("end_pos"), "event_id")
     shown = events.where((F.col("keep_event") == 1) & ~_suppressed()).withColumn("__r", F.row_number().over(w)).where("__r = 1")
     text = F.format_string("%s:%d-%d %s [%s/%s]", "chrom", "start_pos", "end_pos", "state", "artifact_status", "technical_confidence")
-    return shown.select("sample_id", "event_id", text.alias("display"))
+    percent = lambda c: 100 * F.col(c)
+    point, low, high = (F.col(c).isNotNull() for c in ("fraction_point", "fraction_ci_low", "fraction_ci_high"))
+    return shown.select(
+        "sample_id", "event_id", text.alias("top_event"),
+        F.when(point, F.format_string("%.1f%%", percent("fraction_point"))).otherwise("").alias("top_fraction"),
+        F.when(low & high, F.format_string("%.1f%% to %.1f%%", percent("fraction_ci_low"), percent("fraction_ci_high"))).otherwise("").alias("top_fraction_ci"),
+        F.col("artifact_flags").alias("top_flags"), F.col("downgrade_reason").alias("top_downgrade_reason"),
+    )
 
 
-def sample_conclusions(samples: DataFrame, rollup: DataFrame, shown: DataFrame) -> DataFrame:
-    """One line of text a sample; samples without events or without one to show get a fallback."""
-    df = samples.join(rollup, "sample_id", "left").join(shown, "sample_id", "left")
-    text = F.when(F.col("display").isNotNull(), F.format_string("%d kept of %d events; top %s", "n_kept", "n_events", "display")).when(F.col("n_events") > 0, F.format_string("no event to show of %d", "n_events")).otherwise("no events")
-    return df.select("sample_id", text.alias("conclusion"))
+def sample_conclusions(samples: DataFrame, rollup: DataFrame, shown: DataFrame, external: DataFrame) -> DataFrame:
+    """The technical and the biological line of text of each sample with events, from its roll-up, the event shown, the other caller's (sample_id, top_event) and the samples' qc_status and sex_call."""
+    other = external.select("sample_id", F.col("top_event").alias("external_event"))
+    df = rollup.join(shown, "sample_id", "left").join(other, "sample_id", "left").join(samples, "sample_id", "left")
+    hidden = F.coalesce("n_suppressed", F.lit(0)) > 0
+    said = lambda c, some, none: F.coalesce(F.nullif(F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))), F.lit("")), F.when(hidden, some).otherwise(none))
+    # fixed values: the sentences
+    technical = F.format_string(
+        "Branch B kept %d events; top event: %s; fraction=%s; flags=%s; downgrade=%s; sex_review_suppressed=%d; QC=%s; sex=%s",
+        F.coalesce("n_kept", F.lit(0)), said("top_event", "suppressed_sex_chromosome_review", "none"), said("top_fraction", "not_estimated", "not_estimated"), said("top_flags", "sex_chromosome_event", "none"),
+        said("top_downgrade_reason", "sex_chromosome_review_suppressed", "none"), F.coalesce("n_suppressed", F.lit(0)), said("qc_status", "NA", "NA"), said("sex_call", "NA", "NA"),
+    )
+    some = lambda c: F.nullif(F.trim(F.coalesce(F.col(c), F.lit(""))), F.lit(""))
+    biological = F.coalesce(some("top_event"), some("external_event"), F.when(hidden, "Branch B top event suppressed (sex-chromosome review only)").otherwise("No A-branch event"))
+    return df.select("sample_id", technical.alias("technical_conclusion"), biological.alias("biological_conclusion"))
 
 
 def validate_truth(truth: DataFrame, required: tuple[str, ...] = ("sample_id", "chrom", "expected_state")) -> DataFrame:
@@ -114,27 +151,46 @@ def validate_truth(truth: DataFrame, required: tuple[str, ...] = ("sample_id", "
     return all_.withColumn("status", F.when((F.col("n_missing") > 0) | (F.col("n_invalid") > 0), "incomplete").when(F.col("n_duplicate_keys") > 0, "needs_review").otherwise("ok"))
 
 
-def diff_tables(a: DataFrame, b: DataFrame, keys: list[str], tolerance: float = 1e-9, ignore: tuple[str, ...] = ()) -> DataFrame:
-    """One row: what differs between two tables joined on their keys, and the largest difference of a number."""
-    left, right = [c for c in a.columns if c not in ignore], [c for c in b.columns if c not in ignore]
+#: The keys by which tables are compared where none are given, the first all of whose columns exist.
+KEY_CANDIDATES = [["sample_id", "chrom", "start", "end", "state"], ["sample_id", "chrom", "start", "end", "expected_state"], ["sample_id"]]
+
+
+def diff_tables(a: DataFrame, b: DataFrame, keys: list[str] | None = None, tolerance: float = 1e-9, ignore: tuple[str, ...] = ()) -> DataFrame:
+    """One row: what differs between two tables, and the largest difference of a number.
+
+    schema_changed if the columns or their order differ; row_count_changed; value_changed if anything but numbers differs, or rows have no partner;
+    float_tolerance_only if only numbers differ, by more than ``tolerance``; else identical. Rows are partners by their keys (KEY_CANDIDATES if none are given), each of
+    which should occur once, rather than by their places in sorted tables. A column of numbers with a null on either side is compared as values.
+    """
     spark = a.sparkSession
-    if sorted(left) != sorted(right):
-        return spark.range(1).select(F.lit("schema_changed").alias("status"), F.lit(None).cast("bigint").alias("n_rows_differ"), F.lit(None).cast("double").alias("max_abs_diff"))
-    kind = dict(a.select(*left).dtypes)
-    values = [c for c in left if c not in keys]
-    number = [c for c in values if kind[c] in ("double", "float", "int", "bigint") or kind[c].startswith("decimal")]
+    fixed = lambda status: spark.range(1).select(F.lit(status).alias("status"), F.lit(None).cast("bigint").alias("n_rows_differ"), F.lit(None).cast("double").alias("max_abs_diff"))
+    if a.columns != b.columns:
+        return fixed("schema_changed")
+    keys = keys or next((k for k in KEY_CANDIDATES if set(k) <= set(a.columns)), None)
+    if not keys:
+        raise ValueError("tables without key columns: name the keys")
+    kind = dict(a.dtypes)
+    values = [c for c in a.columns if c not in ignore and c not in keys]
+    number = [c for c in values if kind[c] in ("double", "float", "int", "bigint", "smallint", "tinyint") or kind[c].startswith("decimal")]
     x = a.select(*keys, *[F.col(c).alias(f"a_{c}") for c in values], F.lit(1).alias("in_a"))
     y = b.select(*keys, *[F.col(c).alias(f"b_{c}") for c in values], F.lit(1).alias("in_b"))
     both = x.join(y, keys, "full")
     gap = lambda c: F.abs(F.col(f"a_{c}").cast("double") - F.col(f"b_{c}").cast("double"))
-    same = lambda c: F.equal_null(F.col(f"a_{c}"), F.col(f"b_{c}"))
-    near = lambda c: same(c) | F.coalesce(gap(c) <= tolerance, F.lit(False)) if c in number else same(c)
-    every = lambda test: F.coalesce(F.forall(F.array(F.lit(True), *[test(c) for c in values]), lambda v: v), F.lit(False))
+    differs = lambda c: ~F.equal_null(F.col(f"a_{c}"), F.col(f"b_{c}"))
+    some = lambda tests: F.exists(F.array(F.lit(False), *tests), lambda v: v)
     alone = F.col("in_a").isNull() | F.col("in_b").isNull()
-    far = F.array_max(F.array(F.lit(0.0), *[F.coalesce(gap(c), F.lit(0.0)) for c in number]))
-    n = both.agg(F.count_if(alone).alias("alone"), F.count_if(~alone & ~every(near)).alias("changed"), F.count_if(~alone & ~every(same)).alias("moved"), F.max(far).alias("max_abs_diff"))
-    status = F.when(F.col("alone") > 0, "row_count_changed").when(F.col("changed") > 0, "value_changed").when(F.col("moved") > 0, "float_tolerance_only").otherwise("identical")
-    return n.select(status.alias("status"), (F.col("alone") + F.col("moved")).alias("n_rows_differ"), "max_abs_diff")
+    per = []
+    for i, c in enumerate(values):
+        per.append(F.count_if(~alone & differs(c)).alias(f"differ{i}"))
+        if c in number:
+            per += [F.count_if(~alone & (F.col(f"a_{c}").isNull() | F.col(f"b_{c}").isNull())).alias(f"null{i}"), F.max(F.when(~alone, gap(c))).alias(f"far{i}")]
+    n = both.agg(F.count("in_a").alias("left"), F.count("in_b").alias("right"), F.count_if(alone).alias("alone"), F.count_if(alone | some([differs(c) for c in values])).alias("differ"), *per)
+    plain = lambda i, c: (c in number) and F.col(f"null{i}") == 0
+    changed = [(F.col(f"differ{i}") > 0) & (~plain(i, c) if c in number else F.lit(True)) for i, c in enumerate(values)]
+    moved = [plain(i, c) & (F.coalesce(f"far{i}", F.lit(0.0)) > tolerance) for i, c in enumerate(values) if c in number]
+    far = F.array_max(F.array(F.lit(0.0), *[F.coalesce(f"far{i}", F.lit(0.0)) for i, c in enumerate(values) if c in number]))
+    status = F.when(F.col("left") != F.col("right"), "row_count_changed").when((F.col("alone") > 0) | some(changed), "value_changed").when(some(moved), "float_tolerance_only").otherwise("identical")
+    return n.select(status.alias("status"), F.col("differ").alias("n_rows_differ"), far.alias("max_abs_diff"))
 
 
 def run_status(logs: DataFrame, failed: list[str], done: list[str]) -> DataFrame:
@@ -145,9 +201,9 @@ def run_status(logs: DataFrame, failed: list[str], done: list[str]) -> DataFrame
 
 
 def batch_group(name: Column) -> Column:
-    """E with its digits, a number, a single letter A to H, or other."""
-    s = F.upper(F.trim(name))
-    return F.when(s.rlike("^E[0-9]+"), F.lit("E")).when(s.rlike("^[0-9]+"), F.lit("numeric")).when(s.rlike("^[A-H]$"), s).otherwise("other")
+    """The batch that a sample's id says: E and digits, digits, one letter A to H, or other."""
+    # fixed values: the names of the groups
+    return F.when(name.rlike("^E[0-9]+$"), "batch5_E").when(name.rlike("^[0-9]+$"), "batch3_num").when(name.rlike("^[A-H]$"), "batch2_AH").otherwise("other")
 
 
 def decision_rank(decision: Column) -> Column:
@@ -170,12 +226,24 @@ def sample_decision_matrix(rows: DataFrame, labels: list[str]) -> DataFrame:
 
 
 def resolve_sex(calls: DataFrame, method: str = "hybrid") -> DataFrame:
-    """Final sex from model_call and depth_call; with ``hybrid`` a depth call of XX or XY overrides the model where they disagree."""
+    """Final sex, gender (F, M or empty) and where they are from, of model_call and depth_call.
+
+    model_only: the model's call. depth_only: the depth's where it is XX or XY, else the model's. hybrid: a depth call of XX or XY
+    that disagrees with the model, or finds none, overrides it.
+    """
     m, d = F.col("model_call"), F.col("depth_call")
     sure = F.coalesce(d.isin("XX", "XY"), F.lit(False))
-    final = {"model": m, "depth": d, "hybrid": F.when(sure, d).otherwise(m)}[method]
-    source = F.when(sure & F.coalesce(m != d, F.lit(True)), "depth_override").when(sure, "agree").otherwise("model") if method == "hybrid" else F.lit(method)
-    return calls.withColumn("sex", final).withColumn("sex_source", source)
+    if method == "model_only":
+        final, source = m, F.lit("model_only")
+    elif method == "depth_only":
+        final, source = F.when(sure, d).otherwise(m), F.when(sure, "depth_only").otherwise("depth_only_fallback_model")
+    elif method == "hybrid":
+        final = F.when(sure, d).otherwise(m)
+        source = F.when(sure & F.coalesce(m != d, F.lit(True)), "depth_override").when(sure, "model_depth_consensus").otherwise("model_fallback")
+    else:
+        raise ValueError(f"unknown method {method}")
+    gender = F.when(final == "XX", "F").when(final == "XY", "M").otherwise("")
+    return calls.withColumns({"sex": final, "gender": gender, "sex_source": source})
 
 
 def cutoff_applicability(values: DataFrame, value: str, cutoff: float) -> DataFrame:

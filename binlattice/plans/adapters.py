@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from binlattice.functions.stats import normalize_log1p_cpm, robust_z, two_sided_p
-from binlattice.operators import artifact, calibrate, calling, evaluate, grid, qc
+from binlattice.functions.storage import stored
+from binlattice.operators import artifact, calibrate, calling, evaluate, grid, qc, report
 
 BIN, N_BINS, MAPQ = 90_000, 28, 10
 CLASSES = ["segmental_duplication", "low_mappability", "repeat_rich", "gap_centromere_telomere", "blacklist"]
@@ -40,6 +40,11 @@ def chrom_sizes(spark: SparkSession, length: int = BIN * N_BINS) -> DataFrame:
     return spark.range(24).selectExpr(f"{_CHROM.format('id')} AS chrom", f"CAST({length} AS BIGINT) AS length")
 
 
+def seen_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chromosomes as long as their last alignment says."""
+    return alignments(spark, sf_dir).groupBy("chrom").agg((F.max("pos") + 1).alias("length"))
+
+
 def bin_grid(spark: SparkSession) -> DataFrame:
     return grid.make_bin_grid(chrom_sizes(spark), BIN, "analysis")
 
@@ -52,12 +57,26 @@ def bins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    start = "CAST(datediff(o_orderdate, DATE'1995-01-01') AS BIGINT) * 1000"
-    return _table(spark, sf_dir, "orders").where("o_orderkey % 20 = 0").selectExpr(
+    """One interval an order. A class lies in every seventh bin of a chromosome, another one on each, so that two bins of seven hold none but ends."""
+    nth = "CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 WHEN '3-MEDIUM' THEN 2 WHEN '4-NOT SPECIFIED' THEN 3 ELSE 4 END"
+    start = f"CAST((7 * (o_orderkey % 4) + ({nth} + 24 - o_custkey % 24) % 7) * 90000 + (o_orderkey * 37) % 85000 AS BIGINT)"
+    return _table(spark, sf_dir, "orders").selectExpr(
         "CASE o_orderpriority WHEN '1-URGENT' THEN 'segmental_duplication' WHEN '2-HIGH' THEN 'low_mappability' WHEN '3-MEDIUM' THEN 'repeat_rich' WHEN '4-NOT SPECIFIED' THEN 'gap_centromere_telomere' ELSE 'blacklist' END AS region_class",
         f"{_CHROM.format('(o_custkey % 24)')} AS chrom",
         f"{start} AS start_pos",
-        f"{start} + (o_orderkey % 5 + 1) * 7000 AS end_pos",
+        f"{start} + (o_orderkey % 5 + 1) * 350 AS end_pos",
+    )
+
+
+def external(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segments of another caller, with its spellings of states and chromosomes."""
+    return _table(spark, sf_dir, "orders").selectExpr(
+        "concat('S', CAST(o_custkey % 8 AS STRING)) AS sample_id",
+        f"replace({_CHROM.format('(o_orderkey % 24)')}, 'chr', '') AS chrom",
+        "CASE WHEN o_custkey % 2 = 0 THEN 'dup' ELSE '-' END AS kind",
+        "CAST((o_orderkey % 28) * 90000 AS BIGINT) AS start_pos",
+        "CAST((o_orderkey % 28) * 90000 + 200000 AS BIGINT) AS end_pos",
+        "CAST(o_custkey % 17 - 8 AS DOUBLE) AS zscore",
     )
 
 
@@ -67,7 +86,8 @@ def sequence_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "events").selectExpr(
-        "event_id", "event_type AS rule_name", "CAST(user_id % 4 AS INT) AS threads", "value AS wall_seconds", "CASE event_type WHEN 'error' THEN 'log_failed' ELSE 'success' END AS status", "ts AS created_at", "user_id"
+        "event_id", "event_type AS rule_name", "CAST(user_id % 4 AS INT) AS threads", "value AS wall_seconds", "CASE event_type WHEN 'error' THEN 'log_failed' ELSE 'success' END AS status", "ts AS created_at", "user_id",
+        "CASE user_id % 3 WHEN 0 THEN 'qc' ELSE 'predict' END AS module", "CASE WHEN user_id % 5 = 0 THEN '1' ELSE '2-8' END AS sample_bucket", "CAST(event_id % 2 * 500000 + 500000 AS BIGINT) AS binsize", "CASE WHEN event_id % 3 > 0 THEN CAST(event_id % 3 AS INT) END AS pca_components",
     )
 
 
@@ -95,14 +115,24 @@ def truth(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "customer").selectExpr(
         "c_custkey AS truth_id",
         "concat('S', CAST(c_custkey % 8 AS STRING)) AS sample_id",
-        f"{_CHROM.format('(c_nationkey % 24)')} AS chrom",
-        "CASE WHEN c_custkey % 2 = 0 THEN 'gain' ELSE 'loss' END AS state",
+        f"CASE WHEN c_custkey % 7 = 0 THEN replace({_CHROM.format('(c_nationkey % 24)')}, 'chr', '') ELSE {_CHROM.format('(c_nationkey % 24)')} END AS chrom",
+        "CASE c_custkey % 6 WHEN 0 THEN 'gain' WHEN 1 THEN 'loss' WHEN 2 THEN ' DUP' WHEN 3 THEN 'Deletion' WHEN 4 THEN '+' ELSE '-' END AS state",
         "CASE WHEN c_custkey % 3 > 0 THEN (c_custkey % 28) * 90000 END AS t_start",
         "CASE WHEN c_custkey % 3 > 0 THEN (c_custkey % 28) * 90000 + 500000 END AS t_end",
-        "CASE WHEN c_custkey % 5 > 0 THEN (c_custkey % 60) / 100.0D END AS fraction",
+        "CASE WHEN c_custkey % 5 > 0 THEN (c_custkey % 60) / 100.0D END AS expected_fraction",
     )
 
 
+def loaded_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.load_truth(truth(spark, sf_dir))
+
+
+def depths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Relative depths of the sex chromosomes, from counted bins."""
+    counts = bins(spark, sf_dir).groupBy("sample_id", "chrom").agg(F.sum("raw_count").alias("mapped"), F.lit(BIN * N_BINS).alias("length"))
+    return evaluate.relative_depths(counts)
+
+
 def leave_one_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qc.leave_one_out(normalized(spark, sf_dir), "normalized_signal")
 
@@ -137,30 +167,34 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calling.run_calls(called(spark, sf_dir), 0.6, 2)
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """The rows written to the cluster's checkpoint folder, for tables that several steps read; a temporary folder where none is set."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint()
-
-
 def rational_p(z: Column) -> Column:
     """A p that SQL can express, for queries with SQL."""
     return 1 / (1 + z * z)
 
 
-def significant(spark: SparkSession, sf_dir: str, p: Callable[[Column], Column] = two_sided_p) -> DataFrame:
+def supported(bins_: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(candidate events, null model, support of the events), each written once."""
+    null, found = stored(calibrate.empirical_null(bins_)), stored(calling.run_calls(bins_, 0.6, 2))
+    return found, null, stored(calibrate.event_support(found, calibrate.calibrate_bins(bins_, null), calibrate.null_autocorrelation(bins_), OVERLAPS))
+
+
+def significant(spark: SparkSession, sf_dir: str, p: Callable[[Column], Column] = two_sided_p, parts: tuple[DataFrame, DataFrame, DataFrame] | None = None) -> DataFrame:
     """Candidate events with support, p, q and the decision to keep them."""
-    bins_ = stored(called(spark, sf_dir))
-    null, found = calibrate.empirical_null(bins_), calling.run_calls(bins_, 0.6, 2)
-    support = calibrate.event_support(found, calibrate.calibrate_bins(bins_, null), calibrate.null_autocorrelation(bins_), OVERLAPS)
+    found, null, support = parts or supported(stored(called(spark, sf_dir)))
     return calibrate.event_significance(found, support, null, p=p)
 
 
-def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+def classified(spark: SparkSession, sf_dir: str, parts: tuple[DataFrame, DataFrame, DataFrame] | None = None) -> DataFrame:
     """Significant events after the artifact rules; sexes by sample number, the first 300 kb of X and Y as PAR."""
     sex = F.when(F.substring("sample_id", 2, 1).cast("int") % 2 == 0, "XX").otherwise("XY")
     par = spark.createDataFrame([("chrX", 0, 300_000), ("chrY", 0, 300_000)], "chrom string, start_pos bigint, end_pos bigint")
-    events_ = artifact.par_overlap(significant(spark, sf_dir, rational_p).withColumn("sex_call", sex).withColumn("chrom_bins", F.lit(N_BINS)), par)
-    return artifact.classify_events(artifact.priority_score(artifact.artifact_flags(events_)))
+    events_ = artifact.par_overlap(significant(spark, sf_dir, rational_p, parts).withColumn("sex_call", sex).withColumn("chrom_bins", F.lit(N_BINS)), par)
+    return stored(artifact.classify_events(artifact.priority_score(artifact.artifact_flags(events_))))
+
+
+def with_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classified events with their abnormal fractions."""
+    bins_ = stored(called(spark, sf_dir))
+    parts = supported(bins_)
+    shares = calibrate.abnormal_fraction(parts[0].join(parts[2], "event_id"), bins_, calibrate.neutral_baseline(bins_), least_effective=1.5)
+    return stored(classified(spark, sf_dir, parts).join(shares.select("event_id", "fraction_point", "fraction_ci_low", "fraction_ci_high", "fraction_status"), "event_id"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from binlattice.operators import artifact, calibrate, calling
 from binlattice.plans import adapters as a
-from binlattice.plans.registry import _C1, AUTO, _robust, query, r6
+from binlattice.plans.registry import _C1, AUTO, _erfc, _robust, query, r6
 
 _OV = ", ".join(a.OVERLAPS)
 CB = f"""{_C1}, {_robust('norm', 'sample_id, chrom', 'scored')}, rk AS (SELECT chrom, bin_index, s AS risk, CASE WHEN hi THEN 'high' WHEN mo THEN 'moderate' ELSE 'clean' END AS cls, least(1.0, greatest(0.1, exp(-2 * s))) AS rw,
@@ -78,10 +78,10 @@ def _hard_gaps(bins):
 
 @query(f"""WITH {SC}, g1 AS (SELECT *, gap_centromere_telomere_overlap_fraction > 0 AND CASE WHEN shift > 0 THEN -lz ELSE lz END >= 0.1 AS k, row_number() OVER (PARTITION BY sample_id, chrom ORDER BY bin_index) AS i FROM sc WHERE abs(shift) >= 0.05),
   g2 AS (SELECT *, i - row_number() OVER (PARTITION BY sample_id, chrom ORDER BY bin_index) AS run, CASE WHEN shift > 0 THEN 'loss' ELSE 'gain' END AS state FROM g1 WHERE k),
-  g3 AS (SELECT sample_id, chrom, state, run, median(abs(lz)) AS mid, {_ES.format(z='lz')} FROM g2 GROUP BY sample_id, chrom, state, run HAVING count(*) >= 2),
+  g3 AS (SELECT sample_id, chrom, state, run, median(abs(lz)) AS mid, {_ES.format(z='lz')} FROM g2 GROUP BY sample_id, chrom, state, run),
   g4 AS (SELECT *, sample_id || '.' || chrom || '.masked_gap_rescue_' || CAST(row_number() OVER (PARTITION BY sample_id, chrom ORDER BY start_bin) AS VARCHAR) || '.' || state AS event_id FROM g3) SELECT {_OUT} FROM g4 WHERE mid >= 0.2""")
 def c12_gap_rescue_events(spark, sf):
-    return r6(calling.gap_rescue_events(_hard_gaps(a.called(spark, sf)), 0.05, 0.1, 0.2, 2).select(*_COLS))
+    return r6(calling.gap_rescue_events(_hard_gaps(a.called(spark, sf)), 0.05, 0.1, 0.2, 1).select(*_COLS))
 
 
 @query(f"""WITH {EV}, {_DOS[len(SC) + 2:]}, al AS (SELECT e.* FROM ev e LEFT JOIN dos d ON d.sample_id = e.sample_id AND d.chrom = e.chrom AND d.state = e.state WHERE d.chrom IS NULL OR greatest(0, least(e.end_bin, d.end_bin) - greatest(e.start_bin, d.start_bin) + 1) / (greatest(e.end_bin, d.end_bin) - least(e.start_bin, d.start_bin) + 1) < 0.1)
@@ -136,16 +136,20 @@ def k3_event_support(spark, sf):
 _SIG = ["event_id", "calibrated_mean_z", "calibrated_median_z", "empirical_pvalue", "empirical_qvalue", "keep_event"]
 
 
-@query(None)
-def k4_event_significance(spark, sf):
-    return r6(a.significant(spark, sf).select(*_SIG))
-
-
 SG = f"""{SU}, g0 AS (SELECT ev.*, su.* EXCLUDE (event_id, sample_id), null_median, null_scale, n_null, (segment_mean_robust_z - null_median) / null_scale AS cmz, (segment_median_robust_z - null_median) / null_scale AS cdz, ewz / sqrt(infl) AS az, 1 / (1 + (ewz / sqrt(infl)) ** 2) AS pv
     FROM ev JOIN su ON su.event_id = ev.event_id JOIN nu ON nu.sample_id = ev.sample_id), g1 AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY pv, event_id) AS r, count(*) OVER (PARTITION BY sample_id) AS fam FROM g0),
   sg2 AS (SELECT *, least(1.0, min(pv * fam / r) OVER (PARTITION BY sample_id ORDER BY r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS qv, greatest(abs(cmz), abs(cdz), abs(az)) AS mz FROM g1)"""
 
 
+#: The same with the two-sided normal p.
+_SGE = SG.replace("1 / (1 + (ewz / sqrt(infl)) ** 2) AS pv", f"{_erfc('abs(ewz / sqrt(infl)) / sqrt(CAST(2 AS DOUBLE))')} AS pv")
+
+
+@query(f"WITH {_SGE} SELECT event_id, round(cmz, 6) AS calibrated_mean_z, round(cdz, 6) AS calibrated_median_z, round(pv, 6) AS empirical_pvalue, round(qv, 6) AS empirical_qvalue, CAST(qv <= 0.25 OR mz >= 2.5 AS INT) AS keep_event FROM sg2")
+def k4_event_significance(spark, sf):
+    return r6(a.significant(spark, sf).select(*_SIG))
+
+
 @query(f"WITH {SG} SELECT event_id, round(cmz, 6) AS calibrated_mean_z, round(cdz, 6) AS calibrated_median_z, round(pv, 6) AS empirical_pvalue, round(qv, 6) AS empirical_qvalue, CAST(qv <= 0.25 OR mz >= 2.5 AS INT) AS keep_event FROM sg2")
 def k4_significance_rational(spark, sf):
     return r6(a.significant(spark, sf, a.rational_p).select(*_SIG))

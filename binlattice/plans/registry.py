@@ -56,8 +56,9 @@ EVENTS = f"""{SCORED}, lab AS (SELECT *, CASE WHEN z >= 1 THEN 'gain' WHEN z <=
   isl AS (SELECT *, i - row_number() OVER (PARTITION BY sample_id, chrom, state ORDER BY bin_index) AS run FROM lab WHERE state IS NOT NULL),
   ev AS (SELECT sample_id || '_' || chrom || '_' || CAST(min(bin_index) AS VARCHAR) AS event_id, sample_id, chrom, state, min(bin_index) AS start_bin, max(bin_index) AS end_bin, min(start_pos) AS start_pos,
          max(end_pos) AS end_pos, count(*) AS n_bins, avg(z) AS mean_z, median(z) AS median_z, max(abs(z)) AS max_abs_z FROM isl GROUP BY sample_id, chrom, state, run HAVING count(*) >= 2)"""
+_NTH = "CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 WHEN '3-MEDIUM' THEN 2 WHEN '4-NOT SPECIFIED' THEN 3 ELSE 4 END"
 IVS = f"""iv AS (SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'segmental_duplication' WHEN '2-HIGH' THEN 'low_mappability' WHEN '3-MEDIUM' THEN 'repeat_rich' WHEN '4-NOT SPECIFIED' THEN 'gap_centromere_telomere' ELSE 'blacklist' END AS k,
-  {_CH.format('(o_custkey % 24)')} AS chrom, CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) AS BIGINT) * 1000 AS s, CAST(date_diff('day', DATE '1995-01-01', CAST(o_orderdate AS DATE)) AS BIGINT) * 1000 + (o_orderkey % 5 + 1) * 7000 AS e FROM orders WHERE o_orderkey % 20 = 0)"""
+  {_CH.format('(o_custkey % 24)')} AS chrom, (7 * (o_orderkey % 4) + ({_NTH} + 24 - o_custkey % 24) % 7) * 90000 + (o_orderkey * 37) % 85000 AS s, (7 * (o_orderkey % 4) + ({_NTH} + 24 - o_custkey % 24) % 7) * 90000 + (o_orderkey * 37) % 85000 + (o_orderkey % 5 + 1) * 350 AS e FROM orders)"""
 COMP = f"""{GRID}, ch AS (SELECT {_CH.format('(doc_id % 24)')} AS chrom, ((doc_id // 24) % 28) * 90000 AS cs, upper(text) AS seq FROM documents),
   pc AS (SELECT g.chrom, g.bin_index, substr(seq, CAST(greatest(0, start_pos - cs) + 1 AS BIGINT), CAST(least(end_pos, cs + length(seq)) - greatest(start_pos, cs) AS BIGINT)) AS p FROM ch JOIN grid g ON ch.chrom = g.chrom AND cs < end_pos AND cs + length(seq) > start_pos),
   cnt AS (SELECT chrom, bin_index, {', '.join(f"sum(length(p) - length(replace(p, '{b}', ''))) AS n_{b.lower()}" for b in 'ACGTN')} FROM pc GROUP BY ALL),
@@ -66,7 +67,7 @@ FRAC = ", ".join(f"least(coalesce(sum(least(end_pos, e) - greatest(start_pos, s)
 FRACS = f"{IVS}, fr AS (SELECT g.chrom, g.bin_index, g.start_pos, g.end_pos, {FRAC} FROM grid g LEFT JOIN iv ON iv.chrom = g.chrom AND s < end_pos AND e > start_pos GROUP BY ALL)"
 ANN = f"""{COMP}, {FRACS}, ann AS (SELECT comp.*, {', '.join(f'{c}_overlap_fraction' for c in a.CLASSES)}, (n_g + n_c) / nullif(n_a + n_c + n_g + n_t, 0) AS gc_fraction, n_n / 90000.0 AS n_fraction, (n_a + n_c + n_g + n_t) / 90000.0 AS atgc
   FROM comp JOIN fr USING (chrom, bin_index))"""
-RUNS = "runs AS (SELECT event_id, event_type AS rule_name, CAST(user_id % 4 AS INT) AS threads, value AS wall_seconds, CASE event_type WHEN 'error' THEN 'log_failed' ELSE 'success' END AS status, ts AS created_at, user_id FROM events)"
+RUNS = "runs AS (SELECT event_id, event_type AS rule_name, CAST(user_id % 4 AS INT) AS threads, value AS wall_seconds, CASE event_type WHEN 'error' THEN 'log_failed' ELSE 'success' END AS status, ts AS created_at, user_id, CASE user_id % 3 WHEN 0 THEN 'qc' ELSE 'predict' END AS module, CASE WHEN user_id % 5 = 0 THEN '1' ELSE '2-8' END AS sample_bucket, CAST(event_id % 2 * 500000 + 500000 AS BIGINT) AS binsize, CASE WHEN event_id % 3 > 0 THEN CAST(event_id % 3 AS INT) END AS pca_components FROM events)"
 TRUTH = f"""truth AS (SELECT c_custkey AS truth_id, 'S' || CAST(c_custkey % 8 AS VARCHAR) AS sample_id, {_CH.format('(c_nationkey % 24)')} AS chrom, CASE WHEN c_custkey % 2 = 0 THEN 'gain' ELSE 'loss' END AS state,
   CASE WHEN c_custkey % 3 > 0 THEN (c_custkey % 28) * 90000 END AS t_start, CASE WHEN c_custkey % 3 > 0 THEN (c_custkey % 28) * 90000 + 500000 END AS t_end, CASE WHEN c_custkey % 5 > 0 THEN (c_custkey % 60) / 100.0 END AS fraction FROM customer)"""
 AUTO = "regexp_matches(chrom, '^chr([1-9]|1[0-9]|2[0-2])$')"
@@ -158,7 +159,16 @@ def n14_linear_percentile(spark, sf):
     return r6(stats.linear_percentile(a.bins(spark, sf), "raw_count", 0.8, ["sample_id"]))
 
 
-@query(None)
+def _erfc(x: str) -> str:
+    """The rational fit of erfc for x >= 0, as in stats.two_sided_p."""
+    t = f"(1 / (1 + ({x}) / 2))"
+    fit = repr(stats.ERFC[-1])
+    for c in reversed(stats.ERFC[:-1]):
+        fit = f"({c!r} + {t} * {fit})"
+    return f"least(1.0, {t} * exp({fit} - ({x}) * ({x})))"
+
+
+@query(f"WITH {SCORED}, t AS (SELECT sample_id, chrom, bin_index, abs(coalesce(z, 0.0)) / sqrt(CAST(2 AS DOUBLE)) AS y FROM scored) SELECT sample_id, chrom, bin_index, round({_erfc('y')}, 6) AS p_value FROM t")
 def n15_two_sided_p(spark, sf):
     return r6(a.scored(spark, sf).select("sample_id", "chrom", "bin_index", stats.two_sided_p("robust_z").alias("p_value")))
 
@@ -171,13 +181,12 @@ def g4_gc_bias(spark, sf):
     return r6(stats.correlations(a.normalized(spark, sf).join(gc, ["chrom", "bin_index"]), "gc_fraction", "normalized_signal", ["sample_id"]))
 
 
-_B1 = f"SELECT '{{lv}}' AS bin_level, {_CH.format('c')} AS chrom, i AS bin_index, i * {{sz}} AS start_pos, least((i + 1) * {{sz}}, 2500000) AS end_pos FROM range(24) t(c), range((2500000 + {{sz}} - 1) // {{sz}}) u(i)"
 _LV = {"atomic": 100_000, "analysis": 90_000, "qc": 700_000}
 
 
-@query("WITH g AS (" + " UNION ALL ".join(_B1.format(lv=k, sz=v) for k, v in _LV.items()) + ") SELECT bin_level, bin_level || ':' || chrom || ':' || CAST(start_pos AS VARCHAR) || '-' || CAST(end_pos AS VARCHAR) AS bin_id, bin_index, end_pos - start_pos AS effective_size FROM g")
+@query(f"WITH {ALN}, ln AS (SELECT chrom, max(pos) + 1 AS n FROM aln GROUP BY ALL), g AS (" + " UNION ALL ".join(f"SELECT '{k}' AS bin_level, chrom, i AS bin_index, i * {v} AS start_pos, least((i + 1) * {v}, n) AS end_pos FROM ln, unnest(range(CAST(ceil(greatest(n, 0) / {v}) AS BIGINT))) u(i)" for k, v in _LV.items()) + ") SELECT bin_level, bin_level || ':' || chrom || ':' || CAST(start_pos AS VARCHAR) || '-' || CAST(end_pos AS VARCHAR) AS bin_id, bin_index, end_pos - start_pos AS effective_size FROM g")
 def b2_multi_level_grid(spark, sf):
-    return grid.multi_level_grid(a.chrom_sizes(spark, 2_500_000), _LV).select("bin_level", "bin_id", "bin_index", "effective_size")
+    return grid.multi_level_grid(a.seen_sizes(spark, sf), _LV).select("bin_level", "bin_id", "bin_index", "effective_size")
 
 
 @query(f"WITH {COMP} SELECT chrom, bin_index, n_a, n_c, n_g, n_t, n_n, round((n_g + n_c) / nullif(n_a + n_c + n_g + n_t, 0), 6) AS gc_fraction, round(n_n / 90000.0, 6) AS n_fraction FROM comp")
@@ -197,12 +206,12 @@ def b6_grid_level_summary(spark, sf):
 
 
 @query(f"""WITH {ANN}, t AS (SELECT {_CH.format('c')} AS chrom, i * 250000 AS s, least((i + 1) * 250000, 2520000) AS e FROM range(24) x(c), range(11) y(i)),
-  src AS (SELECT * FROM ann WHERE chrom <> 'chrY' AND bin_index < 20)
-  SELECT t.chrom, t.s AS start_pos, t.e AS end_pos, round(CASE WHEN count(src.chrom) > 0 THEN sum(gc_fraction * (least(end_pos, t.e) - greatest(start_pos, t.s)) / (t.e - t.s)) WHEN t.chrom <> 'chrY' THEN 0.0 END, 6) AS gc_fraction,
-  round(CASE WHEN count(src.chrom) > 0 THEN sum(n_fraction * (least(end_pos, t.e) - greatest(start_pos, t.s)) / (t.e - t.s)) WHEN t.chrom <> 'chrY' THEN 0.0 END, 6) AS n_fraction,
+  src AS (SELECT * FROM ann)
+  SELECT t.chrom, t.s AS start_pos, t.e AS end_pos, round(sum(gc_fraction * (least(end_pos, t.e) - greatest(start_pos, t.s)) / (t.e - t.s)), 6) AS gc_fraction,
+  round(sum(n_fraction * (least(end_pos, t.e) - greatest(start_pos, t.s)) / (t.e - t.s)), 6) AS n_fraction,
   coalesce(max(CAST(blacklist_overlap_fraction > 0 AS INT)), 0) AS overlaps_blacklist FROM t LEFT JOIN src ON src.chrom = t.chrom AND start_pos < t.e AND end_pos > t.s GROUP BY t.chrom, t.s, t.e""")
 def b7_project_annotations(spark, sf):
-    source = a.annotated(spark, sf).where("chrom <> 'chrY' AND bin_index < 20")
+    source = a.annotated(spark, sf)
     target = grid.make_bin_grid(a.chrom_sizes(spark), 250_000, "wide")
     return r6(grid.project_annotations(target, source, ["gc_fraction", "n_fraction"], ["overlaps_blacklist"], 90_000))
 
@@ -259,13 +268,23 @@ def q3_reference_deviation(spark, sf):
     return r6(qc.reference_deviation(a.leave_one_out(spark, sf)))
 
 
-@query(f"""WITH {BINS}, u AS (SELECT sample_id, avg(CAST(raw_count = 0 AS INT)) AS zero_fraction, CAST(sum(raw_count) AS BIGINT) AS mapped_fragments FROM bins GROUP BY ALL),
-  d AS (SELECT *, array_to_string(list_filter([CASE WHEN zero_fraction > 0.5 THEN 'zero_fraction_fail' END, CASE WHEN mapped_fragments < 200 THEN 'mapped_fragments_fail' END], lambda x: x IS NOT NULL), ';') AS f,
-  array_to_string(list_filter([CASE WHEN zero_fraction > 0.01 THEN 'zero_fraction_warn' END, CASE WHEN mapped_fragments < 3000 THEN 'mapped_fragments_warn' END], lambda x: x IS NOT NULL), ';') AS w FROM u)
-  SELECT sample_id, CASE WHEN f <> '' THEN 'FAIL' WHEN w <> '' THEN 'WARN' ELSE 'PASS' END AS qc_decision, CASE WHEN f <> '' THEN f WHEN w <> '' THEN w ELSE 'all_checks_passed' END AS qc_reason FROM d""")
+_Q4 = f"""{_LOO}, dz AS (SELECT *, abs((v - ref_median) / ref_sigma) AS z, rank() OVER (PARTITION BY sample_id ORDER BY ref_median) + (count(*) OVER (PARTITION BY sample_id, ref_median) - 1) / 2 AS rx, rank() OVER (PARTITION BY sample_id ORDER BY v) + (count(*) OVER (PARTITION BY sample_id, v) - 1) / 2 AS ry FROM loo),
+  dv AS (SELECT sample_id, median(z) AS median_abs_z, avg(CAST(z > 3 AS INT)) AS outlier_frac_abs_z_gt_3, corr(ref_median, v) AS pearson_r, corr(rx, ry) AS spearman_r FROM dz GROUP BY ALL),
+  st AS (SELECT *, raw_count - lag(raw_count) OVER (PARTITION BY sample_id ORDER BY chrom_rank, bin_index) AS d FROM bins), sm AS (SELECT *, median(d) OVER (PARTITION BY sample_id) AS dm FROM st),
+  un AS (SELECT sample_id, avg(CAST(raw_count = 0 AS INT)) AS zero_bin_fraction, stddev_pop(raw_count) / avg(raw_count) AS bin_cv, median(abs(d - dm)) AS adjacent_diff_mad, sum(raw_count) AS mapped_fragments FROM sm GROUP BY ALL),
+  mt AS (SELECT un.*, dv.* EXCLUDE (sample_id), gini AS gini_coefficient FROM un JOIN dv USING (sample_id) JOIN ({_GINI}) USING (sample_id)),
+  dc AS (SELECT sample_id, {', '.join(f"array_to_string(list_filter([{', '.join(f'CASE WHEN {c} IS NULL THEN {chr(39)}{c}=nan{chr(39)} WHEN {c} {o} {lim[at]} THEN {chr(39)}{c}{o}{lim[at]}{chr(39)} END' if at else f'CASE WHEN {c} {o} {lim[at]} THEN {chr(39)}{c}{o}{lim[at]}{chr(39)} END' for c, o, *lim in [(n, '<' if k == 'min' else '>', w, f) for n, k, w, f in qc.DEFAULT_CHECKS])}], lambda x: x IS NOT NULL), ';') AS {out}" for at, out in ((1, 'fl'), (0, 'wn')))} FROM mt)"""
+
+
+def _all_metrics(spark, sf):
+    """The nine metrics of a sample under their names in the checks."""
+    deviation = qc.reference_deviation(a.leave_one_out(spark, sf)).withColumnsRenamed({"over_3": "outlier_frac_abs_z_gt_3", "pearson": "pearson_r", "spearman": "spearman_r"})
+    return qc.uniformity_metrics(a.bins(spark, sf)).withColumnsRenamed({"zero_fraction": "zero_bin_fraction", "cv": "bin_cv", "adjacent_mad": "adjacent_diff_mad", "gini": "gini_coefficient"}).join(deviation, "sample_id")
+
+
+@query(f"WITH {_Q4} SELECT sample_id, CASE WHEN fl <> '' THEN 'FAIL' WHEN wn <> '' THEN 'WARN' ELSE 'PASS' END AS qc_decision, CASE WHEN fl <> '' THEN fl WHEN wn <> '' THEN wn ELSE 'all_metrics_within_default_heuristic_thresholds' END AS qc_reason FROM dc")
 def q4_qc_decision(spark, sf):
-    checks = [("zero_fraction", "max", 0.01, 0.5), ("mapped_fragments", "min", 3000, 200)]
-    return qc.qc_decision(qc.uniformity_metrics(a.bins(spark, sf)), checks).select("sample_id", "qc_decision", "qc_reason")
+    return qc.qc_decision(_all_metrics(spark, sf)).select("sample_id", "qc_decision", "qc_reason")
 
 
 @query(f"WITH {NORM} SELECT p.sample_id AS sample_a, q.sample_id AS sample_b, round(corr(p.x, q.x), 6) AS pearson FROM norm p JOIN norm q USING (chrom, bin_index) GROUP BY ALL")
@@ -281,10 +300,13 @@ def q13_autosome_fractions(spark, sf):
     return r6(qc.autosome_fractions(a.bins(spark, sf)))
 
 
-@query(f"""WITH {_AF}, m AS (SELECT *, median(fraction) OVER (PARTITION BY chrom) AS m FROM af), s AS (SELECT *, 1.4826 * median(abs(fraction - m)) OVER (PARTITION BY chrom) AS s FROM m), z AS (SELECT *, abs(fraction - m) / CASE WHEN s > 0 THEN s ELSE 1e-6 END AS z FROM s)
-  SELECT sample_id, round(max(z), 6) AS max_abs_z, arg_max(chrom, (z, chrom)) AS top_chrom FROM z GROUP BY ALL""")
+@query(f"""WITH {_AF}, m AS (SELECT *, median(fraction) OVER (PARTITION BY chrom) AS m FROM af WHERE right(sample_id, 1) < '5'), s AS (SELECT chrom, max(m) AS m, 1.4826 * median(abs(fraction - m)) AS s FROM m GROUP BY ALL),
+  z AS (SELECT sample_id, chrom, abs(fraction - m) / CASE WHEN s > 0 THEN s ELSE 1e-6 END AS z FROM af JOIN s USING (chrom)), r AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY z DESC, chrom) AS r FROM z)
+  SELECT sample_id, round(max(z), 6) AS max_abs_z, {', '.join(f"max(CASE WHEN r = {i} THEN chrom END) AS top_chrom_{i}" for i in (1, 2, 3))} FROM r GROUP BY ALL""")
 def q15_chromosome_bias(spark, sf):
-    return r6(qc.chromosome_bias(qc.autosome_fractions(a.bins(spark, sf))))
+    """The stable samples are those with a number under 5."""
+    shares = qc.autosome_fractions(a.bins(spark, sf))
+    return r6(qc.chromosome_bias(shares, shares.where(F.substring("sample_id", -1, 1) < "5").select("sample_id")))
 
 
 @query(f"""WITH {BINS}, l AS (SELECT *, ln(1 + raw_count) AS l FROM bins), m AS (SELECT *, median(l) OVER (PARTITION BY sample_id) AS m FROM l), q AS (SELECT sample_id, CAST(sum(raw_count) AS BIGINT) AS total, avg(CAST(raw_count > 0 AS INT)) AS nz, median(abs(l - m)) AS md FROM m GROUP BY ALL)
@@ -338,56 +360,30 @@ def r15_largest_gap(spark, sf):
     return r6(evaluate.largest_gap_cutoff(evaluate.y_fraction(a.bins(spark, sf)), "y_fraction"))
 
 
-@query(f"""WITH {BINS}, c AS (SELECT sample_id, chrom, sum(raw_count) / 2520000 AS d FROM bins GROUP BY ALL), r AS (SELECT sample_id, median(d) FILTER (WHERE chrom NOT IN ('chrX', 'chrY')) AS m, max(d) FILTER (WHERE chrom = 'chrX') AS x, max(d) FILTER (WHERE chrom = 'chrY') AS y FROM c GROUP BY ALL)
-  SELECT sample_id, round(m, 6) AS autosome_depth, round(x / m, 6) AS x_depth, round(y / m, 6) AS y_depth, CASE WHEN x / m >= 0.95 THEN 'XX' WHEN x / m <= 0.80 AND y / m >= 0.20 THEN 'XY' WHEN y / m <= 0.15 THEN 'XX' ELSE 'ambiguous' END AS sex_call FROM r""")
-def x1_relative_depths(spark, sf):
-    counts = a.bins(spark, sf).groupBy("sample_id", "chrom").agg(F.sum("raw_count").alias("mapped"), F.lit(2_520_000).alias("length"))
-    return r6(evaluate.relative_depths(counts))
-
-
-@query(f"WITH {EVENTS} SELECT chrom, state, count(*) AS n_events, round(median(max_abs_z), 6) AS median_max_abs_z, round(median(abs(mean_z)), 6) AS median_abs_mean_z FROM ev GROUP BY ALL")
-def e1_event_metrics(spark, sf):
-    return r6(evaluate.event_metrics(a.events(spark, sf)))
+X1 = f"""c AS (SELECT sample_id, chrom, sum(raw_count) / 2520000 AS d FROM bins GROUP BY ALL), r AS (SELECT sample_id, median(d) FILTER (WHERE chrom NOT IN ('chrX', 'chrY')) AS m, max(d) FILTER (WHERE chrom = 'chrX') AS x, max(d) FILTER (WHERE chrom = 'chrY') AS y FROM c GROUP BY ALL),
+  sx AS (SELECT sample_id, m, x / m AS xm, y / m AS ym, CASE WHEN x > 0 THEN y / x END AS yx, CASE WHEN x / m >= 0.95 THEN 'XX' WHEN x / m <= 0.80 AND y / m >= 0.20 THEN 'XY' WHEN y / m <= 0.15 THEN 'XX' ELSE 'ambiguous' END AS sex_call FROM r)"""
 
 
-@query(f"""WITH {_QV}, b AS (SELECT CASE WHEN q_value <= 0.01 THEN 'q01' WHEN q_value <= 0.05 THEN 'q05' WHEN q_value <= 0.10 THEN 'q10' WHEN q_value <= 0.25 THEN 'q25' ELSE 'q100' END AS q_bin, count(*) AS n FROM qv GROUP BY ALL)
-  SELECT k AS q_bin, coalesce(n, 0) AS n_events FROM (VALUES ('q01'), ('q05'), ('q10'), ('q25'), ('q100')) v(k) LEFT JOIN b ON q_bin = k""")
-def e3_qvalue_calibration(spark, sf):
-    return evaluate.qvalue_calibration(_with_q(spark, sf))
-
-
-_E4 = f"""{EVENTS}, {TRUTH}, j AS (SELECT t.*, e.max_abs_z, e.event_id IS NOT NULL AND (t_start IS NULL OR t_end IS NULL OR least(e.end_pos, t_end) - greatest(e.start_pos, t_start) + 1 > 0) AS hit FROM truth t LEFT JOIN ev e ON e.sample_id = t.sample_id AND e.chrom = t.chrom AND e.state = t.state),
-  tm AS (SELECT truth_id, sample_id, chrom, state, count(*) FILTER (WHERE hit) AS n_matched, max(max_abs_z) FILTER (WHERE hit) AS top, fraction FROM j GROUP BY truth_id, sample_id, chrom, state, fraction)"""
-
-
-@query(f"WITH {_E4} SELECT truth_id, sample_id, chrom, state, n_matched, round(top, 6) AS top_support, CAST(coalesce(top >= 2.5, false) AS INT) AS detected FROM tm")
-def e4_truth_metrics(spark, sf):
-    return r6(evaluate.truth_metrics(a.events(spark, sf), a.truth(spark, sf)))
-
-
-@query(f"WITH {_E4} SELECT count(*) AS n_truth, CAST(sum(CAST(coalesce(top >= 2.5, false) AS INT)) AS BIGINT) AS n_detected, round(avg(CAST(coalesce(top >= 2.5, false) AS INT)), 6) AS recall, round(avg(CAST(n_matched > 0 AS INT)), 6) AS match_rate FROM tm")
-def e5_evaluation_summary(spark, sf):
-    return r6(evaluate.evaluation_summary(evaluate.truth_metrics(a.events(spark, sf), a.truth(spark, sf))))
-
-
-@query(f"WITH {_E4} SELECT CAST(x AS DOUBLE) AS threshold, count(CASE WHEN fraction <= x THEN 1 END) AS n, round(avg(CASE WHEN fraction <= x THEN CAST(coalesce(top >= 2.5, false) AS INT) END), 6) AS rate FROM tm, (VALUES (0.0), (0.05), (0.1), (0.2), (0.5)) v(x) GROUP BY x")
-def t7_low_fraction_detection(spark, sf):
-    found = evaluate.truth_metrics(a.events(spark, sf), a.truth(spark, sf)).join(a.truth(spark, sf).select("truth_id", "fraction"), "truth_id")
-    return r6(evaluate.low_fraction_detection(found, [0.0, 0.05, 0.1, 0.2, 0.5], "fraction", "detected"))
+@query(f"WITH {BINS}, {X1} SELECT sample_id, round(m, 6) AS autosome_depth, round(xm, 6) AS x_depth, round(ym, 6) AS y_depth, round(yx, 6) AS y_to_x_ratio, sex_call FROM sx")
+def x1_relative_depths(spark, sf):
+    return r6(a.depths(spark, sf))
 
 
-@query(f"WITH {TRUTH} SELECT CASE WHEN fraction IS NULL THEN 'unknown' WHEN fraction <= 0.05 THEN '<=0.05' WHEN fraction <= 0.1 THEN '0.05-0.10' WHEN fraction <= 0.2 THEN '0.10-0.20' WHEN fraction <= 0.3 THEN '0.20-0.30' WHEN fraction <= 0.5 THEN '0.30-0.50' ELSE '>0.50' END AS fraction_bin, count(*) AS n FROM truth GROUP BY ALL")
+@query(f"WITH {TRUTH} SELECT CASE WHEN fraction IS NULL THEN 'unknown' WHEN fraction <= 0.05 THEN '<=5%' WHEN fraction <= 0.10 THEN '5-10%' WHEN fraction <= 0.15 THEN '10-15%' WHEN fraction <= 0.20 THEN '15-20%' WHEN fraction <= 0.30 THEN '20-30%' ELSE '>30%' END AS fraction_bin, count(*) AS n FROM truth GROUP BY ALL")
 def t8_fraction_bin(spark, sf):
-    return a.truth(spark, sf).groupBy(evaluate.fraction_bin(F.col("fraction")).alias("fraction_bin")).agg(F.count("*").alias("n"))
+    return a.loaded_truth(spark, sf).groupBy(evaluate.fraction_bin(F.col("truth_fraction")).alias("fraction_bin")).agg(F.count("*").alias("n"))
 
 
-@query(f"WITH {RUNS} SELECT user_id, rule_name, event_id, wall_seconds FROM (SELECT *, row_number() OVER (PARTITION BY user_id, rule_name ORDER BY created_at DESC, event_id DESC) AS r FROM runs) WHERE r = 1")
+@query(f"WITH {RUNS} SELECT user_id, rule_name, event_id, wall_seconds FROM (SELECT *, row_number() OVER (PARTITION BY user_id, rule_name ORDER BY threads = 1 DESC, created_at DESC, event_id DESC) AS r FROM (SELECT * REPLACE (CAST(event_id % 4 AS INT) AS threads) FROM runs)) WHERE r = 1")
 def u1_upsert_latest(spark, sf):
-    return evaluate.upsert_latest(a.runs(spark, sf), ["user_id", "rule_name"], ["created_at", "event_id"]).select("user_id", "rule_name", "event_id", "wall_seconds")
+    """Every fourth run is new; the others are there already."""
+    runs = a.runs(spark, sf)
+    new = F.col("event_id") % 4 == 1
+    return evaluate.upsert_latest(runs.where(~new), runs.where(new), ["user_id", "rule_name"], ["created_at", "event_id"]).select("user_id", "rule_name", "event_id", "wall_seconds")
 
 
-@query(f"""WITH {RUNS}, g AS (SELECT rule_name, threads, count(*) AS n_runs, quantile_cont(wall_seconds / 60, 0.5) AS p50, quantile_cont(wall_seconds / 60, 0.8) AS p80, max(wall_seconds / 60) AS mx FROM runs WHERE status = 'success' AND wall_seconds IS NOT NULL GROUP BY ALL)
-  SELECT rule_name, threads, n_runs, round(p50, 6) AS p50, round(p80, 6) AS p80, round(mx, 6) AS max_minutes, CAST(ceil(greatest(1.2 * p50, p80)) AS BIGINT) AS suggested FROM g""")
+@query(f"""WITH {RUNS}, g AS (SELECT module, rule_name, sample_bucket, threads, binsize, pca_components, count(*) AS n_runs, quantile_cont(wall_seconds / 60, 0.5) AS p50, quantile_cont(wall_seconds / 60, 0.8) AS p80, max(wall_seconds / 60) AS mx FROM runs WHERE status IN ('success', 'log_complete') AND wall_seconds IS NOT NULL GROUP BY ALL)
+  SELECT module, rule_name, sample_bucket, threads, binsize, pca_components, n_runs, round(p50, 6) AS p50_minutes, round(p80, 6) AS p80_minutes, round(mx, 6) AS max_minutes, CAST(ceil(greatest(1.2 * p50, p80)) AS BIGINT) AS recommended_check_after_minutes FROM g""")
 def u2_runtime_summary(spark, sf):
     return r6(evaluate.runtime_summary(a.runs(spark, sf)))
 

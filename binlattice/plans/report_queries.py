@@ -57,8 +57,8 @@ def q14_profile_chromosome_summary(spark, sf):
 _SM = """s AS (SELECT s_suppkey AS sample_id, CASE s_suppkey % 4 WHEN 0 THEN 'FAIL' WHEN 1 THEN 'WARN' ELSE 'PASS' END AS worst_decision, CAST(s_suppkey % 4 = 2 AS INT) AS stable_retained, s_suppkey % 3 AS fail_count FROM supplier),
   lib AS (SELECT l_suppkey AS sample_id, CAST(sum(l_quantity) AS DOUBLE) AS raw_reads, CAST(sum(CASE WHEN l_returnflag <> 'R' THEN l_quantity ELSE 0 END) AS DOUBLE) AS clean_reads, round(avg(CAST(l_discount AS DOUBLE)), 9) AS duplication_rate, round(avg(CAST(l_quantity AS DOUBLE)) * 6, 9) AS insert_peak FROM lineitem GROUP BY ALL),
   fl AS (SELECT l_suppkey AS sample_id, count(*) AS total_reads, count(*) FILTER (WHERE l_quantity > 1) AS mapped_reads, count(*) FILTER (WHERE l_linenumber < 7) AS paired_reads, count(*) FILTER (WHERE l_linenumber < 7 AND l_quantity > 2) AS properly_paired_reads, count(*) FILTER (WHERE l_linenumber < 7 AND l_quantity = 1) AS singleton_reads,
-    count(*) FILTER (WHERE l_linenumber = 1 AND l_quantity = 2) AS mate_diff_chr_reads FROM lineitem WHERE l_suppkey % 9 < 8 GROUP BY ALL),
-  bi AS (SELECT l_suppkey AS sample_id, CAST(max(l_linenumber) + min(l_linenumber) - 3 AS DOUBLE) AS max_chr_fraction_dev_z FROM lineitem GROUP BY ALL), pr AS (SELECT ps_suppkey AS sample_id, CASE ps_partkey % 2 WHEN 0 THEN '1mb' ELSE '500kb' END AS bin_label, count(*) / 60.0 AS broad_noise_fraction, count(*) / 15.0 AS max_chrom_abs_median_z FROM (SELECT l_suppkey AS ps_suppkey, l_partkey AS ps_partkey FROM lineitem WHERE l_suppkey % 7 < 6) GROUP BY ALL),
+    count(*) FILTER (WHERE l_linenumber = 1 AND l_quantity = 2) AS mate_diff_chr_reads FROM lineitem GROUP BY ALL),
+  bi AS (SELECT l_suppkey AS sample_id, CAST(max(l_linenumber) + min(l_linenumber) - 3 AS DOUBLE) AS max_chr_fraction_dev_z FROM lineitem GROUP BY ALL), pr AS (SELECT ps_suppkey AS sample_id, CASE ps_partkey % 2 WHEN 0 THEN '1mb' ELSE '500kb' END AS bin_label, count(*) / 60.0 AS broad_noise_fraction, count(*) / 15.0 AS max_chrom_abs_median_z FROM (SELECT l_suppkey AS ps_suppkey, l_partkey AS ps_partkey FROM lineitem) GROUP BY ALL),
   j AS (SELECT s.*, lib.* EXCLUDE (sample_id), fl.* EXCLUDE (sample_id), max_chr_fraction_dev_z, broad_noise_fraction, max_chrom_abs_median_z FROM s LEFT JOIN lib USING (sample_id) LEFT JOIN fl USING (sample_id) LEFT JOIN bi USING (sample_id) LEFT JOIN (SELECT sample_id, broad_noise_fraction, max_chrom_abs_median_z FROM pr WHERE bin_label = '1mb') p USING (sample_id)),
   m AS (SELECT *, clean_reads / nullif(raw_reads, 0) AS clean_read_rate, mapped_reads / nullif(total_reads, 0) AS mapping_rate, properly_paired_reads / nullif(paired_reads, 0) AS proper_pair_rate, singleton_reads / nullif(paired_reads, 0) AS singleton_rate, mate_diff_chr_reads / nullif(paired_reads, 0) AS diff_chr_rate FROM j)"""
 
@@ -71,12 +71,12 @@ def _sample_metrics(spark, sf):
         F.sum("q").alias("raw_reads"), F.sum(F.when(F.col("l_returnflag") != "R", F.col("q")).otherwise(0.0)).alias("clean_reads"), F.round(F.avg(F.col("l_discount").cast("double")), 9).alias("duplication_rate"), F.round(F.avg("q") * 6, 9).alias("insert_peak")
     )
     n = lambda c, name: F.expr(f"count_if({c})").alias(name)
-    flag = items.where("l_suppkey % 9 < 8").groupBy(key).agg(
+    flag = items.groupBy(key).agg(
         F.count("*").alias("total_reads"), n("q > 1", "mapped_reads"), n("l_linenumber < 7", "paired_reads"), n("l_linenumber < 7 AND q > 2", "properly_paired_reads"), n("l_linenumber < 7 AND q = 1", "singleton_reads"), n("l_linenumber = 1 AND q = 2", "mate_diff_chr_reads")
     )
     bias = items.groupBy(key).agg((F.max("l_linenumber") + F.min("l_linenumber") - 3).cast("double").alias("max_chr_fraction_dev_z"))
     label = F.when(F.col("l_partkey") % 2 == 0, "1mb").otherwise("500kb").alias("bin_label")
-    profile = items.where("l_suppkey % 7 < 6").groupBy(key, label).agg((F.count("*") / 60.0).alias("broad_noise_fraction"), (F.count("*") / 15.0).alias("max_chrom_abs_median_z"))
+    profile = items.groupBy(key, label).agg((F.count("*") / 60.0).alias("broad_noise_fraction"), (F.count("*") / 15.0).alias("max_chrom_abs_median_z"))
     return sr.join_sample_metrics(samples, library, flag, bias, profile)
 
 
@@ -94,8 +94,8 @@ def q17_diagnose_failed_samples(spark, sf):
 
 
 _SUM = f"""{_MASK}, prof AS (SELECT sample_id, chrom, bin_index, (v - ref_median) / ref_sigma AS z FROM loo), rk AS (SELECT *, rank() OVER (PARTITION BY sample_id ORDER BY ref_median) + (count(*) OVER (PARTITION BY sample_id, ref_median) - 1) / 2 AS rx, rank() OVER (PARTITION BY sample_id ORDER BY v) + (count(*) OVER (PARTITION BY sample_id, v) - 1) / 2 AS ry FROM loo),
-  su AS (SELECT sample_id, median(abs((v - ref_median) / ref_sigma)) AS mz2, corr(rx, ry) AS sp FROM rk GROUP BY ALL), sh AS (SELECT p.sample_id, avg(CAST(mask_label <> 'pass' AS INT)) AS mfr FROM prof p JOIN mask USING (chrom, bin_index) WHERE sample_id <> 'S5' GROUP BY ALL),
-  cs AS (SELECT sample_id, max(m) AS shift, arg_max(chrom, (m, chrom)) AS top FROM (SELECT sample_id, chrom, abs(median(z)) AS m FROM prof WHERE sample_id <> 'S5' GROUP BY ALL) GROUP BY ALL), al AS (SELECT * FROM su LEFT JOIN sh USING (sample_id) LEFT JOIN cs USING (sample_id)),
+  su AS (SELECT sample_id, median(abs((v - ref_median) / ref_sigma)) AS mz2, corr(rx, ry) AS sp FROM rk GROUP BY ALL), sh AS (SELECT p.sample_id, avg(CAST(mask_label <> 'pass' AS INT)) AS mfr FROM prof p JOIN mask USING (chrom, bin_index) GROUP BY ALL),
+  cs AS (SELECT sample_id, max(m) AS shift, arg_max(chrom, (m, chrom)) AS top FROM (SELECT sample_id, chrom, abs(median(z)) AS m FROM prof GROUP BY ALL) GROUP BY ALL), al AS (SELECT * FROM su LEFT JOIN sh USING (sample_id) LEFT JOIN cs USING (sample_id)),
   qe AS (SELECT sample_id, 'profile_missing' AS event_type, 'no-call' AS status, 'profile_tsv_missing' AS detail FROM al WHERE mfr IS NULL
     UNION ALL SELECT sample_id, 'correlation_drop', CASE WHEN sp < 0.83 THEN 'fail' ELSE 'review' END, printf('spearman_r=%.4f', sp) FROM al WHERE mfr IS NOT NULL AND sp < 0.9
     UNION ALL SELECT sample_id, 'broad_noise', CASE WHEN mz2 >= 1.5 THEN 'fail' ELSE 'review' END, printf('median_abs_z=%.4f', mz2) FROM al WHERE mfr IS NOT NULL AND mz2 >= 1
@@ -104,8 +104,8 @@ _SUM = f"""{_MASK}, prof AS (SELECT sample_id, chrom, bin_index, (v - ref_median
 
 
 def _summary(spark, sf):
-    """Samples with their deviation, their profiles (one is missing) and the mask."""
-    profile = _profile(spark, sf).where("sample_id <> 'S5'")
+    """Samples with their deviation, their profiles and the mask."""
+    profile = _profile(spark, sf)
     return qc.reference_deviation(a.leave_one_out(spark, sf)), profile, a.masked(spark, sf)
 
 
@@ -119,7 +119,7 @@ def q19_bin_qc_status(spark, sf):
     return sr.bin_qc_status(a.masked(spark, sf)).select("chrom", "bin_index", "qc_status")
 
 
-_EV = "SELECT CAST(user_id % 40 AS BIGINT) AS sample_id, CASE event_type WHEN 'error' THEN 'fail' WHEN 'purchase' THEN 'no-call' ELSE 'review' END AS status FROM events WHERE user_id % 40 < 30 AND value > 1"
+_EV = "SELECT CAST(user_id % 40 AS BIGINT) AS sample_id, CASE event_type WHEN 'error' THEN 'fail' WHEN 'purchase' THEN 'no-call' ELSE 'review' END AS status FROM events"
 _ESC = f"""qs AS (SELECT CAST(i AS BIGINT) AS sample_id, CASE i % 5 WHEN 0 THEN 'WARN' WHEN 1 THEN 'FAIL' WHEN 2 THEN 'odd' ELSE 'PASS' END AS d FROM (SELECT DISTINCT user_id % 40 AS i FROM events)), ee AS ({_EV}),
   fg AS (SELECT sample_id, bool_or(status = 'fail') AS f, bool_or(status = 'review') AS r, bool_or(status = 'no-call') AS n FROM ee GROUP BY ALL), bs AS (SELECT *, CASE d WHEN 'PASS' THEN 'pass' WHEN 'FAIL' THEN 'fail' ELSE 'review' END AS o FROM qs),
   st AS (SELECT sample_id, CASE WHEN coalesce(f, false) THEN 'fail' WHEN coalesce(n, false) THEN 'no-call' WHEN coalesce(r, false) AND o = 'pass' THEN 'review' ELSE o END AS status FROM bs LEFT JOIN fg USING (sample_id))"""
@@ -127,7 +127,7 @@ _ESC = f"""qs AS (SELECT CAST(i AS BIGINT) AS sample_id, CASE i % 5 WHEN 0 THEN
 
 def _escalated(spark, sf):
     table = spark.read.parquet(f"{sf}/events.parquet")
-    found = table.where("user_id % 40 < 30 AND value > 1").selectExpr("CAST(user_id % 40 AS BIGINT) AS sample_id", "CASE event_type WHEN 'error' THEN 'fail' WHEN 'purchase' THEN 'no-call' ELSE 'review' END AS status")
+    found = table.selectExpr("CAST(user_id % 40 AS BIGINT) AS sample_id", "CASE event_type WHEN 'error' THEN 'fail' WHEN 'purchase' THEN 'no-call' ELSE 'review' END AS status")
     summary = table.selectExpr("CAST(user_id % 40 AS BIGINT) AS sample_id").distinct().selectExpr("*", "CASE sample_id % 5 WHEN 0 THEN 'WARN' WHEN 1 THEN 'FAIL' WHEN 2 THEN 'odd' ELSE 'PASS' END AS qc_decision")
     return sr.escalate_sample_status(summary, found), found
 
@@ -148,14 +148,14 @@ def q21_run_rollup(spark, sf):
     return sr.run_rollup(status, sr.bin_qc_status(a.masked(spark, sf)), found)
 
 
-_PX = "SELECT CAST(l_suppkey AS BIGINT) AS sample_id, CAST(l_linenumber AS VARCHAR) AS chrom, CAST(l_orderkey AS BIGINT) * 100 AS start_pos, CAST(l_orderkey AS BIGINT) * 100 + CAST(l_partkey AS BIGINT) AS end_pos, CASE WHEN l_returnflag = 'R' THEN 'gain' ELSE 'loss' END AS kind, CAST(l_quantity AS DOUBLE) - 26 AS zscore FROM lineitem WHERE l_discount > 0.05 AND l_suppkey % 4 > 0"
+_PX = "SELECT CAST(l_suppkey AS BIGINT) AS sample_id, CAST(l_linenumber AS VARCHAR) AS chrom, CAST(l_orderkey AS BIGINT) * 100 AS start_pos, CAST(l_orderkey AS BIGINT) * 100 + CAST(l_partkey AS BIGINT) AS end_pos, CASE WHEN l_returnflag = 'R' THEN 'gain' ELSE 'loss' END AS kind, CAST(l_quantity AS DOUBLE) - 26 AS zscore FROM lineitem"
 
 
 @query(f"""WITH x AS ({_PX}), y AS (SELECT *, 'chr' || chrom || ':' || start_pos || '-' || end_pos || ' ' || kind AS tx FROM x), g AS (SELECT sample_id, count(*) AS n, arg_max(tx, (abs(zscore), end_pos, tx)) AS t FROM y GROUP BY ALL)
   SELECT CAST(s_suppkey AS BIGINT) AS sample_id, coalesce(n, 0) AS event_count, coalesce(t, '') AS top_event FROM supplier LEFT JOIN g ON s_suppkey = sample_id""")
 def p3_top_external_event(spark, sf):
     samples = spark.read.parquet(f"{sf}/supplier.parquet").selectExpr("CAST(s_suppkey AS BIGINT) AS sample_id")
-    found = spark.read.parquet(f"{sf}/lineitem.parquet").where("l_discount > 0.05 AND l_suppkey % 4 > 0").selectExpr(
+    found = spark.read.parquet(f"{sf}/lineitem.parquet").selectExpr(
         "CAST(l_suppkey AS BIGINT) AS sample_id", "CAST(l_linenumber AS STRING) AS chrom", "CAST(l_orderkey AS BIGINT) * 100 AS start_pos", "CAST(l_orderkey AS BIGINT) * 100 + CAST(l_partkey AS BIGINT) AS end_pos",
         "CASE WHEN l_returnflag = 'R' THEN 'gain' ELSE 'loss' END AS kind", "CAST(l_quantity AS DOUBLE) - 26 AS zscore",
     )
@@ -219,17 +219,20 @@ def l5_feature_importance(spark, sf):
     return r6(classifier.feature_importance(_trained(spark, sf)[0]))
 
 
-@query("""SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'E' WHEN 1 THEN 'numeric' WHEN 2 THEN 'C' ELSE 'other' END AS batch_group FROM customer""")
+@query("""SELECT c_custkey, CASE c_custkey % 7 WHEN 0 THEN 'batch5_E' WHEN 1 THEN 'batch3_num' WHEN 2 THEN 'batch2_AH' ELSE 'other' END AS batch_group FROM customer""")
 def q8_batch_group(spark, sf):
-    name = "CASE c_custkey % 5 WHEN 0 THEN concat(' e', c_custkey) WHEN 1 THEN concat(c_custkey, '-a') WHEN 2 THEN 'c' WHEN 3 THEN 'K' END"
+    name = "CASE c_custkey % 7 WHEN 0 THEN concat('E', c_custkey) WHEN 1 THEN CAST(c_custkey AS STRING) WHEN 2 THEN char(65 + c_custkey % 8) WHEN 3 THEN concat('E', c_custkey, 'x') WHEN 4 THEN concat(c_custkey, '-a') WHEN 5 THEN 'K' ELSE 'c' END"
     return spark.read.parquet(f"{sf}/customer.parquet").select("c_custkey", report.batch_group(F.expr(name)).alias("batch_group"))
 
 
-@query("""WITH c AS (SELECT c_custkey, CASE WHEN c_nationkey % 2 = 0 THEN 'XX' ELSE 'XY' END AS m, CASE c_custkey % 4 WHEN 0 THEN 'XX' WHEN 1 THEN 'XY' WHEN 2 THEN 'ambiguous' END AS d FROM customer)
-  SELECT c_custkey, CASE WHEN d IN ('XX', 'XY') THEN d ELSE m END AS sex, CASE WHEN d IN ('XX', 'XY') AND d <> m THEN 'depth_override' WHEN d IN ('XX', 'XY') THEN 'agree' ELSE 'model' END AS sex_source FROM c""")
+@query("""WITH c AS (SELECT c_custkey, CASE WHEN c_nationkey % 2 = 0 THEN 'XX' ELSE 'XY' END AS m, CASE c_custkey % 4 WHEN 0 THEN 'XX' WHEN 1 THEN 'XY' WHEN 2 THEN 'ambiguous' END AS d FROM customer),
+  h AS (SELECT c_custkey, 'hybrid' AS method, CASE WHEN d IN ('XX', 'XY') THEN d ELSE m END AS sex, CASE WHEN d IN ('XX', 'XY') AND d <> m THEN 'depth_override' WHEN d IN ('XX', 'XY') THEN 'model_depth_consensus' ELSE 'model_fallback' END AS sex_source FROM c
+    UNION ALL SELECT c_custkey, 'depth_only', CASE WHEN d IN ('XX', 'XY') THEN d ELSE m END, CASE WHEN d IN ('XX', 'XY') THEN 'depth_only' ELSE 'depth_only_fallback_model' END FROM c UNION ALL SELECT c_custkey, 'model_only', m, 'model_only' FROM c)
+  SELECT *, CASE sex WHEN 'XX' THEN 'F' WHEN 'XY' THEN 'M' ELSE '' END AS gender FROM h""")
 def x3_resolve_sex(spark, sf):
     calls = spark.read.parquet(f"{sf}/customer.parquet").selectExpr("c_custkey", "CASE WHEN c_nationkey % 2 = 0 THEN 'XX' ELSE 'XY' END AS model_call", "CASE c_custkey % 4 WHEN 0 THEN 'XX' WHEN 1 THEN 'XY' WHEN 2 THEN 'ambiguous' END AS depth_call")
-    return report.resolve_sex(calls).select("c_custkey", "sex", "sex_source")
+    each = [report.resolve_sex(calls, m).select("c_custkey", F.lit(m).alias("method"), "sex", "gender", "sex_source") for m in ("hybrid", "depth_only", "model_only")]
+    return each[0].unionByName(each[1]).unionByName(each[2])
 
 
 @query("""SELECT CAST(c_nationkey AS BIGINT) AS "group", CAST(bool_and(c_acctbal < 9000) OR bool_and(c_acctbal > 9000) AS INT) AS applicable FROM customer GROUP BY ALL""")

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from binlattice.operators import grid, qc, report
+from binlattice.operators import evaluate, grid, qc, report
+from binlattice.operators import sample_report as sr
 from binlattice.plans import adapters as a
-from binlattice.plans.calling_queries import AR
-from binlattice.plans.registry import _MASK, BINS, EVENTS, TRUTH, query, r6
+from binlattice.plans.calling_queries import _FR, AR, SU
+from binlattice.plans.registry import _CH, _MASK, BINS, TRUTH, X1, query, r6
 from binlattice.sources import ingest
 
 
@@ -60,9 +61,9 @@ def natural_places(named):
     return dealt.join(F.broadcast(starts), "part").withColumn("place", place).drop("key", "part", "before")
 
 
-@query("SELECT c_custkey, row_number() OVER (ORDER BY c_mktsegment, c_custkey) AS place FROM customer WHERE c_nationkey = 3")
+@query("SELECT c_custkey, row_number() OVER (ORDER BY lower(c_mktsegment), c_custkey) AS place FROM customer")
 def s17_natural_order(spark, sf):
-    named = _table(spark, sf, "customer").where("c_nationkey = 3").withColumn("name", F.concat("c_mktsegment", F.lit("-"), F.col("c_custkey").cast("string")))
+    named = _table(spark, sf, "customer").withColumn("name", F.concat("c_mktsegment", F.lit("-"), F.col("c_custkey").cast("string")))
     return natural_places(named).select("c_custkey", "place")
 
 
@@ -86,23 +87,54 @@ def b9_escalate_hotspots(spark, sf):
     return grid.escalate_hotspots(a.masked(spark, sf).withColumn("mask_reason", F.lit(""))).select("chrom", "bin_index", "mask_label", "mask_reason")
 
 
-def _benchmark_events(spark, sf):
-    part = F.least(F.lit(1.0), F.col("max_abs_z") / 20)
-    return a.events(spark, sf).select("*", F.col("max_abs_z").alias("support_z"), part.alias("fraction_point"), (part * 0.5).alias("fraction_ci_low"), (part * 1.5).alias("fraction_ci_high"), F.lit("estimated").alias("fraction_status"))
+_AE = f"{AR}, ae AS (SELECT ar.*, e.chrom, e.state, e.start_pos, e.end_pos, e.f_high, e.f_clean, e.cmz, e.qv, greatest(abs(cmz), abs(cdz), abs(az)) AS support FROM ar JOIN a0 e ON e.event_id = ar.event_id)"
+_IN = "least(e.end_pos, t_end) - greatest(e.start_pos, t_start) + 1 > 0"
+_E4 = f"""{_AE}, {TRUTH}, tj AS (SELECT t.*, e.support, e.event_id IS NOT NULL AND (t_start IS NULL OR t_end IS NULL OR {_IN}) AS hit FROM truth t LEFT JOIN (SELECT * FROM ae WHERE keep_event = 1) e ON e.sample_id = t.sample_id AND e.chrom = t.chrom AND e.state = t.state),
+  tm AS (SELECT truth_id, sample_id, chrom, state, CAST(bool_or(hit) AS INT) AS matched, CAST(coalesce(max(support) FILTER (WHERE hit) >= 2.5, false) AS INT) AS detected, max(support) FILTER (WHERE hit) AS top FROM tj GROUP BY ALL)"""
+
+
+@query(f"WITH {_AE} SELECT chrom, state, artifact_status, count(*) AS event_count, CAST(sum(keep_event) AS BIGINT) AS kept_event_count, round(median(priority_score), 6) AS median_priority_score, round(median(abs(cmz)), 6) AS median_abs_calibrated_z FROM ae GROUP BY ALL")
+def e1_event_metrics(spark, sf):
+    return r6(evaluate.event_metrics(a.classified(spark, sf)))
+
+
+@query(f"""WITH {_AE}, k(lo, hi, label) AS (VALUES (-1, 0.01, '<=0.01'), (0.01, 0.05, '0.01-0.05'), (0.05, 0.10, '0.05-0.10'), (0.10, 0.25, '0.10-0.25'), (0.25, 1, '>0.25'))
+  SELECT label AS qvalue_bin, count(event_id) AS event_count, CAST(coalesce(sum(keep_event), 0) AS BIGINT) AS kept_event_count, round(median(priority_score), 6) AS median_priority_score FROM k LEFT JOIN ae ON coalesce(qv, 1) > lo AND coalesce(qv, 1) <= hi GROUP BY label""")
+def e3_qvalue_calibration(spark, sf):
+    return r6(evaluate.qvalue_calibration(a.classified(spark, sf)))
+
+
+@query(f"WITH {_E4} SELECT truth_id, sample_id, chrom, state, matched, detected, round(top, 6) AS top_support_z FROM tm")
+def e4_truth_metrics(spark, sf):
+    return r6(evaluate.truth_metrics(a.classified(spark, sf), a.loaded_truth(spark, sf)))
+
+
+@query(f"""WITH {_E4}, ta AS (SELECT count(*) AS truth_row_count, CAST(sum(matched) AS BIGINT) AS truth_match_count, CAST(sum(detected) AS BIGINT) AS truth_detected_count, round(avg(matched), 6) AS truth_match_rate, round(avg(detected), 6) AS truth_recall FROM tm)
+  SELECT count(DISTINCT sample_id) AS sample_count, count(*) AS event_count, count(*) FILTER (WHERE keep_event = 1) AS kept_event_count, {', '.join(f"count(*) FILTER (WHERE artifact_status = '{k}') AS {k}_event_count" for k in ('pass', 'review', 'artifact'))},
+  count(*) FILTER (WHERE f_high >= 0.5) AS high_risk_event_count, count(*) FILTER (WHERE f_clean >= 0.5) AS clean_supported_event_count, any_value(ta.truth_row_count) AS truth_row_count, any_value(ta.truth_match_count) AS truth_match_count, any_value(ta.truth_detected_count) AS truth_detected_count,
+  any_value(ta.truth_match_rate) AS truth_match_rate, any_value(ta.truth_recall) AS truth_recall FROM ae, ta""")
+def e5_evaluation_summary(spark, sf):
+    found = a.classified(spark, sf)
+    return r6(evaluate.evaluation_summary(found, evaluate.truth_metrics(found, a.loaded_truth(spark, sf))))
 
 
 def _matched(spark, sf):
-    return report.match_truth(_benchmark_events(spark, sf), report.load_truth(a.truth(spark, sf)))
+    kept = evaluate.kept_events(a.with_fractions(spark, sf))
+    return report.match_truth(kept, a.loaded_truth(spark, sf), report.load_external(a.external(spark, sf)))
 
 
-_T2 = f"""{EVENTS}, {TRUTH}, th AS (SELECT t.*, e.event_id, e.max_abs_z AS z, e.event_id IS NOT NULL AND (t_start IS NULL OR t_end IS NULL OR least(e.end_pos, t_end) - greatest(e.start_pos, t_start) + 1 > 0) AS hit FROM truth t LEFT JOIN ev e ON e.sample_id = t.sample_id AND e.chrom = t.chrom AND e.state = t.state),
-  mt AS (SELECT truth_id, sample_id, chrom, state, fraction AS tf, count(*) FILTER (WHERE hit) AS n_matched, arg_min(event_id, (-z, event_id)) FILTER (WHERE hit) AS top_event_id, max(z) FILTER (WHERE hit) AS tz FROM th GROUP BY ALL),
-  mp AS (SELECT *, CASE WHEN tz > 20 THEN 1.0 ELSE tz / 20 END AS point, point * 0.5 AS lo, point * 1.5 AS hi FROM mt)"""
+# fractions follow the events' support: the SQL of both begins alike
+_AF = f"{_AE}{_FR[len(SU) :]}, ke AS (SELECT ae.*, fp, lo, hi, fstatus FROM ae JOIN f5 USING (event_id))"
+_T2 = f"""{_AF}, {TRUTH}, xt AS (SELECT 'S' || CAST(o_custkey % 8 AS VARCHAR) AS sample_id, {_CH.format('(o_orderkey % 24)')} AS chrom, CASE WHEN o_custkey % 2 = 0 THEN 'gain' ELSE 'loss' END AS state, (o_orderkey % 28) * 90000 AS start_pos, (o_orderkey % 28) * 90000 + 200000 AS end_pos, abs(o_custkey % 17 - 8) AS z FROM orders),
+  th AS (SELECT t.*, e.event_id, e.support, fp, lo, hi, e.event_id IS NOT NULL AND (t_start IS NULL OR t_end IS NULL OR {_IN}) AS hit FROM truth t LEFT JOIN (SELECT * FROM ke WHERE keep_event = 1) e ON e.sample_id = t.sample_id AND e.chrom = t.chrom AND e.state = t.state),
+  mt AS (SELECT truth_id, sample_id, chrom, state, fraction AS tf, count(*) FILTER (WHERE hit) AS n_matched, arg_min(event_id, (-support, event_id)) FILTER (WHERE hit) AS top_event_id, max(support) FILTER (WHERE hit) AS tz FROM th GROUP BY ALL),
+  mx AS (SELECT truth_id, count(*) FILTER (WHERE e.z IS NOT NULL AND (t_start IS NULL OR t_end IS NULL OR {_IN})) AS xn, CAST(max(e.z) FILTER (WHERE t_start IS NULL OR t_end IS NULL OR {_IN}) AS DOUBLE) AS xz FROM truth t LEFT JOIN xt e ON e.sample_id = t.sample_id AND e.chrom = t.chrom AND e.state = t.state GROUP BY ALL),
+  mp AS (SELECT mt.*, xn, xz, ke.fp AS point, ke.lo, ke.hi, ke.fstatus FROM mt JOIN mx USING (truth_id) LEFT JOIN ke ON ke.event_id = mt.top_event_id)"""
 
 
-@query(f"WITH {_T2} SELECT truth_id, n_matched, top_event_id, round(tz, 6) AS top_z, round(point, 6) AS point, round(tf, 6) AS truth_fraction, CAST(coalesce(tz >= 2.5, false) AS INT) AS detected FROM mp")
+@query(f"WITH {_T2} SELECT truth_id, n_matched, top_event_id, round(tz, 6) AS top_z, round(point, 6) AS point, fstatus AS fraction_status, round(tf, 6) AS truth_fraction, CAST(coalesce(tz >= 2.5, false) AS INT) AS detected, xn AS external_n_matched, xz AS external_top_z, CAST(coalesce(xz >= 5, false) AS INT) AS external_detected FROM mp")
 def t2_match_truth(spark, sf):
-    return r6(_matched(spark, sf).select("truth_id", "n_matched", "top_event_id", "top_z", "point", "truth_fraction", "detected"))
+    return r6(_matched(spark, sf).select("truth_id", "n_matched", "top_event_id", "top_z", "point", "fraction_status", "truth_fraction", "detected", "external_n_matched", "external_top_z", "external_detected"))
 
 
 @query(f"WITH {_T2}, e AS (SELECT abs(point - tf) AS e, CASE WHEN point - tf IS NOT NULL THEN CAST(tf >= lo AND tf <= hi AS INT) END AS c FROM mp) SELECT count(e) AS n, round(avg(e), 6) AS mae, round(sqrt(avg(e * e)), 6) AS rmse, round(median(e), 6) AS median_abs_error, round(avg(c), 6) AS coverage FROM e")
@@ -110,31 +142,48 @@ def t4_fraction_errors(spark, sf):
     return r6(report.fraction_error_summary(report.fraction_errors(_matched(spark, sf))))
 
 
-_T5 = f"{_T2}, ad AS (SELECT truth_id, CAST(l AS DOUBLE) AS level, tz * l AS scaled_z, CAST(coalesce(tz * l >= 2.5, false) AS INT) AS detected, coalesce(tf * l, point * l) AS target_fraction, CASE WHEN tf IS NOT NULL THEN 'truth_fraction' WHEN point IS NOT NULL THEN 'branch_b_estimate' ELSE '' END AS fraction_source FROM mp, (VALUES (1.0), (0.5), (0.25)) v(l))"
+_BIN = "CASE WHEN {0} IS NULL THEN 'unknown' WHEN {0} <= 0.05 THEN '<=5%' WHEN {0} <= 0.10 THEN '5-10%' WHEN {0} <= 0.15 THEN '10-15%' WHEN {0} <= 0.20 THEN '15-20%' WHEN {0} <= 0.30 THEN '20-30%' ELSE '>30%' END"
+_T5 = f"""{_T2}, ad AS (SELECT truth_id, CAST(l AS DOUBLE) AS level, tz * l AS scaled_z, CAST(coalesce(tz * l >= 2.5, false) AS INT) AS detected, xz * l AS external_scaled_z, CAST(coalesce(xz * l >= 5, false) AS INT) AS external_detected, point * l AS fraction_proxy, coalesce(tf * l, point * l) AS target_fraction,
+  CASE WHEN tf IS NOT NULL THEN 'truth_fraction' WHEN point IS NOT NULL THEN 'branch_b_estimate' ELSE '' END AS fraction_source FROM mp, (VALUES (CAST(1 AS DOUBLE)), (0.5), (0.25)) v(l))"""
+
 
+def _admixture(spark, sf):
+    return report.admixture_grid(_matched(spark, sf), [1.0, 0.5, 0.25])
 
-@query(f"WITH {_T5} SELECT truth_id, level, round(scaled_z, 6) AS scaled_z, detected, round(target_fraction, 6) AS target_fraction, fraction_source FROM ad")
+
+@query(f"WITH {_T5} SELECT truth_id, level, round(scaled_z, 6) AS scaled_z, detected, external_scaled_z, external_detected, round(fraction_proxy, 6) AS fraction_proxy, round(target_fraction, 6) AS target_fraction, fraction_source, {_BIN.format('target_fraction')} AS fraction_bin FROM ad")
 def t5_admixture_grid(spark, sf):
-    return r6(report.admixture_grid(_matched(spark, sf), [1.0, 0.5, 0.25]).select("truth_id", "level", "scaled_z", "detected", "target_fraction", "fraction_source"))
+    return r6(_admixture(spark, sf).select("truth_id", "level", "scaled_z", "detected", "external_scaled_z", "external_detected", "fraction_proxy", "target_fraction", "fraction_source", "fraction_bin"))
 
 
-@query(f"WITH {_T5} SELECT level, round(avg(detected), 6) AS detection_rate, count(*) AS n FROM ad GROUP BY ALL")
+@query(f"WITH {_T5} SELECT level, round(avg(detected), 6) AS detection_rate, round(avg(external_detected), 6) AS external_detection_rate, count(*) AS truth_event_count FROM ad GROUP BY ALL")
 def t6_detection_by_level(spark, sf):
-    return r6(report.detection_by_level(report.admixture_grid(_matched(spark, sf), [1.0, 0.5, 0.25])))
+    return r6(report.detection_by_level(_admixture(spark, sf)))
 
 
-_AE = f"{AR}, ae AS (SELECT ar.*, e.chrom, e.state, e.start_pos, e.end_pos, e.segment_abs_max_robust_z AS z, e.f_high, e.f_clean FROM ar JOIN a0 e ON e.event_id = ar.event_id)"
+@query(f"WITH {_T5} SELECT CAST(x AS DOUBLE) AS threshold, count(CASE WHEN target_fraction <= x THEN 1 END) AS n, round(avg(CASE WHEN target_fraction <= x THEN detected END), 6) AS rate FROM ad, (VALUES (CAST(0.05 AS DOUBLE)), (0.1), (0.15), (0.2), (0.3)) v(x) GROUP BY x")
+def t7_low_fraction_detection(spark, sf):
+    return r6(evaluate.low_fraction_detection(_admixture(spark, sf), [0.05, 0.1, 0.15, 0.2, 0.3], "target_fraction", "detected"))
 
 
-@query(f"WITH {_AE} SELECT CASE WHEN f_high >= 0.5 THEN 'high_risk' ELSE 'other' END AS risk_bucket, count(*) AS n_events FROM ae WHERE keep_event = 1 GROUP BY ALL")
+@query(f"WITH {_AE} SELECT CASE WHEN f_high >= 0.5 THEN 'high_risk' ELSE 'clean_or_mixed' END AS risk_bucket, count(*) AS n_events FROM ae WHERE keep_event = 1 GROUP BY ALL")
 def t9_risk_bucket_counts(spark, sf):
     return report.risk_bucket_counts(a.classified(spark, sf))
 
 
-@query(f"""WITH {_AE} SELECT s.sample_id, count(event_id) AS n_events, count(*) FILTER (WHERE artifact_status = 'pass') AS n_pass, count(*) FILTER (WHERE artifact_status = 'review') AS n_review, round(max(priority_score), 6) AS max_priority, round(max(z), 6) AS max_abs_z,
-  count(*) FILTER (WHERE f_high >= 0.5) AS n_high_risk, count(*) FILTER (WHERE f_clean >= 0.5) AS n_clean_supported FROM (SELECT DISTINCT sample_id FROM bins) s LEFT JOIN ae ON ae.sample_id = s.sample_id GROUP BY s.sample_id""")
+_IQ = """lq AS (SELECT *, ln(1 + raw_count) AS l FROM bins), mq AS (SELECT *, median(l) OVER (PARTITION BY sample_id) AS m FROM lq), iq AS (SELECT sample_id, sum(raw_count) AS total, avg(CAST(raw_count > 0 AS INT)) AS nz, median(abs(l - m)) AS md FROM mq GROUP BY ALL),
+  ql AS (SELECT sample_id, nz, md, CASE WHEN total >= 2000 AND nz >= 0.4 AND md <= 1.2 THEN 'PASS' ELSE concat_ws(',', CASE WHEN total < 2000 THEN 'low_total' END, CASE WHEN nz < 0.4 THEN 'low_nonzero' END, CASE WHEN md > 1.2 THEN 'high_mad' END) END AS qc_status FROM iq)"""
+
+
+def _quality(spark, sf):
+    return qc.input_qc(a.bins(spark, sf), least_total=2000).select("sample_id", F.col("status").alias("qc_status"), "log_mad", "nonzero_fraction")
+
+
+@query(f"""WITH {_AE}, {X1}, {_IQ}, es AS (SELECT sample_id, count(*) AS total_events, CAST(sum(keep_event) AS BIGINT) AS kept_events, count(*) FILTER (WHERE artifact_status = 'pass') AS pass_events, count(*) FILTER (WHERE artifact_status = 'review') AS review_events, round(max(priority_score), 6) AS top_priority_score,
+  round(max(abs(cmz)), 6) AS max_abs_calibrated_z, count(*) FILTER (WHERE f_high >= 0.5) AS high_risk_events, count(*) FILTER (WHERE f_clean >= 0.5) AS clean_supported_events FROM ae GROUP BY ALL)
+  SELECT es.*, sex_call, qc_status, round(md, 6) AS log_mad, round(nz, 6) AS nonzero_fraction FROM es LEFT JOIN sx USING (sample_id) LEFT JOIN ql USING (sample_id)""")
 def e2_sample_metrics(spark, sf):
-    return r6(report.sample_metrics(a.classified(spark, sf), a.bins(spark, sf).select("sample_id").distinct()))
+    return r6(report.sample_metrics(a.classified(spark, sf), a.depths(spark, sf).select("sample_id", "sex_call"), _quality(spark, sf)))
 
 
 @query(f"WITH {_AE} SELECT event_id, round(greatest(abs(cmz), abs(cdz), abs(az)), 6) AS support_z FROM a0")
@@ -150,19 +199,26 @@ def p1_sample_event_rollup(spark, sf):
     return r6(report.sample_event_rollup(a.classified(spark, sf)))
 
 
-_P2 = f"{_AE}, dp AS (SELECT sample_id, event_id, chrom || ':' || start_pos || '-' || end_pos || ' ' || state || ' [' || artifact_status || '/' || technical_confidence || ']' AS display FROM ae WHERE keep_event = 1 AND NOT ({_SUP}) QUALIFY row_number() OVER (PARTITION BY sample_id ORDER BY priority_score DESC, n_bins DESC, end_pos DESC, event_id) = 1)"
+_P2 = f"""{_AF}, dp AS (SELECT sample_id, event_id, chrom || ':' || start_pos || '-' || end_pos || ' ' || state || ' [' || artifact_status || '/' || technical_confidence || ']' AS top_event, CASE WHEN fp IS NOT NULL THEN printf('%.1f%%', 100 * fp) ELSE '' END AS top_fraction,
+  CASE WHEN lo IS NOT NULL AND hi IS NOT NULL THEN printf('%.1f%% to %.1f%%', 100 * lo, 100 * hi) ELSE '' END AS top_fraction_ci, artifact_flags AS top_flags, downgrade_reason AS top_downgrade_reason
+  FROM ke WHERE keep_event = 1 AND NOT ({_SUP}) QUALIFY row_number() OVER (PARTITION BY sample_id ORDER BY priority_score DESC, n_bins DESC, end_pos DESC, event_id) = 1)"""
 
 
 @query(f"WITH {_P2} SELECT * FROM dp")
 def p2_top_display_event(spark, sf):
-    return report.top_display_event(a.classified(spark, sf))
+    return report.top_display_event(a.with_fractions(spark, sf))
 
 
-@query(f"""WITH {_P2}, ro AS (SELECT sample_id, count(*) AS n, sum(keep_event) AS k FROM ae GROUP BY ALL) SELECT s.sample_id, CASE WHEN display IS NOT NULL THEN CAST(k AS VARCHAR) || ' kept of ' || n || ' events; top ' || display WHEN n > 0 THEN 'no event to show of ' || n ELSE 'no events' END AS conclusion
-  FROM (SELECT DISTINCT sample_id FROM bins) s LEFT JOIN ro ON ro.sample_id = s.sample_id LEFT JOIN dp ON dp.sample_id = s.sample_id""")
+@query(f"""WITH {_P2}, {X1}, {_IQ}, ro AS (SELECT sample_id, sum(keep_event) AS k, count(*) FILTER (WHERE {_SUP}) AS h FROM ke GROUP BY ALL), xs AS (SELECT 'S' || CAST(o_custkey % 8 AS VARCHAR) AS sample_id, arg_max('chr' || replace({_CH.format('(o_orderkey % 24)')}, 'chr', '') || ':' || (o_orderkey % 28) * 90000 || '-' || ((o_orderkey % 28) * 90000 + 200000) || ' ' || CASE WHEN o_custkey % 2 = 0 THEN 'dup' ELSE '-' END,
+    (abs(o_custkey % 17 - 8), (o_orderkey % 28) * 90000 + 200000, 'chr' || replace({_CH.format('(o_orderkey % 24)')}, 'chr', '') || ':' || (o_orderkey % 28) * 90000 || '-' || ((o_orderkey % 28) * 90000 + 200000) || ' ' || CASE WHEN o_custkey % 2 = 0 THEN 'dup' ELSE '-' END)) AS ext FROM orders GROUP BY ALL)
+  SELECT ro.sample_id, 'Branch B kept ' || k || ' events; top event: ' || coalesce(top_event, CASE WHEN h > 0 THEN 'suppressed_sex_chromosome_review' ELSE 'none' END) || '; fraction=' || coalesce(nullif(top_fraction, ''), 'not_estimated') || '; flags=' || coalesce(nullif(top_flags, ''), CASE WHEN h > 0 THEN 'sex_chromosome_event' ELSE 'none' END)
+    || '; downgrade=' || coalesce(nullif(top_downgrade_reason, ''), CASE WHEN h > 0 THEN 'sex_chromosome_review_suppressed' ELSE 'none' END) || '; sex_review_suppressed=' || h || '; QC=' || qc_status || '; sex=' || sex_call AS technical_conclusion,
+    coalesce(top_event, ext, CASE WHEN h > 0 THEN 'Branch B top event suppressed (sex-chromosome review only)' ELSE 'No A-branch event' END) AS biological_conclusion FROM ro LEFT JOIN dp USING (sample_id) LEFT JOIN xs USING (sample_id) LEFT JOIN sx USING (sample_id) LEFT JOIN ql USING (sample_id)""")
 def p4_sample_conclusions(spark, sf):
-    found = a.stored(a.classified(spark, sf))
-    return report.sample_conclusions(a.bins(spark, sf).select("sample_id").distinct(), report.sample_event_rollup(found), report.top_display_event(found))
+    found = a.with_fractions(spark, sf)
+    samples = a.depths(spark, sf).select("sample_id", "sex_call").join(_quality(spark, sf).select("sample_id", "qc_status"), "sample_id")
+    other = sr.top_external_event(samples.select("sample_id"), a.external(spark, sf))
+    return report.sample_conclusions(samples, report.sample_event_rollup(found), report.top_display_event(found), other)
 
 
 @query("""WITH t AS (SELECT c_nationkey AS k, c_mktsegment AS s, CASE c_custkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'x' WHEN 2 THEN '1.5' ELSE '0.25' END AS f FROM customer), g AS (SELECT k, s, count(*) AS n FROM t GROUP BY ALL) SELECT count(*) AS n_rows, count(*) FILTER (WHERE f = '0.25') AS n_complete, count(*) FILTER (WHERE f = '') AS n_missing,
@@ -172,11 +228,16 @@ def v1_validate_truth(spark, sf):
     return report.validate_truth(_table(spark, sf, "customer").selectExpr("c_nationkey AS sample_id", "'chr1' AS chrom", "c_mktsegment AS expected_state", raw))
 
 
-@query("SELECT 'value_changed' AS status, count(*) FILTER (WHERE c_custkey % 10 = 0) AS n_rows_differ, 5.0 AS max_abs_diff FROM customer")
+@query("""WITH d AS (SELECT CASE WHEN c_custkey % 10 = 0 THEN 5.0 ELSE 0.0 END AS far, c_mktsegment = 'BUILDING' AS word FROM customer), n AS (SELECT max(far) AS far, count(*) FILTER (WHERE far > 0) AS moved, count(*) FILTER (WHERE word) AS words, count(*) FILTER (WHERE word OR far > 0) AS either FROM d)
+  SELECT 'numbers' AS what, CASE WHEN far > 1 THEN 'float_tolerance_only' ELSE 'identical' END AS status, moved AS n_rows_differ, CAST(far AS DOUBLE) AS max_abs_diff FROM n UNION ALL SELECT 'within', CASE WHEN far > 10 THEN 'float_tolerance_only' ELSE 'identical' END, moved, CAST(far AS DOUBLE) FROM n
+  UNION ALL SELECT 'words', CASE WHEN words > 0 THEN 'value_changed' WHEN far > 1 THEN 'float_tolerance_only' ELSE 'identical' END, either, CAST(far AS DOUBLE) FROM n""")
 def v2_diff_tables(spark, sf):
-    base = _table(spark, sf, "customer").selectExpr("c_custkey", "c_mktsegment", "CAST(c_acctbal AS DOUBLE) AS x")
-    x, y = base.withColumn("x", F.floor("x").cast("double")), base.withColumn("x", F.floor("x").cast("double") + F.when(F.col("c_custkey") % 10 == 0, 5.0).otherwise(0.0))
-    return report.diff_tables(x, y, ["c_custkey"])
+    base = _table(spark, sf, "customer").selectExpr("c_custkey AS sample_id", "c_mktsegment AS word", "floor(CAST(c_acctbal AS DOUBLE)) AS x")
+    moved = base.withColumn("x", F.col("x") + F.when(F.col("sample_id") % 10 == 0, 5).otherwise(0))
+    said = moved.withColumn("word", F.when(F.col("word") == "BUILDING", "other").otherwise(F.col("word")))
+    cases = {"numbers": (moved, 1.0), "within": (moved, 10.0), "words": (said, 1.0)}
+    found = [report.diff_tables(base, other, tolerance=t).withColumn("what", F.lit(name)) for name, (other, t) in cases.items()]
+    return found[0].unionByName(found[1]).unionByName(found[2])
 
 
 @query("SELECT user_id AS run_key, CASE WHEN bool_or(event_type = 'error') THEN 'log_failed' WHEN bool_or(event_type = 'purchase') THEN 'log_complete' ELSE 'benchmark_only' END AS status FROM events GROUP BY ALL")

@@ -3,8 +3,9 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from binlattice.operators import calling, report
+from binlattice.operators import calling, evaluate, grid, qc, report
 from binlattice.sources import ingest
 
 BINS = "sample_id string, chrom string, bin_index bigint, start_pos bigint, end_pos bigint, robust_z double, calling_weight double, normalized_signal double, calling_seed_eligible int"
@@ -103,8 +104,86 @@ def test_bad_input_is_an_error(spark):
         ingest.parse_region_specs(spark.createDataFrame([("chr1:5",)], "r string"), "r").collect()
 
 
-@pytest.mark.parametrize("move, want", [(0.0, "identical"), (1e-12, "float_tolerance_only"), (1.0, "value_changed")])
-def test_diff_tables(spark, move, want):
-    a = spark.createDataFrame([(1, 2.0), (2, None)], "k int, x double")
-    b = spark.createDataFrame([(1, 2.0 + move), (2, None)], "k int, x double")
-    assert report.diff_tables(a, b, ["k"]).first().status == want
+@pytest.mark.parametrize(
+    ("rows", "others", "want"),
+    [
+        ([(1, 2.0, "a"), (2, 3.0, "b")], [(2, 3.0, "b"), (1, 2.0, "a")], "identical"),
+        ([(1, 2.0, "a"), (2, 3.0, "b")], [(1, 2.0 + 1e-12, "a"), (2, 3.0, "b")], "identical"),
+        ([(1, 2.0, "a"), (2, 3.0, "b")], [(1, 2.5, "a"), (2, 3.0, "b")], "float_tolerance_only"),
+        ([(1, 2.0, "a"), (2, None, "b")], [(1, 2.5, "a"), (2, None, "b")], "value_changed"),
+        ([(1, 2.0, "a"), (2, 3.0, "b")], [(1, 2.5, "x"), (2, 3.0, "b")], "value_changed"),
+        ([(1, 2.0, "a"), (2, 3.0, "b")], [(1, 2.0, "a"), (3, 3.0, "b")], "value_changed"),
+        ([(1, 2.0, "a"), (2, 3.0, "b")], [(1, 2.0, "a")], "row_count_changed"),
+    ],
+)
+def test_diff_tables(spark, rows, others, want):
+    kind = "sample_id int, x double, t string"
+    a, b = spark.createDataFrame(rows, kind), spark.createDataFrame(others, kind)
+    assert report.diff_tables(a, b).first().status == want
+    assert report.diff_tables(a, b.select("sample_id", "t", "x")).first().status == "schema_changed"
+    if "x" not in {r[2] for r in others} and want == "float_tolerance_only":
+        assert report.diff_tables(a, b, ignore=("x",)).first().status == "identical"
+
+
+EVENT = "sample_id string, event_id string, chrom string, start_pos bigint, end_pos bigint, state string, keep_event int, artifact_status string, priority_score double, n_bins int, technical_confidence string, artifact_flags string, downgrade_reason string, calibrated_mean_z double, calibrated_median_z double, event_corr_adjusted_z double, fraction_point double, fraction_ci_low double, fraction_ci_high double, fraction_status string"
+
+
+def event(event_id, chrom, start, end, status="pass", keep=1, priority=5.0, z=-4.0, fraction=None, state="gain", sample="S1"):
+    return (sample, event_id, chrom, start, end, state, keep, status, priority, 10, "high", "", "", z, None, 1.0, fraction, fraction and fraction / 2, fraction and fraction * 1.5, "estimated")
+
+
+def test_truth_shares_a_base_with_its_match(spark):
+    events = spark.createDataFrame([event("a", "1", 100, 200), event("b", "chr1", 201, 300, state="DUP"), event("c", "chr1", 1, 50, keep=0, z=99.0), event("d", "chr2", 1, 9, z=-2.0)], EVENT)
+    truth = spark.createDataFrame([("t1", "S1", "1", " Amplification", 200, 200, "0.3"), ("t2", "S1", "chr1", "+", 301, 400, "x"), ("t3", "S1", "chr2", "gain", None, 5, None)], "truth_id string, sample_id string, chrom string, state string, t_start bigint, t_end bigint, expected_fraction string")
+    loaded = report.load_truth(truth)
+    got = {r.truth_id: (r.matched, r.detected, r.top_support_z) for r in evaluate.truth_metrics(events, loaded).collect()}
+    assert got == {"t1": (1, 1, 4.0), "t2": (0, 0, None), "t3": (1, 0, 2.0)}
+    outside = report.load_external(spark.createDataFrame([("S1", "1", "dup", 150, 200, -6.0), ("S1", "1", "dup", 150, 199, 9.0)], "sample_id string, chrom string, kind string, start_pos bigint, end_pos bigint, zscore double"))
+    both = {r.truth_id: r for r in report.match_truth(evaluate.kept_events(events), loaded, outside).collect()}
+    assert (both["t1"].n_matched, both["t1"].top_event_id, both["t1"].truth_fraction, both["t1"].external_n_matched, both["t1"].external_top_z, both["t1"].external_detected) == (1, "a", 0.3, 1, 6.0, 1)
+    assert both["t2"].truth_fraction is None and (both["t2"].n_matched, both["t2"].external_n_matched) == (0, 0)
+
+
+def test_sex_chromosome_review_is_not_shown(spark):
+    events = spark.createDataFrame([event("a", "chrX", 1, 9, status="review", priority=9.0), event("b", "chr7", 5, 20, priority=3.0, fraction=0.25), event("c", "chrX", 1, 9, status="review", sample="S2"), event("d", "chrX", 3, 9, sample="S3"), event("e", "chr1", 3, 9, keep=0, status="artifact", sample="S4")], EVENT)
+    shown = report.top_display_event(events)
+    assert {r.sample_id: (r.top_event, r.top_fraction, r.top_fraction_ci) for r in shown.collect()} == {"S1": ("chr7:5-20 gain [pass/high]", "25.0%", "12.5% to 37.5%"), "S3": ("chrX:3-9 gain [pass/high]", "", "")}
+    samples = spark.createDataFrame([("S1", "PASS", "XX"), ("S2", None, "XY")], "sample_id string, qc_status string, sex_call string")
+    outside = spark.createDataFrame([("S4", "chr9:1-2 loss")], "sample_id string, top_event string")
+    said = {r.sample_id: r for r in report.sample_conclusions(samples, report.sample_event_rollup(events), shown, outside).collect()}
+    assert said["S1"].technical_conclusion == "Branch B kept 2 events; top event: chr7:5-20 gain [pass/high]; fraction=25.0%; flags=none; downgrade=none; sex_review_suppressed=1; QC=PASS; sex=XX".replace("flags=none; downgrade=none", "flags=sex_chromosome_event; downgrade=sex_chromosome_review_suppressed")
+    assert said["S2"].technical_conclusion.startswith("Branch B kept 1 events; top event: suppressed_sex_chromosome_review; fraction=not_estimated; flags=sex_chromosome_event") and said["S2"].technical_conclusion.endswith("QC=NA; sex=XY")
+    assert said["S2"].biological_conclusion == "Branch B top event suppressed (sex-chromosome review only)" and said["S4"].biological_conclusion == "chr9:1-2 loss" and said["S1"].biological_conclusion.startswith("chr7")
+
+
+def test_small_labels(spark):
+    one = spark.range(1)
+    groups = {"E12": "batch5_E", "E12x": "other", "E": "batch2_AH", "12": "batch3_num", "12-a": "other", "C": "batch2_AH", "c": "other", "K": "other", "": "other"}
+    for name, want in groups.items():
+        assert one.select(report.batch_group(F.lit(name))).first()[0] == want
+    for value, want in {None: "unknown", 0.05: "<=5%", 0.0500001: "5-10%", 0.15: "10-15%", 0.2: "15-20%", 0.3: "20-30%", 0.31: ">30%"}.items():
+        assert one.select(evaluate.fraction_bin(F.lit(value).cast("double"))).first()[0] == want
+    calls = spark.createDataFrame([("XX", "XY"), ("XX", None), ("XX", "ambiguous"), (None, "XX")], "model_call string, depth_call string")
+    assert [tuple(r)[2:] for r in report.resolve_sex(calls, "depth_only").collect()] == [("XY", "M", "depth_only"), ("XX", "F", "depth_only_fallback_model"), ("XX", "F", "depth_only_fallback_model"), ("XX", "F", "depth_only")]
+    assert [r.sex_source for r in report.resolve_sex(calls).collect()] == ["depth_override", "model_fallback", "model_fallback", "depth_override"]
+
+
+def test_projection_of_an_absent_chromosome(spark):
+    target = grid.make_bin_grid(spark.createDataFrame([("chr1", 200), ("chr2", 100)], "chrom string, length bigint"), 100, "wide")
+    source = spark.createDataFrame([("chr1", 0, 0, 50, 0.4, 1)], "chrom string, bin_index bigint, start_pos bigint, end_pos bigint, gc_fraction double, overlaps_blacklist int")
+    got = {(r.chrom, r.start_pos): (r.gc_fraction, r.overlaps_blacklist) for r in grid.project_annotations(target, source, ["gc_fraction"], ["overlaps_blacklist"], 100).collect()}
+    assert got == {("chr1", 0): (0.2, 1), ("chr1", 100): (0.0, 0), ("chr2", 0): (None, 0)}
+
+
+def test_new_runs_replace_old_ones(spark):
+    kind = "k string, at int, v string"
+    old, new = spark.createDataFrame([("a", 9, "old"), ("b", 1, "old")], kind), spark.createDataFrame([("a", 1, "new"), ("a", 2, "newer"), ("c", 1, "new")], kind)
+    assert {(r.k, r.v) for r in evaluate.upsert_latest(old, new, ["k"], ["at"]).collect()} == {("a", "newer"), ("b", "old"), ("c", "new")}
+
+
+def test_chromosome_bias_of_the_stable_cohort(spark):
+    shares = spark.createDataFrame([(s, c, x) for s, xs in {"a": (0.5, 0.3, 0.2), "b": (0.52, 0.28, 0.2), "c": (0.48, 0.32, 0.2), "d": (0.9, 0.05, 0.05)}.items() for c, x in zip(("chr1", "chr2", "chr3"), xs, strict=True)], "sample_id string, chrom string, fraction double")
+    got = {r.sample_id: r for r in qc.chromosome_bias(shares, spark.createDataFrame([("a",), ("b",), ("c",)], "sample_id string")).collect()}
+    assert [got["d"][f"top_chrom_{i}"] for i in (1, 2, 3)] == ["chr3", "chr1", "chr2"] and abs(got["d"].max_abs_z - 0.15 / 1e-6) < 1
+    alone = qc.chromosome_bias(shares, spark.createDataFrame([("nobody",)], "sample_id string")).collect()
+    assert sorted(r.max_abs_z for r in alone) == sorted(r.max_abs_z for r in qc.chromosome_bias(shares).collect())
