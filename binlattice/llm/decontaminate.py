@@ -150,7 +150,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, ba
 
     The words of a document with anchors are written once. From there on a window is its place and its
     fingerprint, and its words are looked at again only where a fingerprint is near an item's. The index and the
-    matches are broadcast only if they are counted to be small.
+    items' words are broadcast only if they are counted to be small; what grows with the documents never is by a hint.
 
     One row for each document and item, with its most similar, then first,
     window. ``mark`` is the hash of the text, which tells documents with the same id apart.
@@ -188,7 +188,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, ba
         .select("n", "fp", "item_no"),
         "near-fingerprints",
     )
-    places = windows.join(_sized(matches, matches.count()), ["n", "fp"]).groupBy("doc", "mark", "item_no").agg(F.collect_set("start").alias("starts"))
+    places = windows.join(matches, ["n", "fp"]).groupBy("doc", "mark", "item_no").agg(F.collect_set("start").alias("starts"))
     pairs = places.join(with_words, ["doc", "mark"]).join(_sized(items.select("item_no", "item_id", "item_words", "item_sh", "n"), held["words"] or 0), "item_no")
 
     def compared(start: Column) -> Column:
