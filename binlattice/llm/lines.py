@@ -75,16 +75,18 @@ class LineRuns:
             if level + 1 == len(self.levels):
                 self.levels.append([])
             rows = reduce(DataFrame.unionAll, [self.spark.table(t) for t in self.levels[level]])
-            merged = rows.groupBy("h").agg(F.sum("n_docs").alias("n_docs"), F.max("last_doc").alias("last_doc"))
-            self.levels[level + 1].append(self._write(merged, level + 1))
+            self.levels[level + 1].append(self._write(self.merged(rows), level + 1))
             self.levels[level] = []
             level += 1
 
+    @staticmethod
+    def merged(rows: DataFrame) -> DataFrame:
+        """One row a key. Of its rows one has a last_doc, as the anti-join sees to, so any aggregate would find that."""
+        return rows.groupBy("h").agg(F.sum("n_docs").alias("n_docs"), F.min("last_doc").alias("last_doc"))
+
     def frequent(self, min_docs: int) -> DataFrame:
         """(h, n_docs, last_doc) of the keys that at least ``min_docs`` documents hold; the id is that of the run in which the key was new."""
-        rows = reduce(DataFrame.unionAll, self.runs())
-        total = rows.groupBy("h").agg(F.sum("n_docs").alias("n_docs")).where(F.col("n_docs") >= min_docs)
-        return total.join(rows.where("last_doc IS NOT NULL").select("h", "last_doc"), "h")
+        return self.merged(reduce(DataFrame.unionAll, self.runs())).where(F.col("n_docs") >= min_docs)
 
     def drop(self) -> None:
         """Forget the tables; their files go with the shared folder."""
