@@ -74,19 +74,26 @@ class LineRuns:
         while len(self.levels[level]) >= self.fan_in:
             if level + 1 == len(self.levels):
                 self.levels.append([])
-            rows = reduce(DataFrame.unionAll, [self.spark.table(t) for t in self.levels[level]])
-            self.levels[level + 1].append(self._write(self.merged(rows), level + 1))
+            self.levels[level + 1].append(self._write(self.merged([self.spark.table(t) for t in self.levels[level]]), level + 1))
             self.levels[level] = []
             level += 1
 
     @staticmethod
-    def merged(rows: DataFrame) -> DataFrame:
-        """One row a key. Of its rows one has a last_doc, as the anti-join sees to, so any aggregate would find that."""
-        return rows.groupBy("h").agg(F.sum("n_docs").alias("n_docs"), F.min("last_doc").alias("last_doc"))
+    def merged(runs: list[DataFrame]) -> DataFrame:
+        """One row a key: sorted runs merged by full joins on h. Of a key's rows one has a last_doc, as the anti-join sees to.
+
+        Not a union with an aggregation: Spark 4.1 takes a union of bucketed tables to be partitioned as each of them is, and
+        then leaves a key's rows in several groups.
+        """
+        out = runs[0].select("h", "n_docs", "last_doc")
+        for run in runs[1:]:
+            both = out.join(run.select("h", F.col("n_docs").alias("n"), F.col("last_doc").alias("last")), "h", "full")
+            out = both.select("h", (F.coalesce("n_docs", F.lit(0)) + F.coalesce("n", F.lit(0))).alias("n_docs"), F.coalesce("last", "last_doc").alias("last_doc"))
+        return out
 
     def frequent(self, min_docs: int) -> DataFrame:
         """(h, n_docs, last_doc) of the keys that at least ``min_docs`` documents hold; the id is that of the run in which the key was new."""
-        return self.merged(reduce(DataFrame.unionAll, self.runs())).where(F.col("n_docs") >= min_docs)
+        return self.merged(self.runs()).where(F.col("n_docs") >= min_docs)
 
     def drop(self) -> None:
         """Forget the tables; their files go with the shared folder."""

@@ -278,6 +278,16 @@ def test_lines_against_a_plain_model(lined, n_batches, fan_in):
     assert sorted((str(r.doc_id), r.text) for r in got) == plain_lines(rows)
 
 
+def test_runs_hold_a_key_once(spark):
+    runs = lines.LineRuns(spark, fan_in=2)
+    for at in (90, 60, 30, 0):
+        keys = spark.range(at, at + 40).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("h"), F.lit(1).alias("n_docs"), F.col("id").alias("last_doc"))
+        runs.add(keys.groupBy("h").agg(F.count("*").alias("n_docs"), F.max("last_doc").alias("last_doc")))
+    assert len(runs.runs()) == 1 and runs.runs()[0].count() == 130 == runs.runs()[0].where("last_doc IS NOT NULL").count()
+    assert runs.frequent(2).count() == 30
+    runs.drop()
+
+
 def test_lines_need_the_anti_join(lined, monkeypatch):
     rows, table = lined
     monkeypatch.setattr(lines.LineRuns, "unknown", lambda self, keys: keys.withColumn("is_new", F.lit(True)))
@@ -423,7 +433,9 @@ def test_weights_are_those_of_a_plain_model(spark):
     ranked = sorted(got.values(), key=lambda r: -r.sort_key)
     k = sum(r.kept for r in ranked)
     assert 0 < k < 200 and all(r.kept for r in ranked[:k])
-    assert {r.doc_id % 4 > 0 for r in ranked[:k]} == {True} and k == 150
+    # of texts of a few words noise decides, of longer ones the weight
+    long = [r for r in ranked if len(features[r.doc_id]) > 300]
+    assert len(long) > 30 and all(r.kept == (r.doc_id % 4 > 0) for r in long)
 
 
 def test_sketches_agree_as_often_as_sets_do():
