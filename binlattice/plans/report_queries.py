@@ -188,7 +188,7 @@ def l1_event_features(spark, sf):
 
 
 def _labels(spark, sf):
-    return a.truth(spark, sf).groupBy("sample_id", "chrom", "state").agg(F.max(F.col("truth_id") % 2).cast("int").alias("label"))
+    return a.loaded_truth(spark, sf).groupBy("sample_id", "chrom", "state").agg(F.max(F.col("truth_id") % 2).cast("int").alias("label"))
 
 
 @query(f"WITH {_FEAT}, {TRUTH}, lb AS (SELECT sample_id, chrom, state, CAST(max(truth_id % 2) AS INT) AS label FROM truth GROUP BY ALL) SELECT event_id, label FROM fe LEFT JOIN lb USING (sample_id, chrom, state)")
