@@ -398,3 +398,4 @@ def oracle_sql() -> dict[str, str]:
 
 from binlattice.plans import calling_queries, cohort_queries, report_queries  # noqa: E402, F401  register their queries
 from binlattice.plans import table_queries  # noqa: E402, F401  registers its queries
+from binlattice.plans import file_queries  # noqa: E402, F401  registers its queries

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from binlattice.operators import evaluate, grid, qc, report
+from binlattice.operators import classifier, evaluate, grid, qc, report
 from binlattice.operators import sample_report as sr
 from binlattice.plans import adapters as a
 from binlattice.plans.calling_queries import _FR, AR, SU
@@ -88,6 +88,19 @@ def b9_escalate_hotspots(spark, sf):
 
 
 _AE = f"{AR}, ae AS (SELECT ar.*, e.chrom, e.state, e.start_pos, e.end_pos, e.f_high, e.f_clean, e.cmz, e.qv, greatest(abs(cmz), abs(cdz), abs(az)) AS support FROM ar JOIN a0 e ON e.event_id = ar.event_id)"
+_VALUES = "segment_weight segment_mean_signal segment_median_signal segment_mean_robust_z segment_median_robust_z segment_abs_max_robust_z".split()
+_NAMED = "cmz AS calibrated_mean_z, cdz AS calibrated_median_z, pv AS empirical_pvalue, qv AS empirical_qvalue, prio AS priority_score"
+_ALL = f"""{AR}, af AS (SELECT a3.event_id, a3.sample_id, a3.chrom, a3.state, CAST(a3.n_bins AS DOUBLE) AS n_bins, {', '.join(_VALUES)}, {_NAMED}, (end_bin - start_bin + 1) / greatest(end_bin + 1, 1) AS chrom_fraction, CAST(state = 'gain' AS DOUBLE) AS is_gain, CAST(state = 'loss' AS DOUBLE) AS is_loss,
+  CAST(chrom NOT IN ('chrX', 'chrY') AS DOUBLE) AS is_autosome, CAST(chrom IN ('chrX', 'chrY') AS DOUBLE) AS is_sex_chromosome, CAST(CASE WHEN ar.artifact_flags = '' THEN 0 ELSE len(string_split(ar.artifact_flags, ',')) END AS DOUBLE) AS flag_count,
+  {', '.join(f"CAST(contains(ar.artifact_flags, '{flag}') AS DOUBLE) AS {out}" for flag, out in (('edge_event', 'has_edge_flag'), ('weak_empirical_support', 'has_weak_support_flag'), ('par_overlap', 'has_par_flag')))} FROM a3 JOIN ar ON ar.event_id = a3.event_id)"""
+
+
+@query(f"WITH {_ALL} SELECT event_id, sample_id, chrom, state, {', '.join(f'round({c}, 6) AS {c}' for c in classifier.FEATURES)} FROM af")
+def l1_classified_features(spark, sf):
+    """All features, from events after the artifact rules."""
+    return r6(classifier.event_features(a.classified(spark, sf)))
+
+
 _IN = "least(e.end_pos, t_end) - greatest(e.start_pos, t_start) + 1 > 0"
 _E4 = f"""{_AE}, {TRUTH}, tj AS (SELECT t.*, e.support, e.event_id IS NOT NULL AND (t_start IS NULL OR t_end IS NULL OR {_IN}) AS hit FROM truth t LEFT JOIN (SELECT * FROM ae WHERE keep_event = 1) e ON e.sample_id = t.sample_id AND e.chrom = t.chrom AND e.state = t.state),
   tm AS (SELECT truth_id, sample_id, chrom, state, CAST(bool_or(hit) AS INT) AS matched, CAST(coalesce(max(support) FILTER (WHERE hit) >= 2.5, false) AS INT) AS detected, max(support) FILTER (WHERE hit) AS top FROM tj GROUP BY ALL)"""

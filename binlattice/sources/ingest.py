@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -58,13 +59,29 @@ def read_table(spark: SparkSession, path: str | list[str], schema: str | None =
 
 
 def union_tables(tables: list[DataFrame]) -> DataFrame:
-    """All rows, columns matched by name, null where a table lacks one."""
+    """All rows, columns matched by name, null where a table lacks one. No table at all is a ValueError."""
+    if not tables:
+        raise ValueError("no tables")
     out, *rest = tables
     for t in rest:
         out = out.unionByName(t, allowMissingColumns=True)
     return out
 
 
+def read_tables(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """union_tables of the tables at the paths; missing ones and those without rows are skipped, columns included. None left: no rows, no columns."""
+    found = []
+    for path in paths:
+        try:
+            found.append(read_table(spark, path, empty_ok=False))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+        except ValueError:
+            pass
+    return union_tables(found) if found else spark.createDataFrame([], "")
+
+
 def sample_from_path(path: Column, kind: str = "stem") -> Column:
     """The sample's name in a path: ``stem`` up to the first dot, ``prefix`` up to the first underscore, ``folder`` the parent folder."""
     form = {"stem": r"([^/.]+)[^/]*$", "prefix": r"([^/_]+)[^/]*$", "folder": r"([^/]+)/[^/]*$"}[kind]
@@ -90,6 +107,7 @@ def library_metrics(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return df.select(sample_from_path(F.col("_metadata.file_path"), "folder").alias("sample_id"), *both, F.col("duplication.rate").alias("duplication_rate"), F.col("insert_size.peak").alias("insert_peak"), F.col("insert_size.unknown").alias("insert_unknown"))
 
 
+#: The columns, in the order in which phrases of a line are looked for.
 FLAGSTAT = ["total_reads_bam", "mapped_reads_bam", "paired_reads_bam", "properly_paired_reads_bam", "singleton_reads_bam", "mate_diff_chr_mapq5_reads_bam", "mate_diff_chr_reads_bam"]
 
 
