@@ -79,12 +79,55 @@ def _rules() -> list[tuple[str | None, Column, Column | bool, str | None, str |
     ]
 
 
+#: What a rule says of an event, by the rule's downgrade reason, else its filter reason, else its flag; {} is a share of the event.
+SAID = {
+    "bin_count_below_minimum": "Event spans too few bins for a stable segment.",
+    "signal_support_below_minimum": "Calibrated signal amplitude is below the minimum support threshold.",
+    "broad_sex_chromosome_event": "Large sex-chromosome event requires sex-aware review.",
+    "broad_event_preserved_by_internal_support": "Broad event is preserved for review because Branch B shows high-confidence chromosome-scale support.",
+    "chromosome_fraction_too_large": "Event spans too much of one chromosome and is likely technical.",
+    "chromosome_edge_contact": "Segment touches chromosome-edge bins and should be reviewed.",
+    "empirical_qvalue_above_threshold": "Empirical null calibration indicates weak support.",
+    "sex_chromosome_event": "Sex-chromosome event needs sex and PAR-aware interpretation.",
+    "par_overlap": "Event overlaps a PAR interval ({} of event span).",
+    "mixed_par_nonpar_boundary": "Event crosses PAR and non-PAR sequence.",
+    "xx_sample_with_chrY_signal": "chrY signal in an XX-routed sample is treated as artifact.",
+    "xy_chrY_default_review": "chrY event in XY-routed sample remains review-only by default.",
+    "xtr_overlap": "Event overlaps XTR sequence ({}).",
+    "sex_homology_overlap": "Event overlaps sex-chromosome homology sequence with elevated mapping ambiguity.",
+    "segmental_duplication_overlap": "Event overlaps segmental duplication sequence.",
+    "low_mappability_overlap": "Event overlaps low-mappability bins.",
+    "repeat_rich_overlap": "Event overlaps repeat-rich sequence.",
+    "gap_centromere_telomere_overlap": "Event overlaps gap / centromere / telomere-adjacent sequence.",
+    "blacklist_region_overlap": "Event overlaps a blacklisted genomic region.",
+    "ambiguous_alignment_region": "Event overlaps a high-risk ambiguous-alignment region.",
+    "high_risk_bin_fraction": "High-risk bins cover {} of the event.",
+    "clean_bin_support_too_low": "Event has limited clean-bin support relative to high-risk sequence burden.",
+    "high_risk_boundary_crossing": "Event crosses a clean/high-risk boundary and should be manually reviewed.",
+}
+#: What is said after the rules, of weak edge events, of events that pass, and of those kept or not below the gate.
+SAID_LAST = {
+    "weak_edge": "Edge-only event priority is too low to keep for manual review.",
+    "pass": "No explicit artifact rule was triggered.",
+    "saved": "Low-risk event retains strong internal support but misses the ultra-pass gate, so it is kept for review.",
+    "below": "Clean event did not meet the ultra-pass gate and is suppressed to control false positives.",
+}
+SHARES = {"par_overlap": "par_fraction", "xtr_overlap": "o_xtr", "high_risk_bin_fraction": "r_high"}
+
+
+def _said(rule: str) -> Column:
+    """The rule's sentence, with its share in percent to one decimal; half a tenth goes to the even digit."""
+    if rule not in SHARES:
+        return F.lit(SAID[rule])
+    return F.format_string(SAID[rule].replace("{}", "%.1f%%"), F.bround(100 * F.col(SHARES[rule]), 1))
+
+
 def artifact_flags(events: DataFrame) -> DataFrame:
-    """Flags, downgrade and filter reasons as arrays in the order of the rules, with ``hard`` and ``review``.
+    """Flags, downgrade and filter reasons and sentences as arrays in the order of the rules, with ``hard`` and ``review``.
 
     Needs chrom_bins, sex_call, par_bp and par_fraction; a sex chromosome or PAR overlap alone asks for no review.
     """
-    flags, down, filters, hards, reviews = [], [], [], [], []
+    flags, down, filters, said, hards, reviews = [], [], [], [], [], []
     for flag, holds, hard, soften, drop in _rules():
         holds = F.coalesce(holds, F.lit(False))
         split = isinstance(hard, Column)
@@ -92,11 +135,12 @@ def artifact_flags(events: DataFrame) -> DataFrame:
         flags.append(F.when(holds, F.lit(flag)))
         down.append(F.when(holds & ~strict if split else holds, F.lit(soften)))
         filters.append(F.when(strict, F.lit(drop)))
+        said.append(F.when(holds, _said(soften or drop or flag)))
         hards.append(strict)
         if soften and flag != "par_overlap":
             reviews.append(holds & ~strict)
     some = lambda xs: F.exists(F.array(*xs), lambda x: x)
-    names = {"flags": flags, "downgrades": down, "filters": filters}
+    names = {"flags": flags, "downgrades": down, "filters": filters, "said": said}
     return _inputs(events).withColumns({k: F.array_distinct(F.array_compact(F.array(*v))) for k, v in names.items()} | {"hard": some(hards), "review": some(reviews)})
 
 
@@ -124,19 +168,21 @@ def classify_events(scored: DataFrame, keep_review: bool = True) -> DataFrame:
     why = F.when(c("focal") & ~c("tidy"), "focal_low_risk_event_preserved_below_ultra_pass").otherwise("low_risk_event_preserved_below_ultra_pass")
     df = df.withColumn("downgrades", F.when(saved, F.array_append("downgrades", why)).otherwise(c("downgrades"))).withColumn("filters", F.when(below & ~saved, F.array_append("filters", "clean_event_below_ultra_pass_gate")).otherwise(c("filters")))
     status, strong = c("artifact_status"), c("r_z") >= 4
+    last = F.when(c("weak_edge"), SAID_LAST["weak_edge"]).when(saved, SAID_LAST["saved"]).when(below, SAID_LAST["below"]).when(status == "pass", SAID_LAST["pass"])
     return df.withColumns(
         {
             "keep_event": F.when(status == "pass", 1).when(status == "review", int(keep_review)).otherwise(0),
             "technical_confidence": F.when(status == "artifact", "rejected").when(status == "pass", "high").when(strong, "moderate").otherwise("low"),
             "report_class": F.when(status == "artifact", "technical_artifact").when(status == "pass", "candidate_pass").otherwise("candidate_review" if keep_review else "candidate_suppressed"),
             "artifact_flags": F.concat_ws(",", "flags"),
+            "artifact_explanations": F.concat_ws(" ", "said", last),
             "retain_reason": F.when(status == "pass", "clean_support_and_statistical_support").otherwise(""),
             "downgrade_reason": F.concat_ws(";", "downgrades"),
             "filter_reason": F.concat_ws(";", "filters"),
             "manual_review_recommended": (c("review") | (F.array_size("downgrades") > 0)).cast("int"),
             "biological_context": F.when(c("chrom").isin("chrX", "chrY"), "sex_chromosome").otherwise("autosome"),
         }
-    ).drop("flags", "downgrades", "filters", "hard", "review", "weak_edge", "held", "below", "broad", "tidy", "focal", *[f"o_{x}" for x in OVERLAPS], *[f"r_{x}" for x in ("z", "support", "clean", "high", "mean", "max", "q", "moderate", "ess", "part", "overlap")])
+    ).drop("flags", "downgrades", "filters", "said", "hard", "review", "weak_edge", "held", "below", "broad", "tidy", "focal", *[f"o_{x}" for x in OVERLAPS], *[f"r_{x}" for x in ("z", "support", "clean", "high", "mean", "max", "q", "moderate", "ess", "part", "overlap")])
 
 
 def rank_events(classified: DataFrame, top: int = 5) -> DataFrame:

@@ -202,6 +202,7 @@ def _o(c: str) -> str:
 
 _MAXO = f"greatest({', '.join(a.OVERLAPS)})"
 _SEX = "(chrom IN ('chrX', 'chrY'))"
+# Names of flags and reasons.
 _SQL_RULES = [  # flag, condition, effect: H hard, R review, - none; reason
     ("too_few_bins", "n_bins < 3", "H", "bin_count_below_minimum"), ("low_calibrated_signal", "mz < 2", "H", "signal_support_below_minimum"), ("broad_chrom_fraction", f"part > 0.35 AND {_SEX}", "R", "broad_sex_chromosome_event"),
     ("broad_chrom_fraction", f"part > 0.35 AND NOT {_SEX} AND broad", "R", "broad_event_preserved_by_internal_support"), ("broad_chrom_fraction", f"part > 0.35 AND NOT {_SEX} AND NOT broad", "H", "chromosome_fraction_too_large"),
@@ -237,6 +238,20 @@ def a2_artifact_flags(spark, sf):
     return a.classified(spark, sf).select("event_id", "artifact_flags", "downgrade_reason", "filter_reason")
 
 
+def _sentence(rule: str) -> str:
+    text = artifact.SAID[rule.removesuffix("_with_limited_clean_support")]
+    share = {"par_overlap": "par_f", "high_risk_bin_fraction": "f_high"}.get(rule)
+    return f"printf('{text.replace('{}', '%.1f%%')}', 100 * {share})" if share else f"'{text}'"
+
+
+_LAST = "CASE WHEN weak THEN '{weak_edge}' WHEN below AND (tidy OR focal) THEN '{saved}' WHEN below THEN '{below}' WHEN artifact_status = 'pass' THEN '{pass}' END".format_map(artifact.SAID_LAST)
+
+
+@query(f"WITH {AR} SELECT event_id, array_to_string(list_filter([{', '.join(f'CASE WHEN {c} THEN {_sentence(why or flag)} END' for flag, c, _, why in _SQL_RULES)}, {_LAST}], lambda x: x IS NOT NULL), ' ') AS artifact_explanations FROM a6")
+def a2_artifact_explanations(spark, sf):
+    return a.classified(spark, sf).select("event_id", "artifact_explanations")
+
+
 @query(f"WITH {AR} SELECT event_id, round(priority_score, 6) AS priority_score, round(priority_delta, 6) AS priority_delta FROM ar")
 def a3_priority_score(spark, sf):
     return r6(a.classified(spark, sf).select("event_id", "priority_score", "priority_delta"))
