@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, lines, mixing, near_dup, quality, resample, sharding, tokens, warc
+from . import chat, decontaminate, lines, mixing, near_dup, packing, quality, repair, repetition, resample, sharding, tokens, warc
 from .common import WHITE, shared_dir
 
 
@@ -74,12 +73,32 @@ def op9_minhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return tokens.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model")).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path("byte_bpe_50k.json"), limit=2048, end=0).drop("ids")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return repair.digest(given, repair.damage(given))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return repetition.digest(repetition.find_runs(repetition.plant_runs(docs)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_warc_archive, op2_histogram_shards, op3_pfair_mixture, op4_benchmark_leaks, op5_importance_resampling, op6_chat_targets, op7_line_runs, op8_rule_cascade, op9_minhash_components, op10_piece_counts]
+    found += [op11_best_fit_packing, op12_conversation_repair, op13_periodic_runs]
     return {f.__name__: f for f in found}
 
 
@@ -160,6 +179,75 @@ c AS (SELECT src AS doc_id, min(dst) AS component_id FROM reach GROUP BY src)
 SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM c LEFT JOIN n USING (doc_id)
 """
 
+#: CRC-32 of a short ASCII text, a byte at a time, with its table from the polynomial's rule.
+_CRC_TABLE = "(SELECT list(list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t FROM (SELECT CAST(unnest(range(256)) AS BIGINT) AS i))"
+
+
+def _crc32(text: str) -> str:
+    return f"xor(list_reduce(list_transform(string_split({text}, ''), lambda ch: CAST(ord(ch) AS BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), CAST(4294967295 AS BIGINT)), 4294967295)"
+
+
+def _op12() -> str:
+    # from the last row back: by state the least (cost, letters), with the lines that result
+    arc = lambda letter, cost, to, line: f"{{'c': {cost} + {to}.c, 'a': '{letter}' || {to}.a, 'l': {f'list_prepend({line}, {to}.l)' if line else f'{to}.l'}}}"
+    none = "{'c': 1000000000, 'a': '', 'l': CAST([] AS VARCHAR[])}"
+    after, keeps = ("q2", "q2", "q3", "q2"), ({"s": "q1", "u": "q2"}, {"u": "q2"}, {"a": "q3"}, {"u": "q2"})
+    base = []
+    for q in range(4):
+        new = "'assistant'" if q == 2 else "'user'"
+        kept = " ".join(f"WHEN '{i}' THEN {arc('K', '3 * cut', f's.{to}', 'line')}" for i, to in keeps[q].items())
+        reroled = arc("R", "3 + 3 * cut", f"s.{after[q]}", f"{new} || ':' || text")
+        free = f"least({arc('D', 4, f's.q{q}', '')}, CASE initial {kept} ELSE {none} END, CASE WHEN initial = {new}[1] THEN {none} ELSE {reroled} END)"
+        base.append(f"CASE WHEN must_go THEN {arc('D', 4, f's.q{q}', '')} ELSE {free} END AS b{q}")
+    filled = lambda q, to: f"least(b{q}, {{'c': 3 + {to}.c, 'a': 'I' || {to}.a, 'l': list_prepend('{'assistant' if q == 2 else 'user'}:', {to}.l)}})"
+    end = lambda cost, letters, lines: f"{{'c': CAST({cost} AS BIGINT), 'a': '{letters}', 'l': CAST({lines} AS VARCHAR[])}}"
+    return f"""
+WITH RECURSIVE crc AS {_CRC_TABLE},
+g AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+             {_crc32("coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ')")} % 20 AS h FROM conversations, crc),
+d AS (SELECT conv_id, turn, CASE WHEN h = 4 THEN 'user' ELSE role END AS role,
+             CASE h WHEN 1 THEN '' WHEN 2 THEN replace(replace(replace(text, '.', ''), '!', ''), '?', '') ELSE text END AS text,
+             unnest(CASE WHEN h = 3 THEN [0, 1] ELSE [0] END) AS copy FROM g WHERE h > 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text[1:64], sha256(text), copy) AS i FROM d),
+f AS (SELECT *, role || ':' || text AS line, role[1] AS initial, trim(text, {_WS}) AS bare,
+             row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS seen FROM o),
+r AS (SELECT *, bare = '' OR seen AS must_go, CASE WHEN bare <> '' AND NOT seen AND bare[-1] NOT IN ('.', '!', '?') THEN 1 ELSE 0 END AS cut FROM f),
+n AS (SELECT conv_id, max(i) AS n FROM r GROUP BY conv_id),
+s AS (
+  SELECT conv_id, n AS i, {end(0, '', '[]')} AS q0, {end(6, 'II', "['user:', 'assistant:']")} AS q1, {end(3, 'I', "['assistant:']")} AS q2, {end(0, '', '[]')} AS q3 FROM n
+  UNION ALL
+  SELECT conv_id, i, {filled(0, filled(2, 'b3'))} AS q0, {filled(1, filled(2, 'b3'))} AS q1, {filled(2, 'b3')} AS q2, {filled(3, 'b2')} AS q3
+  FROM (SELECT s.conv_id, s.i - 1 AS i, {', '.join(base)} FROM s JOIN r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.i = s.i)),
+c AS (SELECT *, coalesce(lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au'), false) AS bad FROM r),
+t AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (WHERE bare = '') AS blank, count(*) FILTER (WHERE bare <> '' AND seen) AS duplicate,
+             CAST(sum(cut) AS BIGINT) AS truncated, count(*) FILTER (WHERE bad) AS illegal FROM c GROUP BY conv_id)
+SELECT a.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       coalesce(q0.c, 0) AS cost, coalesce(q0.a, '') AS audit, sha256(coalesce(array_to_string(q0.l, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN t ON t.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM a.conv_id AND s.i = 0
+"""
+
+
+#: Runs as islands of word places at one distance that share five words there; of stretches with several periods the smallest counts.
+OP13 = f"""
+WITH crc AS {_CRC_TABLE},
+w0 AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w, {_crc32("CAST(doc_id AS VARCHAR)")} AS h FROM documents, crc),
+p AS (SELECT *, len(w) AS n, h // 10 AS g FROM w0),
+a AS (SELECT *, g % greatest(n, 1) AS a, 1 + (n - g % greatest(n, 1)) // (3 + g % 8) AS p FROM p),
+d AS (SELECT doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_transform(range(n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % p + 1] END) ELSE w END AS w FROM a),
+k AS (SELECT doc_id, i, array_to_string(w[i + 1:i + 5], ' ') AS gram FROM (SELECT doc_id, w, unnest(range(n - 4)) AS i FROM d WHERE n > 4)),
+m AS (SELECT x.doc_id, y.i - x.i AS q, x.i, x.i - row_number() OVER (PARTITION BY x.doc_id, y.i - x.i ORDER BY x.i) AS island FROM k x JOIN k y ON x.doc_id = y.doc_id AND x.gram = y.gram AND x.i < y.i),
+s AS (SELECT doc_id, q, min(i) AS start, max(i) - min(i) + q + 5 AS length FROM m GROUP BY doc_id, q, island),
+r AS (SELECT doc_id, start, length, min(q) AS period FROM s WHERE length >= greatest(6, 4 * q) GROUP BY doc_id, start, length),
+b AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length::DOUBLE / period DESC, start, period) = 1),
+l AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed FROM r GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+v AS (SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id),
+c AS (SELECT d.doc_id, array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(gone, i - 1)) END, ' ') AS kept FROM d LEFT JOIN v USING (doc_id))
+SELECT c.doc_id, coalesce(n_runs, 0) AS n_runs, b.start, b.length, b.period, 1000 * b.length // b.period AS exponent_milli,
+       sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256
+FROM c LEFT JOIN l USING (doc_id) LEFT JOIN b USING (doc_id)
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc_archive": OP1, "op6_chat_targets": OP6, "op7_line_runs": OP7, "op8_rule_cascade": OP8, "op9_minhash_components": OP9}
+    return {"op1_warc_archive": OP1, "op6_chat_targets": OP6, "op7_line_runs": OP7, "op8_rule_cascade": OP8, "op9_minhash_components": OP9, "op12_conversation_repair": _op12(), "op13_periodic_runs": OP13}
