@@ -7,6 +7,8 @@ clean()), and stay inside Catalyst.
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import and_
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -63,12 +65,18 @@ def _usable(value: str, weight: str) -> tuple[Column, Column]:
 def weighted_stats(df: DataFrame, value: str, weight: str, keys: list[str]) -> DataFrame:
     """Weighted mean and population deviation, effective sample size and Stouffer's z; rows without value or weight are skipped."""
     x, w = _usable(value, weight)
-    sums = df.groupBy(*keys).agg(F.sum(w).alias("w"), F.sum(w * w).alias("ww"), F.sum(w * x).alias("wx"), F.sum(w * x * x).alias("wxx"))
-    mean = F.col("wx") / F.col("w")
-    return sums.select(
+    rows = df.select(*keys, x.alias("__x"), w.alias("__w"))
+    x, w = F.col("__x"), F.col("__w")
+    sums = rows.groupBy(*keys).agg(F.sum(w).alias("w"), F.sum(w * w).alias("ww"), F.sum(w * x).alias("wx")).withColumn("mean", F.col("wx") / F.col("w"))
+    # the variance about the mean in a second pass: a difference of squares leaves noise where all values are the same
+    apart = x - F.col("mean")
+    same = reduce(and_, [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys])
+    whole = rows.alias("r").join(sums.alias("s"), same, "right").select(*[F.col(f"s.{k}").alias(k) for k in keys], "__x", "__w", "w", "ww", "wx", "mean")
+    per = whole.groupBy(*keys, "w", "ww", "wx", "mean").agg((F.sum(w * apart * apart) / F.first("w")).alias("variance"))
+    return per.select(
         *keys,
-        mean.alias("weighted_mean"),
-        F.sqrt(F.greatest(F.col("wxx") / F.col("w") - mean * mean, F.lit(0.0))).alias("weighted_std"),
+        F.col("mean").alias("weighted_mean"),
+        F.sqrt("variance").alias("weighted_std"),
         F.coalesce(F.col("w") * F.col("w") / F.col("ww"), F.lit(0.0)).alias("effective_sample_size"),
         (F.col("wx") / F.sqrt("ww")).alias("stouffer_z"),
     )

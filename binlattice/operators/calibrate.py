@@ -98,7 +98,10 @@ def abnormal_fraction(events: DataFrame, bins: DataFrame, baseline: DataFrame, s
     w = F.when(clean(signal).isNotNull(), F.greatest("calling_weight", F.lit(0.1)))
     x = clean(signal)
     all_w = F.greatest("calling_weight", F.lit(0.1))
-    per = events_to_bins(events, bins).groupBy("event_id").agg((F.sum(x * w) / F.sum(w)).alias("m"), (F.sum(x * x * w) / F.sum(w)).alias("mm"), (F.sum(all_w) * F.sum(all_w) / F.sum(all_w * all_w)).alias("ess"))
+    held = events_to_bins(events, bins)
+    means = held.groupBy("event_id").agg((F.sum(x * w) / F.sum(w)).alias("m"))
+    # the variance about the mean in a second pass: a difference of squares leaves noise where all signals are the same
+    per = held.join(means, "event_id").groupBy("event_id").agg(F.first("m").alias("m"), (F.sum(w * (x - F.col("m")) * (x - F.col("m"))) / F.sum(w)).alias("variance"), (F.sum(all_w) * F.sum(all_w) / F.sum(all_w * all_w)).alias("ess"))
     df = events.join(per, "event_id", "left").join(baseline, "sample_id", "left")
     ratio = F.greatest(F.round(F.col("m") / F.col("baseline"), 12), F.lit(1e-6))  # rounded: the order of a sum must not decide whether it is 1
     sound = F.col("m").isNotNull() & (F.col("baseline") > 0)
@@ -113,13 +116,13 @@ def abnormal_fraction(events: DataFrame, bins: DataFrame, baseline: DataFrame, s
     df = df.withColumn("__why", why)
     good = F.col("__why").isNull()
     point = 2 * F.abs(r - 1)
-    half = 1.96 * 2 * F.sqrt(F.greatest(F.col("mm") - F.col("m") * F.col("m"), F.lit(0.0))) / F.sqrt(F.greatest("ess", F.lit(1.0))) / F.col("baseline")
+    half = 1.96 * 2 * F.sqrt("variance") / F.sqrt(F.greatest("ess", F.lit(1.0))) / F.col("baseline")
     df = df.withColumn("fraction_point", F.when(good, _clip(point))).withColumn("fraction_ci_low", F.when(good, _clip(point - half))).withColumn("fraction_ci_high", F.when(good, _clip(point + half)))
     dirty, risky, small = F.coalesce(F.col("clean_bin_fraction") < 0.5, F.lit(False)), F.coalesce(F.col("high_risk_bin_fraction") > 0.25, F.lit(False)), F.col("fraction_point") < 0.15
     text = F.concat_ws(";", F.when(dirty, "clean_support_below_threshold"), F.when(risky, "high_risk_fraction_above_threshold"), F.when(small, "fraction_below_low_level_threshold"))
     status = F.when(~good, "not_estimated").when(small, "low_level_signal").when(dirty | risky, "estimated_low_confidence").otherwise("estimated")
     df = df.withColumn("fraction_status", status).withColumn("fraction_reliable", (status == "estimated").cast("int"))
-    return df.withColumn("fraction_reason", F.when(~good, F.col("__why")).when(text != "", text).otherwise("supported_autosomal_single_copy_model")).drop("__why", "m", "mm", "ess", "baseline", "n_baseline")
+    return df.withColumn("fraction_reason", F.when(~good, F.col("__why")).when(text != "", text).otherwise("supported_autosomal_single_copy_model")).drop("__why", "m", "variance", "ess", "baseline", "n_baseline")
 
 
 def fraction_summary(fractions: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from binlattice.functions.stats import clean, robust_z
+from binlattice.functions.storage import stored
 from binlattice.operators.grid import runs, seed_blocks
 
 CHROM = ["sample_id", "chrom"]
@@ -57,7 +58,7 @@ def score_bins(bins: DataFrame, signal: str = "normalized_signal") -> DataFrame:
     pool = bins.groupBy("sample_id").agg(F.sort_array(F.collect_list(point)).alias("pool"))
     mean = (F.sum(F.when(ok, x * w)) / F.sum(F.when(ok, w))).alias("mean")
     chroms = bins.groupBy(*CHROM).agg(mean, F.bool_or(auto).alias("auto")).groupBy("sample_id").agg(F.sort_array(F.collect_list(F.struct("mean", "chrom", "auto"))).alias("chroms"))
-    whole = _center_scale(_background(pool.join(chroms, "sample_id"), "pool", "__v"), "__v", "__c", "base_scale").drop("__v", "__c")
+    whole = _center_scale(_background(pool.join(chroms, "sample_id"), "pool", "__v"), "__v", "background_center", "background_scale").drop("__v")
     per = whole.withColumn("own", F.explode("chroms")).withColumn("others", F.filter("pool", lambda p: p["chrom"] != F.col("own.chrom")))
     per = per.withColumn("others", F.when(F.size("others") > 0, F.col("others")).otherwise(F.col("pool"))).drop("pool")
     per = _center_scale(_background(per, "others", "values").drop("others"), "values", "g_center", "g_scale").drop("values")
@@ -65,8 +66,8 @@ def score_bins(bins: DataFrame, signal: str = "normalized_signal") -> DataFrame:
     per = per.withColumn("rest", rest).withColumn("peers", F.filter("rest", lambda c: c["auto"] | ~F.col("own.auto")))
     per = per.withColumn("means", F.transform(F.when(F.size("peers") > 0, F.col("peers")).otherwise(F.col("rest")), lambda c: c["mean"]))
     per = _center_scale(per, "means", "s_center", "s_scale")
-    shift = (F.col("own.mean") - F.col("s_center")) / F.greatest("s_scale", "base_scale", F.lit(1e-6))
-    per = per.select("sample_id", F.col("own.chrom").alias("chrom"), "g_center", "g_scale", F.coalesce(shift, F.lit(0.0)).alias("chrom_shift_z"))
+    shift = (F.col("own.mean") - F.col("s_center")) / F.greatest("s_scale", "background_scale", F.lit(1e-6))
+    per = per.select("sample_id", F.col("own.chrom").alias("chrom"), "g_center", "g_scale", "background_center", "background_scale", F.coalesce(shift, F.lit(0.0)).alias("chrom_shift_z"))
     local = robust_z(bins, signal, CHROM, out="raw_local_robust_z").join(per, CHROM)
     raw = F.col("raw_local_robust_z") + F.col("chrom_shift_z")
     return (
@@ -78,47 +79,58 @@ def score_bins(bins: DataFrame, signal: str = "normalized_signal") -> DataFrame:
     )
 
 
-def _cuts(z: np.ndarray, w: np.ndarray, min_bins: int, threshold: float, cap: int) -> list[int]:
-    """Left ends of the segments of one block: breadth-first splits where the weighted means differ most."""
-    sw, swz = np.r_[0.0, np.cumsum(w)], np.r_[0.0, np.cumsum(w * z)]
-    level, starts, n = [(0, len(z))], {0}, 1
-    while level and n < cap:
-        below = []
-        for a, b in level:
-            if n >= cap or b - a < 2 * min_bins:
-                continue
-            at = np.arange(a + min_bins, b - min_bins + 1)
-            left, right = sw[at] - sw[a], sw[b] - sw[at]
-            gap = np.abs((swz[at] - swz[a]) / left - (swz[b] - swz[at]) / right)
-            score = gap * np.sqrt(left * right / (left + right))
-            i = int(np.argmax(score))
-            if score[i] >= threshold:
-                n += 1
-                starts.add(int(at[i]))
-                below += [(a, int(at[i])), (int(at[i]), b)]
-        level = below
-    return sorted(starts)
+BLOCK = [*CHROM, "block_index"]
+
+
+def _block_rows(bins: DataFrame, min_len: int) -> DataFrame:
+    """The bins of all seed blocks with their place i in the block, the bin before, and the sums of weights and weighted z before and up to them."""
+    blocks = seed_blocks(bins, F.col("calling_seed_eligible") == 1, min_len)
+    spread = blocks.select(*CHROM, (F.col("block_index") + 1).alias("block_index"), F.explode(F.sequence("left_bin", F.col("right_bin") - 1)).alias("bin_index"))
+    z, w = F.coalesce(clean("robust_z"), F.lit(0.0)), F.greatest("calling_weight", F.lit(1e-6))
+    rows = spread.join(bins.select(*CHROM, "bin_index", z.alias("z"), w.alias("w")), [*CHROM, "bin_index"])
+    order = Window.partitionBy(*BLOCK).orderBy("bin_index")
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("i", F.row_number().over(order) - 1).withColumn("bin_before", F.lag("bin_index").over(order)).withColumn("w1", F.sum("w").over(upto)).withColumn("z1", F.sum(F.col("w") * F.col("z")).over(upto))
+    before = lambda c: F.coalesce(F.lag(c).over(order), F.lit(0.0))
+    return rows.withColumn("w0", before("w1")).withColumn("z0", before("z1")).select(*BLOCK, "i", "bin_index", "bin_before", "w0", "w1", "z0", "z1")
 
 
 def segment_series(bins: DataFrame, min_bins: int = 5, min_event_bins: int = 3, threshold: float = 2.5, max_segments: int = 12) -> DataFrame:
     """(sample_id, chrom, block_index from 1, segment_index from 1, left_bin, right_bin): binary splits of each block of seed bins.
 
-    ``max_segments`` bounds a block. A task holds the seed bins of one sample's chromosome at a time, a number the bin size bounds.
+    The open segments of all blocks of all samples are split level by level, each where the weighted means of its sides differ most, weighed by
+    sqrt(w1 * w2 / (w1 + w2)), if that is ``threshold`` at least; of equal places the first. With running sums in the rows a level is one join of the rows
+    with the open segments and one aggregation, and writes one table of the new segments. A block has ``max_segments`` at most: first come the
+    segments of the level before, from the left. There are never more levels than ``max_segments`` - 1.
     """
-    blocks = seed_blocks(bins, F.col("calling_seed_eligible") == 1, max(min_bins, min_event_bins))
-    spread = blocks.select(*CHROM, "block_index", F.explode(F.sequence("left_bin", F.col("right_bin") - 1)).alias("bin_index"))
-    rows = spread.join(bins.select(*CHROM, "bin_index", F.coalesce(clean("robust_z"), F.lit(0.0)).alias("z"), F.greatest("calling_weight", F.lit(1e-6)).alias("w")), [*CHROM, "bin_index"])
-
-    def split(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        for block, part in pdf.sort_values("bin_index").groupby("block_index"):
-            at = part["bin_index"].to_numpy()
-            lefts = _cuts(part["z"].to_numpy(), part["w"].to_numpy(), min_bins, threshold, max_segments)
-            for i, (a, b) in enumerate(zip(lefts, [*lefts[1:], len(at)], strict=True), 1):
-                found.append((*key, int(block) + 1, i, int(at[a]), int(at[b - 1]) + 1))
-        return pd.DataFrame(found, columns=["sample_id", "chrom", "block_index", "segment_index", "left_bin", "right_bin"])
-
-    return rows.groupBy(*CHROM).applyInPandas(split, "sample_id string, chrom string, block_index int, segment_index int, left_bin bigint, right_bin bigint")
+    rows = stored(_block_rows(bins, max(min_bins, min_event_bins)))
+    first = rows.groupBy(*BLOCK).agg(
+        F.lit(0).alias("a"), F.count("*").cast("int").alias("b"), F.lit(0.0).alias("wa"), F.max_by("w1", "i").alias("wb"), F.lit(0.0).alias("za"), F.max_by("z1", "i").alias("zb"),
+        F.min("bin_index").alias("left_bin"), (F.max("bin_index") + 1).alias("right_bin"), F.lit(1).cast("bigint").alias("n"),
+    )
+    levels = [stored(first)]
+    for _ in range(max_segments - 1):
+        open_ = levels[-1].where((F.col("b") - F.col("a") >= 2 * min_bins) & (F.col("n") < max_segments))
+        inside = rows.join(open_, BLOCK).where((F.col("i") >= F.col("a") + min_bins) & (F.col("i") <= F.col("b") - min_bins))
+        left, right = F.col("w0") - F.col("wa"), F.col("wb") - F.col("w0")
+        score = F.abs((F.col("z0") - F.col("za")) / left - (F.col("zb") - F.col("z0")) / right) * F.sqrt(left * right / (left + right))
+        split = F.struct("i", "w0", "z0", "bin_index", (F.col("bin_before") + 1).alias("end_bin"))
+        best = inside.withColumn("score", score).groupBy(*open_.columns).agg(F.max("score").alias("score"), F.max_by(split, F.struct("score", -F.col("i"))).alias("at")).where((F.col("score") >= threshold) & (F.col("score") > 0))
+        block = Window.partitionBy(*BLOCK)
+        taken = best.withColumn("nth", F.row_number().over(block.orderBy("a"))).where(F.col("n") + F.col("nth") <= max_segments)
+        taken = taken.withColumn("n", F.col("n") + F.count("*").over(block))
+        side = lambda **ends: F.struct(*[ends.get(c, F.col(c)).alias(c) for c in ("a", "b", "wa", "wb", "za", "zb", "left_bin", "right_bin")])
+        lower = side(b=F.col("at.i"), wb=F.col("at.w0"), zb=F.col("at.z0"), right_bin=F.col("at.end_bin"))
+        upper = side(a=F.col("at.i"), wa=F.col("at.w0"), za=F.col("at.z0"), left_bin=F.col("at.bin_index"))
+        levels.append(stored(taken.select(*BLOCK, "n", F.inline(F.array(lower, upper))).select(*open_.columns)))
+        if levels[-1].isEmpty():
+            break
+    every = levels[0]
+    for level in levels[1:]:
+        every = every.unionByName(level)
+    # of the segments that begin at a place the shortest was not split
+    leaves = every.groupBy(*BLOCK, "left_bin").agg(F.min("right_bin").alias("right_bin"))
+    return leaves.select(*BLOCK, F.row_number().over(Window.partitionBy(*BLOCK).orderBy("left_bin")).alias("segment_index"), "left_bin", "right_bin")
 
 
 def in_segments(segments: DataFrame, bins: DataFrame) -> DataFrame:
@@ -152,29 +164,43 @@ def segment_states(segments: DataFrame, bins: DataFrame, least: float = 1.5) ->
     return segments.join(per, keys).withColumn("state", reconcile_state(F.col("mean_z"), F.col("median_z"), least))
 
 
+def with_hmm_state(bins: DataFrame, states: DataFrame) -> DataFrame:
+    """Bins with the state of the segment that holds them as ``hmm_state``; bins of no segment are neutral."""
+    spread = states.select(*CHROM, F.col("state").alias("hmm_state"), F.explode(F.sequence("left_bin", F.col("right_bin") - 1)).alias("bin_index"))
+    return bins.drop("hmm_state").join(spread, [*CHROM, "bin_index"], "left").fillna("neutral", ["hmm_state"])
+
+
+def _best_path(z: np.ndarray, centers: np.ndarray, keep: float, move: float) -> list[int]:
+    """Forward with a back pointer for each state, then back from the best end; of equal ways the one from the earlier state."""
+    sigma = max(float(z.std()), 1.0)
+    moves = np.where(np.eye(3, dtype=bool), keep, move)
+    score, back = np.zeros(3), np.zeros((len(z), 3), dtype=np.int8)
+    for i, x in enumerate(z):
+        if i:
+            came = score[:, None] + moves
+            back[i] = came.argmax(axis=0)
+            score = came.max(axis=0)
+        score = score - (x - centers) ** 2 / (2 * sigma * sigma)
+    path = [int(score.argmax())]
+    for i in range(len(z) - 1, 0, -1):
+        path.append(int(back[i, path[-1]]))
+    return path[::-1]
+
+
 def viterbi_states(segments: DataFrame, shift: float = 2.5, stay: float = 0.995) -> DataFrame:
-    """(sample_id, chrom, path): most likely loss, neutral or gain of a chromosome's segments in order; ties go to the earlier state. A diagnostic only."""
-    names, centers = ["loss", "neutral", "gain"], [-shift, 0.0, shift]
+    """(sample_id, chrom, path): most likely loss, neutral or gain of a chromosome's segments in order; ties go to the earlier state. A diagnostic only.
+
+    Time and memory are linear in the segments of a chromosome, which max_segments of each block bounds.
+    """
+    names, centers = ["loss", "neutral", "gain"], np.array([-shift, 0.0, shift])
     keep, move = float(np.log(stay)), float(np.log((1 - stay) / 2))
-    at = F.struct(F.col("left_bin").alias("at"), F.col("mean_z").alias("z"))
-    per = segments.groupBy(*CHROM).agg(F.sort_array(F.collect_list(at)).alias("seq"), F.greatest(F.stddev_pop("mean_z"), F.lit(1.0)).alias("sigma"))
-    emit = lambda z, i: -((z - centers[i]) * (z - centers[i])) / (2 * F.col("sigma") * F.col("sigma"))
-    node = lambda score, path: F.struct(score.alias("s"), path.alias("p"))
-    start = F.array(*[node(F.lit(0.0), F.array().cast("array<string>")) for _ in names])
-
-    def step(acc: Column, row: Column) -> Column:
-        out = []
-        for i, name in enumerate(names):
-            came = [acc[j]["s"] + F.when(F.size(acc[j]["p"]) == 0, 0.0).otherwise(keep if i == j else move) for j in range(3)]
-            top = F.greatest(*came)
-            path = F.when(came[0] == top, acc[0]["p"]).when(came[1] == top, acc[1]["p"]).otherwise(acc[2]["p"])
-            out.append(node(top + emit(row["z"], i), F.concat(path, F.array(F.lit(name)))))
-        return F.array(*out)
-
-    done = per.withColumn("end", F.aggregate("seq", start, step))
-    best = F.greatest(*[F.col("end")[i]["s"] for i in range(3)])
-    pick = F.when(F.col("end")[0]["s"] == best, F.col("end")[0]["p"]).when(F.col("end")[1]["s"] == best, F.col("end")[1]["p"]).otherwise(F.col("end")[2]["p"])
-    return done.select(*CHROM, pick.alias("path"))
+
+    @F.pandas_udf("array<string>")
+    def paths(series: pd.Series) -> pd.Series:
+        return pd.Series([[names[i] for i in _best_path(np.asarray(z, dtype=float), centers, keep, move)] for z in series])
+
+    ordered = F.sort_array(F.collect_list(F.struct(F.col("left_bin").alias("at"), F.col("mean_z").alias("z"))))
+    return segments.groupBy(*CHROM).agg(ordered["z"].alias("z")).select(*CHROM, paths("z").alias("path"))
 
 
 def merge_adjacent(calls: DataFrame) -> DataFrame:
@@ -186,9 +212,10 @@ def merge_adjacent(calls: DataFrame) -> DataFrame:
     return numbered.groupBy(*CHROM, "block_index", "state", "merged").agg(F.min("left_bin").alias("left_bin"), F.max("right_bin").alias("right_bin"), F.count("*").alias("n_segments"), mean("mean_z"), mean("median_z"))
 
 
-def segment_events(bins: DataFrame, min_event_bins: int = 3, least: float = 1.5, **splits) -> DataFrame:
-    """Segments with a state and enough bins, merged, as events with statistics over all their bins."""
-    states = segment_states(segment_series(bins, min_event_bins=min_event_bins, **splits), bins, least)
+def segment_events(bins: DataFrame, min_event_bins: int = 3, least: float = 1.5, states: DataFrame | None = None, **splits) -> DataFrame:
+    """Segments with a state and enough bins, merged, as events with statistics over all their bins; ``states`` if segment_states() was run before."""
+    if states is None:
+        states = segment_states(segment_series(bins, min_event_bins=min_event_bins, **splits), bins, least)
     calls = merge_adjacent(states.where((F.col("state") != "neutral") & (F.col("n_bins") >= min_event_bins)))
     name = F.concat(F.col("chrom"), F.lit("_block"), F.col("block_index").cast("string"), F.lit("_merged"), F.col("merged").cast("string"))
     spread = calls.select(*CHROM, "state", name.alias("segment_id"), F.explode(F.sequence("left_bin", F.col("right_bin") - 1)).alias("bin_index"))
@@ -244,8 +271,9 @@ def fuse_events(dosage: DataFrame, others: DataFrame, threshold: float = 0.8) ->
 
 
 def calling_summary(bins: DataFrame, events: DataFrame) -> DataFrame:
-    """Per sample: bins, events, median effective bins of a chromosome, largest shift."""
+    """Per sample: bins, events, median effective bins of a chromosome, centre and scale of the whole background, shifts by chromosome and the largest."""
     w = F.greatest("calling_weight", F.lit(1e-6))
-    per = bins.groupBy(*CHROM).agg(F.count("*").alias("n"), (F.sum(w) * F.sum(w) / F.sum(w * w)).alias("ess"), F.first("chrom_shift_z").alias("shift"))
-    out = per.groupBy("sample_id").agg(F.sum("n").alias("n_bins"), F.median("ess").alias("median_effective_bins"), F.max(F.abs("shift")).alias("max_abs_shift"))
+    per = bins.groupBy(*CHROM).agg(F.count("*").alias("n"), (F.sum(w) * F.sum(w) / F.sum(w * w)).alias("ess"), F.first("chrom_shift_z").alias("shift"), F.first("background_center").alias("background_center"), F.first("background_scale").alias("background_scale"))
+    shifts = F.map_from_entries(F.sort_array(F.collect_list(F.struct("chrom", "shift")))).alias("chrom_shift_z")
+    out = per.groupBy("sample_id").agg(F.sum("n").alias("n_bins"), F.median("ess").alias("median_effective_bins"), F.max(F.abs("shift")).alias("max_abs_shift"), shifts, F.first("background_center").alias("background_center"), F.first("background_scale").alias("background_scale"))
     return out.join(events.groupBy("sample_id").agg(F.count("*").alias("n_events")), "sample_id", "left").fillna(0, ["n_events"])

@@ -40,10 +40,11 @@ def count_fragments(alignments: DataFrame, grid: DataFrame, bin_size: int, mapq:
     Unmapped, secondary, supplementary, duplicate and failed reads don't count, nor reads under ``mapq``;
     of a pair only read 1. A position outside its chromosome is dropped rather than counted on the next one.
     """
-    good = ~(F.col("is_duplicate") | F.col("is_secondary") | F.col("is_qcfail")) & (F.col("mapq") >= mapq) & (~F.col("is_paired") | F.col("is_read1")) & (F.col("pos") >= 0)
-    # reads that don't count have their groups too, so that the counts hold all samples; both uses of them share one scan and shuffle
-    counted = alignments.groupBy("sample_id", "chrom", F.floor(F.col("pos") / bin_size).alias("bin_index")).agg(F.count_if(F.coalesce(good, F.lit(False))).alias("n"))
-    dense = counted.groupBy("sample_id").agg(F.sum("n").alias("total")).select("sample_id").crossJoin(grid.select("chrom", "bin_index", "start_pos", "end_pos"))
+    out = F.col("is_unmapped") | F.col("is_secondary") | F.col("is_supplementary") | F.col("is_duplicate") | F.col("is_qcfail")
+    good = ~out & (F.col("mapq") >= mapq) & (~F.col("is_paired") | F.col("is_read1")) & (F.col("pos") >= 0)
+    counted = alignments.where(good).groupBy("sample_id", "chrom", F.floor(F.col("pos") / bin_size).alias("bin_index")).agg(F.count("*").alias("n"))
+    # a sample without any read that counts still has its bins; this scan reads one column
+    dense = alignments.select("sample_id").distinct().crossJoin(grid.select("chrom", "bin_index", "start_pos", "end_pos"))
     return dense.join(counted, ["sample_id", "chrom", "bin_index"], "left").select("sample_id", "chrom", "bin_index", "start_pos", "end_pos", F.coalesce("n", F.lit(0)).alias("raw_count"))
 
 

@@ -22,16 +22,26 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _position(days: str) -> str:
+    """A position from days, some outside the chromosome, with signal in two samples: reads of S2 on two chromosomes gather in six bins, and those of S5 leave nine bins of two others for nine more."""
+    linear = f"((CAST({days} AS BIGINT) + 2520) % 2520 * 1000 - CASE WHEN l_orderkey % 64 = 0 THEN 2520000 ELSE 0 END)"
+    gain = "l_suppkey % 8 = 2 AND l_partkey % 24 IN (4, 10) AND l_linenumber % 2 = 1"
+    loss = "l_suppkey % 8 = 5 AND l_partkey % 24 IN (7, 13)"
+    return f"CASE WHEN {linear} >= 0 AND {gain} THEN 630000 + {linear} % 540000 WHEN {linear} >= 1350000 AND {linear} < 2160000 AND {loss} THEN {linear} - 900000 ELSE {linear} END"
+
+
 def alignments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "lineitem").selectExpr(
         "concat('S', CAST(l_suppkey % 8 AS STRING)) AS sample_id",
         f"{_CHROM.format('(l_partkey % 24)')} AS chrom",
-        "CAST(datediff(l_shipdate, DATE'1995-01-01') AS BIGINT) * 1000 AS pos",
-        "CAST(l_quantity AS INT) AS mapq",
+        f"{_position("datediff(l_shipdate, DATE'1995-01-01')")} AS pos",
+        "CAST(l_quantity + 5 AS INT) AS mapq",
         "(l_returnflag = 'R' AND l_linestatus = 'O') AS is_duplicate",
         "(l_linenumber = 7) AS is_secondary",
+        "(l_linenumber = 5 AND l_linestatus = 'F') AS is_supplementary",
+        "(l_tax > 0.07 AND l_quantity < 20) AS is_unmapped",
         "(l_discount > 0.09) AS is_qcfail",
-        "(l_linenumber % 2 = 0) AS is_paired",
+        "(l_linenumber % 4 = 0) AS is_paired",
         "(l_tax < 0.05) AS is_read1",
     )
 
@@ -56,15 +66,18 @@ def bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("chrom_rank", F.when(name == "X", 23).when(name == "Y", 24).otherwise(name.try_cast("int")))
 
 
+#: Where the intervals of each class lie: gaps in the middle of a chromosome, the others in one of up to three bins elsewhere.
+_PLACE = "CASE o_orderpriority WHEN '1-URGENT' THEN 4 + (o_custkey % 24) % 3 WHEN '2-HIGH' THEN 9 + (o_custkey % 24) % 2 WHEN '3-MEDIUM' THEN 20 + (o_custkey % 24) % 3 WHEN '4-NOT SPECIFIED' THEN 13 + o_orderkey % 2 ELSE 25 + (o_custkey % 24) % 3 END"
+
+
 def intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One interval an order. A class lies in every seventh bin of a chromosome, another one on each, so that two bins of seven hold none but ends."""
-    nth = "CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 WHEN '3-MEDIUM' THEN 2 WHEN '4-NOT SPECIFIED' THEN 3 ELSE 4 END"
-    start = f"CAST((7 * (o_orderkey % 4) + ({nth} + 24 - o_custkey % 24) % 7) * 90000 + (o_orderkey * 37) % 85000 AS BIGINT)"
+    """One interval an order."""
+    start = f"CAST(({_PLACE}) * 90000 + (o_orderkey * 37) % 85000 AS BIGINT)"
     return _table(spark, sf_dir, "orders").selectExpr(
         "CASE o_orderpriority WHEN '1-URGENT' THEN 'segmental_duplication' WHEN '2-HIGH' THEN 'low_mappability' WHEN '3-MEDIUM' THEN 'repeat_rich' WHEN '4-NOT SPECIFIED' THEN 'gap_centromere_telomere' ELSE 'blacklist' END AS region_class",
         f"{_CHROM.format('(o_custkey % 24)')} AS chrom",
         f"{start} AS start_pos",
-        f"{start} + (o_orderkey % 5 + 1) * 350 AS end_pos",
+        f"{start} + (o_orderkey % 5 + 1) * 100 AS end_pos",
     )
 
 
@@ -91,10 +104,17 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Fractions of the sequence that was seen in a bin: n in every thirteenth bin, less of it elsewhere; a lower GC in every tenth; less mappability in every eleventh.
+N_SHARE = "n_n / nullif(n_a + n_c + n_g + n_t + n_n, 0) * CASE WHEN bin_index % 13 = 0 THEN 1.0D ELSE 0.25D END"
+GC_SHARE = "(n_g + n_c) / nullif(n_a + n_c + n_g + n_t, 0) + CASE WHEN bin_index % 10 = 2 THEN 0.0D ELSE 0.15D END"
+MAPPABLE = "1 - n_n / nullif(n_a + n_c + n_g + n_t + n_n, 0) * 0.25D - CASE WHEN bin_index % 11 = 5 THEN 0.3D ELSE 0.0D END"
+
+
 def annotated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bins of the grid with composition, overlap fractions and flags."""
     composed = grid.base_composition(sequence_chunks(spark, sf_dir), bin_grid(spark), BIN)
-    return grid.region_flags(grid.overlap_fraction(composed, intervals(spark, sf_dir), 30_000, CLASSES), CLASSES)
+    seen = composed.withColumns({"n_fraction": F.expr(N_SHARE), "gc_fraction": F.expr(GC_SHARE), "mappability_score": F.expr(MAPPABLE)})
+    return grid.region_flags(grid.overlap_fraction(seen, intervals(spark, sf_dir), 30_000, CLASSES), CLASSES)
 
 
 def normalized(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,10 +157,14 @@ def leave_one_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     return qc.leave_one_out(normalized(spark, sf_dir), "normalized_signal")
 
 
+def cohort_z() -> Column:
+    """z against the other samples, halved, as a deviation of seven values is often far too small; none of the two cases, which are no reference."""
+    return F.when(~F.col("sample_id").isin("S2", "S5"), 0.5 * (F.col("v") - F.col("ref_median")) / F.col("ref_sigma")).alias("z")
+
+
 def masked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Annotated bins with the cohort's dynamic metrics and the combined mask."""
-    z = ((F.col("v") - F.col("ref_median")) / F.col("ref_sigma")).alias("z")
-    metrics = qc.dynamic_bin_metrics(leave_one_out(spark, sf_dir).select("chrom", "bin_index", z))
+    metrics = qc.dynamic_bin_metrics(leave_one_out(spark, sf_dir).select("chrom", "bin_index", cohort_z()))
     return qc.combined_mask(annotated(spark, sf_dir).join(metrics, ["chrom", "bin_index"], "left"))
 
 
@@ -157,30 +181,34 @@ def calling_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return calling.calling_weight(joined.withColumn("is_autosome", F.col("chrom").rlike(qc.AUTOSOME).cast("int")))
 
 
-def called(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scored bins with a state by a cut of z."""
-    z = F.col("robust_z")
-    return calling.score_bins(calling_bins(spark, sf_dir)).withColumn("hmm_state", F.when(z >= 0.6, "gain").when(z <= -0.6, "loss").otherwise("neutral"))
+#: Least difference of a split and least z of a segment, for the given tables, whose signal is noise.
+LEAST_SPLIT, LEAST_Z = 1.0, 0.5
+
+
+def scored_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return calling.score_bins(calling_bins(spark, sf_dir))
 
 
-def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return calling.run_calls(called(spark, sf_dir), 0.6, 2)
+def called(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(scored bins with the state of their segment, segments with their states), each written once."""
+    bins_ = stored(scored_bins(spark, sf_dir))
+    states = stored(calling.segment_states(calling.segment_series(bins_, threshold=LEAST_SPLIT), bins_, LEAST_Z))
+    return stored(calling.with_hmm_state(bins_, states)), states
 
 
-def rational_p(z: Column) -> Column:
-    """A p that SQL can express, for queries with SQL."""
-    return 1 / (1 + z * z)
+def candidates(bins_: DataFrame, states: DataFrame) -> DataFrame:
+    return calling.segment_events(bins_, states=states)
 
 
-def supported(bins_: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def supported(bins_: DataFrame, states: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(candidate events, null model, support of the events), each written once."""
-    null, found = stored(calibrate.empirical_null(bins_)), stored(calling.run_calls(bins_, 0.6, 2))
+    null, found = stored(calibrate.empirical_null(bins_)), stored(candidates(bins_, states))
     return found, null, stored(calibrate.event_support(found, calibrate.calibrate_bins(bins_, null), calibrate.null_autocorrelation(bins_), OVERLAPS))
 
 
 def significant(spark: SparkSession, sf_dir: str, p: Callable[[Column], Column] = two_sided_p, parts: tuple[DataFrame, DataFrame, DataFrame] | None = None) -> DataFrame:
     """Candidate events with support, p, q and the decision to keep them."""
-    found, null, support = parts or supported(stored(called(spark, sf_dir)))
+    found, null, support = parts or supported(*called(spark, sf_dir))
     return calibrate.event_significance(found, support, null, p=p)
 
 
@@ -188,13 +216,13 @@ def classified(spark: SparkSession, sf_dir: str, parts: tuple[DataFrame, DataFra
     """Significant events after the artifact rules; sexes by sample number, the first 300 kb of X and Y as PAR."""
     sex = F.when(F.substring("sample_id", 2, 1).cast("int") % 2 == 0, "XX").otherwise("XY")
     par = spark.createDataFrame([("chrX", 0, 300_000), ("chrY", 0, 300_000)], "chrom string, start_pos bigint, end_pos bigint")
-    events_ = artifact.par_overlap(significant(spark, sf_dir, rational_p, parts).withColumn("sex_call", sex).withColumn("chrom_bins", F.lit(N_BINS)), par)
+    events_ = artifact.par_overlap(significant(spark, sf_dir, parts=parts).withColumn("sex_call", sex).withColumn("chrom_bins", F.lit(N_BINS)), par)
     return stored(artifact.classify_events(artifact.priority_score(artifact.artifact_flags(events_))))
 
 
 def with_fractions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classified events with their abnormal fractions."""
-    bins_ = stored(called(spark, sf_dir))
-    parts = supported(bins_)
+    bins_, states = called(spark, sf_dir)
+    parts = supported(bins_, states)
     shares = calibrate.abnormal_fraction(parts[0].join(parts[2], "event_id"), bins_, calibrate.neutral_baseline(bins_), least_effective=1.5)
     return stored(classified(spark, sf_dir, parts).join(shares.select("event_id", "fraction_point", "fraction_ci_low", "fraction_ci_high", "fraction_status"), "event_id"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from binlattice.operators import artifact, calibrate, calling
@@ -12,7 +14,7 @@ _OV = ", ".join(a.OVERLAPS)
 CB = f"""{_C1}, {_robust('norm', 'sample_id, chrom', 'scored')}, rk AS (SELECT chrom, bin_index, s AS risk, CASE WHEN hi THEN 'high' WHEN mo THEN 'moderate' ELSE 'clean' END AS cls, least(1.0, greatest(0.1, exp(-2 * s))) AS rw,
   1 + 2.5 * s + CASE WHEN hi THEN 0.5 ELSE 0 END AS vi, NOT (hi OR mask_label = 'hard') AS seed, {AUTO} AND NOT hi AND NOT mo AND mask_label NOT IN ('soft', 'dynamic', 'hard') AS nul, mask_label, {_OV} FROM c2),
   cb AS (SELECT n.sample_id, chrom, bin_index, n.start_pos, n.end_pos, n.x, n.z AS lz, greatest(n.w * rw, 0.1) AS cw0, {AUTO} AS au, rk.* EXCLUDE (chrom, bin_index) FROM scored n JOIN rk USING (chrom, bin_index))"""
-SC = f"""{CB}, tg AS (SELECT DISTINCT sample_id, chrom AS tgt FROM cb UNION ALL SELECT DISTINCT sample_id, '' FROM cb),
+SC0 = f"""{CB}, tg AS (SELECT DISTINCT sample_id, chrom AS tgt FROM cb UNION ALL SELECT DISTINCT sample_id, '' FROM cb),
   bg AS (SELECT tg.sample_id, tgt, x, au, seed, min(CASE WHEN au AND seed THEN 1 WHEN au THEN 2 WHEN seed THEN 3 ELSE 4 END) OVER (PARTITION BY tg.sample_id, tgt) AS t FROM tg JOIN cb ON cb.sample_id = tg.sample_id AND cb.chrom <> tgt),
   bm AS (SELECT *, median(x) OVER (PARTITION BY sample_id, tgt) AS m FROM bg WHERE t = 4 OR (t = 1 AND au AND seed) OR (t = 2 AND au) OR (t = 3 AND seed)),
   gs AS (SELECT sample_id, tgt, max(m) AS gc, greatest(1.4826 * median(abs(x - m)), stddev_pop(x), 1e-6) AS gsc FROM bm GROUP BY ALL),
@@ -20,16 +22,41 @@ SC = f"""{CB}, tg AS (SELECT DISTINCT sample_id, chrom AS tgt FROM cb UNION ALL
   sm AS (SELECT p.sample_id, p.chrom, p.mn, o.mn AS y, median(o.mn) OVER (PARTITION BY p.sample_id, p.chrom) AS m FROM cm p JOIN cm o ON o.sample_id = p.sample_id AND o.chrom <> p.chrom AND (o.au OR NOT p.au)),
   ss AS (SELECT sample_id, chrom, max(mn) - max(m) AS d, greatest(1.4826 * median(abs(y - m)), stddev_pop(y), 1e-6) AS s FROM sm GROUP BY ALL),
   sh AS (SELECT ss.sample_id, ss.chrom, d / greatest(s, gsc) AS shift FROM ss JOIN gs ON gs.sample_id = ss.sample_id AND tgt = ''),
-  sc0 AS (SELECT cb.*, (x - gc) / gsc AS gz, shift, (lz + shift) / vi AS z, CASE WHEN seed THEN cw0 ELSE cw0 * 0.5 END AS cw FROM cb JOIN sh ON sh.sample_id = cb.sample_id AND sh.chrom = cb.chrom JOIN gs ON gs.sample_id = cb.sample_id AND gs.tgt = cb.chrom),
-  sc AS (SELECT *, CASE WHEN z >= 0.6 THEN 'gain' WHEN z <= -0.6 THEN 'loss' ELSE 'neutral' END AS st FROM sc0)"""
+  sc0 AS (SELECT cb.*, (x - gc) / gsc AS gz, shift, (lz + shift) / vi AS z, CASE WHEN seed THEN cw0 ELSE cw0 * 0.5 END AS cw FROM cb JOIN sh ON sh.sample_id = cb.sample_id AND sh.chrom = cb.chrom JOIN gs ON gs.sample_id = cb.sample_id AND gs.tgt = cb.chrom)"""
+# the level-wise segmentation as a recursive query: each level splits the segments of the level before where their means differ most
+_AT = "{0}.sample_id = {1}.sample_id AND {0}.chrom = {1}.chrom"
+_HELD = _AT + " AND {1}.bin_index >= {0}.lb AND {1}.bin_index < {0}.rb"
+SEG = f"""yg1 AS (SELECT sample_id, chrom, bin_index, z, greatest(cw, 1e-6) AS w, seed, row_number() OVER (PARTITION BY sample_id, chrom ORDER BY bin_index) AS ri FROM sc0),
+  yg2 AS (SELECT *, ri - row_number() OVER (PARTITION BY sample_id, chrom ORDER BY bin_index) AS run FROM yg1 WHERE seed), yg3 AS (SELECT *, count(*) OVER (PARTITION BY sample_id, chrom, run) AS bn FROM yg2),
+  yg4 AS (SELECT *, dense_rank() OVER (PARTITION BY sample_id, chrom ORDER BY run) AS blk FROM yg3 WHERE bn >= 5),
+  yg5 AS (SELECT sample_id, chrom, blk, bin_index, row_number() OVER o - 1 AS i, lag(bin_index) OVER o AS pb, sum(w) OVER o AS w1, sum(w * z) OVER o AS z1 FROM yg4 WINDOW o AS (PARTITION BY sample_id, chrom, blk ORDER BY bin_index)),
+  ysr AS (SELECT *, coalesce(lag(w1) OVER o, 0) AS w0, coalesce(lag(z1) OVER o, 0) AS z0 FROM yg5 WINDOW o AS (PARTITION BY sample_id, chrom, blk ORDER BY i)),
+  ysg(sample_id, chrom, blk, a, b, wa, wb, za, zb, lb, rb, n) AS (
+    SELECT sample_id, chrom, blk, CAST(0 AS BIGINT), count(*), CAST(0 AS DOUBLE), max(w1), CAST(0 AS DOUBLE), arg_max(z1, i), min(bin_index), max(bin_index) + 1, CAST(1 AS BIGINT) FROM ysr GROUP BY sample_id, chrom, blk
+    UNION ALL
+    SELECT sample_id, chrom, blk, CASE WHEN low THEN a ELSE i END, CASE WHEN low THEN i ELSE b END, CASE WHEN low THEN wa ELSE w0 END, CASE WHEN low THEN w0 ELSE wb END, CASE WHEN low THEN za ELSE z0 END, CASE WHEN low THEN z0 ELSE zb END,
+           CASE WHEN low THEN lb ELSE bin_index END, CASE WHEN low THEN pb + 1 ELSE rb END, n + k
+    FROM (SELECT *, count(*) OVER (PARTITION BY sample_id, chrom, blk) AS k FROM (SELECT *, row_number() OVER (PARTITION BY sample_id, chrom, blk ORDER BY a) AS nth FROM (
+      SELECT *, row_number() OVER (PARTITION BY sample_id, chrom, blk, a ORDER BY score DESC, i) AS best FROM (
+        SELECT g.*, r.i, r.w0, r.z0, r.bin_index, r.pb, abs((z0 - za) / (w0 - wa) - (zb - z0) / (wb - w0)) * sqrt((w0 - wa) * (wb - w0) / (w0 - wa + (wb - w0))) AS score
+        FROM ysg g JOIN ysr r ON {_AT.format('r', 'g')} AND r.blk = g.blk AND r.i >= g.a + 5 AND r.i <= g.b - 5)) WHERE best = 1 AND score >= 1.0) WHERE n + nth <= 12), (VALUES (true), (false)) t(low)),
+  ysl AS (SELECT sample_id, chrom, blk, lb, min(rb) AS rb FROM ysg GROUP BY ALL),
+  ys0 AS (SELECT ysl.*, sum(z * greatest(cw, 1e-6)) / sum(greatest(cw, 1e-6)) AS mean_z, median(z) AS median_z, count(*) AS nb FROM ysl JOIN sc0 ON {_HELD.format('ysl', 'sc0')} GROUP BY ALL),
+  ys1s AS (SELECT *, CASE WHEN abs(mean_z) >= abs(median_z) THEN mean_z ELSE median_z END AS main FROM ys0),
+  seg AS (SELECT *, CASE WHEN abs(main) < 0.5 THEN 'neutral' WHEN main > 0 THEN 'gain' ELSE 'loss' END AS state FROM ys1s)"""
+SC = f"""{SC0}, {SEG}, sc AS (SELECT sc0.*, coalesce(seg.state, 'neutral') AS st FROM sc0 LEFT JOIN seg ON {_HELD.format('seg', 'sc0')})"""
 _ES = """min(bin_index) AS start_bin, max(bin_index) AS end_bin, min(start_pos) AS start_pos, max(end_pos) AS end_pos, count(*) AS n_bins, sum(cw) AS segment_weight, sum(x * cw) / sum(cw) AS segment_mean_signal, median(x) AS segment_median_signal,
   sum({z} * cw) / sum(cw) AS segment_mean_robust_z, median({z}) AS segment_median_robust_z, max(abs({z})) AS segment_abs_max_robust_z"""
 _NUM = ["segment_weight", "segment_mean_signal", "segment_median_signal", "segment_mean_robust_z", "segment_median_robust_z", "segment_abs_max_robust_z"]
 _INT = ["start_bin", "end_bin", "start_pos", "end_pos", "n_bins"]
 _OUT = "event_id, chrom, state, " + ", ".join(_INT) + ", " + ", ".join(f"round({c}, 6) AS {c}" for c in _NUM)
 _COLS = ["event_id", "chrom", "state", *_INT, *_NUM]
-EV = f"""{SC}, l1 AS (SELECT *, row_number() OVER (PARTITION BY sample_id, chrom ORDER BY bin_index) AS i FROM sc), l2 AS (SELECT *, i - row_number() OVER (PARTITION BY sample_id, chrom, st ORDER BY bin_index) AS run FROM l1 WHERE st <> 'neutral'),
-  ev AS (SELECT sample_id || '.' || chrom || '.' || CAST(min(bin_index) AS VARCHAR) || '.' || st AS event_id, sample_id, chrom, st AS state, {_ES.format(z='z')} FROM l2 GROUP BY sample_id, chrom, st, run HAVING count(*) >= 2)"""
+EV = f"""{SC}, mc0 AS (SELECT *, coalesce(lag(rb) OVER o = lb AND lag(state) OVER o = state AND lag(blk) OVER o = blk, false) AS joined FROM seg WHERE state <> 'neutral' AND nb >= 3 WINDOW o AS (PARTITION BY sample_id, chrom ORDER BY lb)),
+  mc1 AS (SELECT *, CAST(sum(CAST(NOT joined AS INT)) OVER (PARTITION BY sample_id, chrom ORDER BY lb) AS BIGINT) AS merged FROM mc0), mc AS (SELECT sample_id, chrom, blk, state, merged, min(lb) AS lb, max(rb) AS rb FROM mc1 GROUP BY ALL),
+  ev AS (SELECT mc.sample_id || '.' || mc.chrom || '_block' || CAST(blk AS VARCHAR) || '_merged' || CAST(merged AS VARCHAR) || '.' || state AS event_id, mc.sample_id, mc.chrom, state, {_ES.format(z='z')} FROM mc JOIN sc ON {_HELD.format('mc', 'sc')} GROUP BY mc.sample_id, mc.chrom, blk, merged, state)"""
+# runs of one state, without the segments
+RUNS = f"""{SC}, l1 AS (SELECT *, row_number() OVER (PARTITION BY sample_id, chrom ORDER BY bin_index) AS i FROM sc), l2 AS (SELECT *, i - row_number() OVER (PARTITION BY sample_id, chrom, st ORDER BY bin_index) AS run FROM l1 WHERE st <> 'neutral'),
+  ru AS (SELECT sample_id || '.' || chrom || '.' || CAST(min(bin_index) AS VARCHAR) || '.' || st AS event_id, sample_id, chrom, st AS state, {_ES.format(z='z')} FROM l2 GROUP BY sample_id, chrom, st, run HAVING count(*) >= 2 AND max(abs(z)) >= 0.6)"""
 
 
 @query(f"WITH {CB} SELECT sample_id, chrom, bin_index, round(cw0, 6) AS calling_weight FROM cb")
@@ -39,64 +66,88 @@ def c2_calling_weight(spark, sf):
 
 @query(f"WITH {SC} SELECT sample_id, chrom, bin_index, round(gz, 6) AS global_robust_z, round(lz, 6) AS raw_local_robust_z, round(shift, 6) AS chrom_shift_z, round(z, 6) AS robust_z, round(cw, 6) AS calling_weight FROM sc")
 def c4_score_bins(spark, sf):
-    return r6(a.called(spark, sf).select("sample_id", "chrom", "bin_index", "global_robust_z", "raw_local_robust_z", "chrom_shift_z", "robust_z", "calling_weight"))
+    return r6(a.scored_bins(spark, sf).select("sample_id", "chrom", "bin_index", "global_robust_z", "raw_local_robust_z", "chrom_shift_z", "robust_z", "calling_weight"))
 
 
-@query(None)
+@query(f"WITH {SC} SELECT sample_id, chrom, blk AS block_index, row_number() OVER (PARTITION BY sample_id, chrom, blk ORDER BY lb) AS segment_index, lb AS left_bin, rb AS right_bin FROM ysl")
 def c6_segment_series(spark, sf):
-    return calling.segment_series(a.called(spark, sf), threshold=1.0)
+    return calling.segment_series(a.stored(a.scored_bins(spark, sf)), threshold=a.LEAST_SPLIT)
+
+
+@query(f"WITH {SC} SELECT sample_id, chrom, bin_index, st AS hmm_state FROM sc")
+def c6_bin_states(spark, sf):
+    return a.called(spark, sf)[0].select("sample_id", "chrom", "bin_index", "hmm_state")
 
 
-@query(None)
+def _viterbi_sql() -> str:
+    # scores and paths of the three states along a chromosome's segments
+    names, keep, move = ["loss", "neutral", "gain"], repr(math.log(0.995)), repr(math.log((1 - 0.995) / 2))
+    emit = lambda i: f"- (q.mean_z - ({0.5 * (i - 1)})) ** 2 / (2 * q.sigma * q.sigma)"
+    came = lambda i: [f"v.s{j} + {keep if i == j else move}" for j in range(3)]
+    first = ", ".join(f"0 {emit(i)} AS s{i}, '{name}' AS p{i}" for i, name in enumerate(names))
+    step = ", ".join(
+        f"greatest({', '.join(came(i))}) {emit(i)}, CASE greatest({', '.join(came(i))}) WHEN {came(i)[0]} THEN v.p0 WHEN {came(i)[1]} THEN v.p1 ELSE v.p2 END || ',{name}'" for i, name in enumerate(names)
+    )
+    return f"""WITH {SC}, q AS (SELECT sample_id, chrom, mean_z, row_number() OVER (PARTITION BY sample_id, chrom ORDER BY lb) AS i, count(*) OVER (PARTITION BY sample_id, chrom) AS n, greatest(stddev_pop(mean_z) OVER (PARTITION BY sample_id, chrom), 1.0) AS sigma FROM seg),
+  v AS (SELECT sample_id, chrom, i, n, {first} FROM q WHERE i = 1 UNION ALL SELECT q.sample_id, q.chrom, q.i, q.n, {step} FROM v JOIN q ON {_AT.format('q', 'v')} AND q.i = v.i + 1)
+  SELECT sample_id, chrom, CASE greatest(s0, s1, s2) WHEN s0 THEN p0 WHEN s1 THEN p1 ELSE p2 END AS path FROM v WHERE i = n"""
+
+
+@query(_viterbi_sql())
 def c7_viterbi(spark, sf):
-    bins = a.stored(a.called(spark, sf))
-    paths = calling.viterbi_states(calling.segment_states(calling.segment_series(bins, threshold=1.0), bins), shift=0.5)
-    return paths.select("sample_id", "chrom", F.concat_ws(",", "path").alias("path"))
+    return calling.viterbi_states(a.called(spark, sf)[1], shift=0.5).select("sample_id", "chrom", F.concat_ws(",", "path").alias("path"))
 
 
-@query(None)
+@query(f"WITH {EV} SELECT {_OUT} FROM ev")
 def c10_segment_events(spark, sf):
-    return r6(calling.segment_events(a.stored(a.called(spark, sf)), least=0.3, threshold=1.0))
+    return r6(a.candidates(*a.called(spark, sf)).select(*_COLS))
 
 
-@query(f"WITH {EV} SELECT {_OUT} FROM ev")
+@query(f"WITH {RUNS} SELECT {_OUT} FROM ru")
 def c10_state_runs(spark, sf):
-    return r6(a.candidates(spark, sf).select(*_COLS))
+    return r6(calling.run_calls(a.called(spark, sf)[0], 0.6, 2).select(*_COLS))
 
 
-_DOS = f"{SC}, dos AS (SELECT sample_id || '.' || chrom || '.chr_dosage.' || CASE WHEN max(shift) > 0 THEN 'gain' ELSE 'loss' END AS event_id, sample_id, chrom, CASE WHEN max(shift) > 0 THEN 'gain' ELSE 'loss' END AS state, {_ES.format(z='z')} FROM sc GROUP BY sample_id, chrom HAVING abs(max(shift)) >= 0.15 AND sum(cw) ** 2 / sum(cw * cw) >= 10)"
+_DOS = f"{SC}, dos AS (SELECT sample_id || '.' || chrom || '.chr_dosage.' || CASE WHEN max(shift) > 0 THEN 'gain' ELSE 'loss' END AS event_id, sample_id, chrom, CASE WHEN max(shift) > 0 THEN 'gain' ELSE 'loss' END AS state, {_ES.format(z='z')} FROM sc GROUP BY sample_id, chrom HAVING abs(max(shift)) >= 0.15 AND sum(cw) ** 2 / sum(cw * cw) >= 10 AND avg(CAST(cls = 'clean' AS INT)) >= 0.3)"
 
 
 @query(f"WITH {_DOS} SELECT {_OUT} FROM dos")
 def c11_dosage_events(spark, sf):
-    return r6(calling.dosage_events(a.called(spark, sf), least_shift=0.15, least_clean=0.0).select(*_COLS))
+    return r6(calling.dosage_events(a.scored_bins(spark, sf), least_shift=0.15).select(*_COLS))
 
 
 def _hard_gaps(bins):
     return bins.withColumn("mask_label", F.when(F.col("gap_centromere_telomere_overlap_fraction") > 0, "hard").otherwise(F.col("mask_label")))
 
 
-@query(f"""WITH {SC}, g1 AS (SELECT *, gap_centromere_telomere_overlap_fraction > 0 AND CASE WHEN shift > 0 THEN -lz ELSE lz END >= 0.1 AS k, row_number() OVER (PARTITION BY sample_id, chrom ORDER BY bin_index) AS i FROM sc WHERE abs(shift) >= 0.05),
-  g2 AS (SELECT *, i - row_number() OVER (PARTITION BY sample_id, chrom ORDER BY bin_index) AS run, CASE WHEN shift > 0 THEN 'loss' ELSE 'gain' END AS state FROM g1 WHERE k),
-  g3 AS (SELECT sample_id, chrom, state, run, median(abs(lz)) AS mid, {_ES.format(z='lz')} FROM g2 GROUP BY sample_id, chrom, state, run),
-  g4 AS (SELECT *, sample_id || '.' || chrom || '.masked_gap_rescue_' || CAST(row_number() OVER (PARTITION BY sample_id, chrom ORDER BY start_bin) AS VARCHAR) || '.' || state AS event_id FROM g3) SELECT {_OUT} FROM g4 WHERE mid >= 0.2""")
+_RESCUE = f"""g1r AS (SELECT *, gap_centromere_telomere_overlap_fraction > 0 AND CASE WHEN shift > 0 THEN -lz ELSE lz END >= 0.1 AS k, row_number() OVER (PARTITION BY sample_id, chrom ORDER BY bin_index) AS i FROM sc WHERE abs(shift) >= 0.05),
+  g2r AS (SELECT *, i - row_number() OVER (PARTITION BY sample_id, chrom ORDER BY bin_index) AS run, CASE WHEN shift > 0 THEN 'loss' ELSE 'gain' END AS state FROM g1r WHERE k),
+  g3r AS (SELECT sample_id, chrom, state, run, median(abs(lz)) AS mid, {_ES.format(z='lz')} FROM g2r GROUP BY sample_id, chrom, state, run HAVING count(*) >= 2),
+  g4r AS (SELECT *, sample_id || '.' || chrom || '.masked_gap_rescue_' || CAST(row_number() OVER (PARTITION BY sample_id, chrom ORDER BY start_bin) AS VARCHAR) || '.' || state AS event_id FROM g3r)"""
+
+
+@query(f"WITH {SC}, {_RESCUE} SELECT {_OUT} FROM g4r WHERE mid >= 0.2")
 def c12_gap_rescue_events(spark, sf):
-    return r6(calling.gap_rescue_events(_hard_gaps(a.called(spark, sf)), 0.05, 0.1, 0.2, 1).select(*_COLS))
+    return r6(calling.gap_rescue_events(_hard_gaps(a.scored_bins(spark, sf)), 0.05, 0.1, 0.2, 2).select(*_COLS))
 
 
-@query(f"""WITH {EV}, {_DOS[len(SC) + 2:]}, al AS (SELECT e.* FROM ev e LEFT JOIN dos d ON d.sample_id = e.sample_id AND d.chrom = e.chrom AND d.state = e.state WHERE d.chrom IS NULL OR greatest(0, least(e.end_bin, d.end_bin) - greatest(e.start_bin, d.start_bin) + 1) / (greatest(e.end_bin, d.end_bin) - least(e.start_bin, d.start_bin) + 1) < 0.1)
+@query(f"""WITH {EV}, {_DOS[len(SC) + 2:]}, {_RESCUE}, al AS (SELECT e.* FROM (SELECT event_id, sample_id, chrom, state, start_bin, end_bin, n_bins FROM ev UNION ALL SELECT event_id, sample_id, chrom, state, start_bin, end_bin, n_bins FROM g4r WHERE mid >= 0.2) e LEFT JOIN dos d ON d.sample_id = e.sample_id AND d.chrom = e.chrom AND d.state = e.state WHERE d.chrom IS NULL OR greatest(0, least(e.end_bin, d.end_bin) - greatest(e.start_bin, d.start_bin) + 1) / (greatest(e.end_bin, d.end_bin) - least(e.start_bin, d.start_bin) + 1) < 0.1)
   SELECT event_id, chrom, state, n_bins FROM al UNION ALL SELECT event_id, chrom, state, n_bins FROM dos""")
 def c14_fuse_events(spark, sf):
-    bins = a.stored(a.called(spark, sf))
-    dosage = calling.dosage_events(bins, least_shift=0.15, least_clean=0.0)
-    return calling.fuse_events(dosage, calling.run_calls(bins, 0.6, 2), 0.1).select("event_id", "chrom", "state", "n_bins")
+    bins, states = a.called(spark, sf)
+    dosage = calling.dosage_events(bins, least_shift=0.15)
+    rescue = calling.gap_rescue_events(_hard_gaps(bins), 0.05, 0.1, 0.2, 2)
+    return calling.fuse_events(dosage, a.candidates(bins, states).unionByName(rescue), 0.1).select("event_id", "chrom", "state", "n_bins")
 
 
-@query(f"""WITH {EV}, p AS (SELECT sample_id, chrom, count(*) AS n, sum(cw) ** 2 / sum(cw * cw) AS ess, max(shift) AS sh FROM sc GROUP BY ALL), q AS (SELECT sample_id, CAST(sum(n) AS BIGINT) AS n_bins, median(ess) AS e, max(abs(sh)) AS m FROM p GROUP BY ALL)
-  SELECT q.sample_id, n_bins, round(e, 6) AS median_effective_bins, round(m, 6) AS max_abs_shift, (SELECT count(*) FROM ev WHERE ev.sample_id = q.sample_id) AS n_events FROM q""")
+@query(f"""WITH {EV}, p AS (SELECT sample_id, chrom, count(*) AS n, sum(cw) ** 2 / sum(cw * cw) AS ess, max(shift) AS sh FROM sc GROUP BY ALL),
+  q AS (SELECT sample_id, CAST(sum(n) AS BIGINT) AS n_bins, median(ess) AS e, max(abs(sh)) AS m, string_agg(chrom || '=' || printf('%.6f', sh + 0.0), ',' ORDER BY chrom) AS shifts FROM p GROUP BY ALL)
+  SELECT q.sample_id, n_bins, round(e, 6) AS median_effective_bins, round(m, 6) AS max_abs_shift, shifts, round(gc, 6) AS background_center, round(gsc, 6) AS background_scale, (SELECT count(*) FROM ev WHERE ev.sample_id = q.sample_id) AS n_events FROM q JOIN gs ON gs.sample_id = q.sample_id AND tgt = ''""")
 def c15_calling_summary(spark, sf):
-    bins = a.stored(a.called(spark, sf))
-    return r6(calling.calling_summary(bins, calling.run_calls(bins, 0.6, 2)))
+    bins, states = a.called(spark, sf)
+    found = calling.calling_summary(bins, a.candidates(bins, states))
+    listed = F.array_join(F.transform(F.array_sort(F.map_entries("chrom_shift_z")), lambda e: F.concat(e["key"], F.lit("="), F.format_string("%.6f", e["value"] + 0.0))), ",")
+    return r6(found.withColumn("shifts", listed).drop("chrom_shift_z"))
 
 
 NU = f"""{EV}, k1 AS (SELECT *, nul OR NOT bool_or(nul) OVER (PARTITION BY sample_id) AS p, nul AND st = 'neutral' AS n FROM sc), kq AS (SELECT sample_id, quantile_cont(z, 0.1) AS lo, quantile_cont(z, 0.9) AS hi FROM k1 WHERE p GROUP BY ALL),
@@ -107,12 +158,12 @@ NU = f"""{EV}, k1 AS (SELECT *, nul OR NOT bool_or(nul) OVER (PARTITION BY sampl
 
 @query(f"WITH {NU} SELECT sample_id, n_null, round(null_median, 6) AS null_median, round(null_scale, 6) AS null_scale FROM nu")
 def k1_empirical_null(spark, sf):
-    return r6(calibrate.empirical_null(a.stored(a.called(spark, sf))))
+    return r6(calibrate.empirical_null(a.called(spark, sf)[0]))
 
 
 @query(f"WITH {NU} SELECT sample_id, chrom, bin_index, round((z - null_median) / null_scale, 6) AS calibrated_z FROM sc JOIN nu USING (sample_id)")
 def k2_calibrate_bins(spark, sf):
-    bins = a.stored(a.called(spark, sf))
+    bins = a.called(spark, sf)[0]
     return r6(calibrate.calibrate_bins(bins, calibrate.empirical_null(bins)).select("sample_id", "chrom", "bin_index", "calibrated_z"))
 
 
@@ -128,37 +179,37 @@ SU = f"""{NU}, ac AS (SELECT *, z - avg(z) OVER (PARTITION BY sample_id, chrom)
 @query(f"""WITH {SU} SELECT event_id, round(ewz, 6) AS event_weighted_z, round(ess, 6) AS effective_bin_count, round(f_clean, 6) AS clean_bin_fraction, round(f_moderate, 6) AS moderate_risk_bin_fraction, round(f_high, 6) AS high_risk_bin_fraction,
   round(rmean, 6) AS region_risk_score_mean, round(rmax, 6) AS region_risk_score_max, crossing AS high_risk_boundary_crossing, {', '.join(f'round({c}, 6) AS {c}' for c in a.OVERLAPS)}, round(infl, 6) AS autocorr_inflation, round(ewz / sqrt(infl), 6) AS event_corr_adjusted_z FROM su""")
 def k3_event_support(spark, sf):
-    bins = a.stored(a.called(spark, sf))
+    bins, states = a.called(spark, sf)
     null = calibrate.empirical_null(bins)
-    return r6(calibrate.event_support(calling.run_calls(bins, 0.6, 2), calibrate.calibrate_bins(bins, null), calibrate.null_autocorrelation(bins), a.OVERLAPS))
+    return r6(calibrate.event_support(a.candidates(bins, states), calibrate.calibrate_bins(bins, null), calibrate.null_autocorrelation(bins), a.OVERLAPS))
 
 
 _SIG = ["event_id", "calibrated_mean_z", "calibrated_median_z", "empirical_pvalue", "empirical_qvalue", "keep_event"]
 
 
-SG = f"""{SU}, g0 AS (SELECT ev.*, su.* EXCLUDE (event_id, sample_id), null_median, null_scale, n_null, (segment_mean_robust_z - null_median) / null_scale AS cmz, (segment_median_robust_z - null_median) / null_scale AS cdz, ewz / sqrt(infl) AS az, 1 / (1 + (ewz / sqrt(infl)) ** 2) AS pv
+SG = f"""{SU}, g0 AS (SELECT ev.*, su.* EXCLUDE (event_id, sample_id), null_median, null_scale, n_null, (segment_mean_robust_z - null_median) / null_scale AS cmz, (segment_median_robust_z - null_median) / null_scale AS cdz, ewz / sqrt(infl) AS az, {_erfc('abs(ewz / sqrt(infl)) / sqrt(CAST(2 AS DOUBLE))')} AS pv
     FROM ev JOIN su ON su.event_id = ev.event_id JOIN nu ON nu.sample_id = ev.sample_id), g1 AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY pv, event_id) AS r, count(*) OVER (PARTITION BY sample_id) AS fam FROM g0),
   sg2 AS (SELECT *, least(1.0, min(pv * fam / r) OVER (PARTITION BY sample_id ORDER BY r ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS qv, greatest(abs(cmz), abs(cdz), abs(az)) AS mz FROM g1)"""
 
 
-#: The same with the two-sided normal p.
-_SGE = SG.replace("1 / (1 + (ewz / sqrt(infl)) ** 2) AS pv", f"{_erfc('abs(ewz / sqrt(infl)) / sqrt(CAST(2 AS DOUBLE))')} AS pv")
+#: The same with a rational p.
+_SGR = SG.replace(f"{_erfc('abs(ewz / sqrt(infl)) / sqrt(CAST(2 AS DOUBLE))')} AS pv", "1 / (1 + (ewz / sqrt(infl)) ** 2) AS pv")
 
 
-@query(f"WITH {_SGE} SELECT event_id, round(cmz, 6) AS calibrated_mean_z, round(cdz, 6) AS calibrated_median_z, round(pv, 6) AS empirical_pvalue, round(qv, 6) AS empirical_qvalue, CAST(qv <= 0.25 OR mz >= 2.5 AS INT) AS keep_event FROM sg2")
+@query(f"WITH {SG} SELECT event_id, round(cmz, 6) AS calibrated_mean_z, round(cdz, 6) AS calibrated_median_z, round(pv, 6) AS empirical_pvalue, round(qv, 6) AS empirical_qvalue, CAST(qv <= 0.25 OR mz >= 2.5 AS INT) AS keep_event FROM sg2")
 def k4_event_significance(spark, sf):
     return r6(a.significant(spark, sf).select(*_SIG))
 
 
-@query(f"WITH {SG} SELECT event_id, round(cmz, 6) AS calibrated_mean_z, round(cdz, 6) AS calibrated_median_z, round(pv, 6) AS empirical_pvalue, round(qv, 6) AS empirical_qvalue, CAST(qv <= 0.25 OR mz >= 2.5 AS INT) AS keep_event FROM sg2")
+@query(f"WITH {_SGR} SELECT event_id, round(cmz, 6) AS calibrated_mean_z, round(cdz, 6) AS calibrated_median_z, round(pv, 6) AS empirical_pvalue, round(qv, 6) AS empirical_qvalue, CAST(qv <= 0.25 OR mz >= 2.5 AS INT) AS keep_event FROM sg2")
 def k4_significance_rational(spark, sf):
-    return r6(a.significant(spark, sf, a.rational_p).select(*_SIG))
+    return r6(a.significant(spark, sf, lambda z: 1 / (1 + z * z)).select(*_SIG))
 
 
 @query(f"WITH {SG} SELECT sample_id, n_null, round(null_median, 6) AS null_median, round(null_scale, 6) AS null_scale, count(event_id) AS n_events, CAST(coalesce(sum(CAST(qv <= 0.25 OR mz >= 2.5 AS INT)), 0) AS BIGINT) AS n_kept FROM nu LEFT JOIN sg2 USING (sample_id, n_null, null_median, null_scale) GROUP BY ALL")
 def k5_calibration_summary(spark, sf):
-    found = a.stored(a.significant(spark, sf, a.rational_p))
-    return r6(calibrate.calibration_summary(calibrate.empirical_null(a.called(spark, sf)), found))
+    found, null, support = a.supported(*a.called(spark, sf))
+    return r6(calibrate.calibration_summary(null, calibrate.event_significance(found, support, null)))
 
 
 BL = f"""{SU}, bt AS (SELECT sample_id, count(*) FILTER (WHERE st = 'neutral' AND nul AND cls = 'clean') AS n1, count(*) FILTER (WHERE st = 'neutral' AND nul) AS n2, count(*) AS n3, median(x) FILTER (WHERE st = 'neutral' AND nul AND cls = 'clean') AS m1,
@@ -167,20 +218,20 @@ BL = f"""{SU}, bt AS (SELECT sample_id, count(*) FILTER (WHERE st = 'neutral' AN
 
 @query(f"WITH {BL} SELECT sample_id, round(baseline, 6) AS baseline, n_baseline FROM bl")
 def f1_neutral_baseline(spark, sf):
-    return r6(calibrate.neutral_baseline(a.called(spark, sf)))
+    return r6(calibrate.neutral_baseline(a.called(spark, sf)[0]))
 
 
-_FR = f"""{BL}, f1 AS (SELECT event_id, sum(x * greatest(cw, 0.1)) / sum(greatest(cw, 0.1)) AS m, sum(x * x * greatest(cw, 0.1)) / sum(greatest(cw, 0.1)) AS mm FROM eb GROUP BY ALL),
+_FR = f"""{BL}, f0 AS (SELECT event_id, sum(x * greatest(cw, 0.1)) / sum(greatest(cw, 0.1)) AS m FROM eb GROUP BY ALL), f1 AS (SELECT event_id, max(m) AS m, sum(greatest(cw, 0.1) * (x - m) ** 2) / sum(greatest(cw, 0.1)) AS mm FROM eb JOIN f0 USING (event_id) GROUP BY ALL),
   f2 AS (SELECT ev.event_id, ev.chrom, ev.state, ess, f_clean, f_high, m, mm, baseline, CASE WHEN {AUTO.replace('chrom', 'ev.chrom')} AND baseline > 0 THEN greatest(round(m / baseline, 12), 1e-6) END AS r FROM ev JOIN f1 USING (event_id) JOIN su ON su.event_id = ev.event_id JOIN bl ON bl.sample_id = ev.sample_id),
   f3 AS (SELECT *, CASE WHEN NOT {AUTO} THEN 'non_autosomal_event' WHEN NOT coalesce(baseline > 0, false) THEN 'invalid_signal_baseline' WHEN ess < 1.5 THEN 'effective_bins_below_minimum' WHEN state = 'gain' AND r <= 1 THEN 'gain_without_ratio_shift' WHEN state = 'loss' AND r >= 1 THEN 'loss_without_ratio_shift' WHEN abs(log2(r)) < 0.03 THEN 'log2_ratio_below_minimum' END AS why,
-    2 * abs(r - 1) AS pt, 3.92 * sqrt(greatest(mm - m * m, 0)) / sqrt(greatest(ess, 1)) / baseline AS h FROM f2),
+    2 * abs(r - 1) AS pt, 3.92 * sqrt(mm) / sqrt(greatest(ess, 1)) / baseline AS h FROM f2),
   f4 AS (SELECT *, CASE WHEN why IS NULL THEN least(1.0, pt) END AS fp, CASE WHEN why IS NULL THEN least(1.0, greatest(0.0, pt - h)) END AS lo, CASE WHEN why IS NULL THEN least(1.0, greatest(0.0, pt + h)) END AS hi FROM f3),
   f5 AS (SELECT *, CASE WHEN why IS NOT NULL THEN 'not_estimated' WHEN fp < 0.15 THEN 'low_level_signal' WHEN f_clean < 0.5 OR f_high > 0.25 THEN 'estimated_low_confidence' ELSE 'estimated' END AS fstatus FROM f4)"""
 
 
 def _fractions(spark, sf):
-    bins = a.stored(a.called(spark, sf))
-    found, null = calling.run_calls(bins, 0.6, 2), calibrate.empirical_null(bins)
+    bins, states = a.called(spark, sf)
+    found, null = a.candidates(bins, states), calibrate.empirical_null(bins)
     support = calibrate.event_support(found, calibrate.calibrate_bins(bins, null), calibrate.null_autocorrelation(bins), a.OVERLAPS)
     return calibrate.abnormal_fraction(found.join(support, "event_id"), bins, calibrate.neutral_baseline(bins), least_effective=1.5)
 

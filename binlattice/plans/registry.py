@@ -20,7 +20,7 @@ def query(sql: str | None) -> Callable[[Query], Query]:
     def put(f: Query) -> Query:
         _QUERIES[f.__name__] = f
         if sql:
-            _SQL[f.__name__] = sql
+            _SQL[f.__name__] = sql.replace("WITH ", "WITH RECURSIVE ", 1) if sql.startswith("WITH ") else sql
         return f
 
     return put
@@ -35,11 +35,11 @@ def r6(df: DataFrame) -> DataFrame:
 
 _CH = "('chr' || CASE {0} WHEN 22 THEN 'X' WHEN 23 THEN 'Y' ELSE CAST({0} + 1 AS VARCHAR) END)"
 ALN = f"""aln AS (SELECT 'S' || CAST(l_suppkey % 8 AS VARCHAR) AS sample_id, {_CH.format('(l_partkey % 24)')} AS chrom,
-  CAST(date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE)) AS BIGINT) * 1000 AS pos, CAST(l_quantity AS INT) AS mapq,
-  (l_returnflag = 'R' AND l_linestatus = 'O') AS dup, l_linenumber = 7 AS sec, l_discount > 0.09 AS bad, l_linenumber % 2 = 0 AS paired, l_tax < 0.05 AS read1 FROM lineitem)"""
+  {a._position("date_diff('day', DATE '1995-01-01', CAST(l_shipdate AS DATE))")} AS pos, CAST(l_quantity + 5 AS INT) AS mapq,
+  (l_returnflag = 'R' AND l_linestatus = 'O') AS dup, l_linenumber = 7 OR (l_linenumber = 5 AND l_linestatus = 'F') AS sec, l_tax > 0.07 AND l_quantity < 20 AS lost, l_discount > 0.09 AS bad, l_linenumber % 4 = 0 AS paired, l_tax < 0.05 AS read1 FROM lineitem)"""
 GRID = f"grid AS (SELECT {_CH.format('c')} AS chrom, c + 1 AS chrom_rank, i AS bin_index, i * 90000 AS start_pos, (i + 1) * 90000 AS end_pos FROM range(24) t(c), range(28) u(i))"
 BINS = f"""{ALN}, {GRID}, bins AS (SELECT s.sample_id, g.*, coalesce(n, 0) AS raw_count FROM (SELECT DISTINCT sample_id FROM aln) s CROSS JOIN grid g
-  LEFT JOIN (SELECT sample_id, chrom, pos // 90000 AS bin_index, count(*) AS n FROM aln WHERE NOT (dup OR sec OR bad) AND mapq >= 10 AND (NOT paired OR read1) AND pos >= 0 GROUP BY ALL) c
+  LEFT JOIN (SELECT sample_id, chrom, pos // 90000 AS bin_index, count(*) AS n FROM aln WHERE NOT (dup OR sec OR bad OR lost) AND mapq >= 10 AND (NOT paired OR read1) AND pos >= 0 GROUP BY ALL) c
   ON c.sample_id = s.sample_id AND c.chrom = g.chrom AND c.bin_index = g.bin_index)"""
 NORM = f"{BINS}, norm AS (SELECT *, ln(1 + raw_count / CASE WHEN sum(raw_count) OVER (PARTITION BY sample_id) <= 0 THEN 1 ELSE sum(raw_count) OVER (PARTITION BY sample_id) END * 1e6) AS x, sqrt(greatest(raw_count, 1)) AS w FROM bins)"
 
@@ -56,16 +56,15 @@ EVENTS = f"""{SCORED}, lab AS (SELECT *, CASE WHEN z >= 1 THEN 'gain' WHEN z <=
   isl AS (SELECT *, i - row_number() OVER (PARTITION BY sample_id, chrom, state ORDER BY bin_index) AS run FROM lab WHERE state IS NOT NULL),
   ev AS (SELECT sample_id || '_' || chrom || '_' || CAST(min(bin_index) AS VARCHAR) AS event_id, sample_id, chrom, state, min(bin_index) AS start_bin, max(bin_index) AS end_bin, min(start_pos) AS start_pos,
          max(end_pos) AS end_pos, count(*) AS n_bins, avg(z) AS mean_z, median(z) AS median_z, max(abs(z)) AS max_abs_z FROM isl GROUP BY sample_id, chrom, state, run HAVING count(*) >= 2)"""
-_NTH = "CASE o_orderpriority WHEN '1-URGENT' THEN 0 WHEN '2-HIGH' THEN 1 WHEN '3-MEDIUM' THEN 2 WHEN '4-NOT SPECIFIED' THEN 3 ELSE 4 END"
 IVS = f"""iv AS (SELECT CASE o_orderpriority WHEN '1-URGENT' THEN 'segmental_duplication' WHEN '2-HIGH' THEN 'low_mappability' WHEN '3-MEDIUM' THEN 'repeat_rich' WHEN '4-NOT SPECIFIED' THEN 'gap_centromere_telomere' ELSE 'blacklist' END AS k,
-  {_CH.format('(o_custkey % 24)')} AS chrom, (7 * (o_orderkey % 4) + ({_NTH} + 24 - o_custkey % 24) % 7) * 90000 + (o_orderkey * 37) % 85000 AS s, (7 * (o_orderkey % 4) + ({_NTH} + 24 - o_custkey % 24) % 7) * 90000 + (o_orderkey * 37) % 85000 + (o_orderkey % 5 + 1) * 350 AS e FROM orders)"""
+  {_CH.format('(o_custkey % 24)')} AS chrom, ({a._PLACE}) * 90000 + (o_orderkey * 37) % 85000 AS s, ({a._PLACE}) * 90000 + (o_orderkey * 37) % 85000 + (o_orderkey % 5 + 1) * 100 AS e FROM orders)"""
 COMP = f"""{GRID}, ch AS (SELECT {_CH.format('(doc_id % 24)')} AS chrom, ((doc_id // 24) % 28) * 90000 AS cs, upper(text) AS seq FROM documents),
   pc AS (SELECT g.chrom, g.bin_index, substr(seq, CAST(greatest(0, start_pos - cs) + 1 AS BIGINT), CAST(least(end_pos, cs + length(seq)) - greatest(start_pos, cs) AS BIGINT)) AS p FROM ch JOIN grid g ON ch.chrom = g.chrom AND cs < end_pos AND cs + length(seq) > start_pos),
   cnt AS (SELECT chrom, bin_index, {', '.join(f"sum(length(p) - length(replace(p, '{b}', ''))) AS n_{b.lower()}" for b in 'ACGTN')} FROM pc GROUP BY ALL),
   comp AS (SELECT g.chrom, g.bin_index, g.start_pos, g.end_pos, {', '.join(f"CAST(coalesce(n_{b}, 0) AS BIGINT) AS n_{b}" for b in 'acgtn')} FROM grid g LEFT JOIN cnt c ON c.chrom = g.chrom AND c.bin_index = g.bin_index)"""
 FRAC = ", ".join(f"least(coalesce(sum(least(end_pos, e) - greatest(start_pos, s)) FILTER (WHERE k = '{c}'), 0) / 90000.0, 1.0) AS {c}_overlap_fraction" for c in a.CLASSES)
 FRACS = f"{IVS}, fr AS (SELECT g.chrom, g.bin_index, g.start_pos, g.end_pos, {FRAC} FROM grid g LEFT JOIN iv ON iv.chrom = g.chrom AND s < end_pos AND e > start_pos GROUP BY ALL)"
-ANN = f"""{COMP}, {FRACS}, ann AS (SELECT comp.*, {', '.join(f'{c}_overlap_fraction' for c in a.CLASSES)}, (n_g + n_c) / nullif(n_a + n_c + n_g + n_t, 0) AS gc_fraction, n_n / 90000.0 AS n_fraction, (n_a + n_c + n_g + n_t) / 90000.0 AS atgc
+ANN = f"""{COMP}, {FRACS}, ann AS (SELECT comp.*, {', '.join(f'{c}_overlap_fraction' for c in a.CLASSES)}, {a.GC_SHARE.replace('D ', ' ')} AS gc_fraction, {a.N_SHARE.replace('D ', ' ')} AS n_fraction, {a.MAPPABLE.replace('D ', ' ')} AS atgc
   FROM comp JOIN fr USING (chrom, bin_index))"""
 RUNS = "runs AS (SELECT event_id, event_type AS rule_name, CAST(user_id % 4 AS INT) AS threads, value AS wall_seconds, CASE event_type WHEN 'error' THEN 'log_failed' ELSE 'success' END AS status, ts AS created_at, user_id, CASE user_id % 3 WHEN 0 THEN 'qc' ELSE 'predict' END AS module, CASE WHEN user_id % 5 = 0 THEN '1' ELSE '2-8' END AS sample_bucket, CAST(event_id % 2 * 500000 + 500000 AS BIGINT) AS binsize, CASE WHEN event_id % 3 > 0 THEN CAST(event_id % 3 AS INT) END AS pca_components FROM events)"
 TRUTH = f"""truth AS (SELECT c_custkey AS truth_id, 'S' || CAST(c_custkey % 8 AS VARCHAR) AS sample_id, {_CH.format('(c_nationkey % 24)')} AS chrom, CASE WHEN c_custkey % 2 = 0 THEN 'gain' ELSE 'loss' END AS state,
@@ -103,8 +102,8 @@ def n5_center_scale(spark, sf):
     return r6(stats.robust_center_scale(a.normalized(spark, sf), "normalized_signal", ["sample_id", "chrom"]))
 
 
-@query(f"""WITH {NORM} SELECT sample_id, chrom, round(sum(w*x)/sum(w), 6) AS weighted_mean, round(sqrt(greatest(sum(w*x*x)/sum(w) - (sum(w*x)/sum(w))**2, 0)), 6) AS weighted_std,
-  round(sum(w)*sum(w)/sum(w*w), 6) AS effective_sample_size, round(sum(w*x)/sqrt(sum(w*w)), 6) AS stouffer_z FROM norm GROUP BY ALL""")
+@query(f"""WITH {NORM}, wm AS (SELECT sample_id, chrom, sum(w * x) / sum(w) AS m FROM norm GROUP BY ALL) SELECT sample_id, chrom, round(max(m), 6) AS weighted_mean, round(sqrt(sum(w * (x - m) ** 2) / sum(w)), 6) AS weighted_std,
+  round(sum(w)*sum(w)/sum(w*w), 6) AS effective_sample_size, round(sum(w*x)/sqrt(sum(w*w)), 6) AS stouffer_z FROM norm JOIN wm USING (sample_id, chrom) GROUP BY ALL""")
 def n6_weighted_stats(spark, sf):
     return r6(stats.weighted_stats(a.normalized(spark, sf), "normalized_signal", "bin_weight", ["sample_id", "chrom"]))
 
@@ -315,14 +314,13 @@ def q22_input_qc(spark, sf):
     return r6(qc.input_qc(a.bins(spark, sf), least_total=2000))
 
 
-_M1 = f"{_LOO}, m1 AS (SELECT chrom, bin_index, avg(CAST(abs((v - ref_median) / ref_sigma) > 3 AS INT)) AS zf, median(abs((v - ref_median) / ref_sigma)) AS mz, count(*) AS n_samples FROM loo GROUP BY ALL)"
+_M1 = f"{_LOO}, m1 AS (SELECT chrom, bin_index, avg(CAST(abs(zc) > 3 AS INT)) AS zf, median(abs(zc)) AS mz, count(*) AS n_samples FROM (SELECT *, CASE WHEN sample_id NOT IN ('S2', 'S5') THEN 0.5 * (v - ref_median) / ref_sigma END AS zc FROM loo) GROUP BY ALL)"
 _MASK = f"""{_M1}, {ANN[len(GRID) + 2:]}, mask AS (SELECT ann.*, CASE WHEN n_fraction >= 0.2 THEN 'hard' WHEN coalesce(gc_fraction, 0.5) < 0.2 OR coalesce(gc_fraction, 0.5) > 0.8 THEN 'soft' WHEN zf >= 0.05 OR mz >= 1.5 THEN 'dynamic' ELSE 'pass' END AS mask_label, zf, mz FROM ann LEFT JOIN m1 USING (chrom, bin_index))"""
 
 
 @query(f"WITH {_M1} SELECT chrom, bin_index, round(zf, 6) AS z_frac_over_3, round(mz, 6) AS median_abs_z, n_samples FROM m1")
 def m1_dynamic_bin_metrics(spark, sf):
-    z = ((F.col("v") - F.col("ref_median")) / F.col("ref_sigma")).alias("z")
-    return r6(qc.dynamic_bin_metrics(a.leave_one_out(spark, sf).select("chrom", "bin_index", z)))
+    return r6(qc.dynamic_bin_metrics(a.leave_one_out(spark, sf).select("chrom", "bin_index", a.cohort_z())))
 
 
 @query(f"WITH {_MASK} SELECT chrom, bin_index, mask_label FROM mask")

@@ -201,7 +201,7 @@ def e2_sample_metrics(spark, sf):
 
 @query(f"WITH {_AE} SELECT event_id, round(greatest(abs(cmz), abs(cdz), abs(az)), 6) AS support_z FROM a0")
 def e6_event_support_z(spark, sf):
-    return r6(a.significant(spark, sf, a.rational_p).select("event_id", report.event_support_z("calibrated_mean_z", "calibrated_median_z", "event_corr_adjusted_z").alias("support_z")))
+    return r6(a.significant(spark, sf).select("event_id", report.event_support_z("calibrated_mean_z", "calibrated_median_z", "event_corr_adjusted_z").alias("support_z")))
 
 
 _SUP = "keep_event = 1 AND artifact_status = 'review' AND chrom IN ('chrX', 'chrY')"
