@@ -136,9 +136,18 @@ def _from_all(codes: list[int], exits: list[int]) -> list[tuple[int, str, int]]:
 
 
 def _crossing(codes: pd.Series) -> pd.Series:
-    """The costs from each state to each, 4 * from + to; FAR where there is no way."""
-    to = lambda end: [FAR * (e != end) for e in range(4)]
-    return pd.Series([[cost for way in zip(*[_from_all(c.tolist(), to(end)) for end in range(4)]) for cost, _, _ in way] for c in codes], dtype=object)
+    """The costs from each state to each, 4 * from + to; FAR where there is no way.
+
+    A conversation stays empty, or with its system row alone, only by deletions; auctions find the ways to the other two states, which all states reach.
+    """
+    out = []
+    for rows in map(np.ndarray.tolist, codes):
+        gone = DELETE * len(rows)
+        first = min((REROLE * (c >> 2) - DELETE for c in rows if c in (0, 4)), default=FAR)
+        ends = [[way[0] for way in _from_all(rows, [FAR * (e != end) for e in range(4)])] for end in (USER, ASSISTANT)]
+        few = [[gone, min(FAR, gone + first)], [FAR, gone], [FAR, FAR], [FAR, FAR]]
+        out.append([cost for q in range(4) for cost in (*few[q], ends[0][q], ends[1][q])])
+    return pd.Series(out, dtype=object)
 
 
 def _ways(codes: pd.Series, exits: pd.Series) -> pd.Series:
@@ -174,7 +183,9 @@ def _solved(blocks: DataFrame) -> DataFrame:
     counted = blocks.groupBy(F.col("conv_id").alias("c")).agg(F.count("*").alias("n_blocks"), F.max("key").alias("last"))
     known = blocks.join(counted, F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
     single = known.where("n_blocks = 1").withColumn("s", F.pandas_udf(_alone, "state int, letters string")("codes")).select("key", "places", "codes", "s.state", "s.letters", "conv_id")
-    several = cut(known.where("n_blocks > 1").withColumn("cost", F.pandas_udf(_crossing, "array<bigint>")("codes")), "block-costs")
+    # few rows of much work each: dealt to as many tasks as a shuffle has, which are not joined to one
+    tasks = int(blocks.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    several = cut(known.where("n_blocks > 1").repartition(tasks, "key").withColumn("cost", F.pandas_udf(_crossing, "array<bigint>")("codes")), "block-costs")
 
     exits_of = "array<struct<key:bigint,exits:array<bigint>>>"
     through = lambda cost, exits: F.array(*[F.array_min(F.array(*[F.get(cost, F.lit(4 * q + e)) + F.get(exits, F.lit(e)) for e in range(4)])) for q in range(4)])
@@ -182,7 +193,7 @@ def _solved(blocks: DataFrame) -> DataFrame:
     back = lambda a, b: F.struct(F.concat(a["out"], F.array(F.struct(b["key"].alias("key"), a["exits"].alias("exits")))).alias("out"), through(b["cost"], a["exits"]).alias("exits"))
     costs = several.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("key", "cost")), False).alias("held"))
     exits = costs.select(F.inline(F.aggregate("held", start, back)["out"]))
-    ways = cut(several.join(exits, "key").withColumn("ways", F.pandas_udf(_ways, "array<struct<letters:string,end:int>>")("codes", "exits")), "block-ways")
+    ways = cut(several.join(exits, "key").repartition(tasks, "key").withColumn("ways", F.pandas_udf(_ways, "array<struct<letters:string,end:int>>")("codes", "exits")), "block-ways")
 
     states_of = "array<struct<key:bigint,state:int>>"
     begin = F.struct(F.array().cast(states_of).alias("out"), F.lit(EMPTY).alias("state"))
