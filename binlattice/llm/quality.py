@@ -45,12 +45,12 @@ Known = dict[str, Column]
 class Measure:
     """A value taken of a text, from it and from other measures that it ``needs``.
 
-    ``work`` estimates its cost from the text's length: steps a character, in which only the ratios between measures matter.
+    ``work`` gives its steps a character, a line, a word and a window of words of the text; how many of each texts have, a sample tells.
     """
 
     needs: tuple[str, ...]
     of: Callable[[Column, Known], Column]
-    work: float
+    work: tuple[float, float, float, float]
 
 
 def _bare(line: Column) -> Column:
@@ -65,24 +65,26 @@ def _lines_where(test: Callable[[Column], Column]) -> Callable[[Column, Known],
     return lambda t, m: F.size(F.filter(lines_of(t), lambda line: test(_bare(line))))
 
 
-#: Steps a character: a pass that drops or counts characters, one by a regular expression, splitting into lines, splitting
-#: into words and hashing them, hashing and looking up windows of words.
-PASS, REGEX, LINES, WORDS, WINDOWS = 1.0, 6.0, 2.0, 12.0, 30.0
+#: What SIZES counts of a text.
+SIZES = ("chars", "lines", "words", "windows")
+#: Steps of a pass that drops or counts characters, one by a regular expression, splitting into lines and looking at each, splitting into words and
+#: hashing them, hashing and looking up windows of words.
+PASS, REGEX, LINES, WORDS, WINDOWS = (1.0, 0.0, 0.0, 0.0), (6.0, 0.0, 0.0, 0.0), (2.0, 25.0, 0.0, 0.0), (2.0, 0.0, 30.0, 0.0), (0.0, 0.0, 0.0, 100.0)
 
 #: Texts are not null here. Words are runs outside [\\x20\\x09-\\x0D]; n_repeat_words counts the words in windows of
 #: WINDOW words that the text holds at least twice: windows are hashed, and sorted only where a hash occurs again.
 TAKEN = {
-    "some_words": Measure((), lambda t, m: F.size(F.filter(F.split(t, r"[\x20\x09-\x0D]+", 22), lambda w: w != "")), 0.5),
+    "some_words": Measure((), lambda t, m: F.size(F.filter(F.split(t, r"[\x20\x09-\x0D]+", 22), lambda w: w != "")), (0.5, 0.0, 0.0, 0.0)),
     "word_hashes": Measure((), lambda t, m: F.transform(words_of(t), lambda w: F.xxhash64(w)), WORDS),
-    "n_words": Measure(("word_hashes",), lambda t, m: F.size(m["word_hashes"]).cast("bigint"), 0.0),
+    "n_words": Measure(("word_hashes",), lambda t, m: F.size(m["word_hashes"]).cast("bigint"), (0.0, 0.0, 0.0, 0.0)),
     "n_repeat_words": Measure(("word_hashes",), lambda t, m: let(windows_hash(m["word_hashes"], WINDOW), lambda h: _repeats(h, WINDOW)).cast("bigint"), WINDOWS),
     "word_chars": Measure((), lambda t, m: F.length(F.translate(t, WHITE, "")).cast("bigint"), PASS),
     "n_symbols": Measure((), lambda t, m: (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("bigint"), PASS),
     "n_marks": Measure((), lambda t, m: F.length(t) - F.length(F.replace(t, F.lit("!"), F.lit(""))), PASS),
     "n_lines": Measure((), lambda t, m: F.size(lines_of(t)), LINES),
-    "n_dup_lines": Measure((), lambda t, m: let(_filled_lines(t), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint"), 2 * LINES),
-    "n_bullets": Measure((), _lines_where(lambda line: F.substring(line, 1, 1).isin(*BULLETS)), 2 * LINES),
-    "n_trailing": Measure((), _lines_where(lambda line: F.endswith(line, F.lit("...")) | F.endswith(line, F.lit("…"))), 2 * LINES),
+    "n_dup_lines": Measure((), lambda t, m: let(_filled_lines(t), lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint"), (4.0, 50.0, 0.0, 0.0)),
+    "n_bullets": Measure((), _lines_where(lambda line: F.substring(line, 1, 1).isin(*BULLETS)), (4.0, 50.0, 0.0, 0.0)),
+    "n_trailing": Measure((), _lines_where(lambda line: F.endswith(line, F.lit("...")) | F.endswith(line, F.lit("…"))), (4.0, 50.0, 0.0, 0.0)),
     "n_letters": Measure((), lambda t, m: F.length(F.regexp_replace(t, r"[^\p{L}]+", "")), REGEX),
     "n_capitals": Measure((), lambda t, m: F.length(F.regexp_replace(t, r"[^\p{Lu}]+", "")), REGEX),
 }
@@ -150,7 +152,7 @@ def production_rules() -> list[Rule]:
 
 @dataclass(frozen=True)
 class Estimate:
-    """rejected: share of the sample's rows. work: mean steps for what the rules before have not taken already."""
+    """rejected: share of the sample's rows that reach the rule. work: their mean steps for what the rules before have not taken already."""
 
     rule: Rule
     rejected: float
@@ -160,29 +162,40 @@ class Estimate:
 def estimate(docs: DataFrame, rules: list[Rule], text: str = "text", sample_rows: int = 2000) -> list[Estimate]:
     """The rules in falling order of rejection per cost, with the estimates that decide it.
 
-    Shares and costs are found on a sample: the rows whose hash of the text falls in a fixed share, about ``sample_rows`` of them
-    (all of a smaller table), measured where they are; one row of sums reaches the driver. Costs are counted from the
-    lengths of the sample's texts, not timed, so the same rows give the same order in every run. A measure
-    that an earlier rule takes costs a later one nothing. Only the order of evaluation rests on the sample, never a verdict.
+    The sample is the rows whose hash of the text falls in a fixed share, about ``sample_rows`` of them (all of a smaller table). All rules are tried
+    on it where it is; a row for each set of rules that reject a text reaches the driver, 2**rules at most, with the number of such texts and their
+    characters, lines, words and windows. From these the rules are taken one after the other: each time the one with the most rejections per step
+    among the rows that no rule before rejects, its steps being those of its measures that no rule before takes, on those rows. Steps are counted, not
+    timed, so the same rows give the same order in every run. Only the order of evaluation rests on the sample, never a verdict.
     """
     share = max(1, docs.count() // sample_rows)
     t = F.coalesce(F.col(text), F.lit(""))
     sampled = docs.where(F.pmod(F.xxhash64(F.col(text)), F.lit(share)) == 0) if share > 1 else docs
-    hits = _taking(_with_needs(n for r in rules for n in r.needs), t, {}, lambda m: F.array(*[r.rejects(m) for r in rules]))
-    sums = [F.count_if(F.col("hits")[i]).alias(f"hits{i}") for i in range(len(rules))]
-    found = sampled.select(F.length(t).alias("chars"), hits.alias("hits")).agg(F.count("*").alias("n"), F.avg("chars").alias("chars"), *sums).first()
-    rejected = {r.name: found[f"hits{i}"] / max(1, found.n) for i, r in enumerate(rules)}
+    hits = _taking(_with_needs([n for r in rules for n in r.needs] + ["n_words", "n_lines"]), t, {}, lambda m: F.struct(
+        F.array(*[r.rejects(m) for r in rules]).alias("hits"), F.length(t).alias("chars"), m["n_lines"].alias("lines"), m["n_words"].alias("words"), F.greatest(m["n_words"] - WINDOW + 1, F.lit(0)).alias("windows"),
+    ))
+    found = sampled.select(hits.alias("m")).select("m.*").groupBy("hits").agg(F.count("*").alias("rows"), *[F.sum(c).alias(c) for c in SIZES]).collect()
     order: list[Estimate] = []
-    left, known = list(rules), []
+    left, known = dict(enumerate(rules)), []
     while left:
-        works = {r.name: (found.chars or 0.0) * sum(TAKEN[n].work for n in _with_needs(r.needs, known)) for r in left}
-        best = min(left, key=lambda r: (-rejected[r.name] / (works[r.name] + 1), works[r.name], r.name))
-        order.append(Estimate(best, rejected[best.name], works[best.name]))
-        known += _with_needs(best.needs, known)
-        left.remove(best)
+        rows = sum(f.rows for f in found)
+        sizes = [sum(f[c] for f in found) / max(1, rows) for c in SIZES]
+        rejected = {i: sum(f.rows for f in found if f.hits[i]) / max(1, rows) for i in left}
+        works = {i: sum(x * y for n in _with_needs(r.needs, known) for x, y in zip(TAKEN[n].work, sizes, strict=True)) for i, r in left.items()}
+        best = min(left, key=lambda i: (-rejected[i] / (works[i] + 1), works[i], left[i].name))
+        order.append(Estimate(left[best], rejected[best], works[best]))
+        known += _with_needs(left.pop(best).needs, known)
+        found = [f for f in found if not f.hits[best]]
     return order
 
 
+def all_taken(taken: Column, text: Column) -> Column:
+    """What a cascade has taken of a row, with all that it has not taken: then all MEASURES are taken in one go, each once."""
+    some_missing = F.greatest(*[taken[n].isNull() for n in MEASURES])
+    anew = _taking(_with_needs(MEASURES), F.coalesce(text, F.lit("")), {}, lambda m: F.struct(*[m[n].alias(n) for n in MEASURES]))
+    return F.when(some_missing, anew).otherwise(taken)
+
+
 def cascade(docs: DataFrame, rules: list[Rule], text: str = "text", sample_rows: int = 2000, keep: Iterable[str] = ()) -> DataFrame:
     """``docs`` plus ``failed_rule``, the first rule, in the estimated order, that rejects the row, else null, and ``taken``.
 

@@ -61,9 +61,7 @@ def op8_rule_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = quality.cascade(docs, [*quality.base_rules(), *quality.production_rules()], keep=quality.MEASURES)
     # the contract's columns are for every row: what the cascade has not taken before its verdict is taken here
-    text = F.coalesce("text", F.lit(""))
-    alone = {n: quality.taken_alone(n, text) for n in quality.MEASURES}
-    filled = judged.select("doc_id", F.col("failed_rule").isNull().alias("kept"), *[F.coalesce(F.col(f"taken.{n}"), alone[n]).alias(n) for n in quality.MEASURES])
+    filled = judged.select("doc_id", F.col("failed_rule").isNull().alias("kept"), quality.all_taken(F.col("taken"), F.col("text")).alias("all")).select("doc_id", "kept", "all.*")
     base = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     return filled.select("doc_id", *quality.MEASURES, base.alias("base_failed"), "kept")
 
