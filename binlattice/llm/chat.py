@@ -45,11 +45,12 @@ def expand_targets(conversations: DataFrame) -> DataFrame:
 
     Texts are escaped, see escape(); roles are percent-encoded where they hold
     a line feed, % or <. Contexts are whole: the output grows with the square
-    of a conversation's length, as the method implies.
+    of a conversation's length, as the method implies. A task holds the text of one
+    conversation once, as the longest example does, whatever the number of its turns.
 
     Defined cases: null text and null role are empty; a null conv_id is a
     conversation of its own; turns are ordered by turn (null first), then role,
-    then text, repeated rows each count; an empty table gives no examples;
+    then text, repeated rows each count; very long texts stay whole; an empty table gives no examples;
     other columns aren't used.
     """
     turns = conversations.select(
@@ -62,22 +63,26 @@ def expand_targets(conversations: DataFrame) -> DataFrame:
     order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     assistant = F.col("role") == "assistant"
-    seen = turns.select(
+    placed = turns.select(
         "conv_id",
         F.row_number().over(order).alias("n_turns"),
         F.lead(F.lit(False), 1, True).over(order).alias("is_whole"),
         F.sum(assistant.cast("int")).over(upto).alias("answers"),
         assistant.alias("trainable"),
         F.length("escaped").alias("n_escaped"),
-        F.collect_list("part").over(upto).alias("parts"),
-    ).where(F.col("trainable") | F.col("is_whole"))
-    whole = seen.withColumn("formatted", F.array_join("parts", ""))
-    stop = F.when(F.col("trainable"), F.length("formatted") - len(END))
+        F.sum(F.length("part")).over(upto).alias("upto"),
+        "part",
+    )
+    # a conversation's text is built once, and each example is cut from its beginning
+    place = F.struct("n_turns", "is_whole", "answers", "trainable", "n_escaped", F.col("upto").cast("int").alias("upto"))
+    held = placed.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("n_turns", "part"))).alias("parts"), F.collect_list(F.when(F.col("trainable") | F.col("is_whole"), place)).alias("places"))
+    whole = held.select("conv_id", F.array_join("parts.part", "").alias("text"), "places").select("conv_id", "text", F.inline("places"))
+    stop = F.when(F.col("trainable"), F.col("upto") - len(END))
     return whole.select(
         "conv_id",
         (F.col("answers") - F.when(F.col("trainable"), 1).otherwise(0)).cast("bigint").alias("example"),
         F.col("n_turns").cast("bigint").alias("n_turns"),
-        "formatted",
+        F.substring("text", F.lit(1), F.col("upto")).alias("formatted"),
         (stop - F.col("n_escaped")).alias("loss_start"),
         stop.alias("loss_end"),
         "is_whole",
