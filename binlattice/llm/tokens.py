@@ -107,7 +107,8 @@ def count_tokens(docs: DataFrame, model: str, limit: int = 4096, text: str = "te
     is a path that every executor has.
 
     Defined cases: null counts as empty (0 bytes, 0 tokens); special strings in
-    a text are ordinary text; there is no truncation; input columns with the
+    a text are ordinary text; there is no truncation, so a very long text is
+    counted whole by the task that reads it; equal rows each get their own count; input columns with the
     names of the results are replaced; an empty table gives an empty result.
     """
     docs = without(docs, ["n_bytes", "n_tokens", "over_limit"])
