@@ -27,41 +27,54 @@ def _middle(ordered: Column) -> Column:
 def _center_scale(df: DataFrame, values: str, center: str, scale: str) -> DataFrame:
     """Median and max(1.4826 * MAD, population deviation, 1e-6) of a sorted array; (0, 1) if it is empty."""
     x = F.col(values)
-    df = df.withColumn("__c", _middle(x)).withColumn("__avg", F.aggregate(x, F.lit(0.0), lambda s, v: s + v) / F.size(x))
+    df = df.withColumn("__c", _middle(x)).withColumn("__avg", F.aggregate(x, F.lit(0.0), lambda s, v: s + v) / F.greatest(F.size(x), F.lit(1)))
     df = df.withColumn("__d", F.sort_array(F.transform(x, lambda v: F.abs(v - F.col("__c")))))
     square = F.aggregate(x, F.lit(0.0), lambda s, v: s + (v - F.col("__avg")) * (v - F.col("__avg")))
-    spread = F.greatest(1.4826 * _middle(F.col("__d")), F.sqrt(square / F.size(x)), F.lit(1e-6))
+    spread = F.greatest(1.4826 * _middle(F.col("__d")), F.sqrt(square / F.greatest(F.size(x), F.lit(1))), F.lit(1e-6))
     some = F.size(x) > 0
     return df.withColumn(center, F.when(some, F.col("__c")).otherwise(0.0)).withColumn(scale, F.when(some, spread).otherwise(1.0)).drop("__c", "__avg", "__d")
 
 
-def _background(df: DataFrame, pool: str, out: str) -> DataFrame:
-    """The values of the first tier that holds any: seeds on autosomes, autosomes, seeds, all."""
-    p = F.col(pool)
-    best = F.array_min(F.transform(p, lambda x: F.when(x["auto"] & x["seed"], 1).when(x["auto"], 2).when(x["seed"], 3).otherwise(4)))
-    df = df.withColumn("__t", best)
-    t = F.col("__t")
-    kept = F.filter(p, lambda x: ((t > 2) | x["auto"]) & (~t.isin(1, 3) | x["seed"]))
-    return df.withColumn(out, F.transform(kept, lambda x: x["v"])).drop("__t")
+def _left_out(x: np.ndarray, chrom: np.ndarray, tier: np.ndarray) -> list[tuple[str | None, float, float]]:
+    """(chromosome, centre, scale) of the values of all others, and of all values for None; of the first tier that holds any, or (0, 1) without values."""
+    out = []
+    for own in (None, *np.unique(chrom)):
+        others = chrom != own if own is not None else np.ones(len(x), dtype=bool)
+        if not others.any():
+            others = ~others
+        if not len(x):
+            out.append((own, 0.0, 1.0))
+            continue
+        # tiers: seeds on autosomes, other autosomal bins, other seeds, the rest
+        held = x[others & (tier == tier[others].min())]
+        center = float(np.median(held))
+        out.append((own, center, max(1.4826 * float(np.median(np.abs(held - center))), float(held.std()), 1e-6)))
+    return out
+
+
+def _all_left_out(values: pd.Series, chroms: pd.Series, tiers: pd.Series) -> pd.Series:
+    found = [_left_out(np.asarray(x, dtype=float), np.asarray(c, dtype=object), np.asarray(t, dtype=int)) for x, c, t in zip(values, chroms, tiers)]
+    return pd.Series([[dict(zip(("chrom", "center", "scale"), f)) for f in per] for per in found])
 
 
 def score_bins(bins: DataFrame, signal: str = "normalized_signal") -> DataFrame:
     """Bins with the z against other chromosomes, within the own one, the chromosome's shift, and their sum over variance_inflation.
 
-    A sample's signal is gathered and sorted once (one value a bin of the genome); each chromosome's background leaves its own bins out of it.
+    A sample's signal is gathered once, one value a bin of the genome; a task takes the median and spread of what each chromosome leaves of it.
     calling_weight of bins that are no seeds is halved after the chromosome means are taken.
     """
     seed, auto = F.coalesce(F.col("calling_seed_eligible") == 1, F.lit(True)), F.coalesce(F.col("is_autosome") == 1, F.lit(False))
     x, w = clean(signal), F.col("calling_weight")
     ok = x.isNotNull() & (clean("calling_weight") > 0)
-    point = F.when(x.isNotNull(), F.struct(x.alias("v"), F.col("chrom"), auto.alias("auto"), seed.alias("seed")))
-    pool = bins.groupBy("sample_id").agg(F.sort_array(F.collect_list(point)).alias("pool"))
+    tier = F.when(auto & seed, 1).when(auto, 2).when(seed, 3).otherwise(4)
+    pool = bins.groupBy("sample_id").agg(F.collect_list(F.when(x.isNotNull(), F.struct(x.alias("v"), F.col("chrom").alias("chrom"), tier.alias("tier")))).alias("pool"))
+    backgrounds = F.pandas_udf(_all_left_out, "array<struct<chrom:string,center:double,scale:double>>")("pool.v", "pool.chrom", "pool.tier")
     mean = (F.sum(F.when(ok, x * w)) / F.sum(F.when(ok, w))).alias("mean")
     chroms = bins.groupBy(*CHROM).agg(mean, F.bool_or(auto).alias("auto")).groupBy("sample_id").agg(F.sort_array(F.collect_list(F.struct("mean", "chrom", "auto"))).alias("chroms"))
-    whole = _center_scale(_background(pool.join(chroms, "sample_id"), "pool", "__v"), "__v", "background_center", "background_scale").drop("__v")
-    per = whole.withColumn("own", F.explode("chroms")).withColumn("others", F.filter("pool", lambda p: p["chrom"] != F.col("own.chrom")))
-    per = per.withColumn("others", F.when(F.size("others") > 0, F.col("others")).otherwise(F.col("pool"))).drop("pool")
-    per = _center_scale(_background(per, "others", "values").drop("others"), "values", "g_center", "g_scale").drop("values")
+    whole = pool.select("sample_id", backgrounds.alias("all")).join(chroms, "sample_id")
+    of = lambda name: F.get(F.filter("all", lambda b: b["chrom"].eqNullSafe(name)), F.lit(0))
+    per = whole.withColumn("own", F.explode("chroms")).withColumn("one", F.coalesce(of(F.col("own.chrom")), of(F.lit(None)))).withColumn("every", of(F.lit(None)))
+    per = per.select("sample_id", "chroms", "own", F.col("one.center").alias("g_center"), F.col("one.scale").alias("g_scale"), F.col("every.center").alias("background_center"), F.col("every.scale").alias("background_scale"))
     rest = F.filter("chroms", lambda c: (c["chrom"] != F.col("own.chrom")) & c["mean"].isNotNull())
     per = per.withColumn("rest", rest).withColumn("peers", F.filter("rest", lambda c: c["auto"] | ~F.col("own.auto")))
     per = per.withColumn("means", F.transform(F.when(F.size("peers") > 0, F.col("peers")).otherwise(F.col("rest")), lambda c: c["mean"]))

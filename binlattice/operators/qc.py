@@ -173,7 +173,7 @@ def annotate_region_risk(bins: DataFrame) -> DataFrame:
     """risk_score, risk_class, region_risk_weight, variance_inflation and the three eligibility flags of a bin."""
     f = lambda c: F.coalesce(F.col(f"{c}_overlap_fraction"), F.lit(0.0))
     clip = lambda x, a, b: F.greatest(F.lit(a), F.least(F.lit(b), x))
-    mapping = F.greatest(f("low_mappability"), clip((0.85 - F.col("mappability_score")) / 0.5, 0.0, 1.0))
+    mapping = F.greatest(f("low_mappability"), clip((0.85 - F.coalesce("mappability_score", F.lit(1.0))) / 0.5, 0.0, 1.0))
     repeat = F.greatest(f("segmental_duplication"), 0.85 * f("repeat_rich"), f("blacklist"), f("gap_centromere_telomere"))
     homology = F.greatest(f("par"), f("xtr"), f("sex_homology"), f("ambiguous_alignment"))
     mask = F.col("mask_label")
