@@ -293,10 +293,33 @@ def rank_bin_sizes(grid: DataFrame) -> DataFrame:
     return rows.withColumn("selection_rank", F.when(F.col("passes") == 1, F.row_number().over(sizes)).otherwise(0)).withColumn("is_best_binsize", (F.col("selection_rank") == 1).cast("int")).drop("passes")
 
 
+def canonical_text(table: DataFrame) -> Column:
+    """A row as text that any engine can write: ``column=value`` by name of the column, joined by a line feed; nulls are left out.
+
+    Numbers with fractions have six decimals, times are to the second, in UTC.
+    """
+
+    def text(name: str, kind: str) -> Column:
+        c = F.col(f"`{name}`")
+        if kind in ("double", "float") or kind.startswith("decimal"):
+            c = F.format_string("%.6f", c.cast("double"))
+        elif kind.startswith("timestamp"):
+            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        return F.concat(F.lit(f"{name}="), c.cast("string"))
+
+    return F.concat_ws("\n", *[F.when(F.col(f"`{n}`").isNotNull(), text(n, k)) for n, k in sorted(table.dtypes)])
+
+
+def table_digest(table: DataFrame) -> Column:
+    """A digest of the rows as a multiset: the sums of the first and second 15 hexadecimal digits of the MD5 of each row's canonical text."""
+    md5 = F.md5(canonical_text(table))
+    lane = lambda at: F.coalesce(F.sum(F.conv(F.substring(md5, at, 15), 16, 10).cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").cast("string")
+    return F.concat_ws("-", lane(1), lane(16))
+
+
 def snapshot_inventory(tables: dict[str, dict[str, DataFrame]]) -> DataFrame:
-    """Group, name, rows and an order-free digest of each table, with the tables of the group."""
-    digest: Callable[[DataFrame], Column] = lambda t: F.coalesce(F.sum(F.xxhash64(*[F.col(f"`{c}`") for c in t.columns]).cast("decimal(38,0)")), F.lit(0)).cast("string")
-    parts = [t.agg(F.lit(group).alias("group"), F.lit(name).alias("name"), F.count("*").alias("n_rows"), digest(t).alias("digest"), F.lit(len(named)).alias("n_tables")) for group, named in tables.items() for name, t in named.items()]
+    """Group, name, rows and digest of each table, with the tables of the group; rows alike count each."""
+    parts = [t.agg(F.lit(group).alias("group"), F.lit(name).alias("name"), F.count("*").alias("n_rows"), table_digest(t).alias("digest"), F.lit(len(named)).alias("n_tables")) for group, named in tables.items() for name, t in named.items()]
     out = parts[0]
     for part in parts[1:]:
         out = out.union(part)

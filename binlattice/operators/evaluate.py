@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from binlattice.functions.ordering import with_next
 from binlattice.functions.stats import clean
 from binlattice.operators.grid import runs
 
@@ -104,9 +105,8 @@ def y_fraction(bins: DataFrame) -> DataFrame:
 
 
 def largest_gap_cutoff(values: DataFrame, value: str) -> DataFrame:
-    """The middle of the widest gap between ordered values, the first of equally wide ones; no row without a gap. One value a sample."""
-    w = Window.orderBy(value)
-    gaps = values.select(F.col(value).alias("x"), F.lead(value).over(w).alias("y")).where("y > x")
+    """The middle of the widest gap between ordered values, the first of equally wide ones; no row without a gap."""
+    gaps = with_next(values.select(F.col(value).alias("x")), "x", "y").where("y > x")
     return gaps.agg(F.max_by(F.struct(((F.col("x") + F.col("y")) / 2).alias("cutoff"), (F.col("y") - F.col("x")).alias("gap")), F.struct(F.col("y") - F.col("x"), -F.col("x"))).alias("g")).where("g IS NOT NULL").select("g.cutoff", "g.gap")
 
 

@@ -68,17 +68,48 @@ def base_composition(chunks: DataFrame, grid: DataFrame, bin_size: int) -> DataF
     )
 
 
+#: Buckets of overlap_join are 16 times as wide from level to level; the last level takes all longer intervals.
+LEVELS = 4
+
+
+def _width(level: Column, bucket: int) -> Column:
+    return F.lit(bucket).cast("bigint") * F.pow(F.lit(16), level).cast("bigint")
+
+
+def _own_level(start: str, end: str, bucket: int) -> Column:
+    """The narrowest level whose buckets are no shorter than the interval, which then touches two of them at most."""
+    level = F.lit(LEVELS)
+    for k in range(LEVELS - 1, -1, -1):
+        level = F.when(F.col(end) - F.col(start) <= bucket * 16**k, F.lit(k)).otherwise(level)
+    return level
+
+
+def _dealt(rows: DataFrame, start: str, end: str, bucket: int, above: DataFrame | None = None, strictly: bool = False) -> DataFrame:
+    """``rows`` in the buckets of their own level, or of those levels of ``above`` that are wider (or as wide, unless ``strictly``)."""
+    level = F.col("__own")
+    if above is not None:
+        held = above.agg(F.collect_set("__own").alias("__held"))  # LEVELS + 1 numbers at most
+        wider = (lambda k: k > F.col("__own")) if strictly else (lambda k: k >= F.col("__own"))
+        rows, level = rows.crossJoin(F.broadcast(held)), F.explode(F.filter("__held", wider))
+    rows = rows.withColumn("__level", level).withColumn("__width", _width(F.col("__level"), bucket))
+    return rows.withColumn("__bucket", F.explode(F.sequence(F.floor(F.col(start) / F.col("__width")), F.floor((F.col(end) - 1) / F.col("__width"))))).drop("__own", "__held")
+
+
 def overlap_join(left: DataFrame, right: DataFrame, bucket: int) -> DataFrame:
     """Pairs of half-open intervals of the same chromosome that overlap, as an equi-join.
 
-    ``left`` has chrom, start_pos, end_pos; ``right`` has chrom, r_start, r_end. Both sides are dealt to the
-    buckets they touch; a pair counts only in the first bucket it has in common, so no distinct is needed.
+    ``left`` has chrom, start_pos, end_pos; ``right`` has chrom, r_start, r_end. An interval's own level is the narrowest one as wide as itself, so
+    that even one as long as a chromosome lies in two buckets. Two intervals meet on the wider of their levels: there the wider one is in its own
+    buckets, and the other is dealt to the one or two that it touches. A pair counts only in the first bucket it has in common, so no distinct is needed.
     """
-    spread = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / bucket), F.floor((F.col(b) - 1) / bucket))).alias("bucket")
-    x = left.where("end_pos > start_pos").select("*", spread("start_pos", "end_pos"))
-    y = right.where("r_end > r_start").select("*", spread("r_start", "r_end"))
-    first = F.floor(F.greatest("start_pos", "r_start") / bucket)
-    return x.join(y, ["chrom", "bucket"]).where((F.col("start_pos") < F.col("r_end")) & (F.col("r_start") < F.col("end_pos")) & (F.col("bucket") == first)).drop("bucket")
+    x = left.where("end_pos > start_pos").withColumn("__own", _own_level("start_pos", "end_pos", bucket))
+    y = right.where("r_end > r_start").withColumn("__own", _own_level("r_start", "r_end", bucket))
+    at = ["chrom", "__level", "__bucket"]
+    wide_left = _dealt(x, "start_pos", "end_pos", bucket).join(_dealt(y, "r_start", "r_end", bucket, x).drop("__width"), at)
+    wide_right = _dealt(x, "start_pos", "end_pos", bucket, y, strictly=True).join(_dealt(y, "r_start", "r_end", bucket).drop("__width"), at)
+    met = wide_left.unionByName(wide_right)
+    first = F.floor(F.greatest("start_pos", "r_start") / F.col("__width"))
+    return met.where((F.col("start_pos") < F.col("r_end")) & (F.col("r_start") < F.col("end_pos")) & (F.col("__bucket") == first)).drop("__level", "__bucket", "__width")
 
 
 def overlap_bp() -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from binlattice.functions.ordering import numbered
 from binlattice.functions.stats import over
 from binlattice.operators.report import decision_rank
 from binlattice.sources.ingest import natural_sort_key
@@ -24,13 +25,10 @@ def reference_sample_table(metrics: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def rank_samples_by_decision(rows: DataFrame) -> DataFrame:
-    """rows with decision_rank and place: PASS, WARN, FAIL, others, then natural order of ids; a sample with two rows is an error.
-
-    One row a sample goes through one task, for the place among all samples.
-    """
+    """rows with decision_rank and place: PASS, WARN, FAIL, others, then natural order of ids; a sample with two rows is an error."""
     per = F.count("*").over(over(["sample_id"]))
     once = rows.withColumn("decision_rank", F.when(per == 1, decision_rank(F.upper("qc_decision"))).otherwise(F.raise_error(F.concat(F.lit("more than one row for sample "), "sample_id")).cast("int")))
-    return once.withColumn("place", F.row_number().over(Window.orderBy("decision_rank", natural_sort_key(F.col("sample_id")), "sample_id")))
+    return numbered(once, [F.col("decision_rank"), natural_sort_key(F.col("sample_id")), F.col("sample_id")], "place")
 
 
 def split_retained_outliers(rows: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -196,8 +196,20 @@ def r13_rank_bin_sizes(spark, sf):
     return cohort.rank_bin_sizes(grid).select("bin_size", "pca_components", "status", "inliers", "selection_rank", "is_best_binsize")
 
 
-@query("""WITH t AS (SELECT 'geo' AS "group", 'region' AS name, count(*) AS n_rows FROM region UNION ALL SELECT 'geo', 'nation', count(*) FROM nation UNION ALL SELECT 'sales', 'orders', count(*) FROM orders)
-  SELECT "group", name, n_rows, CAST(count(*) OVER (PARTITION BY "group") AS INT) AS n_tables FROM t""")
+def _digested(group: str, table: str, columns: dict[str, str]) -> str:
+    text = ", ".join(f"'{name}=' || {form}" for name, form in sorted(columns.items()))
+    lanes = " || '-' || ".join(f"CAST(coalesce(sum(CAST('0x' || substr(m, {at}, 15) AS BIGINT)), 0) AS VARCHAR)" for at in (1, 16))
+    return f"SELECT '{group}' AS \"group\", '{table}' AS name, count(*) AS n_rows, {lanes} AS digest FROM (SELECT md5(concat_ws(chr(10), {text})) AS m FROM {table})"
+
+
+_TABLES = [
+    ("geo", "region", {"r_regionkey": "r_regionkey", "r_name": "r_name"}),
+    ("geo", "nation", {"n_nationkey": "n_nationkey", "n_name": "n_name", "n_regionkey": "n_regionkey"}),
+    ("sales", "orders", {c: c for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")} | {"o_totalprice": "printf('%.6f', o_totalprice)", "o_orderdate": "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S')"}),
+]
+
+
+@query(f"""WITH t AS ({' UNION ALL '.join(_digested(*t) for t in _TABLES)}) SELECT "group", name, n_rows, digest, CAST(count(*) OVER (PARTITION BY "group") AS INT) AS n_tables FROM t""")
 def r17_snapshot_inventory(spark, sf):
     read = lambda n: spark.read.parquet(f"{sf}/{n}.parquet")
-    return cohort.snapshot_inventory({"geo": {n: read(n) for n in ("region", "nation")}, "sales": {"orders": read("orders")}}).drop("digest")
+    return cohort.snapshot_inventory({"geo": {n: read(n) for n in ("region", "nation")}, "sales": {"orders": read("orders")}})

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from binlattice.operators import classifier, evaluate, grid, qc, report
 from binlattice.operators import sample_report as sr
+from binlattice.functions.ordering import numbered
 from binlattice.plans import adapters as a
 from binlattice.plans.calling_queries import _FR, AR, SU
 from binlattice.plans.registry import _CH, _MASK, BINS, TRUTH, X1, query, r6
@@ -34,7 +35,7 @@ def s4_parse_region_specs(spark, sf):
 
 
 @query(f"""WITH {_MASK} SELECT chrom, bin_index, least(1.0, greatest(0.0, round(blacklist_overlap_fraction, 6))) AS blacklist_overlap_fraction, 0.0 AS par_overlap_fraction, CAST(blacklist_overlap_fraction > 0 AS INT) AS overlaps_blacklist, 0 AS overlaps_par, 'pass' AS mask_label,
-  round(least(1.0, atgc), 6) AS mappability_score, CAST(regexp_matches(chrom, '^chr([1-9]|1[0-9]|2[0-2])$') AS INT) AS is_autosome FROM mask""")
+  round(least(1.0, (n_a + n_c + n_g + n_t) / 90000.0), 6) AS mappability_score, CAST(regexp_matches(chrom, '^chr([1-9]|1[0-9]|2[0-2])$') AS INT) AS is_autosome FROM mask""")
 def s13_with_default_columns(spark, sf):
     out = ingest.with_default_columns(a.annotated(spark, sf).drop("mappability_score"))
     return r6(out.select("chrom", "bin_index", "blacklist_overlap_fraction", "par_overlap_fraction", "overlaps_blacklist", "overlaps_par", "mask_label", "mappability_score", "is_autosome"))
@@ -51,20 +52,10 @@ def s15_sample_sex_map(spark, sf):
     return ingest.sample_sex_map(_table(spark, sf, "customer").selectExpr("c_nationkey AS id", "CASE WHEN c_nationkey % 2 = 0 THEN '46,xx' ELSE '46,XY' END AS sex"))
 
 
-def natural_places(named):
-    """``named`` plus place, from 1 in the natural order of name: a place is that within a range of names plus the rows of the ranges before."""
-    dealt = named.withColumn("key", ingest.natural_sort_key(F.col("name"))).repartitionByRange("key").withColumn("part", F.spark_partition_id())
-    dealt = a.stored(dealt)  # the ranges come from a sample, which may differ when it is drawn again
-    before = F.coalesce(F.sum("count").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row a range
-    starts = dealt.groupBy("part").count().select("part", before.alias("before"))
-    place = F.row_number().over(Window.partitionBy("part").orderBy("key")) + F.col("before")
-    return dealt.join(F.broadcast(starts), "part").withColumn("place", place).drop("key", "part", "before")
-
-
 @query("SELECT c_custkey, row_number() OVER (ORDER BY lower(c_mktsegment), c_custkey) AS place FROM customer")
 def s17_natural_order(spark, sf):
     named = _table(spark, sf, "customer").withColumn("name", F.concat("c_mktsegment", F.lit("-"), F.col("c_custkey").cast("string")))
-    return natural_places(named).select("c_custkey", "place")
+    return numbered(named, [ingest.natural_sort_key(F.col("name"))], "place").select("c_custkey", "place")
 
 
 _B8 = f"""{_MASK}, mr AS (SELECT *, CASE WHEN mask_label = 'pass' THEN '' ELSE mask_label || ':' || CAST(bin_index % 3 AS VARCHAR) END AS why FROM mask), tb AS (SELECT DISTINCT chrom, i * 250000 AS s, least((i + 1) * 250000, 2520000) AS e FROM mask, range(11) y(i)),

@@ -254,3 +254,45 @@ def test_reads_that_do_not_count(spark):
     bins = grid.make_bin_grid(spark.createDataFrame([("chr1", 20)], "chrom string, length bigint"), 10, "x")
     got = {(r.sample_id, r.bin_index): r.raw_count for r in grid.count_fragments(spark.createDataFrame(rows, kind), bins, 10).collect()}
     assert got == {("S", 0): 2, ("S", 1): 0, ("T", 0): 0, ("T", 1): 0}
+
+
+def test_intervals_of_all_lengths_meet_once(spark):
+    rng = random.Random(12)
+    some = lambda n: [(f"chr{rng.randint(1, 2)}", a, a + rng.choice([0, 1, 5, 100, 900, 20_000, 300_000, 5_000_000, 250_000_000])) for a in (rng.randrange(0, 250_000_000 if i % 3 else 3_000) for i in range(n))]
+    x, y = some(150), some(150)
+    left = spark.createDataFrame([(*r, i) for i, r in enumerate(x)], "chrom string, start_pos bigint, end_pos bigint, i int")
+    right = spark.createDataFrame([(*r, i) for i, r in enumerate(y)], "chrom string, r_start bigint, r_end bigint, j int")
+    want = sorted((i, j) for i, a in enumerate(x) for j, b in enumerate(y) if a[0] == b[0] and a[1] < b[2] and b[1] < a[2] and a[1] < a[2] and b[1] < b[2])
+    for bucket in (10, 30_000):
+        met = grid.overlap_join(left, right, bucket)
+        assert set(met.columns) == {"chrom", "start_pos", "end_pos", "r_start", "r_end", "i", "j"}
+        assert sorted((r.i, r.j) for r in met.collect()) == want
+    long = spark.createDataFrame([("chr1", 0, 250_000_000, 4)], "chrom string, r_start bigint, r_end bigint, __own int")
+    assert grid._dealt(long, "r_start", "r_end", 30_000).count() <= 2
+
+
+def test_order_over_ranges(spark):
+    from binlattice.functions.ordering import numbered, with_next
+    from binlattice.operators.evaluate import largest_gap_cutoff
+
+    rng = random.Random(3)
+    values = [rng.choice([1.0, 2.5, rng.uniform(0, 50)]) for _ in range(400)]
+    table = spark.createDataFrame([(v,) for v in [*values, None]], "v double").repartition(7)
+    placed = numbered(table.where("v IS NOT NULL"), [F.col("v")], "place")
+    assert [(r.place, r.v) for r in placed.orderBy("place").collect()] == list(enumerate(sorted(values), 1))
+    assert sorted((r.v, r.y) for r in with_next(table, "v", "y").where("y IS NOT NULL").collect()) == list(zip(sorted(values), sorted(values)[1:]))
+    gap, low = max((b - a, -a) for a, b in zip(sorted(values), sorted(values)[1:]))
+    found = largest_gap_cutoff(table, "v").first()
+    assert found.gap == gap and found.cutoff == pytest.approx(-low + gap / 2)
+    assert largest_gap_cutoff(table.where("v = 1"), "v").count() == 0
+
+
+def test_digest_is_that_of_a_multiset(spark):
+    from binlattice.operators.cohort import table_digest
+
+    kind = "a int, b string, c double"
+    digest = lambda rows, kind=kind: spark.createDataFrame(rows, kind).agg(table_digest(spark.createDataFrame([], kind))).first()[0]
+    rows = [(1, "x", 0.5), (2, None, None), (1, "x", 0.5)]
+    assert digest(rows) == digest(rows[::-1]) != digest(rows[:2]) and digest([]) == "0-0"
+    assert digest([(1, "x", 0.5)]) != digest([(1, None, 0.5)]) != digest([(1, "", 0.5)])
+    assert digest([(1, "x", 0.5)]) == digest([(0.5, 1, "x")], "c double, a int, b string")

@@ -3,10 +3,12 @@
 import numpy as np
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
+from binlattice.functions.ordering import numbered
 from binlattice.operators import classifier
 from binlattice.operators import sample_report as sr
-from binlattice.plans import table_queries
+from binlattice.sources.ingest import natural_sort_key
 
 
 def test_rank_refuses_repeated_samples(spark):
@@ -59,7 +61,7 @@ def test_diagnoses_take_no_window_over_all_samples(spark):
 
 def test_natural_places_number_all_rows_by_ranges(spark):
     names = [f"{'ab'[i % 2]}-{i * 7919 % 3001}" for i in range(3000)] + [None, ""]
-    out = table_queries.natural_places(spark.createDataFrame([(i, n) for i, n in enumerate(names)], "id int, name string").repartition(5)).collect()
+    out = numbered(spark.createDataFrame([(i, n) for i, n in enumerate(names)], "id int, name string").repartition(5), [natural_sort_key(F.col("name"))], "place").collect()
     want = sorted((n for n in names if n), key=lambda n: (n[0], int(n[2:])))
     assert [r["name"] for r in sorted(out, key=lambda r: r["place"])] == [None, "", *want]
     assert sorted(r["place"] for r in out) == list(range(1, len(names) + 1))
