@@ -8,6 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +21,10 @@ SIZE = 128
 HUB_ROUNDS = 2
 #: Classes of a bucket that are compared at once with as many others; a bucket of more than two blocks is banded again first.
 BLOCK = 512
+#: Shingles of the classes that are compared at once with as many others; longer texts make smaller blocks.
+BLOCK_SHINGLES = 1 << 20
+#: Shingles, and bytes of text, that a task works on at a time beside the sets of its block.
+SLICE = 1 << 18
 SIGNATURE = [f"s{i}" for i in range(SIZE // 16)]
 
 
@@ -128,9 +133,19 @@ def _second_bands(batches: Iterator[pa.RecordBatch], k: int, plan: Banding) -> I
             yield pa.RecordBatch.from_pydict({"name": batch.column("name").slice(a, b - a), "bands": lists})
 
 
+def _short_slices(batch: pa.RecordBatch, texts: tuple[str, ...], rows: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most ``rows`` rows and about 4 * SLICE bytes in the columns ``texts``, or of one longer row."""
+    held = sum(np.cumsum(pc.binary_length(batch.column(c)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)) for c in texts)
+    at = 0
+    while at < len(batch):
+        before = held[at - 1] if at else 0
+        end = max(at + 1, min(at + rows, int(np.searchsorted(held, before + 4 * SLICE, "right"))))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def _verified(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Iterator[pa.RecordBatch]:
-    # a few pairs at a time: texts may be long
-    for batch in (whole.slice(i, 64) for whole in batches for i in range(0, len(whole), 64)):
+    for batch in (small for whole in batches for small in _short_slices(whole, ("text_a", "text_b"), 64)):
         sets = {}
         for side in ("text_a", "text_b"):
             sets[side] = [s for _, _, data, offsets in chunks(batch.column(side).fill_null("")) for s in shingle_sets(data, offsets, k)]
@@ -192,7 +207,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, percent: int = 80, id_col
     components are formed. Buckets that still hold several components do so
     again, with the most connected class outside their largest component. A bucket that is still open with more than
     2 * BLOCK classes is parted by bands of a second, independent sketch, if that spares most of its pairs. What is then
-    open is compared in blocks of at most 2 * BLOCK classes: sketches first, then, of the classes with a
+    open is compared in blocks of at most 2 * BLOCK classes, fewer where texts are long (2 * BLOCK_SHINGLES shingles and a text): sketches first, then, of the classes with a
     likely partner in the block, full sets, by counting common shingles of all of them at once; only links between components
     come out. So every pair that shares a band is verified or already
     connected, without a row for each pair. Most groups of copies are connected after
@@ -300,7 +315,8 @@ def _parted(rows: DataFrame, texts: DataFrame, shingle: int, plan: Banding) -> D
 
 def _links_within(rows: DataFrame, facts: DataFrame, texts: DataFrame, shingle: int, percent: int, likely: int) -> DataFrame:
     """Links (a, b) between different roots of the same bucket, at most one for each two roots of a block."""
-    held = rows.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    by_rows, by_shingles = F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n") / BLOCK_SHINGLES)
+    held = rows.join(facts.select("name", "n"), "name").groupBy("bucket").agg(F.greatest(by_rows, by_shingles).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("name"), F.col("parts").cast("bigint")).cast("int")
     dealt = rows.join(held, "bucket").withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     dealt = dealt.select("bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "name", "root")
@@ -354,7 +370,7 @@ def _block_links(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Ite
         at = 0
         columns = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "i", "j", "part", "name", "root")]
         # sets are kept, not texts: of one block and of one slice of the batch at a time
-        for small in (batch.slice(i, 256) for i in range(0, len(batch), 256)):
+        for small in _short_slices(batch, ("text",), 256):
             sets = [s for _, _, data, offsets in chunks(small.column("text").fill_null("")) for s in shingle_sets(data, offsets, k)]
             for s in sets:
                 here = tuple(c[at] for c in columns[:3])
@@ -373,20 +389,25 @@ def _linked(rows: list[tuple], percent: int) -> Iterator[pa.RecordBatch]:
     part, name, root = (np.array([r[c] for r in rows], np.int64) for c in range(3))
     sets = [r[3] for r in rows]
     sizes = np.array([len(s) for s in sets], np.int64)
-    found, code, often = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    owner = np.repeat(np.arange(len(rows)), sizes)
-    shared = often[code] > 1
-    code, owner = (np.cumsum(often > 1) - 1)[code[shared]], owner[shared]
-    common = np.zeros((len(rows), len(rows)), np.float32)
-    order = np.argsort(code, kind="stable")
-    code, owner = code[order], owner[order]
-    for first in range(0, int(code[-1]) + 1 if len(code) else 0, 4096):
-        a, b = np.searchsorted(code, (first, first + 4096))
-        table = np.zeros((len(rows), 4096), np.float32)
-        table[owner[a:b], code[a:b] - first] = 1
-        common += table @ table.T
+    common = np.zeros((len(rows), len(rows)), np.int64)
+    # ranges of the shingles' hashes, each of about SLICE shingles: beside the sets only one range is worked on
+    ranges = -(-int(sizes.sum()) // SLICE)
+    ends = np.array([(i << 64) // ranges for i in range(1, ranges)], np.uint64)
+    cuts = np.array([[0, *np.searchsorted(s, ends), len(s)] for s in sets], np.int64)
+    for turn in range(ranges):
+        inside = [s[c[turn] : c[turn + 1]] for s, c in zip(sets, cuts, strict=True)]
+        _, code, often = np.unique(np.concatenate(inside), return_inverse=True, return_counts=True)
+        owner = np.repeat(np.arange(len(rows)), [len(s) for s in inside])
+        shared = often[code] > 1
+        code, owner = (np.cumsum(often > 1) - 1)[code[shared]], owner[shared]
+        order = np.argsort(code, kind="stable")
+        code, owner = code[order], owner[order]
+        for first in range(0, int(code[-1]) + 1 if len(code) else 0, 4096):
+            a, b = np.searchsorted(code, (first, first + 4096))
+            table = np.zeros((len(rows), 4096), np.float32)
+            table[owner[a:b], code[a:b] - first] = 1
+            common += (table @ table.T).astype(np.int64)
     apart = (root[:, None] != root[None, :]) & ((part[:, None] != part[None, :]) | (part.min() == part.max()))
-    common = common.astype(np.int64)
     x, y = np.nonzero(np.triu(apart & (100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)), 1))
     if len(x):
         ends = np.sort(np.stack([root[x], root[y]], 1), axis=1)

@@ -384,6 +384,7 @@ def test_large_open_buckets_lose_no_link(spark, monkeypatch):
                 a, b = sorted((root[i], root[j]))
                 root = [a if x == b else x for x in root]
     monkeypatch.setattr(near_dup, "BLOCK", 8)
+    monkeypatch.setattr(near_dup, "BLOCK_SHINGLES", 300)
     table = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id bigint, text string")
     assert {r.doc_id: r.component_id for r in near_dup.near_duplicates(table).collect()} == dict(enumerate(root))
 

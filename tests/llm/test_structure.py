@@ -1,6 +1,7 @@
 """Packing, conversation repair and periodic runs against plain models; odd input."""
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -9,11 +10,12 @@ from functools import cache
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from binlattice.llm import chat, packing, quality, queries, repair, repetition
+from binlattice.llm import chat, near_dup, packing, quality, queries, repair, repetition
 
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -280,3 +282,31 @@ def test_chat_with_clashing_columns_and_a_long_conversation(spark):
         assert r.formatted[r.loss_start : r.loss_end].replace("<\\|", "<|").replace("<\\\\", "<\\") == text
     back = spark.createDataFrame([(got[-1].formatted,)], "f string").select(chat.read_turns(F.col("f")).alias("t")).first().t
     assert [(x.role, x.text) for x in back] == [(r[2], r[3]) for r in rows]
+
+
+@pytest.mark.parametrize("slice_size", [1 << 18, 1_000, 77])
+def test_links_of_a_block_do_not_depend_on_slices(monkeypatch, slice_size):
+    monkeypatch.setattr(near_dup, "SLICE", slice_size)
+    rng = np.random.default_rng(0)
+    base = rng.integers(0, 2**63, 2_000).astype(np.uint64)
+    rows = []
+    for i in range(40):
+        s = base.copy()
+        changed = int(rng.integers(0, 700))
+        s[rng.choice(2_000, changed, False)] = rng.integers(0, 2**63, changed)
+        s[:5] |= np.uint64(1 << 63)
+        rows.append((i % 2, i, i, np.unique(s)))
+    want = set()
+    for x, y in itertools.combinations(rows, 2):
+        common = len(np.intersect1d(x[3], y[3]))
+        if x[0] != y[0] and 100 * common >= 80 * (len(x[3]) + len(y[3]) - common):
+            want.add((x[1], y[1]))
+    got = {(a, b) for r in near_dup._linked(rows, 80) for a, b in zip(r["a"].to_pylist(), r["b"].to_pylist(), strict=True)}
+    assert want and got == want
+
+
+def test_short_slices_are_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(near_dup, "SLICE", 77)
+    batch = pa.RecordBatch.from_pydict({"text": pa.array(["a" * n if n is not None else None for n in (3, None, 500, 2, 2, 900, 1)])})
+    assert [len(b) for b in near_dup._short_slices(batch, ("text",), 4)] == [2, 1, 2, 1, 1]
+    assert [len(b) for b in near_dup._short_slices(batch.slice(2), ("text",), 1)] == [1] * 5 and not list(near_dup._short_slices(batch.slice(7), ("text",), 4))
