@@ -2,13 +2,16 @@
 
 A matrix is a long table (sample_id, chrom, bin_index, raw_count). A cohort has
 far fewer samples than bins, so components come from the samples' Gram matrix:
-each task adds up the products of its own bins, and only samples x samples
-numbers reach the driver, for at most MAX_SAMPLES samples.
+each task adds up the products of its own bins, one tile of TILE x TILE samples
+at a time. Up to GATHERED samples the tiles are gathered and solved at once;
+beyond, they stay a stored table, and components come by orthogonal iteration on
+it, with a number for each sample and component on the driver.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -16,9 +19,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from binlattice.functions.stats import over, robust_z
+from binlattice.functions.storage import stored
 from binlattice.operators.qc import AUTOSOME
 
-MAX_SAMPLES = 2_000
+#: Samples on a side of a tile of products.
+TILE = 512
+#: Samples whose products, 32 MB of them, are solved on the driver.
+GATHERED = 2_000
+#: Further vectors that orthogonal iteration carries beside those wanted.
+BESIDE = 12
 BIN = ["chrom", "bin_index"]
 
 
@@ -61,49 +70,128 @@ def with_signal(matrix: DataFrame) -> DataFrame:
     return matrix.withColumn("x", F.log1p(F.col("raw_count") / F.when(total <= 0, 1.0).otherwise(total) * 1e6))
 
 
-def _gram(signal: DataFrame, ids: list[str], train: set[str] | None = None) -> tuple[np.ndarray, int]:
-    """(products of the samples' bins, number of bins), bins standardised over the samples of ``train`` (all by default)."""
+@dataclass
+class Products:
+    """Products of the samples' standardised bins: an array, or a stored table of tile rows (i, c, v), v holding columns c to c + TILE."""
+
+    n: int
+    bins: int
+    diagonal: np.ndarray
+    array: np.ndarray | None = None
+    tiles: DataFrame | None = None
+
+    def times(self, q: np.ndarray) -> np.ndarray:
+        if self.array is not None:
+            return self.array @ q
+
+        def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                yield pd.DataFrame({"i": batch["i"], "y": [np.asarray(v) @ q[c : c + len(v)] for c, v in zip(batch["c"], batch["v"], strict=True)]})
+
+        y = self.tiles.select("i", "c", "v").mapInPandas(part, "i bigint, y array<double>").groupBy("i")
+        out = np.zeros(q.shape)
+        for r in y.agg(F.array(*[F.sum(F.get("y", F.lit(j))) for j in range(q.shape[1])]).alias("y")).toLocalIterator():
+            out[r["i"]] = r["y"]
+        return out
+
+    def top(self, k: int, fit: np.ndarray | None = None, tolerance: float = 1e-9, turns: int = 1_000) -> tuple[np.ndarray, np.ndarray]:
+        """(the k greatest eigenvalues, their vectors) of the products of the samples ``fit``; vectors are 0 elsewhere."""
+        inside = np.ones(self.n, bool) if fit is None else fit
+        if self.array is not None:
+            values, found = np.linalg.eigh(self.array[np.ix_(inside, inside)])
+            vectors = np.zeros((self.n, min(k, len(values))))
+            vectors[inside] = found[:, ::-1][:, :k]
+            return np.maximum(values[::-1][:k], 0), vectors
+        width = min(k + BESIDE, int(inside.sum()))
+        q = np.linalg.qr(np.where(inside[:, None], np.random.default_rng(0).normal(size=(self.n, width)), 0))[0]
+        for _ in range(turns):
+            y = np.where(inside[:, None], self.times(q), 0)
+            values, turn = np.linalg.eigh((q.T @ y + y.T @ q) / 2)
+            values, turn = values[::-1][:k], turn[:, ::-1][:, :k]
+            if np.linalg.norm(y @ turn - q @ turn * values, axis=0).max() <= tolerance * max(values[0], 1e-300):
+                return np.maximum(values, 0), q @ turn
+            q = np.linalg.qr(y)[0]
+        raise ArithmeticError(f"components did not settle in {turns} turns")
+
+
+def _products(signal: DataFrame, ids: list[str], trains: list[set[str] | None]) -> list[Products]:
+    """The products for each set of samples that bins are standardised over, None for all, from one scan of the signal.
+
+    A task deals its bins to pairs of tiles, sorts them by pair (Spark spills them) and adds up one pair at a time.
+    """
     n = len(ids)
-    if n > MAX_SAMPLES:
-        raise ValueError(f"{n} samples, at most {MAX_SAMPLES}")
-    fit = np.array([train is None or i in train for i in ids])
+    if not n:
+        return [Products(0, 0, np.zeros(0), array=np.zeros((0, 0))) for _ in trains]
+    fits = [np.array([train is None or i in train for i in ids]) for train in trains]
     pair = F.struct("sample_id", "x")
     per = signal.where(F.col("sample_id").isin(*ids)).groupBy(*BIN).agg(F.transform(F.sort_array(F.collect_list(pair)), lambda p: p["x"]).alias("x"))
+    starts = range(0, n, TILE)
 
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total, bins = np.zeros((n, n)), 0
-        for batch in batches:
-            if len(batch):
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for whole in batches:
+            for batch in (whole[i : i + 256] for i in range(0, len(whole), 256)):
                 m = np.stack(batch["x"].to_list())
-                sd = m[:, fit].std(axis=1, keepdims=True)
-                z = (m - m[:, fit].mean(axis=1, keepdims=True)) / np.where(sd > 1e-12, sd, 1.0)
-                total, bins = total + z.T @ z, bins + len(m)
-        yield pd.DataFrame({"i": np.arange(n), "v": list(total), "bins": bins})
+                for turn, fit in enumerate(fits):
+                    sd = m[:, fit].std(axis=1, keepdims=True)
+                    z = (m - m[:, fit].mean(axis=1, keepdims=True)) / np.where(sd > 1e-12, sd, 1.0)
+                    for a in starts:
+                        for c in starts:
+                            if a <= c:
+                                yield pd.DataFrame({"turn": turn, "a": a, "c": c, "left": list(z[:, a : a + TILE]), "right": list(z[:, c : c + TILE])})
 
-    parts = per.select("x").mapInPandas(add, "i bigint, v array<double>, bins bigint").groupBy("i")
-    rows = parts.agg(F.array(*[F.sum(F.get("v", F.lit(j))) for j in range(n)]).alias("v"), F.sum("bins").alias("bins")).orderBy("i").collect()
-    return np.array([r["v"] for r in rows]), rows[0]["bins"]
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, total, bins = None, None, 0
 
+        def tile() -> Iterator[pd.DataFrame]:
+            if key is not None:
+                turn, a, c = key
+                yield pd.DataFrame({"turn": turn, "i": np.arange(a, a + len(total)), "c": c, "v": list(total), "bins": bins})
+                if a < c:
+                    yield pd.DataFrame({"turn": turn, "i": np.arange(c, c + total.shape[1]), "c": a, "v": list(total.T), "bins": bins})
 
-def _ids(signal: DataFrame) -> list[str]:
-    return sorted(r[0] for r in signal.select("sample_id").distinct().limit(MAX_SAMPLES + 1).collect())
+        for batch in batches:
+            for here, rows in batch.groupby(["turn", "a", "c"], sort=True):
+                part = np.stack(rows["left"].to_list()).T @ np.stack(rows["right"].to_list())
+                if here == key:
+                    total, bins = total + part, bins + len(rows)
+                else:
+                    yield from tile()
+                    key, total, bins = here, part, len(rows)
+        yield from tile()
+
+    dealt = per.select("x").mapInPandas(deal, "turn int, a bigint, c bigint, left array<double>, right array<double>").sortWithinPartitions("turn", "a", "c")
+    parts = dealt.mapInPandas(add, "turn int, i bigint, c bigint, v array<double>, bins bigint").groupBy("turn", "i", "c")
+    tiles = parts.agg(F.array(*[F.sum(F.get("v", F.lit(j))) for j in range(min(TILE, n))]).alias("v"), F.sum("bins").alias("bins"))
+    tiles = tiles.withColumn("v", F.slice("v", F.lit(1), F.least(F.lit(TILE).cast("bigint"), F.lit(n) - F.col("c")).cast("int")))
+    if n > GATHERED:
+        tiles = stored(tiles)
+        own = tiles.where("i >= c AND i < c + size(v)").select("turn", "i", "bins", F.get("v", (F.col("i") - F.col("c")).cast("int")).alias("d"))
+        out = [Products(n, 0, np.zeros(n), tiles=tiles.where(F.col("turn") == turn)) for turn in range(len(trains))]
+        for r in own.toLocalIterator():
+            out[r["turn"]].diagonal[r["i"]], out[r["turn"]].bins = r["d"], r["bins"]
+        return out
+    arrays, bins = np.zeros((len(trains), n, n)), 0
+    for r in tiles.toLocalIterator():
+        arrays[r["turn"], r["i"], r["c"] : r["c"] + len(r["v"])] = r["v"]
+        bins = r["bins"]
+    return [Products(n, bins, np.diag(x).copy(), array=x) for x in arrays]
 
 
-def _components(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    values, vectors = np.linalg.eigh(gram)
-    return np.maximum(values[::-1], 0), vectors[:, ::-1]
+def _ids(signal: DataFrame) -> list[str]:
+    return sorted(r[0] for r in signal.select("sample_id").distinct().collect())  # one value a sample
 
 
-def _explained(values: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    if values.sum() <= 0:
+def _explained(products: Products, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    total = products.diagonal.sum()
+    if total <= 0:
         raise ValueError("the samples do not vary")
-    share = (values / values.sum())[:limit]
+    share = products.top(min(limit, products.n))[0] / total
     return share, np.cumsum(share)
 
 
 def pca_profile(signal: DataFrame, max_components: int) -> DataFrame:
     """(component from 1, explained, cumulative) of the standardised bins."""
-    share, cumulative = _explained(_components(_gram(signal, _ids(signal))[0])[0], max_components)
+    share, cumulative = _explained(_products(signal, _ids(signal), [None])[0], max_components)
     rows = [(i + 1, float(e), float(c)) for i, (e, c) in enumerate(zip(share, cumulative))]
     return signal.sparkSession.createDataFrame(rows, "component int, explained double, cumulative double")
 
@@ -135,21 +223,21 @@ def profile_distance(signal: DataFrame) -> DataFrame:
 
 def _with_errors(signal: DataFrame, distance: DataFrame, ids: list[str], errors: np.ndarray) -> DataFrame:
     table = signal.sparkSession.createDataFrame([(i, float(e)) for i, e in zip(ids, errors)], "sample_id string, reconstruction_error double")
-    out = distance.join(table, "sample_id").withColumn("__all", F.lit(0))  # one value a sample, at most MAX_SAMPLES
+    out = distance.join(table, "sample_id").withColumn("__all", F.lit(0))  # one value a sample
     for c in ("reconstruction_error", "noise_mad"):
         out = robust_z(out, c, ["__all"], out=f"{c}_z", strict=True)
     return out.drop("__all")
 
 
-def _errors(gram: np.ndarray, bins: int, k: int) -> np.ndarray:
-    values, vectors = _components(gram)
-    return np.maximum(np.diag(gram) - (vectors[:, :k] ** 2) @ values[:k], 0) / bins
+def _errors(products: Products, k: int) -> np.ndarray:
+    values, vectors = products.top(k)
+    return np.maximum(products.diagonal - (vectors**2) @ values, 0) / products.bins
 
 
 def cohort_sample_metrics(signal: DataFrame, k: int) -> DataFrame:
     """Reads, correlation, noise and mean squared error of k components per sample, the last two also as strict robust z."""
     ids = _ids(signal)
-    return _with_errors(signal, profile_distance(signal), ids, _errors(*_gram(signal, ids), k))
+    return _with_errors(signal, profile_distance(signal), ids, _errors(_products(signal, ids, [None])[0], k))
 
 
 def label_outliers(metrics: DataFrame, min_reads: float = 3e6, min_corr: float = 0.9, max_recon_z: float = 3.5, max_noise_z: float = 3.5) -> DataFrame:
@@ -172,11 +260,11 @@ def iterative_prefilter(signal: DataFrame, max_iterations: int = 3, min_samples:
         top = min(max_components, len(left) - 1)
         if top < 1:
             break
-        gram, bins = _gram(here, left)
-        _, cumulative = _explained(_components(gram)[0], top)
+        products = _products(here, left, [None])[0]
+        _, cumulative = _explained(products, top)
         profile = spark.createDataFrame([(i + 1, 0.0, float(c)) for i, c in enumerate(cumulative)], "component int, explained double, cumulative double")
         k = choose_components(profile, min(min_components, top)).first()["selected"]
-        last = label_outliers(_with_errors(here, profile_distance(here), left, _errors(gram, bins, k)), **limits).collect()  # one row a sample
+        last = label_outliers(_with_errors(here, profile_distance(here), left, _errors(products, k)), **limits).collect()  # one row a sample
         out = {r["sample_id"]: r["reasons"] for r in last if r["is_outlier"]}
         if not out or len(left) - len(out) < min_samples:
             break
@@ -196,36 +284,35 @@ def merge_inliers(first: DataFrame, second: DataFrame) -> DataFrame:
 
 
 def folds(ids: DataFrame, k: int, seed: int = 0) -> DataFrame:
-    """Folds of near equal size by the rank of a seeded hash of the sample id."""
+    """Folds of near equal size by the rank of the MD5 of seed and sample id, which any engine can take."""
     ranked = ids.withColumn("__all", F.lit(0))  # one value a sample
-    place = F.row_number().over(Window.partitionBy("__all").orderBy(F.xxhash64(F.lit(seed), "sample_id"), "sample_id"))
+    place = F.row_number().over(Window.partitionBy("__all").orderBy(F.md5(F.concat(F.lit(f"{seed}:"), "sample_id")), "sample_id"))
     return ranked.withColumn("fold", (place - 1) % k).drop("__all")
 
 
 def cv_reconstruction_mse(signal: DataFrame, components: list[int], n_folds: int = 5, seed: int = 0) -> dict[int, float | None]:
     """Mean over folds of the held-out samples' mean squared error with k components of the others, for each k.
 
-    Bins are standardised on the fold's training samples. None under 3 samples or where a fold trains on k samples or fewer.
+    Bins are standardised on the fold's training samples; the products of all folds come from one scan. None under 3 samples or where a fold trains on k samples or fewer.
     """
     ids = _ids(signal)
     if len(ids) < 3:
         return {k: None for k in components}
     of = {r["sample_id"]: r["fold"] for r in folds(signal.select("sample_id").distinct(), min(n_folds, len(ids)), seed).collect()}
+    trains = [t for t in ({i for i in ids if of[i] != fold} for fold in sorted(set(of.values()))) if len(t) > 1]
     errors: dict[int, list[float]] = {k: [] for k in components}
-    for fold in sorted(set(of.values())):
-        train = {i for i in ids if of[i] != fold}
-        if len(train) < 2:
-            continue
-        gram, bins = _gram(signal, ids, train)
+    for train, products in zip(trains, _products(signal, ids, trains), strict=True):
         fit = np.array([i in train for i in ids])
-        values, vectors = _components(gram[np.ix_(fit, fit)])
+        most = min(len(train) - 1, products.bins)
+        values, vectors = products.top(min(max(components), most), fit)
+        scores = products.times(vectors)[~fit]
         for k in components:
-            if k > min(len(train) - 1, bins):
+            if k > most:
                 errors[k].append(float("nan"))
                 continue
             real = values[:k] > 1e-9 * values[0]
-            score = gram[np.ix_(~fit, fit)] @ vectors[:, :k][:, real] / np.sqrt(values[:k][real])
-            errors[k].append(float(np.mean(np.diag(gram)[~fit] - (score**2).sum(1)) / bins))
+            score = scores[:, :k][:, real] / np.sqrt(values[:k][real])
+            errors[k].append(float(np.mean(products.diagonal[~fit] - (score**2).sum(1)) / products.bins))
     return {k: None if not e or np.isnan(e).any() else float(np.mean(e)) for k, e in errors.items()}
 
 
@@ -248,19 +335,20 @@ def tuning_grid(signals: dict[int, DataFrame], min_components: int = 2, max_comp
         if n < 3:
             empty("FAIL_USABLE_SAMPLE_COUNT")
             continue
-        gram, bins = _gram(signal, ids)
+        products = _products(signal, ids, [None])[0]
+        bins = products.bins
         top = min(max_components, n - 1, bins)
         if top < 1:
             empty("INVALID_PCA_COMPONENTS")
             continue
-        share, cumulative = _explained(_components(gram)[0], top)
+        share, cumulative = _explained(products, top)
         low = min(max(1, min_components), top)
         profile = spark.createDataFrame([(i + 1, float(e), float(c)) for i, (e, c) in enumerate(zip(share, cumulative))], "component int, explained double, cumulative double")
         chosen = choose_components(profile, min(min_components, top), min_explained).first()
         distance = spark.createDataFrame(profile_distance(signal).collect(), "sample_id string, reads double, corr_to_median double, noise_mad double")  # one row a sample
         found, by_inliers = {}, {}
         for k in range(low, top + 1):
-            labelled = label_outliers(_with_errors(signal, distance, ids, _errors(gram, bins, k)), **limits).where("is_outlier = 0").select("sample_id").collect()
+            labelled = label_outliers(_with_errors(signal, distance, ids, _errors(products, k)), **limits).where("is_outlier = 0").select("sample_id").collect()
             found[k] = tuple(sorted(r[0] for r in labelled))
             if len(found[k]) >= min_samples and (n - len(found[k])) / n <= max_outlier_fraction and k <= min(len(found[k]) - 1, bins):
                 by_inliers.setdefault(found[k], []).append(k)

@@ -164,6 +164,21 @@ def test_cross_validation(spark):
     assert np.isclose(got[2], np.mean(want)) and got[6] is None
 
 
+def test_tiles_and_iteration_give_the_same_components(spark, monkeypatch):
+    signal = cohort.with_signal(cohort.align_matrix(frame(spark, matrix(14, 120, 4))))
+    ids = [f"s{i:02}" for i in range(14)]
+    trains = [None, set(ids[:9])]
+    whole = cohort._products(signal, ids, trains)
+    monkeypatch.setattr(cohort, "TILE", 4)
+    monkeypatch.setattr(cohort, "GATHERED", 0)
+    monkeypatch.setattr(cohort, "BESIDE", 5)
+    for one, tiled, fit in zip(whole, cohort._products(signal, ids, trains), (None, np.arange(14) < 9), strict=True):
+        assert tiled.array is None and tiled.bins == one.bins == 120
+        assert np.allclose(tiled.diagonal, np.diag(one.array)) and np.allclose(tiled.times(np.eye(14)), one.array)
+        (v, q), (w, r) = one.top(2, fit), tiled.top(2, fit)
+        assert np.allclose(v, w) and np.allclose(np.abs(q), np.abs(r), atol=1e-6)
+
+
 def test_prefilter_removes_the_odd_sample(spark):
     signal = cohort.with_signal(cohort.align_matrix(frame(spark, matrix(12, 200, 2, odd=[4]))))
     rows = {r["sample_id"]: r for r in cohort.iterative_prefilter(signal, min_reads=0, min_corr=0.5).collect()}
