@@ -1,4 +1,4 @@
-"""Queries of trend correction and cohort selection; SQL where it can follow (it has no eigenvectors and no two-dimensional local fit)."""
+"""Queries of trend correction and cohort selection; SQL where it can follow (it has no two-dimensional local fit)."""
 
 from __future__ import annotations
 
@@ -116,7 +116,36 @@ def _signal(spark, sf):
     return cohort.with_signal(cohort.align_matrix(cohort.drop_unusable_samples(_ragged(spark, sf))[0]))
 
 
-@query(None)
+#: Squarings after which the products of a table are the projector on their greatest component, if it stands out at all.
+SQUARINGS = 45
+
+
+def _standard(rows: str, keys: str, chosen: str) -> str:
+    """x of ``rows`` standardised within ``keys`` over the rows that are ``chosen``."""
+    over = f"FILTER (WHERE {chosen}) OVER (PARTITION BY {keys})"
+    return f"SELECT *, (x - avg(x) {over}) / CASE WHEN stddev_pop(x) {over} > 1e-12 THEN stddev_pop(x) {over} ELSE 1 END AS z FROM {rows}"
+
+
+def _powers(source: str, most: int) -> str:
+    """CTE comps (turn, comp, p, lam, g): the ``most`` greatest components of each symmetric list of lists g of ``source`` (turn, g).
+
+    The matrix is squared and scaled until it is the projector p on one component, of eigenvalue lam, which is then taken off:
+    g is what is left.
+    """
+    trace = lambda m: f"list_sum(list_transform(range(1, len({m}) + 1), lambda i: {m}[i][i]))"
+    return f"""pw AS (SELECT turn, 0 AS comp, 0 AS step, g, g AS m, CAST(NULL AS DOUBLE[][]) AS p, CAST(0 AS DOUBLE) AS lam FROM {source}
+    UNION ALL SELECT turn, CAST(comp + done AS INT), CASE WHEN done = 1 THEN 0 ELSE step + 1 END, g2, CASE WHEN done = 1 THEN g2 ELSE list_transform(sq, lambda r: list_transform(r, lambda v: v / {trace('sq')})) END, CASE WHEN done = 1 THEN m END, lam2
+    FROM (SELECT *, CASE WHEN done = 1 THEN list_transform(range(1, len(g) + 1), lambda i: list_transform(range(1, len(g) + 1), lambda j: g[i][j] - lam2 * m[i][j])) ELSE g END AS g2
+      FROM (SELECT turn, comp, step, g, m, CAST(step = {SQUARINGS} AS INT) AS done, list_transform(m, lambda r: list_transform(m, lambda c: list_dot_product(r, c))) AS sq, list_sum(list_transform(range(1, len(g) + 1), lambda i: list_dot_product(m[i], g[i]))) AS lam2
+        FROM pw WHERE comp < {most}))),
+  comps AS (SELECT turn, comp, p, lam, g FROM pw WHERE comp > 0 AND step = 0)"""
+
+
+_PCA = f"""{_SIG}, zs AS ({_standard('sg0', 'chrom, bin_index', 'true')}), pr AS (SELECT a.sample_id AS i, b.sample_id AS j, sum(a.z * b.z) AS v, count(*) AS n FROM zs a JOIN zs b USING (chrom, bin_index) GROUP BY ALL),
+  gm AS (SELECT 0 AS turn, list(v ORDER BY i) AS g, max(n) AS n FROM (SELECT i, list(v ORDER BY j) AS v, max(n) AS n FROM pr GROUP BY i)), tr AS (SELECT sum(v) AS total FROM pr WHERE i = j)"""
+
+
+@query(f"WITH {_PCA}, {_powers('gm', 6)}, ex AS (SELECT comp AS component, lam / total AS e FROM comps, tr) SELECT component, round(e, 6) AS explained, round(sum(e) OVER (ORDER BY component), 6) AS cumulative FROM ex")
 def r4_pca_profile(spark, sf):
     return r6(cohort.pca_profile(_signal(spark, sf), 6))
 
@@ -148,7 +177,16 @@ def r7_profile_distance(spark, sf):
     return r6(cohort.profile_distance(_signal(spark, sf)))
 
 
-@query(None)
+_DISTANCE = """md AS (SELECT *, median(x) OVER (PARTITION BY chrom, bin_index) AS m FROM sg0), rs AS (SELECT *, median(x - m) OVER (PARTITION BY sample_id) AS rm FROM md),
+  ds AS (SELECT sample_id, sum(c) AS reads, CASE WHEN stddev_pop(x) > 1e-12 AND stddev_pop(m) > 1e-12 THEN corr(x, m) ELSE 0 END AS corr_to_median, median(abs(x - m - rm)) AS noise_mad FROM rs GROUP BY ALL)"""
+_STRICT = lambda c: f"CASE WHEN {c}_s > 0 THEN ({c} - {c}_m) / {c}_s ELSE 0 END"
+
+
+@query(f"""WITH {_PCA}, {_powers('gm', 2)}, {_DISTANCE}, ix AS (SELECT sample_id, row_number() OVER (ORDER BY sample_id) AS i FROM (SELECT DISTINCT sample_id FROM sg0)),
+  er AS (SELECT ds.*, greatest(comps.g[i][i], 0) / n AS reconstruction_error FROM ds JOIN ix USING (sample_id), comps, gm WHERE comp = 2),
+  mm AS (SELECT *, median(reconstruction_error) OVER () AS reconstruction_error_m, median(noise_mad) OVER () AS noise_mad_m FROM er),
+  ss AS (SELECT *, 1.4826 * median(abs(reconstruction_error - reconstruction_error_m)) OVER () AS reconstruction_error_s, 1.4826 * median(abs(noise_mad - noise_mad_m)) OVER () AS noise_mad_s FROM mm)
+  SELECT sample_id, reads, round(corr_to_median, 6) AS corr_to_median, round(noise_mad, 6) AS noise_mad, round(reconstruction_error, 6) AS reconstruction_error, round({_STRICT('reconstruction_error')}, 6) AS reconstruction_error_z, round({_STRICT('noise_mad')}, 6) AS noise_mad_z FROM ss""")
 def r7_cohort_sample_metrics(spark, sf):
     return r6(cohort.cohort_sample_metrics(_signal(spark, sf), 2))
 
@@ -172,6 +210,21 @@ def r10_merge_inliers(spark, sf):
     return cohort.merge_inliers(bins.where("chrom = 'chrY' AND raw_count > 0"), bins.where("chrom = 'chrX' AND raw_count > 3"))
 
 
+_FOLDS = f"""{_SIG}, fo AS (SELECT sample_id, (row_number() OVER (ORDER BY md5('0:' || sample_id), sample_id) - 1) % 5 AS fold FROM (SELECT DISTINCT sample_id FROM sg0)),
+  ff AS (SELECT sg0.*, k.fold AS turn, fo.fold <> k.fold AS fit FROM sg0 JOIN fo USING (sample_id), (SELECT DISTINCT fold FROM fo) k), zs AS ({_standard('ff', 'turn, chrom, bin_index', 'fit')}),
+  pr AS (SELECT a.turn, a.sample_id AS i, b.sample_id AS j, a.fit AS fi, b.fit AS fj, sum(a.z * b.z) AS v, count(*) AS n FROM zs a JOIN zs b USING (turn, chrom, bin_index) GROUP BY ALL),
+  gm AS (SELECT turn, list(v ORDER BY i) AS g FROM (SELECT turn, i, list(v ORDER BY j) AS v FROM pr WHERE fi AND fj GROUP BY turn, i) GROUP BY turn), {_powers('gm', 3)},
+  te AS (SELECT turn, i, list(v ORDER BY j) FILTER (WHERE fj) AS t, max(v) FILTER (WHERE i = j) AS own, max(n) AS n FROM pr WHERE NOT fi GROUP BY turn, i),
+  le AS (SELECT turn, i, comp, own, n, list_dot_product(t, list_transform(p, lambda r: list_dot_product(r, t))) / lam AS got FROM te JOIN comps USING (turn)),
+  cu AS (SELECT turn, i, comp, (own - sum(got) OVER (PARTITION BY turn, i ORDER BY comp)) / n AS e FROM le)"""
+
+
+@query(f"WITH {_FOLDS} SELECT comp AS pca_components, round(avg(e), 6) AS cv_mse FROM (SELECT turn, comp, avg(e) AS e FROM cu GROUP BY ALL) GROUP BY ALL")
+def r11_cross_validation(spark, sf):
+    found = cohort.cv_reconstruction_mse(_signal(spark, sf), [1, 2, 3])
+    return r6(spark.createDataFrame(list(found.items()), "pca_components int, cv_mse double"))
+
+
 def _pooled(spark, sf, by: int):
     """Counts in bins ``by`` times as long."""
     wide = a.bins(spark, sf).withColumn("bin_index", F.floor(F.col("bin_index") / by).cast("bigint"))
