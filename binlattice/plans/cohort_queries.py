@@ -89,31 +89,24 @@ def r1_select_cohort(spark, sf):
     return cohort.select_cohort(_checked(spark, sf), ["pass", "Warn"])
 
 
-def _ragged(spark, sf):
-    """Bins with one sample's vectors cut short, another one's chromosome 5 gone and a third one empty."""
-    cut = (F.col("sample_id") == "S3") & (F.col("bin_index") > 20) | (F.col("sample_id") == "S2") & (F.col("chrom") == "chr5")
-    return a.bins(spark, sf).where(~cut).withColumn("raw_count", F.when(F.col("sample_id") == "S6", 0).otherwise(F.col("raw_count")))
-
-
-_RAG = f"{BINS}, rag AS (SELECT * REPLACE (CASE WHEN sample_id = 'S6' THEN 0 ELSE raw_count END AS raw_count) FROM bins WHERE NOT (sample_id = 'S3' AND bin_index > 20 OR sample_id = 'S2' AND chrom = 'chr5'))"
-_ALIGN = f"""{_RAG}, use AS (SELECT * FROM rag WHERE sample_id IN (SELECT sample_id FROM rag GROUP BY sample_id HAVING sum(raw_count) > 0)), sh AS (SELECT chrom, min(last) AS last FROM (SELECT sample_id, chrom, max(bin_index) AS last FROM use WHERE {AUTO} GROUP BY ALL) GROUP BY chrom),
+_ALIGN = f"""{BINS}, use AS (SELECT * FROM bins WHERE sample_id IN (SELECT sample_id FROM bins GROUP BY sample_id HAVING sum(raw_count) > 0)), sh AS (SELECT chrom, min(last) AS last FROM (SELECT sample_id, chrom, max(bin_index) AS last FROM use WHERE {AUTO} GROUP BY ALL) GROUP BY chrom),
   al AS (SELECT s.sample_id, g.chrom, g.bin_index, CAST(coalesce(use.raw_count, 0) AS DOUBLE) AS c FROM (SELECT DISTINCT sample_id FROM use) s CROSS JOIN (SELECT chrom, i AS bin_index FROM sh, range(28) t(i) WHERE i <= last) g LEFT JOIN use ON use.sample_id = s.sample_id AND use.chrom = g.chrom AND use.bin_index = g.bin_index)"""
 _SIG = f"{_ALIGN}, sg0 AS (SELECT *, ln(1 + c / sum(c) OVER (PARTITION BY sample_id) * 1e6) AS x FROM al)"
 
 
 @query(f"WITH {_ALIGN} SELECT sample_id, chrom, bin_index, c AS raw_count FROM al")
 def r2_align_matrix(spark, sf):
-    return cohort.align_matrix(cohort.drop_unusable_samples(_ragged(spark, sf))[0])
+    return cohort.align_matrix(cohort.drop_unusable_samples(a.bins(spark, sf))[0])
 
 
-@query(f"WITH {_RAG} SELECT sample_id, CAST(sum(raw_count) AS BIGINT) AS total FROM rag GROUP BY ALL HAVING sum(raw_count) <= 0")
+@query(f"WITH {BINS} SELECT sample_id, CAST(sum(raw_count) AS BIGINT) AS total FROM bins GROUP BY ALL HAVING sum(raw_count) <= 0")
 def r3_drop_unusable_samples(spark, sf):
-    empty = cohort.drop_unusable_samples(_ragged(spark, sf))[1]
+    empty = cohort.drop_unusable_samples(a.bins(spark, sf))[1]
     return empty.withColumn("total", F.lit(0).cast("bigint"))
 
 
 def _signal(spark, sf):
-    return cohort.with_signal(cohort.align_matrix(cohort.drop_unusable_samples(_ragged(spark, sf))[0]))
+    return cohort.with_signal(cohort.align_matrix(cohort.drop_unusable_samples(a.bins(spark, sf))[0]))
 
 
 #: Squarings after which the products of a table are the projector on their greatest component, if it stands out at all.

@@ -201,3 +201,15 @@ def test_tuning_grid_statuses(spark):
 def test_align_refuses(spark):
     with pytest.raises(ValueError):
         cohort.align_matrix(frame(spark, matrix(3, 40)))
+
+
+def test_alignment_of_ragged_samples(spark):
+    m = matrix(4, 480)
+    m[3] = 0
+    full = frame(spark, m)
+    rows = full.where("NOT (sample_id = 's00' AND chrom = 'chr1' AND bin_index > 50) AND NOT (sample_id = 's01' AND chrom = 'chr3')")
+    usable, empty = cohort.drop_unusable_samples(rows)
+    assert [r["sample_id"] for r in empty.collect()] == ["s03"]
+    got = {(r["sample_id"], r["chrom"], r["bin_index"]): r["raw_count"] for r in cohort.align_matrix(usable).collect()}
+    assert len(got) == 3 * (51 + 3 * 120)
+    assert all(v == (0 if s == "s01" and c == "chr3" else m[int(s[1:]), 4 * b + int(c[3:]) - 1]) for (s, c, b), v in got.items())
