@@ -296,3 +296,11 @@ def test_digest_is_that_of_a_multiset(spark):
     assert digest(rows) == digest(rows[::-1]) != digest(rows[:2]) and digest([]) == "0-0"
     assert digest([(1, "x", 0.5)]) != digest([(1, None, 0.5)]) != digest([(1, "", 0.5)])
     assert digest([(1, "x", 0.5)]) == digest([(0.5, 1, "x")], "c double, a int, b string")
+
+
+def test_letters_that_grow_in_upper_case_move_no_base(spark):
+    """ß, ŉ and ﬆ are two letters in upper case; places and counts are those of the text as it is."""
+    places = grid.make_bin_grid(spark.createDataFrame([("chr1", 20)], "chrom string, length bigint"), 10, "x")
+    chunks = spark.createDataFrame([("chr1", 0, "ßAcgtNacgtCC ŉﬆ")], "chrom string, chunk_start bigint, seq string")
+    got = {r.bin_index: [r.n_a, r.n_c, r.n_g, r.n_t, r.n_n] for r in grid.base_composition(chunks, places, 10).collect()}
+    assert got == {0: [2, 2, 2, 2, 1], 1: [0, 2, 0, 0, 0]}
