@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from binlattice.functions.ordering import with_next
 from binlattice.functions.stats import clean
-from binlattice.operators.grid import runs
+from binlattice.operators.grid import overlap_join, runs
 
 
 def call_runs(scored: DataFrame, threshold: float = 1.0, min_bins: int = 2) -> DataFrame:
@@ -65,15 +65,32 @@ def qvalue_calibration(events: DataFrame) -> DataFrame:
     return bins.join(per, "qvalue_bin", "left").select("qvalue_bin", F.coalesce("n", F.lit(0)).alias("event_count"), F.coalesce("kept", F.lit(0)).alias("kept_event_count"), "median_priority_score")
 
 
+TRUTH_KEYS = ["sample_id", "chrom", "state"]
+
+
+def truth_hits(truth: DataFrame, found: DataFrame, rank: Column, bucket: int = 100_000) -> DataFrame:
+    """Truth rows with n, their matches in ``found``, and ``best``, the least ``rank`` of these: same sample, chromosome and state and,
+    where the truth has both bounds, an overlap of at least one base counting both ends.
+
+    Rows of ``found`` at one place are summed up first, and truth rows at one place are matched once, so that only different places that overlap make
+    pairs; truth rows without bounds take the sums of their key, the only ones that rows of ``found`` without bounds match. n is 0 where nothing matches.
+    """
+    per = found.groupBy(*TRUTH_KEYS, F.col("start_pos").alias("r_start"), (F.col("end_pos") + 1).alias("r_end")).agg(F.count("*").alias("n"), F.min(rank).alias("best"))
+    both = [F.sum("n").alias("n"), F.min("best").alias("best")]
+    bounded = F.col("t_start").isNotNull() & F.col("t_end").isNotNull()
+    places = truth.where(bounded).select(*TRUTH_KEYS, F.col("t_start").alias("start_pos"), (F.col("t_end") + 1).alias("end_pos")).distinct()
+    met = overlap_join(places, per, bucket, tuple(TRUTH_KEYS)).groupBy(*TRUTH_KEYS, F.col("start_pos").alias("t_start"), (F.col("end_pos") - 1).alias("t_end")).agg(*both)
+    held = truth.where(bounded).join(met, [*TRUTH_KEYS, "t_start", "t_end"], "left")
+    free = truth.where(~bounded).join(per.groupBy(*TRUTH_KEYS).agg(*both), TRUTH_KEYS, "left")
+    return held.unionByName(free).withColumn("n", F.coalesce("n", F.lit(0)))
+
+
 def truth_metrics(events: DataFrame, truth: DataFrame, support: float = 2.5) -> DataFrame:
     """All rows of a truth table as load_truth() reads it, with their matches among the kept events: same sample, chromosome and state and,
     where the truth has both bounds, an overlap of at least one base counting both ends."""
-    e = kept_events(events).select("sample_id", "chrom", "state", F.col("start_pos").alias("e_start"), F.col("end_pos").alias("e_end"), "support_z", "event_id")
-    bounded = F.col("t_start").isNotNull() & F.col("t_end").isNotNull()
-    overlap = F.least("e_end", "t_end") - F.greatest("e_start", "t_start") + 1
-    met = truth.join(e, ["sample_id", "chrom", "state"], "left").withColumn("hit", F.col("event_id").isNotNull() & (~bounded | F.coalesce(overlap > 0, F.lit(False))))
-    top = F.max(F.when(F.col("hit"), F.col("support_z")))
-    return met.groupBy("truth_id", "sample_id", "chrom", "state").agg(F.bool_or("hit").cast("int").alias("matched"), F.coalesce(top >= support, F.lit(False)).cast("int").alias("detected"), top.alias("top_support_z"))
+    met = truth_hits(truth, kept_events(events).where(F.col("event_id").isNotNull()), -F.col("support_z"))
+    top = -F.min("best")
+    return met.groupBy("truth_id", *TRUTH_KEYS).agg((F.max("n") > 0).cast("int").alias("matched"), F.coalesce(top >= support, F.lit(False)).cast("int").alias("detected"), top.alias("top_support_z"))
 
 
 def evaluation_summary(events: DataFrame, metrics: DataFrame) -> DataFrame:

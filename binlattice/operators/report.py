@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from binlattice.functions.stats import clean
-from binlattice.operators.evaluate import event_support_z, fraction_bin, normalize_chrom, normalize_state  # noqa: F401
+from binlattice.operators.evaluate import TRUTH_KEYS, event_support_z, fraction_bin, normalize_chrom, normalize_state, truth_hits  # noqa: F401
 
 SEX = ["chrX", "chrY"]
 #: The names that a truth table's fraction may have, the first one present counting.
@@ -43,17 +43,11 @@ def match_truth(events: DataFrame, truth: DataFrame, external: DataFrame, suppor
 
     Matches have the same sample, chromosome and state and, where the truth has both bounds, share a base with it. Ties go to the smallest event_id.
     """
-    keys = ["sample_id", "chrom", "state"]
-    free = F.col("t_start").isNull() | F.col("t_end").isNull()
-    touch = F.coalesce(F.least("e_end", "t_end") - F.greatest("e_start", "t_start") + 1 > 0, F.lit(False))
-    e = events.select(*keys, F.col("start_pos").alias("e_start"), F.col("end_pos").alias("e_end"), "support_z", "event_id", "fraction_point", "fraction_ci_low", "fraction_ci_high", "fraction_status")
-    met = truth.join(e, keys, "left").withColumn("hit", F.col("event_id").isNotNull() & (free | touch))
-    best = F.struct("event_id", "support_z", "fraction_point", "fraction_ci_low", "fraction_ci_high", "fraction_status")
-    top = F.min_by(best, F.when(F.col("hit"), F.struct(-F.coalesce("support_z", F.lit(float("-inf"))), F.col("event_id")))).alias("top")
-    own = met.groupBy("truth_id", *keys, "truth_fraction").agg(F.count_if("hit").alias("n_matched"), top)
-    x = external.select(*keys, F.col("start_pos").alias("e_start"), F.col("end_pos").alias("e_end"), "abs_zscore")
-    other = truth.join(x, keys, "left").withColumn("hit", F.col("abs_zscore").isNotNull() & (free | touch))
-    other = other.groupBy("truth_id").agg(F.count_if("hit").alias("external_n_matched"), F.max(F.when(F.col("hit"), F.col("abs_zscore"))).alias("external_top_z"))
+    rank = F.struct((-F.coalesce("support_z", F.lit(float("-inf")))).alias("low"), "event_id", "support_z", "fraction_point", "fraction_ci_low", "fraction_ci_high", "fraction_status")
+    met = truth_hits(truth, events.where(F.col("event_id").isNotNull()), rank)
+    own = met.groupBy("truth_id", *TRUTH_KEYS, "truth_fraction").agg(F.sum("n").alias("n_matched"), F.min("best").alias("top"))
+    other = truth_hits(truth, external.where(F.col("abs_zscore").isNotNull()), -F.col("abs_zscore"))
+    other = other.groupBy("truth_id").agg(F.sum("n").alias("external_n_matched"), (-F.min("best")).alias("external_top_z"))
     reaches = lambda z, least: F.coalesce(F.col(z) >= least, F.lit(False)).cast("int")
     out = own.join(other, "truth_id").withColumns({"top_event_id": F.col("top.event_id"), "top_z": F.col("top.support_z"), "point": F.col("top.fraction_point"), "ci_low": F.col("top.fraction_ci_low"), "ci_high": F.col("top.fraction_ci_high"), "fraction_status": F.col("top.fraction_status")})
     return out.withColumns({"detected": reaches("top_z", support), "external_detected": reaches("external_top_z", external_support)}).drop("top")

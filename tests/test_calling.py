@@ -1,6 +1,7 @@
 """Segmentation, merging, readers and validation on small fixtures."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -187,3 +188,30 @@ def test_chromosome_bias_of_the_stable_cohort(spark):
     assert [got["d"][f"top_chrom_{i}"] for i in (1, 2, 3)] == ["chr3", "chr1", "chr2"] and abs(got["d"].max_abs_z - 0.15 / 1e-6) < 1
     alone = qc.chromosome_bias(shares, spark.createDataFrame([("nobody",)], "sample_id string")).collect()
     assert sorted(r.max_abs_z for r in alone) == sorted(r.max_abs_z for r in qc.chromosome_bias(shares).collect())
+
+
+def test_truth_hits_are_those_of_all_pairs(spark):
+    rng = random.Random(5)
+    place = lambda: (start := rng.choice([0, 7, 99_999, 100_000, 1_700_000]) + rng.randint(0, 3), start + rng.choice([-1, 0, 1, 90_000, 30_000_000]))
+    truth = [(f"t{i}", "S1", rng.choice(["chr1", "chr2"]), "gain", *[None if rng.random() < 0.2 else x for x in place()]) for i in range(60)]
+    found = [(rng.choice(["S1", "S2"]), rng.choice(["chr1", "chr2"]), "gain", *place(), float(rng.randint(0, 9))) for _ in range(60)]
+    want = {}
+    for name, sample, chrom, state, a, b in truth:
+        hit = [z for s, c, k, d, e, z in found if (s, c, k) == (sample, chrom, state) and (a is None or b is None or min(e, b) - max(d, a) + 1 > 0)]
+        want[name] = (len(hit), max(hit, default=None))
+    keys = "sample_id string, chrom string, state string, "
+    hits = evaluate.truth_hits(spark.createDataFrame(truth, f"truth_id string, {keys}t_start bigint, t_end bigint"), spark.createDataFrame(found, f"{keys}start_pos bigint, end_pos bigint, z double"), -F.col("z"))
+    got = hits.collect()
+    assert len(got) == 60 and {r.truth_id: (r.n, None if r.best is None else -r.best) for r in got} == want
+
+
+def test_many_segments_at_one_place_make_no_pairs(spark):
+    """100,000 truth rows and as many segments of another caller at one place: their 10 billion pairs are counted, not made."""
+    key = ["'S1' AS sample_id", "'chr1' AS chrom", "'gain' AS state"]
+    truth = spark.range(100_000).selectExpr("id AS truth_id", *key, "CAST(10 AS BIGINT) AS t_start", "IF(id % 2 = 0, CAST(20 AS BIGINT), NULL) AS t_end", "0.5D AS truth_fraction")
+    outside = spark.range(100_000).selectExpr(*key, "CAST(20 AS BIGINT) AS start_pos", "CAST(30 AS BIGINT) AS end_pos", "CAST(id % 7 AS DOUBLE) AS abs_zscore")
+    events = spark.createDataFrame([("S1", "chr1", "gain", 1, 10, 3.0, "e", 0.4, 0.3, 0.5, "estimated")], "sample_id string, chrom string, state string, start_pos bigint, end_pos bigint, support_z double, event_id string, fraction_point double, fraction_ci_low double, fraction_ci_high double, fraction_status string")
+    begun = time.monotonic()
+    got = report.match_truth(events, truth, outside).agg(F.count("*"), F.sum("n_matched"), F.sum("external_n_matched"), F.min("external_top_z"), F.min("top_event_id")).first()
+    assert tuple(got) == (100_000, 100_000, 10**10, 6.0, "e")
+    assert time.monotonic() - begun < 60
