@@ -106,7 +106,8 @@ def r3_drop_unusable_samples(spark, sf):
 
 
 def _signal(spark, sf):
-    return cohort.with_signal(cohort.align_matrix(cohort.drop_unusable_samples(a.bins(spark, sf))[0]))
+    """The matrix of the cohort, written once: its users read it many times."""
+    return a.stored(cohort.with_signal(cohort.align_matrix(cohort.drop_unusable_samples(a.bins(spark, sf))[0])))
 
 
 #: Squarings after which the products of a table are the projector on their greatest component, if it stands out at all.

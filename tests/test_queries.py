@@ -72,3 +72,11 @@ def test_leave_one_out_ignores_own_value(spark):
     moved = [(s, c, b, 1e6 if s == "S2" else x) for s, c, b, x in rows]
     after = {(r.sample_id, r.bin_index): r.ref_median for r in leave_one_out(spark.createDataFrame(moved, "sample_id string, chrom string, bin_index int, x double"), "x").collect()}
     assert all(base[("S2", b)] == after[("S2", b)] for b in range(3))
+
+
+def test_steps_that_read_whole_tables_are_written_once(spark):
+    """What later steps look at many times holds no scan of a given table."""
+    from binlattice.plans import adapters, cohort_queries
+
+    for step in (adapters.bins, adapters.annotated, adapters.calling_bins, cohort_queries._signal):
+        assert not any(f"{t}.parquet" in f for f in step(spark, SF).inputFiles() for t in TABLES), step.__name__
