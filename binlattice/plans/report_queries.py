@@ -44,8 +44,8 @@ def q9_batch_decision_distribution(spark, sf):
 _PROF = f"{_LOO}, prof AS (SELECT sample_id, chrom, bin_index, (v - ref_median) / ref_sigma AS z FROM loo), pc0 AS (SELECT sample_id, chrom, abs(median(z)) AS m FROM prof GROUP BY ALL), pc1 AS (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY m DESC, chrom) AS r FROM pc0)"
 
 
-def _profile(spark, sf):
-    return a.leave_one_out(spark, sf).select("sample_id", "chrom", "bin_index", ((F.col("v") - F.col("ref_median")) / F.col("ref_sigma")).alias("z"))
+def _profile(spark, sf, counted=None):
+    return a.leave_one_out(spark, sf, counted).select("sample_id", "chrom", "bin_index", ((F.col("v") - F.col("ref_median")) / F.col("ref_sigma")).alias("z"))
 
 
 @query(f"""WITH {_PROF} SELECT * FROM (SELECT sample_id, round(median(abs(z)), 6) AS global_median_abs_z FROM prof GROUP BY ALL) JOIN (SELECT sample_id, round(max(m), 6) AS max_chrom_abs_median_z, round(avg(CAST(m >= 1 AS INT)), 6) AS broad_noise_fraction,
@@ -105,8 +105,8 @@ _SUM = f"""{_MASK}, prof AS (SELECT sample_id, chrom, bin_index, (v - ref_median
 
 def _summary(spark, sf):
     """Samples with their deviation, their profiles and the mask."""
-    profile = _profile(spark, sf)
-    return qc.reference_deviation(a.leave_one_out(spark, sf)), profile, a.masked(spark, sf)
+    counted = a.bins(spark, sf)
+    return qc.reference_deviation(a.leave_one_out(spark, sf, counted)), _profile(spark, sf, counted), a.masked(spark, sf, counted)
 
 
 @query(f"WITH {_SUM} SELECT sample_id, event_type, status, detail FROM qe")

@@ -179,15 +179,16 @@ _IQ = """lq AS (SELECT *, ln(1 + raw_count) AS l FROM bins), mq AS (SELECT *, me
   ql AS (SELECT sample_id, nz, md, CASE WHEN total >= 2000 AND nz >= 0.4 AND md <= 1.2 THEN 'PASS' ELSE concat_ws(',', CASE WHEN total < 2000 THEN 'low_total' END, CASE WHEN nz < 0.4 THEN 'low_nonzero' END, CASE WHEN md > 1.2 THEN 'high_mad' END) END AS qc_status FROM iq)"""
 
 
-def _quality(spark, sf):
-    return qc.input_qc(a.bins(spark, sf), least_total=2000).select("sample_id", F.col("status").alias("qc_status"), "log_mad", "nonzero_fraction")
+def _quality(counted):
+    return qc.input_qc(counted, least_total=2000).select("sample_id", F.col("status").alias("qc_status"), "log_mad", "nonzero_fraction")
 
 
 @query(f"""WITH {_AE}, {X1}, {_IQ}, es AS (SELECT sample_id, count(*) AS total_events, CAST(sum(keep_event) AS BIGINT) AS kept_events, count(*) FILTER (WHERE artifact_status = 'pass') AS pass_events, count(*) FILTER (WHERE artifact_status = 'review') AS review_events, round(max(priority_score), 6) AS top_priority_score,
   round(max(abs(cmz)), 6) AS max_abs_calibrated_z, count(*) FILTER (WHERE f_high >= 0.5) AS high_risk_events, count(*) FILTER (WHERE f_clean >= 0.5) AS clean_supported_events FROM ae GROUP BY ALL)
   SELECT es.*, sex_call, qc_status, round(md, 6) AS log_mad, round(nz, 6) AS nonzero_fraction FROM es LEFT JOIN sx USING (sample_id) LEFT JOIN ql USING (sample_id)""")
 def e2_sample_metrics(spark, sf):
-    return r6(report.sample_metrics(a.classified(spark, sf), a.depths(spark, sf).select("sample_id", "sex_call"), _quality(spark, sf)))
+    counted = a.bins(spark, sf)
+    return r6(report.sample_metrics(a.classified(spark, sf, counted=counted), a.depths(spark, sf, counted).select("sample_id", "sex_call"), _quality(counted)))
 
 
 @query(f"WITH {_AE} SELECT event_id, round(greatest(abs(cmz), abs(cdz), abs(az)), 6) AS support_z FROM a0")
@@ -219,8 +220,9 @@ def p2_top_display_event(spark, sf):
     || '; downgrade=' || coalesce(nullif(top_downgrade_reason, ''), CASE WHEN h > 0 THEN 'sex_chromosome_review_suppressed' ELSE 'none' END) || '; sex_review_suppressed=' || h || '; QC=' || qc_status || '; sex=' || sex_call AS technical_conclusion,
     coalesce(top_event, ext, CASE WHEN h > 0 THEN 'Branch B top event suppressed (sex-chromosome review only)' ELSE 'No A-branch event' END) AS biological_conclusion FROM ro LEFT JOIN dp USING (sample_id) LEFT JOIN xs USING (sample_id) LEFT JOIN sx USING (sample_id) LEFT JOIN ql USING (sample_id)""")
 def p4_sample_conclusions(spark, sf):
-    found = a.with_fractions(spark, sf)
-    samples = a.depths(spark, sf).select("sample_id", "sex_call").join(_quality(spark, sf).select("sample_id", "qc_status"), "sample_id")
+    counted = a.bins(spark, sf)
+    found = a.with_fractions(spark, sf, counted)
+    samples = a.depths(spark, sf, counted).select("sample_id", "sex_call").join(_quality(counted).select("sample_id", "qc_status"), "sample_id")
     other = sr.top_external_event(samples.select("sample_id"), a.external(spark, sf))
     return report.sample_conclusions(samples, report.sample_event_rollup(found), report.top_display_event(found), other)
 
