@@ -219,15 +219,16 @@ def r11_cross_validation(spark, sf):
     return r6(spark.createDataFrame(list(found.items()), "pca_components int, cv_mse double"))
 
 
-def _pooled(spark, sf, by: int):
+def _pooled(counted, by: int):
     """Counts in bins ``by`` times as long."""
-    wide = a.bins(spark, sf).withColumn("bin_index", F.floor(F.col("bin_index") / by).cast("bigint"))
+    wide = counted.withColumn("bin_index", F.floor(F.col("bin_index") / by).cast("bigint"))
     return wide.groupBy("sample_id", "chrom", "bin_index").agg(F.sum("raw_count").alias("raw_count"))
 
 
 @query(None)
 def r12_tuning_grid(spark, sf):
-    signals = {a.BIN * by: cohort.with_signal(cohort.align_matrix(_pooled(spark, sf, by), 50)) for by in (1, 4)}
+    counted = a.bins(spark, sf)
+    signals = {a.BIN * by: a.stored(cohort.with_signal(cohort.align_matrix(_pooled(counted, by), 50))) for by in (1, 4)}
     return r6(cohort.tuning_grid(signals, min_samples=4, max_components=4, max_outlier_fraction=0.5, **LIMITS))
 
 
