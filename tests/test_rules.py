@@ -304,3 +304,27 @@ def test_letters_that_grow_in_upper_case_move_no_base(spark):
     chunks = spark.createDataFrame([("chr1", 0, "ßAcgtNacgtCC ŉﬆ")], "chrom string, chunk_start bigint, seq string")
     got = {r.bin_index: [r.n_a, r.n_c, r.n_g, r.n_t, r.n_n] for r in grid.base_composition(chunks, places, 10).collect()}
     assert got == {0: [2, 2, 2, 2, 1], 1: [0, 2, 0, 0, 0]}
+
+
+def _counted(spark, table):
+    """(the table, an accumulator of the rows of it that were read)"""
+    n = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            n.add(len(b))
+            yield b
+
+    return table.mapInPandas(seen, table.schema), n
+
+
+@pytest.mark.parametrize("widths", [(90_000,), (100,), (90_000, 100, 5_000_000)])
+def test_interval_joins_read_a_side_for_its_levels_and_once_more(spark, widths):
+    rng = random.Random(7)
+    x = [(f"chr{i % 2}", i * 90_000, i * 90_000 + widths[i % len(widths)], i) for i in range(40)]
+    y = [(f"chr{rng.randrange(2)}", a, a + rng.choice([100, 400, 60_000]), j) for j, a in enumerate(rng.randrange(0, 3_600_000) for _ in range(60))]
+    left = spark.createDataFrame(x, "chrom string, start_pos bigint, end_pos bigint, i int")
+    right, n = _counted(spark, spark.createDataFrame(y, "chrom string, r_start bigint, r_end bigint, j int"))
+    got = sorted((r.i, r.j) for r in grid.overlap_join(left, right, 30_000).collect())
+    assert got == sorted((a[3], b[3]) for a in x for b in y if a[0] == b[0] and a[1] < b[2] and b[1] < a[2])
+    assert n.value <= 2 * len(y)
