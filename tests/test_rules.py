@@ -328,3 +328,15 @@ def test_interval_joins_read_a_side_for_its_levels_and_once_more(spark, widths):
     got = sorted((r.i, r.j) for r in grid.overlap_join(left, right, 30_000).collect())
     assert got == sorted((a[3], b[3]) for a in x for b in y if a[0] == b[0] and a[1] < b[2] and b[1] < a[2])
     assert n.value <= 2 * len(y)
+
+
+def test_alignments_are_read_once(spark):
+    kind = "sample_id bigint, chrom bigint, pos bigint, mapq int, is_duplicate boolean, is_secondary boolean, is_supplementary boolean, is_unmapped boolean, is_qcfail boolean, is_paired boolean, is_read1 boolean"
+    good = (40, False, False, False, False, False, False, False)
+    rows = [(1, 0, 5, *good), (1, 0, None, *good), (1, 0, -3, *good), (2, 0, 5, 40, None, *good[2:]), (-3, 1, 15, *good), (None, 1, 15, *good)]
+    table, n = _counted(spark, spark.createDataFrame(rows, kind))
+    bins = grid.make_bin_grid(spark.createDataFrame([(0, 10), (1, 20)], "chrom bigint, length bigint"), 10, "x")
+    got = {(r.sample_id, r.chrom, r.bin_index): r.raw_count for r in grid.count_fragments(table, bins, 10).collect()}
+    ones = {(1, 0, 0), (-3, 1, 1)}
+    assert got == {(s, c, b): int((s, c, b) in ones) for s in (1, 2, -3, None) for c, b in ((0, 0), (1, 0), (1, 1))}
+    assert n.value == len(rows)
