@@ -4,6 +4,7 @@ import math
 import random
 from statistics import median
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -340,3 +341,15 @@ def test_alignments_are_read_once(spark):
     ones = {(1, 0, 0), (-3, 1, 1)}
     assert got == {(s, c, b): int((s, c, b) in ones) for s in (1, 2, -3, None) for c, b in ((0, 0), (1, 0), (1, 1))}
     assert n.value == len(rows)
+
+
+def test_letters_are_counted_by_the_bytes_of_a_batch(spark):
+    """A text is read once for all letters, and not copied for each; long texts, slices of a batch, empty texts and other alphabets are counted alike."""
+    texts = ["AaCcGgTtNn", "", "ßÁçñŉ—acgt", "Áñ" * 3, "aN" * 700_000, "x", "Kg"]
+    batch = pa.RecordBatch.from_pydict({"chrom": [str(i) for i in range(7)], "bin_index": list(range(7)), "piece": texts})
+    for part in (batch, batch.slice(2, 4), batch.slice(0, 0)):
+        (got,) = grid._letter_counts([part])
+        assert [list(r.values())[2:] for r in got.to_pylist()] == [[t.count(b) + t.count(b.lower()) for b in "ACGTN"] for t in part.column("piece").to_pylist()]
+    chunks = spark.createDataFrame([("chr1", 0, "acgt")], "chrom string, chunk_start bigint, seq string")
+    plan = grid.base_composition(chunks, grid.make_bin_grid(spark.createDataFrame([("chr1", 20)], "chrom string, length bigint"), 10, "x"), 10)._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan and "replace(" not in plan
