@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from binlattice.operators import artifact, calibrate, calling, grid, qc
+from binlattice.plans import adapters
 
 #: An event that no rule objects to.
 PLAIN = dict(
@@ -353,3 +354,13 @@ def test_letters_are_counted_by_the_bytes_of_a_batch(spark):
     chunks = spark.createDataFrame([("chr1", 0, "acgt")], "chrom string, chunk_start bigint, seq string")
     plan = grid.base_composition(chunks, grid.make_bin_grid(spark.createDataFrame([("chr1", 20)], "chrom string, length bigint"), 10, "x"), 10)._jdf.queryExecution().toString()
     assert "MapInArrow" in plan and "replace(" not in plan
+
+
+def test_shares_of_all_classes_come_from_one_aggregation(spark):
+    """Also by numbers of chromosomes; a class without intervals is 0, one that isn't asked for doesn't count."""
+    bins = spark.createDataFrame([(7, 0, 100), (7, 100, 200), (8, 0, 100)], "chrom bigint, start_pos bigint, end_pos bigint")
+    places = [(7, 90, 120, "a"), (7, 95, 120, "a"), (7, 0, 300, "b"), (7, 0, 50, None), (8, 0, 50, "c"), (None, 0, 50, "a")]
+    found = grid.overlap_fraction(bins, spark.createDataFrame(places, "chrom bigint, start_pos bigint, end_pos bigint, region_class string"), 30_000, ["a", "b", "z"])
+    assert "pivotfirst" not in found._jdf.queryExecution().toString().lower()
+    assert sorted(tuple(r) for r in found.collect()) == [(7, 0, 100, 0.15, 1.0, 0.0), (7, 100, 200, 0.4, 1.0, 0.0), (8, 0, 100, 0.0, 0.0, 0.0)]
+    assert dict(adapters._numbered_intervals(spark, "/root/testdata/sf0.001").dtypes)["chrom"] == "bigint"
